@@ -11,9 +11,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from farebox.operators import kpis as K
 from farebox.operators import marts as A
 from farebox.plans import sql as Q
 from farebox.sources import lineitem as L
+from farebox.sources import marts as MS
+from farebox.sources import text as TX
 
 
 @dataclass(frozen=True)
@@ -28,6 +31,40 @@ def _mart(fn, **kw):
     return build
 
 
+def _over(mart_fn, op, **kw):
+    """A mart-level operator applied to a mart built from the trips."""
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return op(mart_fn(L.load_trips(spark, sf_dir)), **kw)
+    return build
+
+
+def _kpi_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = L.load_trips(spark, sf_dir)
+    return K.kpi_summary(total=A.total_trips(t), peak=A.peak_revenue(t),
+                         suspicious=A.suspicious_trips(t), payment=A.payment_methods(t),
+                         zones=A.revenue_per_zone(t), speed=A.speed_analysis(t),
+                         hours=A.trips_per_hour(t))
+
+
+def _period_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.with_period(L.load_trips(spark, sf_dir))
+
+
+def _text_round_trip(mart_fn):
+    """Trips encoded as raw CSV lines, parsed back by the text ingestion
+    path, then the mart: exercises S4/S6/C1/C12 on the whole table."""
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        lines = TX.trips_as_text(L.load_trips(spark, sf_dir))
+        return mart_fn(TX.parse_csv_lines(lines))
+    return build
+
+
+def _input_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return MS.input_profile(spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet"))
+
+
+_CAL = "['" + "', '".join(Q.S.DAYS_SHORT) + "']"
+
 REGISTRY: dict[str, Registered] = {
     # --- the nine marts -----------------------------------------------------
     "trips_per_hour": Registered(_mart(A.trips_per_hour), Q.mart_query("trips_per_hour", "heure")),
@@ -46,4 +83,72 @@ REGISTRY: dict[str, Registered] = {
     "peak_vs_offpeak": Registered(_mart(A.peak_vs_offpeak),
                                   Q.mart_query("peak_vs_offpeak", "recette_totale DESC, periode")),
     "total_trips": Registered(_mart(A.total_trips), Q.with_marts("SELECT COUNT(*) AS nb_lignes FROM trips")),
+    # --- operators over marts -----------------------------------------------
+    "report_totals": Registered(
+        _over(A.peak_revenue, K.report_totals),
+        Q.with_marts("""SELECT COUNT(*) AS nb_creneaux, CAST(SUM(nb_courses) AS BIGINT) AS nb_courses,
+                        RND(SUM(recette_totale), 2) AS recette_totale FROM peak_revenue""", "peak_revenue")),
+    "top5_slots": Registered(
+        _over(A.peak_revenue, K.top5_slots),
+        Q.mart_query("peak_revenue", "recette_totale DESC NULLS LAST, creneau", 5)),
+    "top_revenue_slots": Registered(
+        _over(A.peak_revenue, K.top_revenue_slots, n=10),
+        Q.mart_query("peak_revenue", "recette_totale DESC NULLS LAST, creneau", 10)),
+    "best_slot": Registered(
+        _over(A.peak_revenue, K.best_slot),
+        Q.mart_query("peak_revenue", "recette_totale DESC NULLS LAST, creneau", 1)),
+    "dominant_payment": Registered(
+        _over(A.payment_methods, K.dominant_payment),
+        Q.with_marts("""SELECT mode_paiement, nb_courses FROM payment_methods
+                        ORDER BY nb_courses DESC NULLS LAST, mode_paiement NULLS LAST LIMIT 1""",
+                     "payment_methods")),
+    "payment_share": Registered(
+        _over(A.payment_methods, K.payment_share),
+        Q.with_marts("""SELECT mode_paiement, nb_courses,
+                        RND(nb_courses / (SELECT SUM(nb_courses) FROM payment_methods) * 100.0, 1) AS part_pct
+                        FROM payment_methods""", "payment_methods")),
+    "top_zones": Registered(
+        _over(A.revenue_per_zone, K.top_zones, n=10),
+        Q.mart_query("revenue_per_zone", "nb_courses DESC NULLS LAST, zone_depart", 10)),
+    "top_speed_slots": Registered(
+        _over(A.speed_analysis, K.top_speed_slots, n=15),
+        Q.mart_query("speed_analysis", "vitesse_moyenne_mph DESC NULLS LAST, creneau", 15)),
+    "fastest_slowest_slot": Registered(
+        _over(A.speed_analysis, K.fastest_slowest_slot),
+        Q.with_marts(f"""SELECT * FROM (SELECT '{K.FASTEST}' AS indicateur, creneau, vitesse_moyenne_mph,
+                           RND(vitesse_moyenne_mph * {Q.S.MILES_TO_KM}, 1) AS vitesse_moyenne_kmh
+                         FROM speed_analysis ORDER BY vitesse_moyenne_mph DESC NULLS LAST, creneau LIMIT 1) a
+                         UNION ALL
+                         SELECT * FROM (SELECT '{K.SLOWEST}' AS indicateur, creneau, vitesse_moyenne_mph,
+                           RND(vitesse_moyenne_mph * {Q.S.MILES_TO_KM}, 1) AS vitesse_moyenne_kmh
+                         FROM speed_analysis ORDER BY vitesse_moyenne_mph ASC NULLS LAST, creneau LIMIT 1) b""",
+                     "speed_analysis")),
+    "busiest_hour": Registered(
+        _over(A.trips_per_hour, K.busiest_hour),
+        Q.mart_query("trips_per_hour", "nb_courses DESC NULLS LAST, heure", 1)),
+    "mean_speed_kpi": Registered(
+        _over(A.speed_analysis, K.mean_speed_kpi),
+        Q.with_marts(f"""SELECT RND(AVG(vitesse_moyenne_mph), 2) AS vitesse_moyenne_mph,
+                           RND(AVG(vitesse_moyenne_mph) * {Q.S.MILES_TO_KM}, 1) AS vitesse_moyenne_kmh,
+                           RND(SUM(vitesse_moyenne_mph * nb_courses) / SUM(nb_courses), 2) AS vitesse_ponderee_mph
+                         FROM speed_analysis""", "speed_analysis")),
+    "speed_calendar_order": Registered(
+        _over(A.speed_analysis, K.calendar_order),
+        Q.with_marts(f"""SELECT *, CAST((list_position({_CAL}, split_part(creneau, '-', 1)) - 1) * 24
+                           + CAST(split_part(creneau, '-', 2) AS INTEGER) AS INTEGER) AS ordre
+                         FROM speed_analysis ORDER BY ordre""", "speed_analysis")),
+    "weekly_series": Registered(
+        _over(lambda t: A.weekly_revenue(t, year=L.TEST_WEEKLY_YEAR), K.weekly_series),
+        Q.with_marts("""SELECT annee, semaine, nb_courses, recette_totale FROM weekly_revenue
+                        ORDER BY annee, semaine""", "weekly_revenue")),
+    "kpi_summary": Registered(_kpi_summary, Q.KPI_SUMMARY_SQL),
+    "period_view": Registered(
+        _period_view, Q.with_marts(f"SELECT *, {Q.PERIOD} AS periode FROM trips")),
+    # --- text ingestion path over the whole table ------------------------------
+    "peak_revenue_from_text": Registered(
+        _text_round_trip(A.peak_revenue), Q.mart_query("peak_revenue", "creneau")),
+    "speed_analysis_from_text": Registered(
+        _text_round_trip(A.speed_analysis), Q.mart_query("speed_analysis", "creneau")),
+    # --- input profile (file metadata; no SQL equivalent over a view) --------
+    "input_profile": Registered(_input_profile, None),
 }

@@ -179,3 +179,38 @@ def mart_query(name: str, order_by: str | None = None, limit: int | None = None)
     if limit is not None:
         tail += f" LIMIT {limit}"
     return with_marts(f"SELECT * FROM {name}{tail}", name)
+
+
+def _kpi(label: str, value_sql: str, source: str) -> str:
+    return f"SELECT '{label}' AS indicateur, CAST({value_sql} AS VARCHAR) AS valeur FROM {source}"
+
+
+def _kpi_summary_sql() -> str:
+    from farebox.operators import kpis as K
+    km = S.MILES_TO_KM
+    rows = [
+        _kpi(K.KPI_ROWS, "COUNT(*)", "trips"),
+        _kpi(K.KPI_SLOTS, "COUNT(*)", "peak_revenue"),
+        _kpi(K.KPI_TRIPS, "format('{:,}', CAST(SUM(nb_courses) AS BIGINT))", "peak_revenue"),
+        _kpi(K.KPI_REVENUE, "format('{:,.2f}', RND(SUM(recette_totale), 2))", "peak_revenue"),
+        _kpi(K.KPI_BEST_SLOT, "creneau",
+             "(SELECT creneau FROM peak_revenue ORDER BY recette_totale DESC NULLS LAST, creneau LIMIT 1) b"),
+        _kpi(K.KPI_SUSPICIOUS, "courses_suspectes", "suspicious_trips"),
+        _kpi(K.KPI_PAYMENT, "mode_paiement",
+             "(SELECT mode_paiement FROM payment_methods ORDER BY nb_courses DESC NULLS LAST, "
+             "mode_paiement NULLS LAST LIMIT 1) p"),
+        _kpi(K.KPI_ZONE, "zone_depart",
+             "(SELECT zone_depart FROM revenue_per_zone ORDER BY nb_courses DESC NULLS LAST, "
+             "zone_depart LIMIT 1) z"),
+        _kpi(K.KPI_SPEED,
+             f"replace(printf('%.1f', RND(RND(AVG(vitesse_moyenne_mph) * {km}, 1), 1)), '.', ',') || ' km/h (' || "
+             f"replace(printf('%.2f', RND(RND(AVG(vitesse_moyenne_mph), 2), 2)), '.', ',') || ' mph)'",
+             "speed_analysis"),
+        _kpi(K.KPI_HOUR, "heure || 'h'",
+             "(SELECT heure FROM trips_per_hour ORDER BY nb_courses DESC NULLS LAST, heure LIMIT 1) h"),
+    ]
+    return with_marts("\nUNION ALL\n".join(rows), "peak_revenue", "suspicious_trips",
+                      "payment_methods", "revenue_per_zone", "speed_analysis", "trips_per_hour")
+
+
+KPI_SUMMARY_SQL = _kpi_summary_sql()

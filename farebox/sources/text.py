@@ -87,3 +87,37 @@ def read_trips_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame:
     reach the scan because the marts only select and filter plain columns."""
     paths = [path] if isinstance(path, str) else list(path)
     return conform_trips(spark.read.parquet(*paths))
+
+
+def parse_csv_lines(lines: DataFrame, column: str = "value", *, sep: str = ",") -> DataFrame:
+    """S4 for line-oriented input (``spark.read.text``, a Kafka value, a
+    string column): quote-aware split of each line into the 19 raw fields,
+    then the same typing as the file reader.  Blank lines are dropped."""
+    ddl = ", ".join(f"`{f.name}` STRING" for f in S.RAW_TRIP_SCHEMA.fields)
+    opts = {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+    # inline(array(...)) makes the parse a Generate node: predicates on the
+    # typed fields stay above it instead of being pushed down with a copy of
+    # the parser inlined into every predicate.
+    parsed = (lines.filter(F.length(F.col(column)) > 0)
+              .select(F.inline(F.array(F.from_csv(F.col(column), ddl, opts)))))
+    return type_trips(parsed)
+
+
+def _text_field(name: str, dtype: T.DataType):
+    c = F.col(name)
+    if isinstance(dtype, T.TimestampNTZType):
+        e = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    else:
+        e = c.cast("string")
+    return F.coalesce(e, F.lit(""))
+
+
+def trips_as_text(trips: DataFrame, *, sep: str = ",") -> DataFrame:
+    """Encode typed trips as raw delimited lines (one ``value`` column), the
+    layout of the source files: 19 positional fields, empty when unknown.
+    Doubles are written in their shortest exact form, so a text round trip
+    returns the same values."""
+    fields = []
+    for name, dtype in S.TRIP_COLUMNS:
+        fields.append(_text_field(name, dtype) if name in trips.columns else F.lit(""))
+    return trips.select(F.concat_ws(sep, *fields).alias("value"))
