@@ -14,19 +14,33 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def hour_label(hour: Column | str) -> Column:
+    """Zero-padded hour number, ``8 -> '08'``."""
+    return F.lpad(_c(hour).cast("string"), 2, "0")
+
+
 def hour_key(ts: Column | str) -> Column:
     """Zero-padded pickup hour, ``'08'``."""
-    return F.lpad(F.hour(_c(ts)).cast("string"), 2, "0")
+    return hour_label(F.hour(_c(ts)))
+
+
+def day_label(weekday: Column | str, names: list[str]) -> Column:
+    """Weekday name by Monday-first index (0 = Monday)."""
+    return F.element_at(F.array(*[F.lit(n) for n in names]), _c(weekday) + 1)
 
 
 def day_name(ts: Column | str, names: list[str]) -> Column:
-    """Weekday name by Monday-first index (``weekday`` is 0 on Monday)."""
-    return F.element_at(F.array(*[F.lit(n) for n in names]), F.weekday(_c(ts)) + 1)
+    return day_label(F.weekday(_c(ts)), names)
+
+
+def slot_label(weekday: Column | str, hour: Column | str, names: list[str]) -> Column:
+    """``(3, 18) -> 'Jeu-18'`` / ``'JEUDI-18'``."""
+    return F.concat(day_label(weekday, names), F.lit("-"), hour_label(hour))
 
 
 def slot_key(ts: Column | str, names: list[str]) -> Column:
-    """Weekday-hour slot, e.g. ``Jeu-18`` / ``JEUDI-18``."""
-    return F.concat(day_name(ts, names), F.lit("-"), hour_key(ts))
+    """Weekday-hour slot of a timestamp, e.g. ``Jeu-18`` / ``JEUDI-18``."""
+    return slot_label(F.weekday(_c(ts)), F.hour(_c(ts)), names)
 
 
 def short_slot(ts: Column | str = S.PICKUP) -> Column:
@@ -59,10 +73,10 @@ def duration_hours(pickup: Column | str = S.PICKUP,
 def speed_mph(distance: Column | str = "trip_distance",
               pickup: Column | str = S.PICKUP,
               dropoff: Column | str = S.DROPOFF) -> Column:
-    """Distance over duration in hours; NULL when the duration is not positive
-    (ANSI mode would raise on a division by zero)."""
-    hours = duration_hours(pickup, dropoff)
-    return F.when(hours > 0, _c(distance) / hours)
+    """Distance over duration in hours; NULL for a zero duration (ANSI mode
+    would raise on a division by zero).  Negative for negative durations:
+    the speed filter removes those through its duration test."""
+    return F.try_divide(_c(distance), duration_hours(pickup, dropoff))
 
 
 def payment_label(code: Column | str = "payment_type") -> Column:

@@ -39,12 +39,14 @@ def zone_revenue_ok(max_amount: float = S.MAX_AMOUNT) -> Column:
             & not_nan("fare_amount", "tip_amount", "total_amount"))
 
 
-def speed_ok(max_speed: float = S.MAX_SPEED_MPH) -> Column:
-    """F4 + F5: distance > 0, duration > 0, 0 < speed < max."""
-    speed = C.speed_mph()
+def speed_ok(max_speed: float = S.MAX_SPEED_MPH, *, seconds: Column | None = None,
+             speed: Column | None = None) -> Column:
+    """F4 + F5: distance > 0, duration > 0, 0 < speed < max.  Pass the
+    already-derived ``seconds`` / ``speed`` columns when a plan has them."""
+    seconds = C.duration_seconds() if seconds is None else seconds
+    speed = C.speed_mph() if speed is None else speed
     return ((F.col("trip_distance") > 0) & not_nan("trip_distance")
-            & (C.duration_seconds() > 0)
-            & (speed > 0) & (speed < max_speed))
+            & (seconds > 0) & (speed > 0) & (speed < max_speed))
 
 
 def peak_revenue_ok(max_amount: float = S.MAX_AMOUNT) -> Column:

@@ -97,14 +97,22 @@ def top_speed_slots(speed: DataFrame, n: int = 15) -> DataFrame:
     return top_n(speed, "vitesse_moyenne_mph", n, tiebreak=["creneau"])
 
 
-# K9 - most fluid and most congested slot, with km/h
+# K9 - most fluid and most congested slot, with km/h (P13).  One aggregate
+# over the mart: the minimum of (-speed, slot) is the fastest slot (ties to
+# the first slot name), the minimum of (speed, slot) the slowest.
 def fastest_slowest_slot(speed: DataFrame) -> DataFrame:
-    def pick(label: str, ascending: bool) -> DataFrame:
-        return (top_n(speed, "vitesse_moyenne_mph", 1, ascending=ascending, tiebreak=["creneau"])
-                .select(F.lit(label).alias("indicateur"), "creneau", "vitesse_moyenne_mph",
-                        C.round_half_up(C.mph_to_kmh("vitesse_moyenne_mph"), 1)
-                        .alias("vitesse_moyenne_kmh")))
-    return pick(FASTEST, False).unionByName(pick(SLOWEST, True))
+    v, c = F.col("vitesse_moyenne_mph"), F.col("creneau")
+    picked = speed.agg(
+        F.min(F.struct((-v).alias("k"), c.alias("creneau"), v.alias("v"))).alias("f"),
+        F.min(F.struct(v.alias("k"), c.alias("creneau"), v.alias("v"))).alias("s"))
+
+    def row(label: str, side: str) -> Column:
+        return F.struct(F.lit(label).alias("indicateur"),
+                        F.col(f"{side}.creneau").alias("creneau"),
+                        F.col(f"{side}.v").alias("vitesse_moyenne_mph"),
+                        C.round_half_up(C.mph_to_kmh(F.col(f"{side}.v")), 1).alias("vitesse_moyenne_kmh"))
+    return (picked.filter(F.col("f").isNotNull())
+            .select(F.inline(F.array(row(FASTEST, "f"), row(SLOWEST, "s")))))
 
 
 # K10 - busiest pickup hour

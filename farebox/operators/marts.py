@@ -25,13 +25,28 @@ def _order(df: DataFrame, sort: bool, *cols) -> DataFrame:
     return df.orderBy(*cols) if sort else df
 
 
+def with_timing(trips: DataFrame) -> DataFrame:
+    """Add ``duree_s`` (exact elapsed seconds) and ``vitesse_mph`` to every
+    trip, each evaluated once per trip.  The pair is produced by a
+    one-element ``inline`` (a Generate node), so the optimizer keeps the
+    derived columns as columns instead of re-deriving them inside every
+    predicate and aggregate that reads them; filters on the original
+    columns are still pushed below it into the scan."""
+    secs = C.duration_seconds()
+    speed = F.try_divide(F.col("trip_distance"), secs / F.lit(3600.0))
+    timing = F.struct(secs.alias("duree_s"), speed.alias("vitesse_mph"))
+    return trips.select(*trips.columns, F.inline(F.array(timing)))
+
+
 # --------------------------------------------------------------------------
 # A1 - trips per pickup hour (every record whose pickup parses)
 # --------------------------------------------------------------------------
 def trips_per_hour(trips: DataFrame, *, sort: bool = True) -> DataFrame:
+    # group on the hour number; the 'HH' label is built on the 24 result rows
     out = (trips.filter(PR.has_pickup())
-           .groupBy(C.hour_key(S.PICKUP).alias("heure"))
-           .agg(F.count(F.lit(1)).alias("nb_courses")))
+           .groupBy(F.hour(S.PICKUP).alias("h"))
+           .agg(F.count(F.lit(1)).alias("nb_courses"))
+           .select(C.hour_label("h").alias("heure"), "nb_courses"))
     return _order(out, sort, "heure")
 
 
@@ -42,12 +57,14 @@ def revenue_per_zone(trips: DataFrame, *, max_amount: float = S.MAX_AMOUNT,
                      sort: bool = True) -> DataFrame:
     fare, tip, total = F.col("fare_amount"), F.col("tip_amount"), F.col("total_amount")
     out = (trips.filter(PR.zone_revenue_ok(max_amount))
-           .groupBy(F.col("PULocationID").cast("string").alias("zone_depart"))
+           .groupBy("PULocationID")
            .agg(F.count(F.lit(1)).alias("nb_courses"),
                 C.round_half_up(F.avg(fare), 2).alias("tarif_moyen"),
                 C.round_half_up(F.avg(tip), 2).alias("pourboire_moyen"),
                 C.round_half_up(F.avg(total), 2).alias("montant_moyen"),
-                C.round_half_up(C.ratio_pct(F.sum(tip), F.sum(fare)), 1).alias("taux_pourboire")))
+                C.round_half_up(C.ratio_pct(F.sum(tip), F.sum(fare)), 1).alias("taux_pourboire"))
+           .select(F.col("PULocationID").cast("string").alias("zone_depart"), "nb_courses",
+                   "tarif_moyen", "pourboire_moyen", "montant_moyen", "taux_pourboire"))
     return _order(out, sort, "zone_depart")
 
 
@@ -56,15 +73,18 @@ def revenue_per_zone(trips: DataFrame, *, max_amount: float = S.MAX_AMOUNT,
 # --------------------------------------------------------------------------
 def speed_analysis(trips: DataFrame, *, max_speed: float = S.MAX_SPEED_MPH,
                    sort: bool = True) -> DataFrame:
-    speed = C.speed_mph()
-    out = (trips.filter(PR.speed_ok(max_speed))
-           .groupBy(C.short_slot(S.PICKUP).alias("creneau"))
+    secs, speed = F.col("duree_s"), F.col("vitesse_mph")
+    out = (with_timing(trips).filter(PR.speed_ok(max_speed, seconds=secs, speed=speed))
+           .groupBy(F.weekday(S.PICKUP).alias("j"), F.hour(S.PICKUP).alias("h"))
            .agg(F.count(F.lit(1)).alias("nb_courses"),
                 C.round_half_up(F.avg("trip_distance"), 2).alias("distance_moyenne"),
-                C.round_half_up(F.avg(C.duration_hours()) * F.lit(60.0), 1).alias("duree_moyenne_min"),
+                C.round_half_up(F.avg(secs / F.lit(3600.0)) * F.lit(60.0), 1).alias("duree_moyenne_min"),
                 C.round_half_up(F.avg(speed), 1).alias("vitesse_moyenne_mph"),
                 C.round_half_up(F.min(speed), 1).alias("vitesse_min"),
-                C.round_half_up(F.max(speed), 1).alias("vitesse_max")))
+                C.round_half_up(F.max(speed), 1).alias("vitesse_max"))
+           .select(C.slot_label("j", "h", S.DAYS_SHORT).alias("creneau"), "nb_courses",
+                   "distance_moyenne", "duree_moyenne_min", "vitesse_moyenne_mph",
+                   "vitesse_min", "vitesse_max"))
     return _order(out, sort, "creneau")
 
 
@@ -74,15 +94,18 @@ def speed_analysis(trips: DataFrame, *, max_speed: float = S.MAX_SPEED_MPH,
 # --------------------------------------------------------------------------
 def peak_revenue(trips: DataFrame, *, max_amount: float = S.MAX_AMOUNT,
                  sort: bool = True) -> DataFrame:
-    fare2 = C.round_half_up("fare_amount", 2)
-    tip2 = C.round_half_up("tip_amount", 2)
+    # per-trip cents: plain ROUND of the input value (no float noise to snap)
+    fare2 = F.round("fare_amount", 2)
+    tip2 = F.round("tip_amount", 2)
     out = (trips.filter(PR.peak_revenue_ok(max_amount))
-           .groupBy(C.long_slot(S.PICKUP).alias("creneau"))
+           .groupBy(F.weekday(S.PICKUP).alias("j"), F.hour(S.PICKUP).alias("h"))
            .agg(F.count(F.lit(1)).alias("nb_courses"),
                 C.round_half_up(F.avg(fare2), 2).alias("fare_moy"),
                 C.round_half_up(F.avg(tip2), 2).alias("tip_moy"),
                 C.round_half_up(C.ratio_pct(F.sum(tip2), F.sum(fare2)), 1).alias("tip_rate"),
-                C.round_half_up(F.sum(fare2), 2).alias("recette_totale")))
+                C.round_half_up(F.sum(fare2), 2).alias("recette_totale"))
+           .select(C.slot_label("j", "h", S.DAYS_LONG).alias("creneau"), "nb_courses",
+                   "fare_moy", "tip_moy", "tip_rate", "recette_totale"))
     return _order(out, sort, "creneau")
 
 

@@ -1,0 +1,78 @@
+"""Cross-mart invariants on the sf0.01 trips, and equality of the shared
+one-pass plan with the per-mart plans."""
+
+import pytest
+
+from farebox import schema as S
+from farebox.operators import kpis as K
+from farebox.operators import marts as A
+from farebox.plans import shared as SH
+from farebox.sources import lineitem as L
+from conftest import SF_ORACLE
+
+
+@pytest.fixture(scope="module")
+def trips(spark):
+    return L.load_trips(spark, SF_ORACLE)
+
+
+def test_hours_cover_parsable_pickups(trips):
+    hours = A.trips_per_hour(trips).collect()
+    assert len(hours) == 24
+    assert sum(r["nb_courses"] for r in hours) == trips.filter(f"{S.PICKUP} IS NOT NULL").count()
+
+
+def test_slot_counts_and_speed_order(trips):
+    speed = A.speed_analysis(trips).collect()
+    assert 0 < len(speed) <= 168
+    for r in speed:
+        assert r["vitesse_min"] <= r["vitesse_moyenne_mph"] <= r["vitesse_max"] <= 120  # rounded to 0.1
+    assert len(A.peak_revenue(trips).collect()) <= 168
+
+
+def test_zone_mart_within_peak_mart(trips):
+    z = sum(r["nb_courses"] for r in A.revenue_per_zone(trips).collect())
+    p = sum(r["nb_courses"] for r in A.peak_revenue(trips).collect())
+    assert z <= p
+
+
+def test_shares_sum_to_100(trips):
+    shares = [r["part_pct"] for r in K.payment_share(A.payment_methods(trips)).collect()]
+    assert sum(shares) == pytest.approx(100.0, abs=0.05 * len(shares))
+
+
+def test_documented_filter_counts(trips):
+    """Row counts of the test view at sf0.01 (FIXTURES.md B)."""
+    from pyspark.sql import functions as F
+    from farebox.functions import columns as C
+    f, tip, tot = F.col("fare_amount"), F.col("tip_amount"), F.col("total_amount")
+    assert trips.filter((f <= 0) | (f >= 500)).count() == 3136
+    assert trips.filter(tip < 0).count() == 2941
+    assert trips.filter(tot >= 500).count() == 7406
+    assert trips.filter(F.col("PULocationID") == F.col("DOLocationID")).count() == 1535
+    assert trips.filter(F.col(S.DROPOFF) <= F.col(S.PICKUP)).count() == 1033
+    assert trips.select("PULocationID", "DOLocationID").distinct().count() == 1600
+    assert A.suspicious_trips(trips).collect()[0][0] == 1809
+    secs = C.duration_seconds()
+    assert trips.filter((secs > 0) & (C.speed_mph() >= 120)).count() == 2470
+
+
+def test_shared_pass_equals_per_mart_plans(trips):
+    shared = SH.shared_marts(trips, weekly_year=1998, materialize=True)
+    separate = {n: f(trips) for n, f in A.MARTS.items() if n not in ("weekly_revenue", "od_flows")}
+    separate["weekly_revenue"] = A.weekly_revenue(trips, year=1998)
+    separate["od_flows"] = A.od_flows(trips, top=None)
+    separate["od_flows_top20"] = A.od_flows(trips, top=20)
+    separate["total_trips"] = A.total_trips(trips)
+    for name, df in separate.items():
+        a = sorted(map(tuple, df.collect()), key=repr)
+        b = sorted(map(tuple, shared[name].select(*df.columns).collect()), key=repr)
+        assert a == b, name
+
+
+def test_shared_pass_on_empty_input(spark):
+    empty = spark.createDataFrame([], S.TRIP_SCHEMA)
+    m = SH.shared_marts(empty)
+    assert m["suspicious_trips"].collect()[0][0] == 0
+    assert m["total_trips"].collect()[0][0] == 0
+    assert m["trips_per_hour"].count() == 0
