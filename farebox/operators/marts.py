@@ -155,6 +155,9 @@ def weekly_revenue(trips: DataFrame, *, year: int = S.WEEKLY_YEAR,
                    max_amount: float = S.MAX_AMOUNT, sort: bool = True) -> DataFrame:
     d = F.to_date(S.PICKUP)
     total = F.col("total_amount")
+    if "pickup_year" in trips.columns:
+        # staged table (farebox.plans.storage): prune to the year's partitions
+        trips = trips.filter(F.col("pickup_year") == year)
     out = (trips.filter(PR.weekly_ok(year, max_amount))
            .groupBy(F.year(d).alias("annee"), F.weekofyear(d).alias("semaine"))
            .agg(F.count(F.lit(1)).alias("nb_courses"),
