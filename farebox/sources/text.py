@@ -1,9 +1,12 @@
 """Trip records from delimited text (S1-S6) and Parquet.
 
-Text is read with Spark's CSV source over a whole directory (one split per
-block, Spark's own planning), every column as a string, then typed with
-``try_cast``-style expressions.  ``mode=DROPMALFORMED`` is deliberately not
-used: a bad fare must not remove the row from the trips-per-hour mart."""
+Text is read with Spark's CSV source over a whole directory (splits are
+Spark's own planning) with an explicit schema: fields are typed by the
+parser, once, inside the scan.  PERMISSIVE mode nulls only the field that
+does not convert; ``mode=DROPMALFORMED`` is deliberately not used, since a
+bad fare must not remove the row from the trips-per-hour mart.  The same
+parse is available for line-oriented input (``parse_csv_lines``) and, with
+explicit text rules, for all-string sources (``type_trips``)."""
 
 from __future__ import annotations
 
@@ -19,7 +22,7 @@ from farebox.functions import predicates as PR
 def read_raw_trips(spark: SparkSession, path: str | list[str], *,
                    sep: str = ",", header: bool = True,
                    quote: str = '"', escape: str = '"') -> DataFrame:
-    """All-string 19-column records.  ``header`` skips the first line of every
+    """All-string 19-column records (for inspection or custom typing).  ``header`` skips the first line of every
     file; blank lines are skipped by the CSV source; short records get NULL
     for the missing fields; quotes are honoured (a doubled quote escapes one).
     Pass ``quote=""`` for the quote-unaware split (S5)."""
@@ -38,8 +41,10 @@ def read_raw_trips(spark: SparkSession, path: str | list[str], *,
 
 
 def type_trips(raw: DataFrame) -> DataFrame:
-    """Raw string records -> typed trips (``TRIP_SCHEMA``).  Stray header
-    lines (first field ``VendorID``) are removed; nothing else is."""
+    """All-string records (``read_raw_trips``, or any string source) -> typed
+    trips (``TRIP_SCHEMA``) with the explicit text rules of
+    ``farebox.functions.parsing``.  Stray header lines (first field
+    ``VendorID``) are removed; nothing else is."""
     typed = []
     for name, dtype in S.TRIP_COLUMNS:
         c = F.col(name)
@@ -55,9 +60,49 @@ def type_trips(raw: DataFrame) -> DataFrame:
     return raw.filter(PR.not_header("VendorID")).select(*typed)
 
 
-def read_trips_text(spark: SparkSession, path: str | list[str], **options) -> DataFrame:
-    """Typed trips from a directory (or list) of delimited text files."""
-    return type_trips(read_raw_trips(spark, path, **options))
+# Fixed reader options: the accepted text forms of timestamps and of the
+# special float values (as Python writes them).
+TIMESTAMP_FORMAT = "yyyy-M-d H:m:s"
+CSV_TYPED_OPTIONS = {
+    "mode": "PERMISSIVE",
+    "timestampNTZFormat": TIMESTAMP_FORMAT,
+    "nanValue": "nan",
+    "positiveInf": "inf",
+    "negativeInf": "-inf",
+}
+
+# The typed read schema: the fact schema except the first field, kept as
+# text so that stray header lines can be recognised and removed.
+TYPED_READ_SCHEMA = T.StructType(
+    [T.StructField("VendorID", T.StringType(), True)] + list(S.TRIP_SCHEMA.fields[1:]))
+TYPED_READ_DDL = ", ".join(f"`{f.name}` {f.dataType.simpleString().upper()}"
+                           for f in TYPED_READ_SCHEMA.fields)
+
+
+def finish_typed(df: DataFrame) -> DataFrame:
+    """Drop stray header lines, type the first field."""
+    return (df.filter(PR.not_header("VendorID"))
+            .withColumn("VendorID", P.parse_int("VendorID")))
+
+
+def read_trips_text(spark: SparkSession, path: str | list[str], *, sep: str = ",",
+                    header: bool = True, quote: str = '"', escape: str = '"') -> DataFrame:
+    """Typed trips from a directory (or list) of delimited text files.
+
+    Spark's CSV reader types every field while it parses the line (once per
+    field, inside the scan, with the marts' filters pushed into the reader).
+    In PERMISSIVE mode a field that does not convert becomes NULL and the
+    rest of the record is kept, so a bad fare only removes the trip from the
+    marts that read the fare.  ``header`` skips the first line of every file;
+    blank lines are skipped; short records get NULL for the missing fields.
+    ``quote=""`` gives the quote-unaware split (S5)."""
+    reader = (spark.read.schema(TYPED_READ_SCHEMA).options(**CSV_TYPED_OPTIONS)
+              .option("sep", sep).option("header", header).option("enforceSchema", True))
+    if quote == "":
+        reader = reader.option("quote", "\u0000")
+    else:
+        reader = reader.option("quote", quote).option("escape", escape)
+    return finish_typed(reader.csv(path))
 
 
 def conform_trips(df: DataFrame) -> DataFrame:
@@ -90,17 +135,15 @@ def read_trips_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def parse_csv_lines(lines: DataFrame, column: str = "value", *, sep: str = ",") -> DataFrame:
-    """S4 for line-oriented input (``spark.read.text``, a Kafka value, a
-    string column): quote-aware split of each line into the 19 raw fields,
-    then the same typing as the file reader.  Blank lines are dropped."""
-    ddl = ", ".join(f"`{f.name}` STRING" for f in S.RAW_TRIP_SCHEMA.fields)
-    opts = {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
-    # inline(array(...)) makes the parse a Generate node: predicates on the
-    # typed fields stay above it instead of being pushed down with a copy of
-    # the parser inlined into every predicate.
+    """S4 for line-oriented input (``spark.read.text``, a message value, a
+    string column): the same quote-aware, typing parse as the file reader,
+    applied to each line.  Blank lines are dropped."""
+    opts = {**CSV_TYPED_OPTIONS, "sep": sep, "quote": '"', "escape": '"'}
+    # inline(array(...)) makes the parse a Generate node: the parsed fields
+    # are columns, so predicates on them never carry a copy of the parser.
     parsed = (lines.filter(F.length(F.col(column)) > 0)
-              .select(F.inline(F.array(F.from_csv(F.col(column), ddl, opts)))))
-    return type_trips(parsed)
+              .select(F.inline(F.array(F.from_csv(F.col(column), TYPED_READ_DDL, opts)))))
+    return finish_typed(parsed)
 
 
 def _text_field(name: str, dtype: T.DataType):

@@ -45,12 +45,11 @@ def trip_stream(spark: SparkSession, path: str, fmt: str = "csv", *,
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if fmt == "csv":
-        raw = (reader.schema(S.RAW_TRIP_SCHEMA)
-               .option("header", csv_options.get("header", True))
-               .option("sep", csv_options.get("sep", ","))
-               .option("quote", '"').option("escape", '"')
-               .option("mode", "PERMISSIVE").csv(path))
-        return TX.type_trips(raw)
+        typed = (reader.schema(TX.TYPED_READ_SCHEMA).options(**TX.CSV_TYPED_OPTIONS)
+                 .option("header", csv_options.get("header", True))
+                 .option("sep", csv_options.get("sep", ","))
+                 .option("quote", '"').option("escape", '"').csv(path))
+        return TX.finish_typed(typed)
     if fmt == "parquet":
         return TX.conform_trips(reader.schema(S.TRIP_SCHEMA).parquet(path))
     raise ValueError(f"unsupported stream format: {fmt!r}")
