@@ -134,3 +134,8 @@ def in_calendar_year(ts: Column | str, year: int) -> Column:
 def french_decimal(c: Column, digits: int) -> Column:
     """``22.3`` -> ``'22,3'`` after rounding (text KPI values)."""
     return F.translate(F.format_string(f"%.{digits}f", round_half_up(c, digits)), ".", ",")
+
+
+def report_date() -> Column:
+    """Generation date of a report, ``dd/MM/yyyy HH:mm``."""
+    return F.date_format(F.current_timestamp(), "dd/MM/yyyy HH:mm")
