@@ -51,18 +51,23 @@ def long_slot(ts: Column | str = S.PICKUP) -> Column:
     return slot_key(ts, S.DAYS_LONG)
 
 
+def elapsed(pickup: Column | str = S.PICKUP, dropoff: Column | str = S.DROPOFF) -> Column:
+    """``dropoff - pickup`` as an INTERVAL SECOND.  Both columns are
+    TIMESTAMP_NTZ, so the difference is plain wall-clock arithmetic: no time
+    zone is involved and a DST change adds or removes no hour."""
+    return (_c(dropoff) - _c(pickup)).cast("interval second")
+
+
 def duration_seconds(pickup: Column | str = S.PICKUP,
                      dropoff: Column | str = S.DROPOFF) -> Column:
-    """Exact elapsed seconds as DOUBLE (micro-second resolution, no time zone:
-    both columns are TIMESTAMP_NTZ, so a DST change adds no hour)."""
-    micros = F.timestamp_diff("MICROSECOND", _c(pickup), _c(dropoff))
-    return micros.cast("double") / F.lit(1_000_000.0)
+    """Exact elapsed seconds as DOUBLE (micro-second resolution)."""
+    return elapsed(pickup, dropoff).cast("decimal(18,6)").cast("double")
 
 
 def whole_seconds(pickup: Column | str = S.PICKUP,
                   dropoff: Column | str = S.DROPOFF) -> Column:
     """Elapsed whole seconds, the unit of the suspicious-trip rule."""
-    return F.timestamp_diff("SECOND", _c(pickup), _c(dropoff))
+    return elapsed(pickup, dropoff).cast("bigint")
 
 
 def duration_hours(pickup: Column | str = S.PICKUP,

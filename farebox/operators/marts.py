@@ -27,15 +27,16 @@ def _order(df: DataFrame, sort: bool, *cols) -> DataFrame:
 
 def with_timing(trips: DataFrame) -> DataFrame:
     """Add ``duree_s`` (exact elapsed seconds) and ``vitesse_mph`` to every
-    trip, each evaluated once per trip.  The pair is produced by a
-    one-element ``inline`` (a Generate node), so the optimizer keeps the
-    derived columns as columns instead of re-deriving them inside every
-    predicate and aggregate that reads them; filters on the original
-    columns are still pushed below it into the scan."""
-    secs = C.duration_seconds()
-    speed = F.try_divide(F.col("trip_distance"), secs / F.lit(3600.0))
-    timing = F.struct(secs.alias("duree_s"), speed.alias("vitesse_mph"))
-    return trips.select(*trips.columns, F.inline(F.array(timing)))
+    trip.  The elapsed time is produced by a one-element ``inline`` (a
+    Generate node), so it is evaluated once per trip: the optimizer keeps it
+    as a column instead of re-deriving the timestamp arithmetic inside every
+    predicate and aggregate that reads it.  Speed is then plain arithmetic
+    on that column.  Filters on the original columns are still pushed below
+    the Generate into the scan."""
+    secs = F.struct(C.duration_seconds().alias("duree_s"))
+    timed = trips.select(*trips.columns, F.inline(F.array(secs)))
+    return timed.withColumn(
+        "vitesse_mph", F.try_divide(F.col("trip_distance"), F.col("duree_s") / F.lit(3600.0)))
 
 
 # --------------------------------------------------------------------------

@@ -139,11 +139,13 @@ def parse_csv_lines(lines: DataFrame, column: str = "value", *, sep: str = ",")
     string column): the same quote-aware, typing parse as the file reader,
     applied to each line.  Blank lines are dropped."""
     opts = {**CSV_TYPED_OPTIONS, "sep": sep, "quote": '"', "escape": '"'}
-    # inline(array(...)) makes the parse a Generate node: the parsed fields
-    # are columns, so predicates on them never carry a copy of the parser.
-    parsed = (lines.filter(F.length(F.col(column)) > 0)
-              .select(F.inline(F.array(F.from_csv(F.col(column), TYPED_READ_DDL, opts)))))
-    return finish_typed(parsed)
+    # The parse is the generator of a Generate node (one row per non-blank
+    # line, none for a blank one): the parsed fields are columns, so no
+    # predicate carries a copy of the parser or of the expression that
+    # produced the line.
+    line = F.col(column)
+    one_record = F.when(F.length(line) > 0, F.array(F.from_csv(line, TYPED_READ_DDL, opts)))
+    return finish_typed(lines.select(F.inline(one_record)))
 
 
 def _text_field(name: str, dtype: T.DataType):

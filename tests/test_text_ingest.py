@@ -203,10 +203,14 @@ def test_dst_night_has_no_gap(spark, tmp_dir):
                      tpep_dropoff_datetime="2023-03-12 03:00:10"),
                 line(tpep_pickup_datetime="2023-03-12 02:30:00",
                      tpep_dropoff_datetime="2023-03-12 02:50:00")]
+        rows.append(line(tpep_pickup_datetime="2023-03-12 02:30:00",
+                         tpep_dropoff_datetime="2023-03-12 03:10:00"))  # starts in the gap
         t = load(spark, tmp_dir, rows)
         from farebox.functions import columns as C
         secs = sorted(r[0] for r in t.select(C.whole_seconds()).collect())
-        assert secs == [1200, 3620]
+        assert secs == [1200, 2400, 3620]
+        exact = sorted(r[0] for r in t.select(C.duration_seconds()).collect())
+        assert exact == [1200.0, 2400.0, 3620.0]
         hours = {r["heure"] for r in A.trips_per_hour(t).collect()}
         assert hours == {"01", "02"}
     finally:
