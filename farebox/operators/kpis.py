@@ -167,7 +167,8 @@ def kpi_summary(*, total: DataFrame | None = None, peak: DataFrame | None = None
     if total is not None:
         parts.append(total.select(*kpi_row(KPI_ROWS, F.col("nb_lignes"))))
     if peak is not None:
-        t = report_totals(peak)
+        # an empty mart contributes no row (no "0 slots", no NULL revenue)
+        t = report_totals(peak).filter(F.col("nb_creneaux") > 0)
         parts.append(t.select(*kpi_row(KPI_SLOTS, F.col("nb_creneaux"))))
         parts.append(t.select(*kpi_row(KPI_TRIPS, F.format_number(F.col("nb_courses"), 0))))
         parts.append(t.select(*kpi_row(KPI_REVENUE, F.format_number(F.col("recette_totale"), 2))))
@@ -179,7 +180,7 @@ def kpi_summary(*, total: DataFrame | None = None, peak: DataFrame | None = None
     if zones is not None:
         parts.append(top_zones(zones, 1).select(*kpi_row(KPI_ZONE, F.col("zone_depart"))))
     if speed is not None:
-        m = mean_speed_kpi(speed)
+        m = mean_speed_kpi(speed).filter(F.col("vitesse_moyenne_mph").isNotNull())
         text = F.concat(C.french_decimal(F.col("vitesse_moyenne_kmh"), 1), F.lit(" km/h ("),
                         C.french_decimal(F.col("vitesse_moyenne_mph"), 2), F.lit(" mph)"))
         parts.append(m.select(*kpi_row(KPI_SPEED, text)))

@@ -181,8 +181,9 @@ def mart_query(name: str, order_by: str | None = None, limit: int | None = None)
     return with_marts(f"SELECT * FROM {name}{tail}", name)
 
 
-def _kpi(label: str, value_sql: str, source: str) -> str:
-    return f"SELECT '{label}' AS indicateur, CAST({value_sql} AS VARCHAR) AS valeur FROM {source}"
+def _kpi(label: str, value_sql: str, source: str, having: str = "") -> str:
+    tail = f" HAVING {having}" if having else ""
+    return f"SELECT '{label}' AS indicateur, CAST({value_sql} AS VARCHAR) AS valeur FROM {source}{tail}"
 
 
 def _kpi_summary_sql() -> str:
@@ -190,9 +191,9 @@ def _kpi_summary_sql() -> str:
     km = S.MILES_TO_KM
     rows = [
         _kpi(K.KPI_ROWS, "COUNT(*)", "trips"),
-        _kpi(K.KPI_SLOTS, "COUNT(*)", "peak_revenue"),
-        _kpi(K.KPI_TRIPS, "format('{:,}', CAST(SUM(nb_courses) AS BIGINT))", "peak_revenue"),
-        _kpi(K.KPI_REVENUE, "format('{:,.2f}', RND(SUM(recette_totale), 2))", "peak_revenue"),
+        _kpi(K.KPI_SLOTS, "COUNT(*)", "peak_revenue", "COUNT(*) > 0"),
+        _kpi(K.KPI_TRIPS, "format('{:,}', CAST(SUM(nb_courses) AS BIGINT))", "peak_revenue", "COUNT(*) > 0"),
+        _kpi(K.KPI_REVENUE, "format('{:,.2f}', RND(SUM(recette_totale), 2))", "peak_revenue", "COUNT(*) > 0"),
         _kpi(K.KPI_BEST_SLOT, "creneau",
              "(SELECT creneau FROM peak_revenue ORDER BY recette_totale DESC NULLS LAST, creneau LIMIT 1) b"),
         _kpi(K.KPI_SUSPICIOUS, "courses_suspectes", "suspicious_trips"),
@@ -205,7 +206,7 @@ def _kpi_summary_sql() -> str:
         _kpi(K.KPI_SPEED,
              f"replace(printf('%.1f', RND(RND(AVG(vitesse_moyenne_mph) * {km}, 1), 1)), '.', ',') || ' km/h (' || "
              f"replace(printf('%.2f', RND(RND(AVG(vitesse_moyenne_mph), 2), 2)), '.', ',') || ' mph)'",
-             "speed_analysis"),
+             "speed_analysis", "AVG(vitesse_moyenne_mph) IS NOT NULL"),
         _kpi(K.KPI_HOUR, "heure || 'h'",
              "(SELECT heure FROM trips_per_hour ORDER BY nb_courses DESC NULLS LAST, heure LIMIT 1) h"),
     ]

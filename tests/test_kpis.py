@@ -141,3 +141,13 @@ def test_append_and_dict(spark):
     b = spark.createDataFrame([("b", "2")], S.MART_SCHEMAS["kpi_summary"])
     both = K.append_kpis(K.append_kpis(empty, a), b)
     assert K.kpi_dict(both).collect()[0]["kpis"] == {"a": "1", "b": "2"}
+
+
+def test_kpi_summary_skips_empty_marts(spark):
+    empty = {n: spark.createDataFrame([], S.MART_SCHEMAS[n])
+             for n in ["peak_revenue", "speed_analysis", "trips_per_hour", "revenue_per_zone",
+                       "payment_methods", "suspicious_trips"]}
+    kpis = K.kpi_summary(peak=empty["peak_revenue"], speed=empty["speed_analysis"],
+                         hours=empty["trips_per_hour"], zones=empty["revenue_per_zone"],
+                         payment=empty["payment_methods"], suspicious=empty["suspicious_trips"])
+    assert kpis.count() == 0
