@@ -91,7 +91,9 @@ class MartCatalog:
             raise ValueError(f"unknown format: {fmt!r}")
         keys = S.MART_KEYS.get(name) or None
         df = self.get(name)
-        W.WRITERS[fmt](df, path, order_by=keys if name not in _PRE_ORDERED else None)
+        # catalogue marts are bounded by their key domain: one sorted file each
+        W.WRITERS[fmt](df, path, order_by=keys if name not in _PRE_ORDERED else None,
+                       single_file=True)
 
     def export_all(self, base: str, fmt: str = "csv", names: list[str] | None = None) -> dict[str, str]:
         out = {}

@@ -1,11 +1,12 @@
 """Mart writers.
 
-Marts are small aggregates whose size is bounded by their key domain (24
-hours, 168 slots, ~265 zones, zones squared for OD pairs), so a writer may
-ask for one sorted output file (``single_file=True``: the reference's
-one-reducer layout).  The single partition is applied to the aggregated mart
-only, after the distributed aggregation.  Never pass the fact table with
-``single_file=True``.  Every write replaces its target
+By default a write is distributed (one file per partition, globally sorted
+when ``order_by`` is given).  Marts are small aggregates whose size is
+bounded by their key domain (24 hours, 168 slots, ~265 zones, zones squared
+for OD pairs), so the mart catalogue asks for one sorted output file
+(``single_file=True``: the reference's one-reducer layout); the single
+partition is then applied to the aggregated mart only, after the
+distributed aggregation.  Every write replaces its target
 (``mode("overwrite")``), so a re-run after a lost executor or a failed job
 is idempotent."""
 
@@ -26,7 +27,7 @@ def _prepare(df: DataFrame, order_by: Sequence[str] | None, single_file: bool) -
 
 
 def write_tsv(df: DataFrame, path: str, *, order_by: Sequence[str] | None = None,
-              single_file: bool = True, header: bool = False) -> None:
+              single_file: bool = False, header: bool = False) -> None:
     """Tab-separated, no header (the job output format)."""
     (_prepare(df, order_by, single_file).write.mode("overwrite")
      .option("sep", "\t").option("header", header).option("nullValue", "")
@@ -34,14 +35,14 @@ def write_tsv(df: DataFrame, path: str, *, order_by: Sequence[str] | None = None
 
 
 def write_csv(df: DataFrame, path: str, *, order_by: Sequence[str] | None = None,
-              single_file: bool = True) -> None:
+              single_file: bool = False) -> None:
     """Comma-separated with a header row (the dashboard's input)."""
     (_prepare(df, order_by, single_file).write.mode("overwrite")
      .option("header", True).csv(path))
 
 
 def write_json(df: DataFrame, path: str, *, order_by: Sequence[str] | None = None,
-               single_file: bool = True) -> None:
+               single_file: bool = False) -> None:
     """One JSON record per line (``orient="records"``)."""
     _prepare(df, order_by, single_file).write.mode("overwrite").json(path)
 

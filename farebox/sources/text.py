@@ -148,13 +148,11 @@ def parse_csv_lines(lines: DataFrame, column: str = "value", *, sep: str = ",")
     return finish_typed(lines.select(F.inline(one_record)))
 
 
-def _text_field(name: str, dtype: T.DataType):
+def _text_field(name: str):
     c = F.col(name)
-    if isinstance(dtype, T.TimestampNTZType):
-        e = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
-    else:
-        e = c.cast("string")
-    return F.coalesce(e, F.lit(""))
+    # A naive timestamp casts to 'yyyy-MM-dd HH:mm:ss' text without any time
+    # zone (date_format would go through the session zone).
+    return F.coalesce(c.cast("string"), F.lit(""))
 
 
 def trips_as_text(trips: DataFrame, *, sep: str = ",") -> DataFrame:
@@ -163,6 +161,6 @@ def trips_as_text(trips: DataFrame, *, sep: str = ",") -> DataFrame:
     Doubles are written in their shortest exact form, so a text round trip
     returns the same values."""
     fields = []
-    for name, dtype in S.TRIP_COLUMNS:
-        fields.append(_text_field(name, dtype) if name in trips.columns else F.lit(""))
+    for name, _ in S.TRIP_COLUMNS:
+        fields.append(_text_field(name) if name in trips.columns else F.lit(""))
     return trips.select(F.concat_ws(sep, *fields).alias("value"))

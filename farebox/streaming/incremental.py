@@ -77,7 +77,7 @@ def start_mart(spark: SparkSession, trips: DataFrame, name: str, *,
         writer = W.WRITERS[fmt]
 
         def write_batch(batch: DataFrame, _epoch: int) -> None:
-            writer(batch, output, order_by=keys)
+            writer(batch, output, order_by=keys, single_file=True)  # a mart: bounded
         w = w.foreachBatch(write_batch)
     else:
         w = w.format("memory").queryName(query_name or name)

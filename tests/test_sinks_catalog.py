@@ -26,7 +26,7 @@ def _rows(df):
 def test_tsv_round_trip(spark, trips, tmp_dir, mart):
     df = A.MARTS[mart](trips)
     path = os.path.join(tmp_dir, mart)
-    W.write_tsv(df, path, order_by=S.MART_KEYS[mart])
+    W.write_tsv(df, path, order_by=S.MART_KEYS[mart], single_file=True)
     files = [f for f in os.listdir(path) if f.startswith("part-")]
     assert len(files) == 1
     back = MS.read_mart_tsv(spark, path, mart)
@@ -50,6 +50,16 @@ def test_missing_csv_mart_is_empty(spark, tmp_dir):
     assert df.count() == 0 and df.schema == S.MART_SCHEMAS["weekly_revenue"]
 
 
+def test_distributed_write_by_default(spark, trips, tmp_dir):
+    p = os.path.join(tmp_dir, "many")
+    W.write_parquet(trips, os.path.join(tmp_dir, "pq"))
+    big = trips.repartition(4)
+    W.write_csv(big, p)
+    parts = [f for f in os.listdir(p) if f.startswith("part-")]
+    assert len(parts) > 1
+    assert spark.read.option("header", True).csv(p).count() == trips.count()
+
+
 def test_overwrite_is_idempotent(spark, trips, tmp_dir):
     p = os.path.join(tmp_dir, "h")
     W.write_tsv(A.trips_per_hour(trips), p)
