@@ -12,9 +12,11 @@ SF_ORACLE = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from farebox.session import local_session
-    s = local_session("*", shuffle_partitions=8, app_name="farebox-tests")
+    warehouse = str(tmp_path_factory.mktemp("warehouse"))
+    s = local_session("*", shuffle_partitions=8, app_name="farebox-tests",
+                      extra={"spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()
 
