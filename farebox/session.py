@@ -40,22 +40,28 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder the cluster names, if any."""
-    d = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir()
     if d:
         return d
-    return spark.conf.get("spark.checkpoint.dir", None) or None
+    return (sc.getConf().get("spark.checkpoint.dir", None)
+            or spark.conf.get("spark.checkpoint.dir", None) or None)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder; set a scratch one only when the
-    session has none (local tests)."""
+    """Return the session's checkpoint folder.  A scratch folder is created
+    only for a local-mode session that names none (tests); a cluster session
+    without ``spark.checkpoint.dir`` is an error, because a machine-local
+    folder would not survive the loss of the machine."""
+    sc = spark.sparkContext
     d = checkpoint_dir(spark)
     if d is None:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store)")
         d = tempfile.mkdtemp(prefix="farebox-ckpt-")
-        spark.sparkContext.setCheckpointDir(d)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
-    return spark.sparkContext.getCheckpointDir() or d
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
