@@ -142,6 +142,12 @@ REGISTRY: dict[str, Registered] = {
         Q.with_marts("""SELECT annee, semaine, nb_courses, recette_totale FROM weekly_revenue
                         ORDER BY annee, semaine""", "weekly_revenue")),
     "kpi_summary": Registered(_kpi_summary, Q.KPI_SUMMARY_SQL),
+    # The KPI table as one map value (a MAP has no portable SQL check)
+    "kpi_dict": Registered(lambda spark, sf_dir: K.kpi_dict(_kpi_summary(spark, sf_dir)), None),
+    # A dashboard table preview, first 20 rows in the mart's key order
+    "zone_preview": Registered(
+        _over(A.revenue_per_zone, K.preview, key=["zone_depart"], n=20),
+        Q.mart_query("revenue_per_zone", "zone_depart", 20)),
     "period_view": Registered(
         _period_view, Q.with_marts(f"SELECT *, {Q.PERIOD} AS periode FROM trips")),
     # --- text ingestion path over the whole table ------------------------------

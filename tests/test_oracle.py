@@ -26,7 +26,7 @@ def _rows(cols, rows):
 
 def test_every_query_has_oracle_or_is_documented():
     missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing <= {"input_profile"}
+    assert missing <= {"input_profile", "kpi_dict"}
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -53,3 +53,11 @@ def test_input_profile(spark):
     assert len(rows) == 1
     assert rows[0]["lignes"] == spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
     assert rows[0]["octets"] > 0
+
+
+def test_kpi_dict(spark):
+    rows = E.queries()["kpi_dict"](spark, SF_SMALL).collect()
+    assert len(rows) == 1
+    kpis = rows[0]["kpis"]
+    summary = dict(map(tuple, E.queries()["kpi_summary"](spark, SF_SMALL).collect()))
+    assert kpis == summary
