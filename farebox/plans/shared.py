@@ -46,8 +46,10 @@ def _entry(mart: str, cond: Column, *, k1=None, k2=None, ks=None, **measures) ->
 def mart_entries(trips: DataFrame, *, weekly_year: int = S.WEEKLY_YEAR,
                  max_amount: float = S.MAX_AMOUNT, max_speed: float = S.MAX_SPEED_MPH,
                  min_miles: float = S.SUSPICIOUS_MIN_MILES,
-                 max_seconds: int = S.SUSPICIOUS_MAX_SECONDS) -> DataFrame:
-    """One row per (trip, mart the trip counts in)."""
+                 max_seconds: int = S.SUSPICIOUS_MAX_SECONDS,
+                 only: set[str] | None = None) -> DataFrame:
+    """One row per (trip, mart the trip counts in); ``only`` restricts the
+    marts."""
     t = A.with_timing(trips)
     pu = F.col(S.PICKUP)
     wd, hr = F.weekday(pu), F.hour(pu)
@@ -74,6 +76,8 @@ def mart_entries(trips: DataFrame, *, weekly_year: int = S.WEEKLY_YEAR,
                v1=fare, v2=tip, v3=total),
         _entry("total_trips", F.lit(True)),
     ]
+    if only is not None:
+        entries = [e for name, e in zip(MART_IDS, entries) if name in only]
     return (t.select(F.explode(F.array(*entries)).alias("e"))
             .filter(F.col("e").isNotNull())
             .select("e.*"))
@@ -162,3 +166,69 @@ def shared_marts(trips: DataFrame, *, materialize: bool = False, sort: bool = Tr
     if materialize:
         groups = groups.checkpoint(eager=True)
     return marts_from_groups(groups, sort=sort)
+
+
+# ---------------------------------------------------------------------------
+# The KPI summary from one scan
+# ---------------------------------------------------------------------------
+KPI_MARTS = {"trips_per_hour", "revenue_per_zone", "speed_analysis", "peak_revenue",
+             "payment_methods", "suspicious_trips", "total_trips"}
+
+
+def kpi_summary_one_pass(trips: DataFrame, **params) -> DataFrame:
+    """``kpis.kpi_summary`` over the marts it reads, in one scan: the mart
+    groups of one pass, then a single global aggregation of those (a few
+    hundred) groups with one conditional aggregate per indicator.  Arg-max
+    picks are ``min(struct(-measure, key))``: the largest measure, ties to
+    the smallest key, as the top-1 of each mart does."""
+    from farebox.operators import kpis as K
+
+    g = aggregate_entries(mart_entries(trips, only=KPI_MARTS, **params))
+    m, n = F.col("m"), F.col("n")
+
+    def of(name: str, expr: Column) -> Column:
+        return F.when(m == MART_IDS[name], expr)
+
+    slot_revenue = _r(F.col("s_v1"), 2)
+    pay_label = C.payment_label(F.col("k1"))
+    picked = g.agg(
+        F.coalesce(F.sum(of("total_trips", n)), F.lit(0)).alias("lignes"),
+        F.count(of("peak_revenue", F.lit(1))).alias("creneaux"),
+        F.sum(of("peak_revenue", n)).alias("courses"),
+        _r(F.sum(of("peak_revenue", slot_revenue)), 2).alias("recette"),
+        F.min(of("peak_revenue", F.struct(
+            -slot_revenue, C.slot_label("k1", "k2", S.DAYS_LONG).alias("v")))).alias("slot"),
+        F.coalesce(F.sum(of("suspicious_trips", n)), F.lit(0)).alias("suspectes"),
+        F.min(of("payment_methods", F.struct(-n, pay_label.isNull(), pay_label.alias("v"))))
+        .alias("paiement"),
+        F.min(of("revenue_per_zone", F.struct(-n, F.col("k1").cast("string").alias("v"))))
+        .alias("zone"),
+        F.avg(of("speed_analysis", _r(_avg("v3"), 1))).alias("vitesse"),
+        F.min(of("trips_per_hour", F.struct(-n, C.hour_label("k1").alias("v")))).alias("heure"),
+    )
+    # (format_string renders NULL as text, hence the explicit guard)
+    speed_text = F.when(F.col("vitesse").isNotNull(), F.concat(
+        C.french_decimal(_r(C.mph_to_kmh(F.col("vitesse")), 1), 1), F.lit(" km/h ("),
+        C.french_decimal(_r(F.col("vitesse"), 2), 2), F.lit(" mph)")))
+    has_slots = F.col("creneaux") > 0
+    rows = [
+        (K.KPI_ROWS, F.col("lignes").cast("string")),
+        (K.KPI_SLOTS, F.when(has_slots, F.col("creneaux").cast("string"))),
+        (K.KPI_TRIPS, F.when(has_slots, F.format_number(F.col("courses"), 0))),
+        (K.KPI_REVENUE, F.when(has_slots, F.format_number(F.col("recette"), 2))),
+        (K.KPI_BEST_SLOT, F.col("slot.v")),
+        (K.KPI_SUSPICIOUS, F.col("suspectes").cast("string")),
+        (K.KPI_PAYMENT, F.col("paiement.v")),
+        (K.KPI_ZONE, F.col("zone.v")),
+        (K.KPI_SPEED, speed_text),
+        (K.KPI_HOUR, F.concat(F.col("heure.v"), F.lit("h"))),
+    ]
+    # One row per indicator; an indicator of an empty mart is NULL and left
+    # out (the payment label itself may be NULL: it is kept when the mart
+    # has rows).
+    entries = [F.struct(F.lit(label).alias("indicateur"), value.alias("valeur"),
+                        (value.isNotNull() | (F.lit(label == K.KPI_PAYMENT) & F.col("paiement").isNotNull()))
+                        .alias("present"))
+               for label, value in rows]
+    return (picked.select(F.inline(F.array(*entries)))
+            .filter(F.col("present")).drop("present"))

@@ -76,3 +76,24 @@ def test_shared_pass_on_empty_input(spark):
     assert m["suspicious_trips"].collect()[0][0] == 0
     assert m["total_trips"].collect()[0][0] == 0
     assert m["trips_per_hour"].count() == 0
+
+
+def test_one_pass_kpis_equal_mart_composed_kpis(trips):
+    t = trips
+    composed = K.kpi_summary(total=A.total_trips(t), peak=A.peak_revenue(t),
+                             suspicious=A.suspicious_trips(t), payment=A.payment_methods(t),
+                             zones=A.revenue_per_zone(t), speed=A.speed_analysis(t),
+                             hours=A.trips_per_hour(t))
+    assert sorted(map(tuple, SH.kpi_summary_one_pass(t).collect())) == \
+        sorted(map(tuple, composed.collect()))
+
+
+def test_one_pass_kpis_on_empty_input(spark):
+    empty = spark.createDataFrame([], S.TRIP_SCHEMA)
+    got = dict(map(tuple, SH.kpi_summary_one_pass(empty).collect()))
+    assert got == {K.KPI_ROWS: "0", K.KPI_SUSPICIOUS: "0"}
+    composed = K.kpi_summary(total=A.total_trips(empty), peak=A.peak_revenue(empty),
+                             suspicious=A.suspicious_trips(empty), payment=A.payment_methods(empty),
+                             zones=A.revenue_per_zone(empty), speed=A.speed_analysis(empty),
+                             hours=A.trips_per_hour(empty))
+    assert dict(map(tuple, composed.collect())) == got
