@@ -74,6 +74,71 @@ def trip(draw):
     return row
 
 
+# SQL comparison semantics: NULL never qualifies, NaN sorts above every number
+def sql_gt(a, b):
+    return a is not None and (math.isnan(a) or a > b)
+
+
+def sql_ge(a, b):
+    return a is not None and (math.isnan(a) or a >= b)
+
+
+def sql_lt(a, b):
+    return a is not None and not math.isnan(a) and a < b
+
+
+def avg_nn(vals):
+    vs = [v for v in vals if v is not None]
+    return sum(vs) / len(vs) if vs else None
+
+
+def sum_nn(vals):
+    vs = [v for v in vals if v is not None]
+    return sum(vs) if vs else None
+
+
+PAY = {1: "Carte_credit", 2: "Cash", 3: "Pas_charge", 4: "Litige", 5: "Inconnu", 6: "Annule"}
+
+
+def sql_model(rows):
+    pay, od, week, period = defaultdict(list), defaultdict(list), defaultdict(list), defaultdict(list)
+    for row in rows:
+        pu = ts(row["tpep_pickup_datetime"])
+        fare, tip, total = fnum(row["fare_amount"]), fnum(row["tip_amount"]), fnum(row["total_amount"])
+        dist = fnum(row["trip_distance"])
+        code, pu_zone, do_zone = inum(row["payment_type"]), inum(row["PULocationID"]), inum(row["DOLocationID"])
+        if sql_gt(fare, 0) and sql_lt(fare, 500) and sql_ge(tip, 0):
+            label = None if code is None else PAY.get(code, f"Autre({code})")
+            ratio = None if tip is None else (tip / fare if fare != 0 else None)
+            pay[label].append((fare, tip, ratio, total))
+        if sql_gt(dist, 0) and sql_gt(fare, 0) and pu_zone is not None and do_zone is not None \
+                and pu_zone != do_zone:
+            od[(pu_zone, do_zone)].append((dist, fare, tip))
+        if pu is not None and sql_gt(total, 0) and sql_lt(total, 500) and pu.year == 2023:
+            iso = pu.date().isocalendar()
+            week[(iso[1], pu.year)].append((total, dist, 1.0))
+        if sql_gt(fare, 0) and sql_lt(total, 500):
+            h = None if pu is None else pu.hour
+            name = ("POINTE_MATIN" if h is not None and 7 <= h <= 9 else
+                    "POINTE_SOIR" if h is not None and 16 <= h <= 19 else "HEURE_CREUSE")
+            period[name].append((fare, tip, total))
+    out = {}
+    out["payment_methods"] = {
+        (k, len(v), r(avg_nn(a for a, _, _, _ in v), 2), r(avg_nn(b for _, b, _, _ in v), 2),
+         r(None if avg_nn(c for _, _, c, _ in v) is None else avg_nn(c for _, _, c, _ in v) * 100.0, 1),
+         r(sum_nn(d for _, _, _, d in v), 0)) for k, v in pay.items()}
+    out["od_flows"] = {
+        (k[0], k[1], len(v), r(avg_nn(a for a, _, _ in v), 2), r(avg_nn(b for _, b, _ in v), 2),
+         r(avg_nn(c for _, _, c in v), 2)) for k, v in od.items()}
+    out["weekly_revenue"] = {
+        (k[0], k[1], len(v), r(sum_nn(a for a, _, _ in v), 0), r(avg_nn(a for a, _, _ in v), 2),
+         r(avg_nn(b for _, b, _ in v), 2), r(avg_nn(c for _, _, c in v), 2)) for k, v in week.items()}
+    out["peak_vs_offpeak"] = {
+        (k, len(v), r(avg_nn(a for a, _, _ in v), 2), r(avg_nn(b for _, b, _ in v), 2),
+         r(sum_nn(c for _, _, c in v), 0)) for k, v in period.items()}
+    return out
+
+
 def model(rows):
     hours, zones_, speed, peak, susp = defaultdict(int), defaultdict(list), defaultdict(list), \
         defaultdict(list), 0
@@ -141,7 +206,12 @@ def test_marts_match_brute_force(spark, tmp_path_factory, rows):
         "speed_analysis": [tuple(x) for x in A.speed_analysis(trips).collect()],
         "peak_revenue": [tuple(x) for x in A.peak_revenue(trips).collect()],
         "suspicious_trips": [tuple(x) for x in A.suspicious_trips(trips).collect()],
+        "payment_methods": [tuple(x) for x in A.payment_methods(trips).collect()],
+        "od_flows": [tuple(x) for x in A.od_flows(trips, top=None).collect()],
+        "weekly_revenue": [tuple(x) for x in A.weekly_revenue(trips, year=2023).collect()],
+        "peak_vs_offpeak": [tuple(x) for x in A.peak_vs_offpeak(trips).collect()],
     }
+    expected.update(sql_model(rows))
     for name, want in expected.items():
         assert close_rows(got[name], want), (name, sorted(got[name]), sorted(want))
     # top-1 of the revenue mart is the model's best slot (ties to the first name)
