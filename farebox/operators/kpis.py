@@ -203,3 +203,9 @@ def append_kpis(kpis: DataFrame, extra: DataFrame) -> DataFrame:
 def kpi_dict(kpis: DataFrame) -> DataFrame:
     return kpis.agg(F.map_from_entries(F.collect_list(F.struct("indicateur", "valeur")))
                     .alias("kpis"))
+
+
+# A11 + K5 + K6 over a revenue-per-slot mart (e.g. read back from its TSV):
+# the slot report as three small DataFrames.
+def slot_report(peak: DataFrame) -> dict[str, DataFrame]:
+    return {"totals": report_totals(peak), "top5": top5_slots(peak), "best": best_slot(peak)}

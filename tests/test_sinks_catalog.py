@@ -99,3 +99,15 @@ def test_catalog_on_shared_pass(spark, trips):
     direct = CAT.MartCatalog(trips, weekly_year=1998)
     for name in ["trips_per_hour", "peak_revenue", "weekly_revenue", "suspicious_trips", "kpi_summary"]:
         assert _rows(cat.get(name)) == _rows(direct.get(name)), name
+
+
+def test_slot_report_from_tsv(spark, trips, tmp_dir):
+    from farebox.operators import kpis as K
+    peak = A.peak_revenue(trips)
+    p = os.path.join(tmp_dir, "rapport")
+    W.write_tsv(peak, p, order_by=["creneau"], single_file=True)
+    rep = K.slot_report(MS.read_mart_tsv(spark, p, "peak_revenue"))
+    direct = K.slot_report(peak)
+    for part in ("totals", "top5", "best"):
+        assert [tuple(r) for r in rep[part].collect()] == [tuple(r) for r in direct[part].collect()]
+    assert rep["totals"].collect()[0]["nb_creneaux"] == peak.count()
