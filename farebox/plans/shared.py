@@ -161,7 +161,11 @@ def shared_marts(trips: DataFrame, *, materialize: bool = False, sort: bool = Tr
                  **params) -> dict[str, DataFrame]:
     """All marts from one pass.  ``materialize=True`` checkpoints the small
     aggregated groups into the session's checkpoint folder first (one job),
-    so the marts can be written one by one without rescanning the trips."""
+    so the marts can be written one by one without rescanning the trips.
+    Without it each mart is planned on its own (the optimizer prunes the
+    shared aggregation to that mart's columns), i.e. one scan per mart; to
+    get several results from one unmaterialized pass, combine them in one
+    aggregation as ``kpi_summary_one_pass`` does."""
     groups = aggregate_entries(mart_entries(trips, **params))
     if materialize:
         groups = groups.checkpoint(eager=True)
