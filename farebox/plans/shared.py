@@ -175,40 +175,76 @@ def shared_marts(trips: DataFrame, *, materialize: bool = False, sort: bool = Tr
 # ---------------------------------------------------------------------------
 # The KPI summary from one scan
 # ---------------------------------------------------------------------------
-KPI_MARTS = {"trips_per_hour", "revenue_per_zone", "speed_analysis", "peak_revenue",
-             "payment_methods", "suspicious_trips", "total_trips"}
+# grouping_id() of each grouping set over (wd, hr, zone, pay): a bit is 1
+# for a column the set does not group by.
+_GID_SLOT, _GID_HOUR, _GID_ZONE, _GID_PAY = 0b0011, 0b1011, 0b1101, 0b1110
+
+
+def kpi_groups(trips: DataFrame, *, max_amount: float = S.MAX_AMOUNT,
+               max_speed: float = S.MAX_SPEED_MPH, min_miles: float = S.SUSPICIOUS_MIN_MILES,
+               max_seconds: int = S.SUSPICIOUS_MAX_SECONDS) -> DataFrame:
+    """One scan, one aggregation with GROUPING SETS ((weekday, hour), (hour),
+    (zone), (payment code)) and one conditional count or sum per mart: every
+    group the KPI table needs, a few hundred rows in all.  Spark expands each
+    trip once per set and aggregates map-side before the single exchange."""
+    t = A.with_timing(trips)
+    pu = F.col(S.PICKUP)
+    secs, speed = F.col("duree_s"), F.col("vitesse_mph")
+    flags = t.select(
+        F.weekday(pu).alias("wd"), F.hour(pu).alias("hr"),
+        F.col("PULocationID").alias("zone"), F.col("payment_type").alias("pay"),
+        PR.has_pickup().alias("f_hour"),
+        PR.zone_revenue_ok(max_amount).alias("f_zone"),
+        PR.speed_ok(max_speed, seconds=secs, speed=speed).alias("f_speed"), speed.alias("speed"),
+        PR.peak_revenue_ok(max_amount).alias("f_peak"), F.round("fare_amount", 2).alias("fare2"),
+        PR.payment_ok(max_amount).alias("f_pay"),
+        PR.suspicious(min_miles, max_seconds).alias("f_susp"))
+    return (flags.groupingSets([["wd", "hr"], ["hr"], ["zone"], ["pay"]], "wd", "hr", "zone", "pay")
+            .agg(F.grouping_id().alias("gid"),
+                 F.count(F.lit(1)).alias("n"),
+                 F.count_if("f_hour").alias("n_hour"),
+                 F.count_if("f_zone").alias("n_zone"),
+                 F.count_if("f_speed").alias("n_speed"),
+                 F.sum(F.when(F.col("f_speed"), F.col("speed"))).alias("s_speed"),
+                 F.count_if("f_peak").alias("n_peak"),
+                 F.sum(F.when(F.col("f_peak"), F.col("fare2"))).alias("s_fare2"),
+                 F.count_if("f_pay").alias("n_pay"),
+                 F.count_if("f_susp").alias("n_susp")))
 
 
 def kpi_summary_one_pass(trips: DataFrame, **params) -> DataFrame:
-    """``kpis.kpi_summary`` over the marts it reads, in one scan: the mart
-    groups of one pass, then a single global aggregation of those (a few
-    hundred) groups with one conditional aggregate per indicator.  Arg-max
-    picks are ``min(struct(-measure, key))``: the largest measure, ties to
-    the smallest key, as the top-1 of each mart does."""
+    """``kpis.kpi_summary`` over the seven marts it reads, from one scan:
+    ``kpi_groups``, then a single global aggregation of those groups with one
+    conditional aggregate per indicator.  A mart's row exists where its
+    conditional count is positive.  Arg-max picks are
+    ``min(struct(-measure, key))``: the largest measure, ties to the smallest
+    key, as the top-1 of each mart does."""
     from farebox.operators import kpis as K
 
-    g = aggregate_entries(mart_entries(trips, only=KPI_MARTS, **params))
-    m, n = F.col("m"), F.col("n")
+    g = kpi_groups(trips, **params)
+    gid = F.col("gid")
 
-    def of(name: str, expr: Column) -> Column:
-        return F.when(m == MART_IDS[name], expr)
+    def of(gid_value: int, count: str, expr: Column) -> Column:
+        return F.when((gid == gid_value) & (F.col(count) > 0), expr)
 
-    slot_revenue = _r(F.col("s_v1"), 2)
-    pay_label = C.payment_label(F.col("k1"))
+    slot_revenue = _r(F.col("s_fare2"), 2)
+    slot_speed = _r(F.col("s_speed") / F.col("n_speed"), 1)
+    pay_label = C.payment_label(F.col("pay"))
     picked = g.agg(
-        F.coalesce(F.sum(of("total_trips", n)), F.lit(0)).alias("lignes"),
-        F.count(of("peak_revenue", F.lit(1))).alias("creneaux"),
-        F.sum(of("peak_revenue", n)).alias("courses"),
-        _r(F.sum(of("peak_revenue", slot_revenue)), 2).alias("recette"),
-        F.min(of("peak_revenue", F.struct(
-            -slot_revenue, C.slot_label("k1", "k2", S.DAYS_LONG).alias("v")))).alias("slot"),
-        F.coalesce(F.sum(of("suspicious_trips", n)), F.lit(0)).alias("suspectes"),
-        F.min(of("payment_methods", F.struct(-n, pay_label.isNull(), pay_label.alias("v"))))
+        F.coalesce(F.sum(F.when(gid == _GID_SLOT, F.col("n"))), F.lit(0)).alias("lignes"),
+        F.count(of(_GID_SLOT, "n_peak", F.lit(1))).alias("creneaux"),
+        F.sum(of(_GID_SLOT, "n_peak", F.col("n_peak"))).alias("courses"),
+        _r(F.sum(of(_GID_SLOT, "n_peak", slot_revenue)), 2).alias("recette"),
+        F.min(of(_GID_SLOT, "n_peak", F.struct(
+            -slot_revenue, C.slot_label("wd", "hr", S.DAYS_LONG).alias("v")))).alias("slot"),
+        F.coalesce(F.sum(F.when(gid == _GID_SLOT, F.col("n_susp"))), F.lit(0)).alias("suspectes"),
+        F.min(of(_GID_PAY, "n_pay", F.struct(-F.col("n_pay"), pay_label.isNull(), pay_label.alias("v"))))
         .alias("paiement"),
-        F.min(of("revenue_per_zone", F.struct(-n, F.col("k1").cast("string").alias("v"))))
+        F.min(of(_GID_ZONE, "n_zone", F.struct(-F.col("n_zone"), F.col("zone").cast("string").alias("v"))))
         .alias("zone"),
-        F.avg(of("speed_analysis", _r(_avg("v3"), 1))).alias("vitesse"),
-        F.min(of("trips_per_hour", F.struct(-n, C.hour_label("k1").alias("v")))).alias("heure"),
+        F.avg(of(_GID_SLOT, "n_speed", slot_speed)).alias("vitesse"),
+        F.min(of(_GID_HOUR, "n_hour", F.struct(-F.col("n_hour"), C.hour_label("hr").alias("v"))))
+        .alias("heure"),
     )
     # (format_string renders NULL as text, hence the explicit guard)
     speed_text = F.when(F.col("vitesse").isNotNull(), F.concat(
