@@ -53,3 +53,20 @@ def test_stream_to_files(spark, tmp_dir):
     q.awaitTermination(120)
     from farebox.sources import marts as MS
     assert MS.read_mart_tsv(spark, out, "trips_per_hour").collect()[0]["nb_courses"] == 2
+
+
+def test_parquet_landing_directory(spark, tmp_dir):
+    from farebox.sources import lineitem as L
+    from conftest import SF_SMALL
+    trips = L.load_trips(spark, SF_SMALL)
+    src = os.path.join(tmp_dir, "pq_landing")
+    trips.filter("VendorID = 1").write.parquet(os.path.join(src, "batch1"))
+    stream = ST.trip_stream(spark, os.path.join(src, "*"), fmt="parquet")
+    ck = os.path.join(tmp_dir, "ck_pq")
+    q = ST.start_mart(spark, stream, "peak_revenue", checkpoint=ck, available_now=True, query_name="s_pq_peak")
+    q.awaitTermination(120)
+    assert _rows(spark.table("s_pq_peak")) == _rows(A.peak_revenue(trips.filter("VendorID = 1"), sort=False))
+    trips.filter("VendorID = 2").write.parquet(os.path.join(src, "batch2"))
+    q = ST.start_mart(spark, stream, "peak_revenue", checkpoint=ck, available_now=True, query_name="s_pq_peak")
+    q.awaitTermination(120)
+    assert _rows(spark.table("s_pq_peak")) == _rows(A.peak_revenue(trips, sort=False))
