@@ -2,19 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farebox import schema as S
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
-
-
 def read_mart_tsv(spark: SparkSession, path: str, mart: str) -> DataFrame:
     """Header-less TSV with the mart's column names and types."""
     return (spark.read.schema(S.MART_SCHEMAS[mart]).option("sep", "\t")
@@ -25,9 +19,12 @@ def read_mart_csv(spark: SparkSession, path: str, mart: str) -> DataFrame:
     """CSV with a header; a missing mart reads as an empty table with
     the mart's schema (the dashboard shows an empty section)."""
     schema = S.MART_SCHEMAS[mart]
-    if not _exists(spark, path):
+    try:
+        return spark.read.schema(schema).option("header", True).csv(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("header", True).csv(path)
 
 
 def read_mart_json(spark: SparkSession, path: str, mart: str) -> DataFrame:
