@@ -86,7 +86,8 @@ def finish_typed(df: DataFrame) -> DataFrame:
 
 
 def read_trips_text(spark: SparkSession, path: str | list[str], *, sep: str = ",",
-                    header: bool = True, quote: str = '"', escape: str = '"') -> DataFrame:
+                    header: bool = True, quote: str = '"', escape: str = '"',
+                    text_rules: bool = False) -> DataFrame:
     """Typed trips from a directory (or list) of delimited text files.
 
     Spark's CSV reader types every field while it parses the line (once per
@@ -95,7 +96,16 @@ def read_trips_text(spark: SparkSession, path: str | list[str], *, sep: str = ",
     rest of the record is kept, so a bad fare only removes the trip from the
     marts that read the fare.  ``header`` skips the first line of every file;
     blank lines are skipped; short records get NULL for the missing fields.
-    ``quote=""`` gives the quote-unaware split (S5)."""
+    ``quote=""`` gives the quote-unaware split (S5).
+
+    ``text_rules=True`` reads every field as text and types it with the
+    explicit rules of ``farebox.functions.parsing`` instead (digit-group
+    underscores accepted, Java-style ``1.5d`` rejected, as Python's float
+    does); slower, because those rules are evaluated where each field is
+    used.  Stage the result (``plans.storage``) before computing marts."""
+    if text_rules:
+        return type_trips(read_raw_trips(spark, path, sep=sep, header=header,
+                                         quote=quote, escape=escape))
     reader = (spark.read.schema(TYPED_READ_SCHEMA).options(**CSV_TYPED_OPTIONS)
               .option("sep", sep).option("header", header).option("enforceSchema", True))
     if quote == "":

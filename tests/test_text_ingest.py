@@ -245,3 +245,15 @@ def test_float_forms(spark):
     assert got["1_000"] == 1000.0 and got["1.5d"] is None and got[" 2.5 "] == 2.5
     assert got["1e3"] == 1000.0 and got["-0.01"] == -0.01 and got[".5"] == 0.5
     assert got["inf"] == float("inf") and got["1__0"] is None and got["abc"] is None
+
+
+def test_text_rules_reader(spark, tmp_dir):
+    d = write_files(tmp_dir, [line(fare_amount="1_000", total_amount="1.5d"), line()])
+    native = TX.read_trips_text(spark, d)
+    ruled = TX.read_trips_text(spark, d, text_rules=True)
+    got_native = {(r[0], r[1]) for r in native.select("fare_amount", "total_amount").collect()}
+    got_ruled = {(r[0], r[1]) for r in ruled.select("fare_amount", "total_amount").collect()}
+    assert got_native == {(None, 1.5), (17.5, 25.6)}
+    assert got_ruled == {(1000.0, None), (17.5, 25.6)}
+    assert sorted(map(tuple, A.trips_per_hour(ruled).collect())) == \
+        sorted(map(tuple, A.trips_per_hour(native).collect()))
