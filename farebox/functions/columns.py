@@ -29,10 +29,6 @@ def day_label(weekday: Column | str, names: list[str]) -> Column:
     return F.element_at(F.array(*[F.lit(n) for n in names]), _c(weekday) + 1)
 
 
-def day_name(ts: Column | str, names: list[str]) -> Column:
-    return day_label(F.weekday(_c(ts)), names)
-
-
 def slot_label(weekday: Column | str, hour: Column | str, names: list[str]) -> Column:
     """``(3, 18) -> 'Jeu-18'`` / ``'JEUDI-18'``."""
     return F.concat(day_label(weekday, names), F.lit("-"), hour_label(hour))

@@ -60,3 +60,25 @@ def test_database_and_views(spark):
         assert by_sql == trips.filter("fare_amount > 0 AND total_amount < 500").count()
     finally:
         spark.catalog.setCurrentDatabase("default")
+
+
+def test_key_columns_from_timestamps(spark):
+    import re
+    from farebox.functions import columns as C
+    df = spark.sql("SELECT TIMESTAMP_NTZ'2023-01-05 08:03:10' AS t UNION ALL "
+                   "SELECT TIMESTAMP_NTZ'2023-01-01 18:00:00'")
+    got = sorted(tuple(r) for r in df.select(C.hour_key("t"), C.short_slot("t"), C.long_slot("t"),
+                                             C.report_date()).collect())
+    assert [g[:3] for g in got] == [("08", "Jeu-08", "JEUDI-08"), ("18", "Dim-18", "DIMANCHE-18")]
+    assert all(re.fullmatch(r"\d{2}/\d{2}/\d{4} \d{2}:\d{2}", g[3]) for g in got)
+
+
+def test_stage_text(spark, tmp_dir):
+    from farebox.plans import storage as ST
+    from test_text_ingest import line, write_files
+    d = write_files(tmp_dir, [line(), line(tpep_pickup_datetime="2022-12-31 10:00:00",
+                                           tpep_dropoff_datetime="2022-12-31 10:20:00")])
+    staged = ST.stage_text(spark, d, os.path.join(tmp_dir, "staged"))
+    years = sorted(r[0] for r in staged.select("pickup_year").distinct().collect())
+    assert years == [2022, 2023]
+    assert A.weekly_revenue(staged, year=2023).collect()[0]["nb_courses"] == 1
