@@ -88,3 +88,19 @@ def test_stage_defaults_to_checkpoint_folder(spark):
     df = ST.stage_trips(spark, L.load_trips(spark, SF_SMALL).limit(50))
     files = df.inputFiles()
     assert files and all(checkpoint_dir(spark).rstrip("/").replace("file:", "") in f for f in files)
+
+
+LIMIT_IS_THE_FEATURE = {"od_flows_top20", "top5_slots", "top_revenue_slots", "best_slot",
+                        "dominant_payment", "top_zones", "top_speed_slots", "busiest_hour",
+                        "zone_preview"}
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_reads_whole_lineitem_and_limits_only_where_featured(spark, name):
+    df = E.queries()[name](spark, SF_SMALL)
+    optimized = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "lineitem.parquet" in formatted(df) or "lineitem" in optimized
+    has_limit = "GlobalLimit" in optimized or "LocalLimit" in optimized
+    assert has_limit == (name in LIMIT_IS_THE_FEATURE), name
+    # no sampling anywhere
+    assert "Sample" not in optimized
