@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
+from farebox import schema as S
 from farebox.operators import marts as A
 from farebox.plans import storage as ST
 from farebox.sources import lineitem as L
@@ -104,3 +105,46 @@ def test_reads_whole_lineitem_and_limits_only_where_featured(spark, name):
     assert has_limit == (name in LIMIT_IS_THE_FEATURE), name
     # no sampling anywhere
     assert "Sample" not in optimized
+
+
+def _exchange_records(df):
+    """shuffleRecordsWritten of every exchange, root first (after execution)."""
+    out = []
+
+    def walk(p):
+        name = p.nodeName()
+        ms = p.metrics()
+        if name == "Exchange" and ms.contains("shuffleRecordsWritten"):
+            out.append(ms.get("shuffleRecordsWritten").get().value())
+        if name == "AdaptiveSparkPlan":
+            return walk(p.executedPlan())
+        if name in ("ShuffleQueryStage", "ResultQueryStage"):
+            return walk(p.plan())
+        ch = p.children()
+        for i in range(ch.size()):
+            walk(ch.apply(i))
+    walk(df._jdf.queryExecution().executedPlan())
+    return out
+
+
+def test_hot_key_costs_no_extra_shuffle(spark):
+    """One zone / one slot holds over a third of all trips: the mart's
+    exchange still carries at most (input partitions x keys) rows."""
+    from pyspark.sql import functions as F
+    from conftest import SF_ORACLE
+    splits = 8
+    trips = L.load_trips(spark, SF_ORACLE).repartition(splits)  # 8 input partitions
+    hot = (trips.withColumn("PULocationID", F.when(F.col("VendorID") == 1, F.lit(7))
+                            .otherwise(F.col("PULocationID")))
+           .withColumn(S.PICKUP, F.when(F.col("VendorID") == 1,
+                                        F.make_timestamp_ntz(F.lit(1998), F.lit(6), F.lit(4),
+                                                             F.lit(18), F.lit(0), F.lit(0)))
+                       .otherwise(F.col(S.PICKUP))))
+    total = hot.count()
+    assert hot.filter("PULocationID = 7").count() > total / 3
+    for mart, keys in [(A.revenue_per_zone(hot, sort=False), 40),
+                       (A.peak_revenue(hot, sort=False), 168),
+                       (A.od_flows(hot, top=None, sort=False), 40 * 40)]:
+        mart.collect()
+        records = _exchange_records(mart)
+        assert records[0] <= splits * keys < total, records
