@@ -38,3 +38,18 @@ def test_cli_parses(spark, tmp_dir):
     out = os.path.join(tmp_dir, "cli")
     J.main(["build", "--input", src, "--output", out, "--format", "json", "--marts", "trips_per_hour"])
     assert MS.read_mart_json(spark, os.path.join(out, "trips_per_hour"), "trips_per_hour").count() == 1
+
+
+def test_cli_parquet_input_per_mart(spark, tmp_dir):
+    from farebox.sources import lineitem as L
+    from conftest import SF_SMALL
+    trips = L.load_trips(spark, SF_SMALL)
+    src = os.path.join(tmp_dir, "pq")
+    trips.write.parquet(src)
+    out = os.path.join(tmp_dir, "cli_pq")
+    J.main(["build", "--input", src, "--input-format", "parquet", "--output", out, "--format", "tsv",
+            "--marts", "peak_revenue,weekly_revenue", "--weekly-year", "1998", "--no-stage", "--per-mart"])
+    back = MS.read_mart_tsv(spark, os.path.join(out, "peak_revenue"), "peak_revenue")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, A.peak_revenue(trips).collect()))
+    weekly = MS.read_mart_tsv(spark, os.path.join(out, "weekly_revenue"), "weekly_revenue")
+    assert weekly.count() == A.weekly_revenue(trips, year=1998).count() > 0
