@@ -111,6 +111,20 @@ def round_half_up(c: Column | str, digits: int) -> Column:
     return F.round(F.round(_c(c), SNAP_DIGITS), digits)
 
 
+def round_binary_half_even(c: Column | str, digits: int) -> Column:
+    """Python's ``f"{x:.2f}"`` rule: the exact binary value of the double,
+    rounded half-even (2.675 -> 2.67, 0.125 -> 0.12).  ``format_number``
+    formats with java.text.DecimalFormat, which follows the same rule; the
+    text is read back as a DOUBLE.  NaN and infinities pass through.  Meant
+    for aggregated values (a string per value)."""
+    c = _c(c)
+    text = F.regexp_replace(F.format_number(c, digits), ",", "")
+    return F.when(F.isnan(c) | (F.abs(c) == F.lit(float("inf"))), c).otherwise(text.try_cast("double"))
+
+
+ROUNDERS = {"sql": round_half_up, "python": round_binary_half_even}
+
+
 def mph_to_kmh(c: Column | str) -> Column:
     return _c(c) * F.lit(S.MILES_TO_KM)
 

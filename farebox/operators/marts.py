@@ -7,6 +7,9 @@ means every scan task ships at most one row per key, so a key holding a
 third of all trips costs no more shuffle than any other key.
 
 Thresholds are keyword parameters whose defaults are the reference values.
+The three marts the reference computed in Python accept ``rounding="python"``
+(exact binary value, half-even, as Python's ``:.2f``) besides the default
+``"sql"`` (decimal half-up, as SQL ``ROUND``); they differ only at ties.
 ``sort=True`` gives the reference output order (the single reducer's key
 order, or the ORDER BY of the SQL query); the sort runs on the aggregated
 mart, never on trips."""
@@ -55,15 +58,16 @@ def trips_per_hour(trips: DataFrame, *, sort: bool = True) -> DataFrame:
 # A2 - revenue per departure zone; tip rate is a ratio of sums
 # --------------------------------------------------------------------------
 def revenue_per_zone(trips: DataFrame, *, max_amount: float = S.MAX_AMOUNT,
-                     sort: bool = True) -> DataFrame:
+                     sort: bool = True, rounding: str = "sql") -> DataFrame:
     fare, tip, total = F.col("fare_amount"), F.col("tip_amount"), F.col("total_amount")
+    r = C.ROUNDERS[rounding]
     out = (trips.filter(PR.zone_revenue_ok(max_amount))
            .groupBy("PULocationID")
            .agg(F.count(F.lit(1)).alias("nb_courses"),
-                C.round_half_up(F.avg(fare), 2).alias("tarif_moyen"),
-                C.round_half_up(F.avg(tip), 2).alias("pourboire_moyen"),
-                C.round_half_up(F.avg(total), 2).alias("montant_moyen"),
-                C.round_half_up(C.ratio_pct(F.sum(tip), F.sum(fare)), 1).alias("taux_pourboire"))
+                r(F.avg(fare), 2).alias("tarif_moyen"),
+                r(F.avg(tip), 2).alias("pourboire_moyen"),
+                r(F.avg(total), 2).alias("montant_moyen"),
+                r(C.ratio_pct(F.sum(tip), F.sum(fare)), 1).alias("taux_pourboire"))
            .select(F.col("PULocationID").cast("string").alias("zone_depart"), "nb_courses",
                    "tarif_moyen", "pourboire_moyen", "montant_moyen", "taux_pourboire"))
     return _order(out, sort, "zone_depart")
@@ -73,16 +77,17 @@ def revenue_per_zone(trips: DataFrame, *, max_amount: float = S.MAX_AMOUNT,
 # A3 - speed / congestion per weekday-hour slot (per-trip speeds)
 # --------------------------------------------------------------------------
 def speed_analysis(trips: DataFrame, *, max_speed: float = S.MAX_SPEED_MPH,
-                   sort: bool = True) -> DataFrame:
+                   sort: bool = True, rounding: str = "sql") -> DataFrame:
     secs, speed = F.col("duree_s"), F.col("vitesse_mph")
+    r = C.ROUNDERS[rounding]
     out = (with_timing(trips).filter(PR.speed_ok(max_speed, seconds=secs, speed=speed))
            .groupBy(F.weekday(S.PICKUP).alias("j"), F.hour(S.PICKUP).alias("h"))
            .agg(F.count(F.lit(1)).alias("nb_courses"),
-                C.round_half_up(F.avg("trip_distance"), 2).alias("distance_moyenne"),
-                C.round_half_up(F.avg(secs / F.lit(3600.0)) * F.lit(60.0), 1).alias("duree_moyenne_min"),
-                C.round_half_up(F.avg(speed), 1).alias("vitesse_moyenne_mph"),
-                C.round_half_up(F.min(speed), 1).alias("vitesse_min"),
-                C.round_half_up(F.max(speed), 1).alias("vitesse_max"))
+                r(F.avg("trip_distance"), 2).alias("distance_moyenne"),
+                r(F.avg(secs / F.lit(3600.0)) * F.lit(60.0), 1).alias("duree_moyenne_min"),
+                r(F.avg(speed), 1).alias("vitesse_moyenne_mph"),
+                r(F.min(speed), 1).alias("vitesse_min"),
+                r(F.max(speed), 1).alias("vitesse_max"))
            .select(C.slot_label("j", "h", S.DAYS_SHORT).alias("creneau"), "nb_courses",
                    "distance_moyenne", "duree_moyenne_min", "vitesse_moyenne_mph",
                    "vitesse_min", "vitesse_max"))
@@ -94,17 +99,21 @@ def speed_analysis(trips: DataFrame, *, max_speed: float = S.MAX_SPEED_MPH,
 # before they are summed, "recette_totale" is the sum of fares
 # --------------------------------------------------------------------------
 def peak_revenue(trips: DataFrame, *, max_amount: float = S.MAX_AMOUNT,
-                 sort: bool = True) -> DataFrame:
-    # per-trip cents: plain ROUND of the input value (no float noise to snap)
-    fare2 = F.round("fare_amount", 2)
-    tip2 = F.round("tip_amount", 2)
+                 sort: bool = True, rounding: str = "sql") -> DataFrame:
+    r = C.ROUNDERS[rounding]
+    if rounding == "sql":
+        # per-trip cents: plain ROUND of the input value (no float noise to snap)
+        fare2, tip2 = F.round("fare_amount", 2), F.round("tip_amount", 2)
+    else:
+        # per-trip text formatting: the exact rule, at a per-trip string cost
+        fare2, tip2 = r("fare_amount", 2), r("tip_amount", 2)
     out = (trips.filter(PR.peak_revenue_ok(max_amount))
            .groupBy(F.weekday(S.PICKUP).alias("j"), F.hour(S.PICKUP).alias("h"))
            .agg(F.count(F.lit(1)).alias("nb_courses"),
-                C.round_half_up(F.avg(fare2), 2).alias("fare_moy"),
-                C.round_half_up(F.avg(tip2), 2).alias("tip_moy"),
-                C.round_half_up(C.ratio_pct(F.sum(tip2), F.sum(fare2)), 1).alias("tip_rate"),
-                C.round_half_up(F.sum(fare2), 2).alias("recette_totale"))
+                r(F.avg(fare2), 2).alias("fare_moy"),
+                r(F.avg(tip2), 2).alias("tip_moy"),
+                r(C.ratio_pct(F.sum(tip2), F.sum(fare2)), 1).alias("tip_rate"),
+                r(F.sum(fare2), 2).alias("recette_totale"))
            .select(C.slot_label("j", "h", S.DAYS_LONG).alias("creneau"), "nb_courses",
                    "fare_moy", "tip_moy", "tip_rate", "recette_totale"))
     return _order(out, sort, "creneau")

@@ -31,15 +31,16 @@ class MartCatalog:
     lazily and memoised as DataFrames (plans), not as collected data."""
 
     def __init__(self, trips: DataFrame, *, weekly_year: int = S.WEEKLY_YEAR,
-                 marts: dict[str, DataFrame] | None = None):
+                 marts: dict[str, DataFrame] | None = None, rounding: str = "sql"):
         self.trips = trips
         self.weekly_year = weekly_year
+        self.rounding = rounding
         self._built: dict[str, DataFrame] = dict(marts or {})
         self._builders: dict[str, Callable[[], DataFrame]] = {
             "trips_per_hour": lambda: A.trips_per_hour(self.trips),
-            "revenue_per_zone": lambda: A.revenue_per_zone(self.trips),
-            "speed_analysis": lambda: A.speed_analysis(self.trips),
-            "peak_revenue": lambda: A.peak_revenue(self.trips),
+            "revenue_per_zone": lambda: A.revenue_per_zone(self.trips, rounding=self.rounding),
+            "speed_analysis": lambda: A.speed_analysis(self.trips, rounding=self.rounding),
+            "peak_revenue": lambda: A.peak_revenue(self.trips, rounding=self.rounding),
             "payment_methods": lambda: A.payment_methods(self.trips),
             "od_flows": lambda: A.od_flows(self.trips, top=20),
             "weekly_revenue": lambda: A.weekly_revenue(self.trips, year=self.weekly_year),

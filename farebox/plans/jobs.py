@@ -31,18 +31,21 @@ def load_input(spark: SparkSession, path: str, fmt: str = "csv", **options) -> D
 
 def build(spark: SparkSession, input_path: str, output: str, *, input_format: str = "csv",
           fmt: str = "tsv", marts: list[str] | None = None, weekly_year: int = S.WEEKLY_YEAR,
-          stage: bool = True, shared: bool = True, **options) -> dict[str, str]:
-    """Build and export the marts; returns mart name -> output path."""
+          stage: bool = True, shared: bool = True, rounding: str = "sql",
+          **options) -> dict[str, str]:
+    """Build and export the marts; returns mart name -> output path.
+    ``rounding="python"`` rounds the three Python-computed marts as Python's
+    ``:.2f`` does; it needs their own plans, so the shared pass is skipped."""
     ensure_checkpoint_dir(spark)
     trips = load_input(spark, input_path, input_format, **options)
     if stage:
         trips = ST.stage_trips(spark, trips)
     prebuilt = None
-    if shared:
+    if shared and rounding == "sql":
         prebuilt = SH.shared_marts(trips, materialize=True, weekly_year=weekly_year)
         prebuilt.pop("od_flows")  # the catalogue serves the top-20 flows
         prebuilt["od_flows"] = prebuilt.pop("od_flows_top20")
-    cat = CAT.MartCatalog(trips, weekly_year=weekly_year, marts=prebuilt)
+    cat = CAT.MartCatalog(trips, weekly_year=weekly_year, marts=prebuilt, rounding=rounding)
     return cat.export_all(output, fmt, names=marts)
 
 
@@ -58,12 +61,15 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--weekly-year", type=int, default=S.WEEKLY_YEAR)
     b.add_argument("--no-stage", action="store_true", help="do not write typed Parquet first")
     b.add_argument("--per-mart", action="store_true", help="one plan per mart, no shared pass")
+    b.add_argument("--rounding", default="sql", choices=["sql", "python"],
+                   help="python: round the Python-computed marts as Python's :.2f does")
     args = p.parse_args(argv)
 
     spark = SparkSession.builder.appName("farebox-build").getOrCreate()
     out = build(spark, args.input, args.output, input_format=args.input_format, fmt=args.format,
                 marts=[m for m in args.marts.split(",") if m] or None,
-                weekly_year=args.weekly_year, stage=not args.no_stage, shared=not args.per_mart)
+                weekly_year=args.weekly_year, stage=not args.no_stage, shared=not args.per_mart,
+                rounding=args.rounding)
     print(json.dumps(out))
 
 

@@ -257,3 +257,18 @@ def test_text_rules_reader(spark, tmp_dir):
     assert got_ruled == {(1000.0, None), (17.5, 25.6)}
     assert sorted(map(tuple, A.trips_per_hour(ruled).collect())) == \
         sorted(map(tuple, A.trips_per_hour(native).collect()))
+
+
+def test_python_rounding_mode_at_ties(spark, tmp_dir):
+    # zone mean fare 0.125 (an exact binary tie) and 2.675 (just below in binary)
+    rows = [line(PULocationID="5", fare_amount="0.12", total_amount="1"),
+            line(PULocationID="5", fare_amount="0.13", total_amount="1"),
+            line(PULocationID="6", fare_amount="2.675", total_amount="3")]
+    t = load(spark, tmp_dir, rows)
+    sql = {r["zone_depart"]: r["tarif_moyen"] for r in A.revenue_per_zone(t).collect()}
+    py = {r["zone_depart"]: r["tarif_moyen"] for r in A.revenue_per_zone(t, rounding="python").collect()}
+    assert sql == {"5": 0.13, "6": 2.68}
+    assert py == {"5": float(f"{0.125:.2f}"), "6": float(f"{2.675:.2f}")} == {"5": 0.12, "6": 2.67}
+    peak_py = A.peak_revenue(t, rounding="python").collect()
+    assert sum(r["nb_courses"] for r in peak_py) == 3
+    assert A.speed_analysis(t, rounding="python").count() == A.speed_analysis(t).count()
