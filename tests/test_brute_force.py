@@ -27,6 +27,13 @@ def r(x, digits):
     return float(snapped.quantize(Decimal(1).scaleb(-digits), rounding=ROUND_HALF_UP))
 
 
+def r_py(x, digits):
+    """Python's own formatting rule (the reference jobs' :.2f / :.1f)."""
+    if x is None or math.isnan(x) or math.isinf(x):
+        return x
+    return float(f"{x:.{digits}f}")
+
+
 def fnum(s):
     if s in ("nan", "inf", "-inf"):
         return float(s)
@@ -139,7 +146,7 @@ def sql_model(rows):
     return out
 
 
-def model(rows):
+def model(rows, r=r):
     hours, zones_, speed, peak, susp = defaultdict(int), defaultdict(list), defaultdict(list), \
         defaultdict(list), 0
     for row in rows:
@@ -162,7 +169,7 @@ def model(rows):
                 susp += 1
         if (pu is not None and fare is not None and tip is not None and total is not None
                 and fare > 0 and 0 < total < 500):
-            peak[f"{DAYS_LONG[pu.weekday()]}-{pu.hour:02d}"].append((round(fare, 2), round(tip, 2)))
+            peak[f"{DAYS_LONG[pu.weekday()]}-{pu.hour:02d}"].append((r(fare, 2), r(tip, 2)))
     out = {"trips_per_hour": {(k, v) for k, v in hours.items()}}
     out["revenue_per_zone"] = {
         (k, len(v), r(sum(a for a, _, _ in v) / len(v), 2), r(sum(b for _, b, _ in v) / len(v), 2),
@@ -218,3 +225,21 @@ def test_marts_match_brute_force(spark, tmp_path_factory, rows):
     if expected["peak_revenue"]:
         best = sorted(expected["peak_revenue"], key=lambda x: (-x[5], x[0]))[0][0]
         assert K.best_slot(A.peak_revenue(trips)).collect()[0]["creneau"] == best
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture,
+                                                                HealthCheck.too_slow])
+@given(st.lists(trip(), min_size=1, max_size=60))
+def test_python_rounding_matches_python_formatting(spark, tmp_path_factory, rows):
+    d = str(tmp_path_factory.mktemp("bfpy"))
+    header = ",".join(n for n, _ in S.TRIP_COLUMNS)
+    with open(os.path.join(d, "part-0.csv"), "w") as f:
+        f.write(header + "\n")
+        for row in rows:
+            f.write(",".join(row[n] for n, _ in S.TRIP_COLUMNS) + "\n")
+    trips = TX.read_trips_text(spark, d)
+    expected = model(rows, r=r_py)
+    for name, fn in [("revenue_per_zone", A.revenue_per_zone), ("speed_analysis", A.speed_analysis),
+                     ("peak_revenue", A.peak_revenue)]:
+        got = [tuple(x) for x in fn(trips, rounding="python").collect()]
+        assert close_rows(got, expected[name]), (name, sorted(got), sorted(expected[name]))
