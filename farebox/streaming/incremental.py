@@ -26,9 +26,9 @@ from farebox.sources import text as TX
 
 STREAMABLE: dict[str, Callable[..., DataFrame]] = {
     "trips_per_hour": lambda t, **k: A.trips_per_hour(t, sort=False),
-    "revenue_per_zone": lambda t, **k: A.revenue_per_zone(t, sort=False),
-    "speed_analysis": lambda t, **k: A.speed_analysis(t, sort=False),
-    "peak_revenue": lambda t, **k: A.peak_revenue(t, sort=False),
+    "revenue_per_zone": lambda t, rounding="sql", **k: A.revenue_per_zone(t, sort=False, rounding=rounding),
+    "speed_analysis": lambda t, rounding="sql", **k: A.speed_analysis(t, sort=False, rounding=rounding),
+    "peak_revenue": lambda t, rounding="sql", **k: A.peak_revenue(t, sort=False, rounding=rounding),
     "payment_methods": lambda t, **k: A.payment_methods(t, sort=False),
     "od_flows": lambda t, **k: A.od_flows(t, top=None, sort=False),
     "weekly_revenue": lambda t, year=S.WEEKLY_YEAR, **k: A.weekly_revenue(t, year=year, sort=False),
