@@ -125,6 +125,13 @@ def round_binary_half_even(c: Column | str, digits: int) -> Column:
 ROUNDERS = {"sql": round_half_up, "python": round_binary_half_even}
 
 
+def rounder(name: str):
+    """The rounding function for a mart's ``rounding`` parameter."""
+    if name not in ROUNDERS:
+        raise ValueError(f"rounding must be one of {sorted(ROUNDERS)}, not {name!r}")
+    return ROUNDERS[name]
+
+
 def mph_to_kmh(c: Column | str) -> Column:
     return _c(c) * F.lit(S.MILES_TO_KM)
 

@@ -60,7 +60,7 @@ def trips_per_hour(trips: DataFrame, *, sort: bool = True) -> DataFrame:
 def revenue_per_zone(trips: DataFrame, *, max_amount: float = S.MAX_AMOUNT,
                      sort: bool = True, rounding: str = "sql") -> DataFrame:
     fare, tip, total = F.col("fare_amount"), F.col("tip_amount"), F.col("total_amount")
-    r = C.ROUNDERS[rounding]
+    r = C.rounder(rounding)
     out = (trips.filter(PR.zone_revenue_ok(max_amount))
            .groupBy("PULocationID")
            .agg(F.count(F.lit(1)).alias("nb_courses"),
@@ -79,7 +79,7 @@ def revenue_per_zone(trips: DataFrame, *, max_amount: float = S.MAX_AMOUNT,
 def speed_analysis(trips: DataFrame, *, max_speed: float = S.MAX_SPEED_MPH,
                    sort: bool = True, rounding: str = "sql") -> DataFrame:
     secs, speed = F.col("duree_s"), F.col("vitesse_mph")
-    r = C.ROUNDERS[rounding]
+    r = C.rounder(rounding)
     out = (with_timing(trips).filter(PR.speed_ok(max_speed, seconds=secs, speed=speed))
            .groupBy(F.weekday(S.PICKUP).alias("j"), F.hour(S.PICKUP).alias("h"))
            .agg(F.count(F.lit(1)).alias("nb_courses"),
@@ -100,7 +100,7 @@ def speed_analysis(trips: DataFrame, *, max_speed: float = S.MAX_SPEED_MPH,
 # --------------------------------------------------------------------------
 def peak_revenue(trips: DataFrame, *, max_amount: float = S.MAX_AMOUNT,
                  sort: bool = True, rounding: str = "sql") -> DataFrame:
-    r = C.ROUNDERS[rounding]
+    r = C.rounder(rounding)
     if rounding == "sql":
         # per-trip cents: plain ROUND of the input value (no float noise to snap)
         fare2, tip2 = F.round("fare_amount", 2), F.round("tip_amount", 2)

@@ -272,3 +272,5 @@ def test_python_rounding_mode_at_ties(spark, tmp_dir):
     peak_py = A.peak_revenue(t, rounding="python").collect()
     assert sum(r["nb_courses"] for r in peak_py) == 3
     assert A.speed_analysis(t, rounding="python").count() == A.speed_analysis(t).count()
+    with pytest.raises(ValueError):
+        A.peak_revenue(t, rounding="banker")
