@@ -195,7 +195,7 @@ def close_rows(a, b):
     return sorted(map(key, a), key=repr) == sorted(map(key, b), key=repr)
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture,
+@settings(max_examples=12, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture,
                                                                  HealthCheck.too_slow])
 @given(st.lists(trip(), min_size=1, max_size=60))
 def test_marts_match_brute_force(spark, tmp_path_factory, rows):
@@ -227,7 +227,7 @@ def test_marts_match_brute_force(spark, tmp_path_factory, rows):
         assert K.best_slot(A.peak_revenue(trips)).collect()[0]["creneau"] == best
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture,
+@settings(max_examples=8, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture,
                                                                 HealthCheck.too_slow])
 @given(st.lists(trip(), min_size=1, max_size=60))
 def test_python_rounding_matches_python_formatting(spark, tmp_path_factory, rows):
