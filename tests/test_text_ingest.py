@@ -274,3 +274,13 @@ def test_python_rounding_mode_at_ties(spark, tmp_dir):
     assert A.speed_analysis(t, rounding="python").count() == A.speed_analysis(t).count()
     with pytest.raises(ValueError):
         A.peak_revenue(t, rounding="banker")
+
+
+def test_input_profile_of_text_files(spark, tmp_dir):
+    from farebox.sources import marts as MS
+    d = write_files(tmp_dir, [line(), line()], [line()])
+    prof = MS.input_profile(spark.read.text(d)).collect()
+    assert len(prof) == 2
+    assert sorted(r["lignes"] for r in prof) == [2, 3]  # header line included: raw input profile
+    assert all(r["octets"] == os.path.getsize(r["fichier"].replace("file://", "").replace("file:", ""))
+               for r in prof)
