@@ -61,15 +61,18 @@ def revenue_per_zone(trips: DataFrame, *, max_amount: float = S.MAX_AMOUNT,
                      sort: bool = True, rounding: str = "sql") -> DataFrame:
     fare, tip, total = F.col("fare_amount"), F.col("tip_amount"), F.col("total_amount")
     r = C.rounder(rounding)
+    # The filter makes fare, tip and total non-NULL: means are sums over the
+    # trip count (what avg computes), four buffers for all outputs.
+    n, sf, st, sa = F.col("nb_courses"), F.col("s_fare"), F.col("s_tip"), F.col("s_total")
     out = (trips.filter(PR.zone_revenue_ok(max_amount))
            .groupBy("PULocationID")
-           .agg(F.count(F.lit(1)).alias("nb_courses"),
-                r(F.avg(fare), 2).alias("tarif_moyen"),
-                r(F.avg(tip), 2).alias("pourboire_moyen"),
-                r(F.avg(total), 2).alias("montant_moyen"),
-                r(C.ratio_pct(F.sum(tip), F.sum(fare)), 1).alias("taux_pourboire"))
-           .select(F.col("PULocationID").cast("string").alias("zone_depart"), "nb_courses",
-                   "tarif_moyen", "pourboire_moyen", "montant_moyen", "taux_pourboire"))
+           .agg(F.count(F.lit(1)).alias("nb_courses"), F.sum(fare).alias("s_fare"),
+                F.sum(tip).alias("s_tip"), F.sum(total).alias("s_total"))
+           .select(F.col("PULocationID").cast("string").alias("zone_depart"), n,
+                   r(sf / n, 2).alias("tarif_moyen"),
+                   r(st / n, 2).alias("pourboire_moyen"),
+                   r(sa / n, 2).alias("montant_moyen"),
+                   r(C.ratio_pct(st, sf), 1).alias("taux_pourboire")))
     return _order(out, sort, "zone_depart")
 
 
@@ -80,17 +83,20 @@ def speed_analysis(trips: DataFrame, *, max_speed: float = S.MAX_SPEED_MPH,
                    sort: bool = True, rounding: str = "sql") -> DataFrame:
     secs, speed = F.col("duree_s"), F.col("vitesse_mph")
     r = C.rounder(rounding)
+    # The filter makes distance, duration and speed non-NULL: means are sums
+    # over the trip count (what avg computes).
+    n = F.col("nb_courses")
     out = (with_timing(trips).filter(PR.speed_ok(max_speed, seconds=secs, speed=speed))
            .groupBy(F.weekday(S.PICKUP).alias("j"), F.hour(S.PICKUP).alias("h"))
            .agg(F.count(F.lit(1)).alias("nb_courses"),
-                r(F.avg("trip_distance"), 2).alias("distance_moyenne"),
-                r(F.avg(secs / F.lit(3600.0)) * F.lit(60.0), 1).alias("duree_moyenne_min"),
-                r(F.avg(speed), 1).alias("vitesse_moyenne_mph"),
-                r(F.min(speed), 1).alias("vitesse_min"),
-                r(F.max(speed), 1).alias("vitesse_max"))
-           .select(C.slot_label("j", "h", S.DAYS_SHORT).alias("creneau"), "nb_courses",
-                   "distance_moyenne", "duree_moyenne_min", "vitesse_moyenne_mph",
-                   "vitesse_min", "vitesse_max"))
+                F.sum("trip_distance").alias("s_dist"), F.sum(secs / F.lit(3600.0)).alias("s_hours"),
+                F.sum(speed).alias("s_speed"), F.min(speed).alias("lo"), F.max(speed).alias("hi"))
+           .select(C.slot_label("j", "h", S.DAYS_SHORT).alias("creneau"), n,
+                   r(F.col("s_dist") / n, 2).alias("distance_moyenne"),
+                   r(F.col("s_hours") / n * F.lit(60.0), 1).alias("duree_moyenne_min"),
+                   r(F.col("s_speed") / n, 1).alias("vitesse_moyenne_mph"),
+                   r(F.col("lo"), 1).alias("vitesse_min"),
+                   r(F.col("hi"), 1).alias("vitesse_max")))
     return _order(out, sort, "creneau")
 
 
