@@ -135,17 +135,21 @@ def peak_revenue(trips: DataFrame, *, max_amount: float = S.MAX_AMOUNT,
 def payment_methods(trips: DataFrame, *, max_amount: float = S.MAX_AMOUNT,
                     sort: bool = True) -> DataFrame:
     fare, tip = F.col("fare_amount"), F.col("tip_amount")
+    # The filter makes fare, tip and the tip/fare ratio non-NULL: their means
+    # are sums over the trip count (what avg computes).  The total is not
+    # filtered and may be NULL: its sum skips NULLs, as SUM does.
+    n = F.col("nb_courses")
     out = (trips.filter(PR.payment_ok(max_amount))
            .groupBy("payment_type")
            .agg(F.count(F.lit(1)).alias("nb_courses"),
-                C.round_half_up(F.avg(fare), 2).alias("tarif_moyen"),
-                C.round_half_up(F.avg(tip), 2).alias("pourboire_moyen"),
-                C.round_half_up(F.avg(tip / F.nullif(fare, F.lit(0.0))) * F.lit(100.0), 1)
-                .alias("taux_pourboire_pct"),
-                C.round_half_up(F.sum("total_amount"), 0).alias("recette_totale"))
-           .select(C.payment_label("payment_type").alias("mode_paiement"),
-                   "nb_courses", "tarif_moyen", "pourboire_moyen",
-                   "taux_pourboire_pct", "recette_totale"))
+                F.sum(fare).alias("s_fare"), F.sum(tip).alias("s_tip"),
+                F.sum(tip / F.nullif(fare, F.lit(0.0))).alias("s_ratio"),
+                F.sum("total_amount").alias("s_total"))
+           .select(C.payment_label("payment_type").alias("mode_paiement"), n,
+                   C.round_half_up(F.col("s_fare") / n, 2).alias("tarif_moyen"),
+                   C.round_half_up(F.col("s_tip") / n, 2).alias("pourboire_moyen"),
+                   C.round_half_up(F.col("s_ratio") / n * F.lit(100.0), 1).alias("taux_pourboire_pct"),
+                   C.round_half_up(F.col("s_total"), 0).alias("recette_totale")))
     return _order(out, sort, F.desc("nb_courses"), F.asc_nulls_last("mode_paiement"))
 
 
