@@ -144,7 +144,9 @@ def test_hot_key_costs_no_extra_shuffle(spark):
     assert hot.filter("PULocationID = 7").count() > total / 3
     from farebox.plans import shared as SH
     kpi_keys = (168 + 1) + (24 + 1) + (40 + 1) + (7 + 1)  # the four grouping sets, NULL groups included
-    for mart, keys in [(A.revenue_per_zone(hot, sort=False), 40),
+    for mart, keys in [(A.trips_per_hour(hot, sort=False), 24),
+                       (A.payment_methods(hot, sort=False), 7),
+                       (A.revenue_per_zone(hot, sort=False), 40),
                        (A.peak_revenue(hot, sort=False), 168),
                        (A.od_flows(hot, top=None, sort=False), 40 * 40),
                        (SH.kpi_groups(hot), kpi_keys)]:
