@@ -57,7 +57,7 @@ class Hasher:
         import xxhash
         if len(self.seen) > 400_000:
             self.seen = {}
-        for t in set(tokens) - self.seen.keys():
+        for t in [t for t in set(tokens) if t not in self.seen]:
             self.seen[t] = (xxhash.xxh64_intdigest(t.lower().encode("utf-8", "surrogatepass")),
                             xxhash.xxh64_intdigest(self.shape(t).encode("utf-8", "surrogatepass"), 7))
         flat = np.fromiter((h for t in tokens for h in self.seen[t]), np.uint64, 2 * len(tokens))

@@ -28,7 +28,7 @@ def hashes(words: list[bytes]) -> np.ndarray:
     global _seen
     if len(_seen) > _REMEMBERED:
         _seen = {}
-    for w in set(words) - _seen.keys():
+    for w in [w for w in set(words) if w not in _seen]:
         _seen[w] = xxhash.xxh3_64_intdigest(w)
     return np.fromiter(map(_seen.__getitem__, words), np.uint64, len(words))
 
