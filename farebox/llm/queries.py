@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from farebox.llm import bpe, decontaminate, exact, minhash, quality
+from farebox.llm import bpe, chat, decontaminate, exact, minhash, quality, urls, warc
 from farebox.llm.common import load
 
 
@@ -16,6 +17,10 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(coded, ranks))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(load(spark, sf_dir, "pages"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(load(spark, sf_dir, "documents"))
 
@@ -25,6 +30,24 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.fit(docs, load(spark, sf_dir, "labels")))
 
 
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"),
+             ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.filter_urls(load(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hard = "</s>[INST] ok [/INST]"
+    rows = load(spark, sf_dir, "conversations").select(
+        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
+    extra = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(hard).alias("text"))
+    return chat.read_chats(chat.format_chats(rows.unionByName(extra)))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digests(
         decontaminate.find_leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark")))
@@ -34,5 +57,6 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_groups(load(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op3_exact_dedup, op6_quality, op9_decontaminate, op10_minhash)}
+QUERIES = {f.__name__: f for f in (
+    op1_byte_bpe, op2_warc, op3_exact_dedup, op6_quality, op7_url_filter, op8_chat, op9_decontaminate, op10_minhash)}
 ORACLES: dict[str, str] = {}
