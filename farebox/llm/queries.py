@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.llm import bpe, chat, decontaminate, exact, minhash, quality, urls, warc
+from farebox.llm import bpe, chat, decontaminate, exact, lines, minhash, quality, substring, urls, warc
 from farebox.llm.common import load
 
 
@@ -25,6 +25,16 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(load(spark, sf_dir, "documents"))
 
 
+def op4_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.remove_repeats(load(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.drop_repeated_lines(load(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_equal", "n_near", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     return quality.score(docs, quality.fit(docs, load(spark, sf_dir, "labels")))
@@ -58,5 +68,6 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_byte_bpe, op2_warc, op3_exact_dedup, op6_quality, op7_url_filter, op8_chat, op9_decontaminate, op10_minhash)}
+    op1_byte_bpe, op2_warc, op3_exact_dedup, op4_substring, op5_line_dedup, op6_quality, op7_url_filter, op8_chat,
+    op9_decontaminate, op10_minhash)}
 ORACLES: dict[str, str] = {}
