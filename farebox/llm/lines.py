@@ -1,7 +1,7 @@
 """Repeated and nearly repeated lines, in DataFrame functions only.
 
-Lines are compared in lower case with single spaces.  Of equal lines the
-earliest (smallest id, then line number) stays.  A line of ``min_words``
+Lines are compared without white space at their ends; words are what stands
+between single spaces.  Of equal lines the earliest (smallest id, then line number) stays.  A line of ``min_words``
 words or more is also removed if an earlier line of as many words, one fewer or one more
 lies within an edit distance of one word (a word replaced, inserted or
 removed).  Lines are judged on the input, not on what is left; blank
@@ -39,15 +39,23 @@ _DOC = ["_id", "_k"]
 _AT = [*_DOC, "_no"]
 
 
+_SPACE = " \t\n\x0b\x0c\r"
+
+
 def _folded(line: Column) -> Column:
-    return F.lower(F.trim(F.regexp_replace(line, r"[ \t-\r]+", " ")))
+    return F.btrim(line, F.lit(_SPACE))
+
 
+def _words(line: Column) -> Column:
+    """Number of words, without splitting the line."""
+    return (F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1).cast("int")
 
-def _half(words: Column, n: Column, kind: str, size: Column) -> Column:
+
+def _half(line: Column, kind: str, size: Column) -> Column:
     """Key of the first or last half of a line as one of ``size`` words."""
     p = F.floor(size / 2).cast("int")
-    part = F.slice(words, F.lit(1), p) if kind == "first" else F.slice(words, n - p + 1, p)
-    return F.xxhash64(F.lit(kind), size, F.array_join(part, " "))
+    part = F.call_function("substring_index", line, F.lit(" "), p if kind == "first" else -p)
+    return F.xxhash64(F.lit(kind), size, part)
 
 
 def _within_one_word(x: Column, y: Column) -> Column:
@@ -83,27 +91,32 @@ def drop_repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     doc, text = F.col(f"`{id_col}`"), F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     rows = df.select(doc.alias("_doc"), F.coalesce(doc.cast("long"), F.lit(2**63 - 1)).alias("_id"),
                      F.xxhash64(doc.cast("string"), text).alias("_k"), text.alias("_text"))
-    lines = rows.select(*_DOC, F.posexplode(F.split("_text", "\n")).alias("_no", "_raw")).select(
-        *_AT, _folded(F.col("_raw")).alias("_line")).where("_line <> ''")
-    words = F.split("_line", " ")
-    n = F.size(words)
-    keys = F.when(n >= min_words, F.array(
-        *(_half(words, n, kind, size) for kind in ("first", "last") for size in (n, n - 1))))
+    split = rows.select("_doc", *_DOC, F.split("_text", "\n").alias("_lines"))
+    lines = split.select(*_DOC, F.posexplode("_lines").alias("_no", "_raw")).select(
+        *_AT, _folded(F.col("_raw")).alias("_line")).where("_line <> ''").select(*_AT, "_line", _words(F.col("_line")).alias("_n"))
+    keys = F.when(F.col("_n") >= min_words, F.array(
+        *(_half(F.col("_line"), kind, size) for kind in ("first", "last") for size in (F.col("_n"), F.col("_n") - 1))))
     distinct = lines.select(
         F.xxhash64("_line").alias("_h"), F.xxhash64(F.lit(7), "_line").alias("_g"),
         F.struct(*_AT, keys.alias("_keys")).alias("_one")).groupBy("_h", "_g").agg(F.min("_one").alias("_one"))
     firsts = write_table(distinct.select("_one.*"), "lines-firsts")
 
     keyed = firsts.where("_keys is not null").select(*_AT, F.explode(F.array_distinct("_keys")).alias("_key"))
-    shared = keyed.groupBy("_key").agg(F.count("*").alias("_n")).where("_n > 1").select("_key")
-    chosen = keyed.join(shared, "_key", "left_semi").select(*_AT).distinct()
-    near = write_table(lines.where(n >= min_words).join(chosen, _AT, "left_semi").select(
-        *_AT, "_line", n.alias("_n")).dropDuplicates(_AT), "lines-near")
+    shared = write_table(keyed.groupBy("_key").agg(F.count("*").alias("_n")).where("_n > 1").select("_key"), "lines-shared")
+    chosen = keyed.join(shared, "_key", "left_semi").select(*_AT).distinct().groupBy(*_DOC).agg(
+        F.collect_list("_no").alias("_nos"))
+    # a join stands between the split and its uses, so it is not evaluated for each element
+    near = write_table(
+        split.join(chosen, _DOC).select(*_DOC, F.explode(F.transform(
+            "_nos", lambda i: F.struct(i.alias("_no"), F.get("_lines", i).alias("_raw")))).alias("_e"))
+        .select(*_DOC, "_e._no", _folded(F.col("_e._raw")).alias("_line")).withColumn("_n", _words(F.col("_line")))
+        .dropDuplicates(_AT), "lines-near")
 
     variants = write_table(_variants(near), "lines-variants")
     at = F.struct(*_AT)
     group = ["_v", "_n", "_i"]
-    leads = variants.groupBy(*group).agg(F.min(at).alias("_early"), F.count("*").alias("_m")).where("_m > 1")
+    leads = write_table(variants.groupBy(*group).agg(
+        F.min(at).alias("_early"), F.count("*").alias("_m")).where("_m > 1"), "lines-leads")
     replaced = variants.join(leads, group).select(at.alias("_late"), "_early").where("_late <> _early")
     whole = variants.where("_i = 0").select(F.col("_full").alias("_v"), (F.col("_n") + 1).alias("_n"), at.alias("_other"))
     moved = variants.select("_v", "_n", at.alias("_at")).join(whole, ["_v", "_n"]).select(
@@ -118,12 +131,10 @@ def drop_repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     by_doc = write_table(stays.groupBy(*_DOC).agg(
         F.collect_list(F.when(F.col("_near").isNull(), F.col("_no"))).alias("_stay"),
         F.count("*").alias("_firsts"), F.count("_near").alias("_nears")), "lines-stay")
-    split = rows.select("_doc", *_DOC, F.split("_text", "\n").alias("_lines"))
-    # the join stands between the split and its uses, so it is not evaluated for each element
     both = split.join(by_doc, _DOC, "left").select(
         "_doc", "_lines", F.coalesce("_stay", F.array().cast("array<int>")).alias("_stay"),
         F.coalesce("_firsts", F.lit(0)).alias("_firsts"), F.coalesce("_nears", F.lit(0)).alias("_nears"),
-        F.expr(r"filter(transform(_lines, (x, i) -> if(x rlike '^[ \\t-\\r]*$', i, null)), i -> i is not null)").alias("_blank"))
+        F.filter(F.transform("_lines", lambda x, i: F.when(_folded(x) == "", i)), lambda i: i.isNotNull()).alias("_blank"))
     return both.select(
         F.col("_doc").alias(id_col), F.size("_lines").cast("long").alias("n_lines"),
         (F.size("_lines") - F.size("_blank") - F.col("_firsts")).cast("long").alias("n_equal"),
