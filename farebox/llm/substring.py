@@ -168,8 +168,9 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     doc = F.col(f"`{id_col}`")
     rows = df.select(doc.alias("_doc"), F.coalesce(doc.cast("long"), F.lit(-1).cast("long")).alias("_id"),
                      F.xxhash64(doc.cast("string"), F.col(f"`{text_col}`")).alias("_k"), F.col(f"`{text_col}`").alias("_text"))
-    again = rows.select("_text").mapInArrow(_anchors_only(window, anchor), "_a long").groupBy("_a").agg(
-        F.count("*").alias("_n")).where("_n > 1").select("_a")
+    # a table of its own, so that Spark can split the partition of a frequent anchor in the join
+    again = write_table(rows.select("_text").mapInArrow(_anchors_only(window, anchor), "_a long").groupBy("_a").agg(
+        F.count("*").alias("_n")).where("_n > 1").select("_a"), "substring-again")
     found = rows.select("_id", "_k", "_text").mapInArrow(
         _joined(window, anchor), "_id long, _k long, _a long, _c long, _i int, _m int, _o int")
     seeds = write_table(found.join(again, "_a", "left_semi"), "substring-seeds")
