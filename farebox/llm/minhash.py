@@ -11,10 +11,14 @@
    confirmed on the full shingle sets of both texts.
 4. Links become components by alternating large-star and small-star.
 5. Buckets whose members are still in different components may hide links
-   between members that are not the smallest id: there, each member outside
-   the bucket's largest component is paired with the members of the other
-   components, and the pairs go through 3 and 4 again.  No pair within a
-   component is ever made.
+   between members that are not the smallest id.  The documents that are in
+   two such buckets or more (a pair at 0.75 similarity shares fewer with
+   a probability of 8e-5) go through an exact prefix filter: with the shingles
+   in order of rising frequency, two linked sets share one within the first ``size -
+   overlap + 1`` of each.  Shingles that no other of these documents has come first and
+   meet nothing, so altered copies beyond the threshold drop out without a
+   pair.  Pairs of different components that share such a shingle go through 3
+   and 4 again.
 
 With 32 bands of 4, a pair at 0.75 similarity shares no bucket with a
 probability of 6e-6.
@@ -41,6 +45,7 @@ PERCENT = 75
 HASHES, BAND = 128, 4
 SIFT = 72            # of 128 minima
 BLOCK = 4096         # shingles hashed at a time
+_PAIR = "_x long, _y long"
 _RNG = np.random.Generator(np.random.PCG64(20240607))
 _A = _RNG.integers(0, 2**63, (HASHES, 1), np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _RNG.integers(0, 2**63, (HASHES, 1), np.uint64)
@@ -137,19 +142,55 @@ def _confirm(batches):
         yield pa.RecordBatch.from_arrays([pa.array(xs, pa.int64()), pa.array(ys, pa.int64())], ["_x", "_y"])
 
 
-def confirmed(pairs: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (_x, _y) that are links, checked on full sets."""
-    pair = "_x long, _y long"
+def likely(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """The pairs (_x, _y) whose signatures agree enough."""
     sig = reps.select("_id", "_sig")
-    likely = write_table(
+    return write_table(
         pairs.join(sig.withColumnsRenamed({"_id": "_x", "_sig": "_sx"}), "_x")
         .join(sig.withColumnsRenamed({"_id": "_y", "_sig": "_sy"}), "_y")
-        .mapInArrow(_sift, pair), "minhash-likely")
-    ids = likely.select(F.col("_x").alias("_id")).union(likely.select("_y")).distinct()
-    own = write_table(texts.join(ids, "_id", "left_semi"), "minhash-texts")
-    return (likely.join(own.withColumnsRenamed({"_id": "_x", "_text": "_tx"}), "_x")
-            .join(own.withColumnsRenamed({"_id": "_y", "_text": "_ty"}), "_y")
-            .mapInArrow(_confirm, pair))
+        .mapInArrow(_sift, _PAIR), "minhash-likely")
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (_x, _y) that are links, checked on full sets."""
+    return write_table(
+        pairs.join(texts.withColumnsRenamed({"_id": "_x", "_text": "_tx"}), "_x")
+        .join(texts.withColumnsRenamed({"_id": "_y", "_text": "_ty"}), "_y")
+        .mapInArrow(_confirm, _PAIR), "minhash-links")
+
+
+def _tokens(batches):
+    for batch in batches:
+        for a in range(0, batch.num_rows, 64):
+            part = batch.slice(a, 64)
+            sets = [shingles(t.as_py()) for t in part.column("_text")]
+            size = np.array([len(x) for x in sets])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(np.asarray(part.column("_id")), size)), pa.array(np.repeat(size, size).astype(np.int32)),
+                 pa.array(np.concatenate(sets).view(np.int64))], ["_id", "_n", "_h"])
+
+
+def _prefix_pairs(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs of members (_id, _c) of different components that can be links."""
+    tokens = write_table(texts.join(members, "_id", "left_semi").mapInArrow(
+        _tokens, "_id long, _n int, _h long"), "minhash-tokens")
+    often = write_table(tokens.groupBy("_h").agg(F.count("*").alias("_f")).where("_f > 1"), "minhash-often")
+    # place of a shingle in its document's order: those that it has alone come first
+    known = tokens.join(often, "_h").groupBy("_id", "_n").agg(F.array_sort(F.collect_list(F.struct("_f", "_h"))).alias("_t"))
+    prefix = known.select(
+        "_id", "_n", (F.col("_n") - F.size("_t")).alias("_alone"),
+        F.posexplode(F.slice("_t", F.lit(1), F.greatest(
+            F.lit(0), F.floor(F.col("_n") * (100 - PERCENT) / 100).cast("int") + 1 - (F.col("_n") - F.size("_t"))))).alias("_p", "_e"))
+    prefix = prefix.select("_id", "_n", "_e._h", (F.col("_alone") + F.col("_p")).alias("_p")).join(members, "_id")
+    mixed = prefix.groupBy("_h").agg(F.min("_c").alias("_lo"), F.max("_c").alias("_hi")).where("_lo <> _hi").select("_h")
+    prefix = write_table(prefix.join(mixed, "_h", "left_semi"), "minhash-prefix")
+    x = prefix.select("_h", F.col("_id").alias("_x"), F.col("_n").alias("_nx"), F.col("_p").alias("_px"), F.col("_c").alias("_cx"))
+    y = prefix.select("_h", F.col("_id").alias("_y"), F.col("_n").alias("_ny"), F.col("_p").alias("_py"), F.col("_c").alias("_cy"))
+    overlap = F.expr(f"cast(ceil({PERCENT} * (_nx + _ny) / {100 + PERCENT}) as int)")
+    return x.join(y, "_h").where(
+        (F.col("_cx") != F.col("_cy")) & (F.col("_x") > F.col("_y"))
+        & (F.col("_px") <= F.col("_nx") - overlap) & (F.col("_py") <= F.col("_ny") - overlap)
+    ).select("_x", "_y").distinct()
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -188,26 +229,26 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     reps = write_table(
         rows.join(classes, "_set").where("_id = _rep").select("_id", "_sig").dropDuplicates(["_id"]), "minhash-reps")
     slim = reps.mapInArrow(_buckets, "_key long, _id long")
-    shared = slim.groupBy("_key").agg(F.count("*").alias("_n"), F.min("_id").alias("_first")).where("_n > 1")
-    buckets = write_table(slim.join(shared.select("_key", "_first"), "_key"), "minhash-buckets")
-
-    stars = buckets.where("_id <> _first").select(F.col("_id").alias("_x"), F.col("_first").alias("_y")).distinct()
-    links = write_table(confirmed(stars, reps, texts), "minhash-links")
+    # a table of its own, so that Spark can split the partition of a hot bucket in the join
+    shared = write_table(slim.groupBy("_key").agg(F.count("*").alias("_n"), F.min("_id").alias("_first")).where(
+        "_n > 1").select("_key", "_first"), "minhash-shared")
+    buckets = write_table(slim.join(shared, "_key"), "minhash-buckets")
+
+    stars = likely(buckets.where("_id <> _first").select(
+        F.col("_id").alias("_x"), F.col("_first").alias("_y")).distinct(), reps)
+    twice = buckets.groupBy("_id").agg(F.count("*").alias("_n")).where("_n > 1").select("_id")
+    ids = twice.union(stars.select("_x")).union(stars.select("_y")).distinct()
+    # the only join that moves whole texts; the same plan at every size
+    own = write_table(texts.join(ids.hint("merge"), "_id", "left_semi"), "minhash-texts")
+    links = confirmed(stars, own)
     component = components(links)
 
     member = buckets.join(component.withColumnsRenamed({"_x": "_id", "_y": "_c"}), "_id", "left").select(
-        "_key", "_id", "_first", F.coalesce("_c", "_id").alias("_c"))
+        "_key", "_id", F.coalesce("_c", "_id").alias("_c"))
     mixed = member.groupBy("_key").agg(F.min("_c").alias("_lo"), F.max("_c").alias("_hi")).where("_lo <> _hi")
-    member = write_table(member.join(mixed.select("_key"), "_key", "left_semi"), "minhash-mixed")
-    main = member.groupBy("_key", "_c").agg(F.count("*").alias("_n")).groupBy("_key").agg(
-        F.max_by("_c", F.struct("_n", "_c")).alias("_main"))
-    outside = member.join(main, "_key").where("_c <> _main and _id <> _first").select(
-        "_key", F.col("_id").alias("_x"), F.col("_c").alias("_cx"), "_main")
-    others = member.where("_id <> _first").select("_key", F.col("_id").alias("_y"), F.col("_c").alias("_cy"))
-    more = outside.join(others, "_key").where(
-        "_cx <> _cy and (_cy = _main or _x < _y)").select(
-        F.greatest("_x", "_y").alias("_x"), F.least("_x", "_y").alias("_y")).distinct()
-    extra = write_table(confirmed(more, reps, texts), "minhash-links")
+    unsure = write_table(member.join(mixed.select("_key"), "_key", "left_semi").groupBy("_id").agg(
+        F.count("*").alias("_n"), F.min("_c").alias("_c")).where("_n > 1").select("_id", "_c"), "minhash-unsure")
+    extra = confirmed(likely(_prefix_pairs(unsure, own), reps), own)
     if not extra.isEmpty():
         component = components(component.union(extra))
 
