@@ -225,11 +225,12 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     ship(df.sparkSession)
     texts = df.select(F.col(f"`{id_col}`").cast("long").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
     rows = write_table(texts.mapInArrow(_features, "_id long, _n long, _set binary, _sig binary"), "minhash-rows")
-    classes = rows.where("_set is not null").groupBy("_set").agg(F.min("_id").alias("_rep"))
+    classes = write_table(rows.where("_set is not null").groupBy("_set").agg(F.min("_id").alias("_rep")), "minhash-classes")
     reps = write_table(
         rows.join(classes, "_set").where("_id = _rep").select("_id", "_sig").dropDuplicates(["_id"]), "minhash-reps")
     slim = reps.mapInArrow(_buckets, "_key long, _id long")
-    # a table of its own, so that Spark can split the partition of a hot bucket in the join
+    # classes and shared are tables of their own, so that Spark can split the partition of a hot
+    # class or bucket in a join
     shared = write_table(slim.groupBy("_key").agg(F.count("*").alias("_n"), F.min("_id").alias("_first")).where(
         "_n > 1").select("_key", "_first"), "minhash-shared")
     buckets = write_table(slim.join(shared, "_key"), "minhash-buckets")
