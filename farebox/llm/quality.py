@@ -1,7 +1,7 @@
 """Quality classifier: naive Bayes support vectors.
 
 Features are indicators of n-grams of one and two tokens (words, runs of
-the same kind of punctuation) and of one to three token shapes, hashed into
+punctuation) and of one to three token shapes, hashed into
 ``2 ** BITS`` columns.  Class counts of all labelled training rows are summed by Spark; each
 indicator is scaled by its log-count ratio r, the row is scaled to unit length, and a
 linear hinge-loss model is fitted by dual coordinate descent over a bounded
@@ -17,10 +17,12 @@ Labels, language, source and id never enter a score."""
 
 from __future__ import annotations
 
+import itertools
 import re
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,8 +32,8 @@ from farebox.llm.common import ship
 BITS = 18
 MAX_FIT_ROWS = 10_000
 THRESHOLD = 0.3
-BLOCK_TOKENS = 200_000    # of a very long text at a time
-_TOKEN = re.compile(r"\w+|([^\w\s])\1*|[^\S\n]{2,}|\n")
+BLOCK = 1 << 20           # code points of a text handled at once
+_TOKEN = re.compile(r"\w+|[^\w\s]+|\n")
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -40,57 +42,78 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def shape(t: str) -> str:
+    if t[0].isalpha():
+        size = "1" if len(t) < 4 else "4" if len(t) < 10 else "9" if len(t) < 20 else "20"
+        return ("U" if t.isupper() and len(t) > 1 else "C" if t[0].isupper() else "l") + size
+    return "d" if t[0].isdigit() else t[:3]
+
+
+class Places(dict):
+    """Token -> number, new tokens in order of appearance."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, token: str) -> int:
+        n = self[token] = len(self)
+        self.new.append(token)
+        return n
+
+
 class Hasher:
-    """Token -> (hash of the token, hash of its shape), remembered."""
+    """Hashes of tokens and of their shapes, remembered by token."""
 
     def __init__(self):
-        self.seen: dict[str, tuple[int, int]] = {}
-
-    @staticmethod
-    def shape(t: str) -> str:
-        if t[0].isalpha():
-            size = "1" if len(t) < 4 else "4" if len(t) < 10 else "9" if len(t) < 20 else "20"
-            return ("U" if t.isupper() and len(t) > 1 else "C" if t[0].isupper() else "l") + size
-        return "d" if t[0].isdigit() else t[:3]
-
-    def __call__(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        import xxhash
-        if len(self.seen) > 400_000:
-            self.seen = {}
-        for t in [t for t in set(tokens) if t not in self.seen]:
-            self.seen[t] = (xxhash.xxh64_intdigest(t.lower().encode("utf-8", "surrogatepass")),
-                            xxhash.xxh64_intdigest(self.shape(t).encode("utf-8", "surrogatepass"), 7))
-        flat = np.fromiter((h for t in tokens for h in self.seen[t]), np.uint64, 2 * len(tokens))
-        return flat[0::2], flat[1::2]
+        self.places = Places()
+        self.hashes = np.empty((0, 2), np.uint64)
+
+    def __call__(self, tokens: list[str]) -> np.ndarray:
+        if len(self.places) > 400_000:
+            self.__init__()
+        at = np.fromiter(map(self.places.__getitem__, tokens), np.int64, len(tokens))
+        if new := self.places.new:
+            end = len(self.places)
+            if end > len(self.hashes):
+                self.hashes = np.concatenate((self.hashes, np.zeros((end + 4096, 2), np.uint64)))
+            for col, own in enumerate((str.lower, shape)):
+                self.hashes[end - len(new):end, col] = [
+                    xxhash.xxh3_64_intdigest(own(t).encode("utf-8", "surrogatepass"), col) for t in new]
+            self.places.new = []
+        return self.hashes[at]
+
+
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct values."""
+    x = np.sort(x)
+    return x[np.concatenate(([True], x[1:] != x[:-1]))] if len(x) else x
 
 
 _HASHER = Hasher()
+_SHIFT = np.uint64(64 - BITS)
+
+
+def _columns(tokens: list[str]) -> np.ndarray:
+    hashed = _HASHER(tokens)
+    word, form = hashed[:, 0], hashed[:, 1]
+    two, forms = word[:-1] * _M1 + word[1:], form[:-1] * _M1 + form[1:]
+    words = _mix(np.concatenate((word, two))) >> _SHIFT
+    forms = distinct(np.concatenate((form, forms, forms[:-1] * _M1 + form[2:])))  # few, and mostly repeated
+    return np.concatenate((words, _mix(forms) >> _SHIFT)).astype(np.int32)
 
 
 def features(text: str | None) -> np.ndarray:
     """Sorted columns of the n-grams of a whole text."""
-    out, tokens = [], []
-
-    def add(tokens):
-        word, shape = _HASHER(tokens)
-        out.append(_mix(word))
-        out.append(_mix(word[:-1] * _M1 + word[1:]))
-        out.append(_mix(shape))
-        out.append(_mix(shape[:-1] * _M1 + shape[1:]))
-        out.append(_mix((shape[:-2] * _M1 + shape[1:-1]) * _M1 + shape[2:]))
-
-    for m in _TOKEN.finditer(text or ""):
-        tokens.append(m.group())
-        if len(tokens) >= BLOCK_TOKENS:
-            add(tokens)
-            out = [np.unique((np.concatenate(out) >> np.uint64(64 - BITS)).astype(np.int32)).astype(np.uint64)
-                   << np.uint64(64 - BITS)]
-            tokens = tokens[-2:]
-    if tokens:
-        add(tokens)
-    if not out:
-        return np.empty(0, np.int32)
-    return np.unique((np.concatenate(out) >> np.uint64(64 - BITS)).astype(np.int32))
+    text = text or ""
+    if len(text) <= BLOCK:
+        tokens = _TOKEN.findall(text)
+        return distinct(_columns(tokens)) if tokens else np.empty(0, np.int32)
+    out, found, tail = np.empty(0, np.int32), (m.group() for m in _TOKEN.finditer(text)), []
+    while part := list(itertools.islice(found, BLOCK // 4)):
+        out = distinct(np.concatenate((out, _columns(tail + part))))
+        tail = part[-2:]
+    return out
 
 
 def held_out(id_col: str):
@@ -194,7 +217,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     y = labels.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{label_col}`").cast("int").alias("_y")).where(
         F.col("_y").isin(0, 1) & ~held_out("_id"))
     train = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text")).where(
-        ~held_out("_id")).join(y, "_id")
+        ~held_out("_id")).join(y.hint("merge"), "_id")  # the same plan at every size
     # at most 2 ** BITS + 1 rows, whatever the number of documents
     sums = train.select("_y", "_text").mapInArrow(_count, "_f int, _n0 long, _n1 long").groupBy("_f").agg(
         F.sum("_n0").alias("_n0"), F.sum("_n1").alias("_n1")).toArrow()
@@ -210,7 +233,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     take = min(share, max_fit_rows // 2)
     ordered = lambda d, n: d.orderBy(F.xxhash64("_id"), "_id").limit(n)
     chosen = ordered(y.where(F.col("_y") == rare), take).unionByName(
-        ordered(y.where(F.col("_y") != rare), max_fit_rows - take))
+        ordered(y.where(F.col("_y") != rare), max_fit_rows - take))  # max_fit_rows ids
     sample = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text")).join(
         chosen, "_id").select("_y", "_text").mapInArrow(_vectors, "_y int, _x binary").toArrow()
     target = np.asarray(sample.column("_y"))
