@@ -60,7 +60,8 @@ def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
     out = np.full(n, min(size, len(h)), np.uint64)
     for j in range(min(size, len(h))):
         out = WD.mix(out * WD.BASE + h[j:j + n])
-    return np.unique(out)
+    out.sort()
+    return out[np.concatenate(([True], out[1:] != out[:-1]))]
 
 
 def _minima(x: np.ndarray, starts: np.ndarray) -> np.ndarray:

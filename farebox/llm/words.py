@@ -9,7 +9,6 @@ LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 BASE = np.uint64(0x9E3779B97F4A7C15)       # odd, so it has an inverse mod 2**64
 _INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 _REMEMBERED = 400_000
-_seen: dict[bytes, int] = {}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -24,12 +23,20 @@ def split(text: str | None, lower: bool = False) -> list[bytes]:
     return (raw.translate(LOWER) if lower else raw).split()
 
 
+class _Hashes(dict):
+    """Word -> hash, made when first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        return h
+
+
+_seen = _Hashes()
+
+
 def hashes(words: list[bytes]) -> np.ndarray:
-    global _seen
     if len(_seen) > _REMEMBERED:
-        _seen = {}
-    for w in [w for w in set(words) if w not in _seen]:
-        _seen[w] = xxhash.xxh3_64_intdigest(w)
+        _seen.clear()
     return np.fromiter(map(_seen.__getitem__, words), np.uint64, len(words))
 
 
