@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from farebox.llm.common import ship
+from farebox.llm.common import only, ship
 
 BLOCK = 1 << 20       # code points tokenised at a time
 LONG = 128            # bytes
@@ -244,6 +244,7 @@ _VOCABULARIES: dict[int, Vocabulary] = {}
 
 
 def _vocabulary(shared) -> Vocabulary:
+    only("bpe", _VOCABULARIES.clear)
     tokens, pattern = shared.value
     key = hash((pattern, len(tokens), tokens[-1]))
     if key not in _VOCABULARIES:

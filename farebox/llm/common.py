@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from farebox.session import scratch_path
@@ -48,10 +50,31 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_REMEMBERED: dict[str, Callable[[], object]] = {}
+
+
+def only(name: str, forget: Callable[[], object]) -> None:
+    """Called by a task before it fills the lookup tables ``name``, which
+    ``forget`` empties: a worker that served another operator before lets
+    that one's tables go, so that it never holds those of several."""
+    if name not in _REMEMBERED:
+        for other in _REMEMBERED.values():
+            other()
+        _REMEMBERED.clear()
+        _REMEMBERED[name] = forget
+        pa.default_memory_pool().release_unused()
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
+def slices(batch: pa.RecordBatch, rows: int = 500):
+    """Parts of a batch, so that what is made of one stays small."""
+    for a in range(0, batch.num_rows, rows):
+        yield batch.slice(a, rows)
+
+
 def blocks(arrays, sizes, limit: int):
     """Consecutive index ranges [a, b) whose sizes add up to ``limit`` or
     less; one item over the limit makes a range of its own."""

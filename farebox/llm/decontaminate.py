@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from farebox.llm.common import ship
+from farebox.llm.common import ship, slices
 
 WINDOW = 10
 MAX_BYTES = 64 << 20
@@ -174,9 +174,9 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **
     at = docs.columns.index(text_col)
 
     def run(batches):
-        for batch in batches:
-            clean = [not _scanner(shared).scan(t.as_py())[1] for t in batch.column(at)]
-            yield batch.filter(pa.array(clean, pa.bool_()))
+        for part in (p for batch in batches for p in slices(batch)):
+            clean = [not _scanner(shared).scan(t.as_py())[1] for t in part.column(at)]
+            yield part.filter(pa.array(clean, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from farebox.llm.common import ship
+from farebox.llm.common import only, ship, slices
 
 BITS = 18
 MAX_FIT_ROWS = 10_000
@@ -105,6 +105,7 @@ def _columns(tokens: list[str]) -> np.ndarray:
 
 def features(text: str | None) -> np.ndarray:
     """Sorted columns of the n-grams of a whole text."""
+    only("quality", _HASHER.__init__)
     text = text or ""
     if len(text) <= BLOCK:
         tokens = _TOKEN.findall(text)
@@ -282,8 +283,8 @@ def drop_rejects(docs: DataFrame, model: Model, text_col: str = "text", threshol
     at = docs.columns.index(text_col)
 
     def run(batches):
-        for batch in batches:
-            good = [shared.value.score(t.as_py()) >= threshold for t in batch.column(at)]
-            yield batch.filter(pa.array(good, pa.bool_()))
+        for part in (p for batch in batches for p in slices(batch)):
+            good = [shared.value.score(t.as_py()) >= threshold for t in part.column(at)]
+            yield part.filter(pa.array(good, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

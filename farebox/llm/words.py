@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from farebox.llm.common import only
+
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 BASE = np.uint64(0x9E3779B97F4A7C15)       # odd, so it has an inverse mod 2**64
 _INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
@@ -35,6 +37,7 @@ _seen = _Hashes()
 
 
 def hashes(words: list[bytes]) -> np.ndarray:
+    only("words", _seen.clear)
     if len(_seen) > _REMEMBERED:
         _seen.clear()
     return np.fromiter(map(_seen.__getitem__, words), np.uint64, len(words))
