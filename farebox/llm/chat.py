@@ -79,48 +79,52 @@ def assemble(columns: list, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return out, at, lens
 
 
-def _format(batches):
-    last, part = object(), 0
-    for batch in batches:
-        texts = batch.column("_text").fill_null("")
-        roles = batch.column("_role").fill_null("")
-        sizes = pc.binary_length(texts).to_pylist()
-        convs = batch.column("_conv").to_pylist()
-        for a, b in blocks(sizes, sizes, PART_BYTES):
-            n = b - a
-            text, role = escape(texts.slice(a, n)), escape(roles.slice(a, n))
-            change = [k for k in range(n) if (convs[a + k] != (convs[a + k - 1] if k else last))]
-            first = set(change)
-            start = pa.array([START if k in first else "" for k in range(n)])
-            data, at, lens = assemble([start, ROLE.encode(), role, TEXT.encode(), text, END.encode()], n)
-            begin = sorted(first | {0})
-            row_end = at[:, -1] + lens[:, -1]
-            offsets = np.concatenate((at[begin, 0], row_end[-1:])).astype(np.int32)
-            formatted = pa.Array.from_buffers(pa.string(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
-            loss = [[] for _ in begin]
-            owner = np.searchsorted(begin, np.arange(n), side="right") - 1
-            for k in np.flatnonzero(np.asarray(pc.equal(roles.slice(a, n), LOSS_ROLE))):
-                shift = int(offsets[owner[k]])
-                loss[owner[k]].append([int(at[k, 4]) - shift, int(at[k, 4] + lens[k, 4]) - shift])
-            ids, numbers = [], []
-            for k in begin:
-                part = 0 if k in first else part + 1
-                ids.append(convs[a + k])
-                numbers.append(part)
-            last = convs[b - 1]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(numbers, pa.int64()), formatted,
-                 pa.array(loss, pa.list_(pa.list_(pa.int32())))], ["conv_id", "part", "formatted", "loss"])
+def _format(part_bytes: int):
+    def run(batches):
+        last, part = object(), 0
+        for batch in batches:
+            texts = batch.column("_text").fill_null("")
+            roles = batch.column("_role").fill_null("")
+            sizes = pc.binary_length(texts).to_pylist()
+            convs = batch.column("_conv").to_pylist()
+            for a, b in blocks(sizes, sizes, part_bytes):
+                n = b - a
+                text, role = escape(texts.slice(a, n)), escape(roles.slice(a, n))
+                change = [k for k in range(n) if (convs[a + k] != (convs[a + k - 1] if k else last))]
+                first = set(change)
+                start = pa.array([START if k in first else "" for k in range(n)])
+                data, at, lens = assemble([start, ROLE.encode(), role, TEXT.encode(), text, END.encode()], n)
+                begin = sorted(first | {0})
+                row_end = at[:, -1] + lens[:, -1]
+                offsets = np.concatenate((at[begin, 0], row_end[-1:])).astype(np.int32)
+                formatted = pa.Array.from_buffers(pa.string(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+                loss = [[] for _ in begin]
+                owner = np.searchsorted(begin, np.arange(n), side="right") - 1
+                for k in np.flatnonzero(np.asarray(pc.equal(roles.slice(a, n), LOSS_ROLE))):
+                    shift = int(offsets[owner[k]])
+                    loss[owner[k]].append([int(at[k, 4]) - shift, int(at[k, 4] + lens[k, 4]) - shift])
+                ids, numbers = [], []
+                for k in begin:
+                    part = 0 if k in first else part + 1
+                    ids.append(convs[a + k])
+                    numbers.append(part)
+                last = convs[b - 1]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids, pa.int64()), pa.array(numbers, pa.int64()), formatted,
+                     pa.array(loss, pa.list_(pa.list_(pa.int32())))], ["conv_id", "part", "formatted", "loss"])
+
+    return run
 
 
 def format_chats(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
-                 text_col: str = "text") -> DataFrame:
+                 text_col: str = "text", part_bytes: int = PART_BYTES) -> DataFrame:
     """Parts in order within a partition, a conversation's parts in one
     partition: conv_id, part, formatted, loss ([start, end) bytes)."""
     ship(rows.sparkSession)
     source = rows.select(F.col(f"`{conv_col}`").cast("long").alias("_conv"), F.col(f"`{turn_col}`").alias("_turn"),
                          F.col(f"`{role_col}`").alias("_role"), F.col(f"`{text_col}`").alias("_text"))
-    return source.repartition("_conv").sortWithinPartitions("_conv", "_turn", "_role", "_text").mapInArrow(_format, _PARTS)
+    return source.repartition("_conv").sortWithinPartitions("_conv", "_turn", "_role", "_text").mapInArrow(
+        _format(part_bytes), _PARTS)
 
 
 class _Reader:
