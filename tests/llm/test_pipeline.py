@@ -1,0 +1,36 @@
+"""The corpus pipeline stage by stage against brute force."""
+
+import os
+import sys
+
+sys.path.insert(0, os.path.dirname(__file__))
+import brute  # noqa: E402
+import corpus_pipeline as P  # noqa: E402
+
+from farebox.llm import quality  # noqa: E402
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages_and_run(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    texts = brute.docs("sf0.001")
+    model = quality.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    left = {i: t for i, t in texts.items() if model.score(t) >= 0.3}
+    left = {i: left[i] for i, r in brute.op3(left).items() if r[3]}
+    left = {i: left[i] for i, r in brute.op10(left).items() if r[3]}
+    items = brute.pq.read_table(f"{SF}/benchmark.parquet").to_pydict()
+    leaks = brute.op9(left, dict(zip(items["item_id"], items["text"])))
+    left = {i: left[i] for i, r in leaks.items() if not r[5]}
+    want = brute.op1(left)
+    out = P.run(spark, SF)
+    assert out.columns[:5] == docs.columns
+    rows = out.collect()
+    assert {r["doc_id"]: r["n_tokens"] for r in rows} == {i: r[1] for i, r in want.items()}
+    assert all(brute.sha(" ".join(map(str, r["ids"]))) == want[r["doc_id"]][2] and r["round_trip"] for r in rows)
+
+
+def test_stages_keep_the_columns(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for name, stage in P.STAGES[:-1]:
+        assert stage(spark, docs, SF).schema == docs.schema, name
