@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from farebox.llm import bpe, chat, decontaminate, exact, lines, minhash, quality, substring, urls, warc
 from farebox.llm.common import load
+from farebox.llm.oracles import ORACLES  # noqa: F401
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,4 +71,3 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_byte_bpe, op2_warc, op3_exact_dedup, op4_substring, op5_line_dedup, op6_quality, op7_url_filter, op8_chat,
     op9_decontaminate, op10_minhash)}
-ORACLES: dict[str, str] = {}
