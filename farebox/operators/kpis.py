@@ -200,9 +200,15 @@ def append_kpis(kpis: DataFrame, extra: DataFrame) -> DataFrame:
 
 
 # P12 - the two-column KPI table as one map value
-def kpi_dict(kpis: DataFrame) -> DataFrame:
-    return kpis.agg(F.map_from_entries(F.collect_list(F.struct("indicateur", "valeur")))
-                    .alias("kpis"))
+def kpi_dict(kpis: DataFrame, position: str | None = None) -> DataFrame:
+    """One map; of rows that repeat an indicator the last counts.  The order of
+    rows is that of the column ``position``, or else the order as read."""
+    at = F.col(position) if position else F.monotonically_increasing_id()
+    rows = kpis.select("indicateur", "valeur", at.alias("_at")).groupBy("indicateur").agg(
+        F.max_by("valeur", "_at").alias("valeur"), F.min("_at").alias("_at"))
+    ordered = F.array_sort(F.collect_list(F.struct("_at", "indicateur", "valeur")))
+    return rows.agg(F.map_from_entries(F.transform(
+        ordered, lambda r: F.struct(r["indicateur"], r["valeur"]))).alias("kpis"))
 
 
 # A11 + K5 + K6 over a revenue-per-slot mart (e.g. read back from its TSV):

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -85,7 +86,7 @@ REGISTRY: dict[str, Registered] = {
     "total_trips": Registered(_mart(A.total_trips), Q.with_marts("SELECT COUNT(*) AS nb_lignes FROM trips")),
     # --- operators over marts -----------------------------------------------
     "report_totals": Registered(
-        _over(A.peak_revenue, K.report_totals),
+        _over(partial(A.peak_revenue, sort=False), K.report_totals),
         Q.with_marts("""SELECT COUNT(*) AS nb_creneaux, CAST(SUM(nb_courses) AS BIGINT) AS nb_courses,
                         RND(SUM(recette_totale), 2) AS recette_totale FROM peak_revenue""", "peak_revenue")),
     "top5_slots": Registered(
@@ -103,7 +104,7 @@ REGISTRY: dict[str, Registered] = {
                         ORDER BY nb_courses DESC NULLS LAST, mode_paiement NULLS LAST LIMIT 1""",
                      "payment_methods")),
     "payment_share": Registered(
-        _over(A.payment_methods, K.payment_share),
+        _over(partial(A.payment_methods, sort=False), K.payment_share),
         Q.with_marts("""SELECT mode_paiement, nb_courses,
                         RND(nb_courses / (SELECT SUM(nb_courses) FROM payment_methods) * 100.0, 1) AS part_pct
                         FROM payment_methods""", "payment_methods")),
@@ -127,7 +128,7 @@ REGISTRY: dict[str, Registered] = {
         _over(A.trips_per_hour, K.busiest_hour),
         Q.mart_query("trips_per_hour", "nb_courses DESC NULLS LAST, heure", 1)),
     "mean_speed_kpi": Registered(
-        _over(A.speed_analysis, K.mean_speed_kpi),
+        _over(partial(A.speed_analysis, sort=False), K.mean_speed_kpi),
         Q.with_marts(f"""SELECT RND(AVG(vitesse_moyenne_mph), 2) AS vitesse_moyenne_mph,
                            RND(AVG(vitesse_moyenne_mph) * {Q.S.MILES_TO_KM}, 1) AS vitesse_moyenne_kmh,
                            RND(SUM(vitesse_moyenne_mph * nb_courses) / SUM(nb_courses), 2) AS vitesse_ponderee_mph

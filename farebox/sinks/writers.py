@@ -19,9 +19,9 @@ from pyspark.sql import DataFrame
 
 def _prepare(df: DataFrame, order_by: Sequence[str] | None, single_file: bool) -> DataFrame:
     if single_file:
-        # One partition, sorted inside it: no range-partition exchange for a
-        # mart of a few hundred rows.
-        df = df.coalesce(1)
+        # An exchange of finished rows: the final aggregate below it stays
+        # parallel, and only the sort of the mart's rows runs in one task.
+        df = df.repartition(1)
         return df.sortWithinPartitions(*order_by) if order_by else df
     return df.orderBy(*order_by) if order_by else df
 

@@ -20,7 +20,7 @@ from farebox.functions import predicates as PR
 
 
 def read_raw_trips(spark: SparkSession, path: str | list[str], *,
-                   sep: str = ",", header: bool = True,
+                   sep: str = ",", header: bool = False,
                    quote: str = '"', escape: str = '"') -> DataFrame:
     """All-string 19-column records (for inspection or custom typing).  ``header`` skips the first line of every
     file; blank lines are skipped by the CSV source; short records get NULL
@@ -86,7 +86,7 @@ def finish_typed(df: DataFrame) -> DataFrame:
 
 
 def read_trips_text(spark: SparkSession, path: str | list[str], *, sep: str = ",",
-                    header: bool = True, quote: str = '"', escape: str = '"',
+                    header: bool = False, quote: str = '"', escape: str = '"',
                     text_rules: bool = False) -> DataFrame:
     """Typed trips from a directory (or list) of delimited text files.
 
@@ -94,8 +94,9 @@ def read_trips_text(spark: SparkSession, path: str | list[str], *, sep: str = ",
     field, inside the scan, with the marts' filters pushed into the reader).
     In PERMISSIVE mode a field that does not convert becomes NULL and the
     rest of the record is kept, so a bad fare only removes the trip from the
-    marts that read the fare.  ``header`` skips the first line of every file;
-    blank lines are skipped; short records get NULL for the missing fields.
+    marts that read the fare.  Header lines are dropped
+    wherever they stand, known by their first field; ``header=True`` skips the first line of every
+    file whatever it holds.  Blank lines are skipped; short records get NULL for the missing fields.
     ``quote=""`` gives the quote-unaware split (S5).
 
     ``text_rules=True`` reads every field as text and types it with the

@@ -46,7 +46,7 @@ def trip_stream(spark: SparkSession, path: str, fmt: str = "csv", *,
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if fmt == "csv":
         typed = (reader.schema(TX.TYPED_READ_SCHEMA).options(**TX.CSV_TYPED_OPTIONS)
-                 .option("header", csv_options.get("header", True))
+                 .option("header", csv_options.get("header", False))
                  .option("sep", csv_options.get("sep", ","))
                  .option("quote", '"').option("escape", '"').csv(path))
         return TX.finish_typed(typed)
@@ -71,7 +71,9 @@ def start_mart(spark: SparkSession, trips: DataFrame, name: str, *,
     ``query_name`` (default: the mart name)."""
     df = mart_stream(trips, name, **params)
     w = (df.writeStream.outputMode("complete")
-         .option("checkpointLocation", checkpoint or scratch_path(spark, f"stream-{name}")))
+         .option("checkpointLocation", checkpoint or (
+             f"{output.rstrip('/')}-checkpoint-{name}" if output is not None
+             else scratch_path(spark, f"stream-{name}"))))
     if output is not None:
         keys = S.MART_KEYS.get(name) or None
         writer = W.WRITERS[fmt]

@@ -151,3 +151,10 @@ def test_kpi_summary_skips_empty_marts(spark):
                          hours=empty["trips_per_hour"], zones=empty["revenue_per_zone"],
                          payment=empty["payment_methods"], suspicious=empty["suspicious_trips"])
     assert kpis.count() == 0
+
+
+def test_kpi_dict_keeps_the_last_value_of_a_repeated_indicator(spark):
+    from farebox.operators import kpis as K
+    rows = spark.createDataFrame([(2, "b", "2"), (1, "a", "1"), (3, "a", "9")], "n int, indicateur string, valeur string")
+    assert K.kpi_dict(rows, position="n").first()["kpis"] == {"a": "9", "b": "2"}
+    assert list(K.kpi_dict(rows, position="n").first()["kpis"]) == ["a", "b"]

@@ -111,3 +111,11 @@ def test_slot_report_from_tsv(spark, trips, tmp_dir):
     for part in ("totals", "top5", "best"):
         assert [tuple(r) for r in rep[part].collect()] == [tuple(r) for r in direct[part].collect()]
     assert rep["totals"].collect()[0]["nb_creneaux"] == peak.count()
+
+
+def test_single_file_export_keeps_the_final_aggregate_parallel(spark):
+    """An exchange of finished rows stands between the aggregate and the one task."""
+    from farebox.sinks import writers as W
+    mart = spark.range(1000).selectExpr("id % 7 as k").groupBy("k").count()
+    plan = W._prepare(mart, ["k"], True)._jdf.queryExecution().toString()
+    assert "Coalesce 1" not in plan and "SinglePartition, REPARTITION_BY_NUM" in plan

@@ -284,3 +284,15 @@ def test_input_profile_of_text_files(spark, tmp_dir):
     assert sorted(r["lignes"] for r in prof) == [2, 3]  # header line included: raw input profile
     assert all(r["octets"] == os.path.getsize(r["fichier"].replace("file://", "").replace("file:", ""))
                for r in prof)
+
+
+def test_files_without_a_header_lose_no_record(spark, tmp_dir):
+    import os
+
+    from farebox.sources import text as TX
+    line = "1,2024-01-0{0} 08:00:00,2024-01-0{0} 08:10:00,1,2.5,1,N,10,20,1,10.0,0,0,0,0,0,12.0,0,0\n"
+    for k in (1, 2):
+        with open(os.path.join(tmp_dir, f"f{k}.csv"), "w") as f:
+            f.write(line.format(k) * 3)
+    assert TX.read_trips_text(spark, tmp_dir).count() == 6
+    assert TX.read_trips_text(spark, tmp_dir, header=True).count() == 4
