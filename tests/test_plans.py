@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
+from farebox.plans.registry import REGISTRY
 from farebox import schema as S
 from farebox.operators import marts as A
 from farebox.plans import storage as ST
@@ -29,7 +30,7 @@ def spark_mode(name):
     return jvm.org.apache.spark.sql.execution.ExplainMode.fromString(name)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_no_python_and_no_pair_generation(spark, name):
     plan = formatted(E.queries()[name](spark, SF_SMALL))
     for node in PYTHON_NODES + PAIR_NODES:
@@ -96,7 +97,7 @@ LIMIT_IS_THE_FEATURE = {"od_flows_top20", "top5_slots", "top_revenue_slots", "be
                         "zone_preview"}
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_reads_whole_lineitem_and_limits_only_where_featured(spark, name):
     df = E.queries()[name](spark, SF_SMALL)
     optimized = df._jdf.queryExecution().optimizedPlan().toString()
