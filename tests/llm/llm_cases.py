@@ -1,0 +1,41 @@
+"""Odd rows and fixtures shared by the tests of this folder."""
+
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+SF = "/root/testdata/sf0.001"
+
+LONG = " ".join(f"w{i % 977}x{i % 31}" for i in range(30_000))
+PASSAGE = " ".join(f"pass{i}" for i in range(50))
+#: nulls, empty and blank texts, one very long text, ties, repeated rows, odd characters
+TEXTS = [
+    (1, "The cat sat on the mat and looked at the dog."), (2, "The cat  sat on the mat\nand looked at the dog."),
+    (3, None), (4, ""), (5, " \t\n\r"), (6, LONG), (7, LONG), (None, "no id at all"), (None, None),
+    (8, "The cat sat on the mat and looked at the dog."), (8, "The cat sat on the mat and looked at the dog."),
+    (9, f"one two {PASSAGE} three"), (10, f"{PASSAGE} four five"), (11, "a" * 3000 + " " + "é" * 300),
+    (12, "naïve \u00a0 café \u2028 日本語 🙂 \\ </s> [INST]"), (13, "\x00 \x1c odd \x85 bytes"),
+    (14, "aa aa aa aa " * 30), (15, "line one of five words\nline two of five words\n\nline one of five words\nlast"),
+]
+
+
+@pytest.fixture()
+def odd_docs(spark):
+    """The texts above with further columns whose names clash with inner ones."""
+    rows = [(i, t, "x", 1, datetime.date(2020, 1, 1)) for i, t in TEXTS]
+    return spark.createDataFrame(rows, "doc_id long, text string, _id string, _n int, ids date")
+
+
+@pytest.fixture()
+def no_docs(spark):
+    return spark.createDataFrame([], "doc_id long, text string, _id string, _n int, ids date")
+
+
+def by_id(df, *cols):
+    return sorted((tuple(r) for r in df.select(*cols).collect()), key=str)
+
+
+@pytest.fixture()
+def labels(spark):
+    return spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", F.col("quality"), F.col("toxic"))

@@ -5,7 +5,7 @@ import collections
 import hashlib
 import re
 
-from conftest import SF
+from llm_cases import SF
 from pyspark.sql import functions as F
 
 from farebox.llm import chat, queries, urls, warc

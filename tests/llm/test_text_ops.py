@@ -11,7 +11,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(__file__))
 import brute  # noqa: E402
-from conftest import SF, TEXTS, by_id  # noqa: E402
+from llm_cases import SF, TEXTS, by_id, labels, no_docs, odd_docs  # noqa: E402, F401
 
 from farebox.llm import bpe, decontaminate, exact, lines, minhash, queries, quality, substring  # noqa: E402
 
@@ -33,6 +33,17 @@ def test_queries_against_brute_force(spark):
         assert got == rows, name
 
 
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_queries_against_sql(spark, name):
+    con = pytest.importorskip("duckdb").connect()
+    for t in ("documents", "pages", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    found = con.execute(queries.ORACLES[name])
+    df = queries.QUERIES[name](spark, SF)
+    assert [c[0] for c in found.description] == df.columns
+    assert sorted(map(str, found.fetchall())) == sorted(str(tuple(r)) for r in df.collect())
+
+
 def test_bpe_odd_rows(odd_docs, no_docs):
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     coded = bpe.encode(odd_docs, ranks, public_tokenizers.PATTERN)
