@@ -178,7 +178,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     classes = seeds.groupBy("_a", "_c").agg(
         F.count("*").alias("_n"), F.min(F.struct("_id", "_k", "_i", "_m", "_o")).alias("_one"))
     classes = write_table(classes.select("_a", "_c", "_n", "_one.*"), "substring-classes")
-    several = classes.groupBy("_a").agg(F.count("*").alias("_s")).where("_s > 1").select("_a")
+    several = write_table(classes.groupBy("_a").agg(F.count("*").alias("_s")).where("_s > 1").select("_a"), "substring-several")
     one = classes.join(several, "_a", "left_semi").groupBy(*_KEY).agg(
         F.collect_list(F.struct("_a", "_c", "_n", "_i", "_m", "_o")).alias("_seeds"))
     extended = write_table(
