@@ -80,6 +80,12 @@ def speed_mph(distance: Column | str = "trip_distance",
     return F.try_divide(_c(distance), duration_hours(pickup, dropoff))
 
 
+def zone_number(zone: Column | str) -> Column:
+    """INT zone of the origin-destination flows; text sources carry the
+    departure zone as a text key, NULL here unless it is an integer."""
+    return _c(zone).try_cast("int")
+
+
 def payment_label(code: Column | str = "payment_type") -> Column:
     """Six named codes, ``Autre(<code>)`` otherwise, NULL for a NULL code."""
     code = _c(code)

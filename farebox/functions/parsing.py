@@ -44,6 +44,11 @@ def parse_int(s: Column | str) -> Column:
     return F.when(s.rlike(INT_PATTERN), s.try_cast("int"))
 
 
+def parse_key(s: Column | str) -> Column:
+    """A text key without the blanks around it, NULL when nothing is left."""
+    return F.nullif(F.trim(_c(s)), F.lit(""))
+
+
 def coerce_numeric(df, columns):
     """Force the listed columns to DOUBLE, unparsable values to NULL
     (the report's numeric coercion of mart columns)."""

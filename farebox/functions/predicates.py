@@ -67,7 +67,7 @@ def payment_ok(max_amount: float = S.MAX_AMOUNT) -> Column:
 def od_ok() -> Column:
     """F8: distance > 0, fare > 0, pickup zone differs from drop-off zone."""
     return ((F.col("trip_distance") > 0) & (F.col("fare_amount") > 0)
-            & (F.col("PULocationID") != F.col("DOLocationID")))
+            & (C.zone_number("PULocationID") != F.col("DOLocationID")))
 
 
 def weekly_ok(year: int = S.WEEKLY_YEAR, max_amount: float = S.MAX_AMOUNT) -> Column:

@@ -61,6 +61,8 @@ def revenue_per_zone(trips: DataFrame, *, max_amount: float = S.MAX_AMOUNT,
                      sort: bool = True, rounding: str = "sql") -> DataFrame:
     fare, tip, total = F.col("fare_amount"), F.col("tip_amount"), F.col("total_amount")
     r = C.rounder(rounding)
+    # The zone is any non-empty key: an INT where the source is typed, the
+    # trimmed text of the field where the source is text.
     # The filter makes fare, tip and total non-NULL: means are sums over the
     # trip count (what avg computes), four buffers for all outputs.
     n, sf, st, sa = F.col("nb_courses"), F.col("s_fare"), F.col("s_tip"), F.col("s_total")
@@ -158,7 +160,7 @@ def payment_methods(trips: DataFrame, *, max_amount: float = S.MAX_AMOUNT,
 # --------------------------------------------------------------------------
 def od_flows(trips: DataFrame, *, top: int | None = 20, sort: bool = True) -> DataFrame:
     out = (trips.filter(PR.od_ok())
-           .groupBy(F.col("PULocationID").alias("zone_depart"),
+           .groupBy(C.zone_number("PULocationID").alias("zone_depart"),
                     F.col("DOLocationID").alias("zone_arrivee"))
            .agg(F.count(F.lit(1)).alias("nb_courses"),
                 C.round_half_up(F.avg("trip_distance"), 2).alias("dist_moy_miles"),

@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from farebox import schema as S
 from farebox.functions import columns as C
@@ -63,17 +64,19 @@ def mart_entries(trips: DataFrame, *, weekly_year: int = S.WEEKLY_YEAR,
     fare, tip, total = F.col("fare_amount"), F.col("tip_amount"), F.col("total_amount")
     dist = F.col("trip_distance")
     secs, speed = F.col("duree_s"), F.col("vitesse_mph")
+    # an INT zone is a small key; a text zone (text sources) is kept as it is
+    text_zone = isinstance(trips.schema[S.ZONE].dataType, StringType)
     entries = [
         _entry("trips_per_hour", PR.has_pickup(), k1=hr),
-        _entry("revenue_per_zone", PR.zone_revenue_ok(max_amount), k1=F.col("PULocationID"),
-               v1=fare, v2=tip, v3=total),
+        _entry("revenue_per_zone", PR.zone_revenue_ok(max_amount),
+               **{"ks" if text_zone else "k1": F.col(S.ZONE)}, v1=fare, v2=tip, v3=total),
         _entry("speed_analysis", PR.speed_ok(max_speed, seconds=secs, speed=speed), k1=wd, k2=hr,
                v1=dist, v2=secs / F.lit(3600.0), v3=speed),
         _entry("peak_revenue", PR.peak_revenue_ok(max_amount), k1=wd, k2=hr,
                v1=F.round(fare, 2), v2=F.round(tip, 2)),
         _entry("payment_methods", PR.payment_ok(max_amount), k1=F.col("payment_type"),
                v1=fare, v2=tip, v3=total, v4=tip / F.nullif(fare, F.lit(0.0))),
-        _entry("od_flows", PR.od_ok(), k1=F.col("PULocationID"), k2=F.col("DOLocationID"),
+        _entry("od_flows", PR.od_ok(), k1=C.zone_number(S.ZONE), k2=F.col("DOLocationID"),
                v1=dist, v2=fare, v3=tip),
         _entry("weekly_revenue", PR.weekly_ok(weekly_year, max_amount), k1=F.year(d),
                k2=F.weekofyear(d), v1=total, v2=dist, v3=F.col("passenger_count")),
@@ -118,7 +121,7 @@ def marts_from_groups(groups: DataFrame, *, sort: bool = True) -> dict[str, Data
         "trips_per_hour": order(of("trips_per_hour").select(
             C.hour_label("k1").alias("heure"), n.alias("nb_courses")), "heure"),
         "revenue_per_zone": order(of("revenue_per_zone").select(
-            F.col("k1").cast("string").alias("zone_depart"), n.alias("nb_courses"),
+            F.coalesce("ks", F.col("k1").cast("string")).alias("zone_depart"), n.alias("nb_courses"),
             _r(_avg("v1"), 2).alias("tarif_moyen"), _r(_avg("v2"), 2).alias("pourboire_moyen"),
             _r(_avg("v3"), 2).alias("montant_moyen"),
             _r(C.ratio_pct(F.col("s_v2"), F.col("s_v1")), 1).alias("taux_pourboire")), "zone_depart"),

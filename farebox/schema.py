@@ -41,6 +41,7 @@ RAW_TRIP_SCHEMA = T.StructType(
 
 PICKUP = "tpep_pickup_datetime"
 DROPOFF = "tpep_dropoff_datetime"
+ZONE = "PULocationID"
 
 # ---------------------------------------------------------------------------
 # Fixed values.  These must stay exactly as written: the marts' keys and

@@ -10,11 +10,14 @@ explicit text rules, for all-string sources (``type_trips``)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farebox import schema as S
+from farebox.functions import columns as C
 from farebox.functions import parsing as P
 from farebox.functions import predicates as PR
 
@@ -40,23 +43,28 @@ def read_raw_trips(spark: SparkSession, path: str | list[str], *,
     return reader.csv(path)
 
 
+def _typed_text(name: str, dtype: T.DataType) -> Column:
+    """A text field under its column's text rule.  The departure zone stays
+    text: it is a key of the revenue mart whatever it holds."""
+    if name == S.ZONE:
+        return P.parse_key(name)
+    if isinstance(dtype, T.TimestampNTZType):
+        return P.parse_timestamp(name).cast(dtype)
+    if isinstance(dtype, T.DoubleType):
+        return P.parse_double(name).cast(dtype)
+    if isinstance(dtype, T.IntegerType):
+        return P.parse_int(name).cast(dtype)
+    return F.col(name).cast(dtype)
+
+
 def type_trips(raw: DataFrame) -> DataFrame:
     """All-string records (``read_raw_trips``, or any string source) -> typed
-    trips (``TRIP_SCHEMA``) with the explicit text rules of
+    trips (``TRIP_SCHEMA``, the departure zone as text) with the explicit text rules of
     ``farebox.functions.parsing``.  Stray header lines (first field
     ``VendorID``) are removed; nothing else is."""
     typed = []
     for name, dtype in S.TRIP_COLUMNS:
-        c = F.col(name)
-        if isinstance(dtype, T.TimestampNTZType):
-            e = P.parse_timestamp(c)
-        elif isinstance(dtype, T.DoubleType):
-            e = P.parse_double(c)
-        elif isinstance(dtype, T.IntegerType):
-            e = P.parse_int(c)
-        else:
-            e = c
-        typed.append(e.cast(dtype).alias(name))
+        typed.append(_typed_text(name, dtype).alias(name))
     return raw.filter(PR.not_header("VendorID")).select(*typed)
 
 
@@ -72,17 +80,19 @@ CSV_TYPED_OPTIONS = {
 }
 
 # The typed read schema: the fact schema except the first field, kept as
-# text so that stray header lines can be recognised and removed.
+# text so that stray header lines can be recognised and removed, and the
+# zones: the departure zone is a text key, the other one a padded INT.
 TYPED_READ_SCHEMA = T.StructType(
-    [T.StructField("VendorID", T.StringType(), True)] + list(S.TRIP_SCHEMA.fields[1:]))
+    [T.StructField(n, T.StringType() if n in ("VendorID", S.ZONE, "DOLocationID") else t, True) for n, t in S.TRIP_COLUMNS])
 TYPED_READ_DDL = ", ".join(f"`{f.name}` {f.dataType.simpleString().upper()}"
                            for f in TYPED_READ_SCHEMA.fields)
 
 
 def finish_typed(df: DataFrame) -> DataFrame:
-    """Drop stray header lines, type the first field."""
+    """Drop stray header lines, type the first field, trim the zone key."""
     return (df.filter(PR.not_header("VendorID"))
-            .withColumn("VendorID", P.parse_int("VendorID")))
+            .withColumns({"VendorID": P.parse_int("VendorID"), S.ZONE: P.parse_key(S.ZONE),
+                          "DOLocationID": C.zone_number("DOLocationID")}))
 
 
 def read_trips_text(spark: SparkSession, path: str | list[str], *, sep: str = ",",
@@ -117,32 +127,57 @@ def read_trips_text(spark: SparkSession, path: str | list[str], *, sep: str = ",
 
 
 def conform_trips(df: DataFrame) -> DataFrame:
-    """Cast whatever trip columns a source has to the fact schema types.
-    Text timestamps are parsed; zoned timestamps become naive wall-clock
-    time in the session time zone."""
+    """Cast whatever trip columns a source has, in any letter case, to the
+    fact schema types.  Text fields follow the text rules; zoned timestamps
+    become naive wall-clock time in the session time zone.  Of columns that
+    differ in case only, the exact name counts, else the first."""
+    here: dict[str, str] = {}
+    for n in df.columns:
+        here.setdefault(n.lower(), n)
+    here.update({n.lower(): n for n, _ in S.TRIP_COLUMNS if n in df.columns})
     cols = []
     for name, dtype in S.TRIP_COLUMNS:
-        if name not in df.columns:
+        if name.lower() not in here:
             continue
-        src = df.schema[name].dataType
-        c = F.col(name)
-        if isinstance(dtype, T.TimestampNTZType) and isinstance(src, T.StringType):
-            e = P.parse_timestamp(c)
-        elif isinstance(src, T.StringType) and isinstance(dtype, T.DoubleType):
-            e = P.parse_double(c)
-        elif isinstance(src, T.StringType) and isinstance(dtype, T.IntegerType):
-            e = P.parse_int(c)
+        src = df.schema[here[name.lower()]].dataType
+        if isinstance(src, T.StringType):
+            cols.append(_typed_text(name, dtype).alias(name))
         else:
-            e = c
-        cols.append(e.cast(dtype).alias(name) if src != dtype else c)
+            cols.append(F.col(name).cast(dtype).alias(name) if src != dtype else F.col(name).alias(name))
     return df.select(*cols)
 
 
+def _same_schema_groups(spark: SparkSession, paths: list[str]) -> list[list[str]]:
+    """The files below ``paths`` by schema, one footer read per file."""
+    groups: dict[str, list[str]] = {}
+    for f in spark.read.format("binaryFile").load(paths).inputFiles():
+        groups.setdefault(spark.read.parquet(f).schema.json(), []).append(f)
+    return list(groups.values())
+
+
 def read_trips_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Typed trips from Parquet.  Column pruning and predicate pushdown
-    reach the scan because the marts only select and filter plain columns."""
+    reach the scan because the marts only select and filter plain columns.
+
+    The footers are merged by Spark in parallel, so a column that only some
+    files have is kept.  Files whose types differ (a count written as DOUBLE
+    one month, as BIGINT the next) are read group by group, each conformed to
+    the fact schema, and united; only then are schemas read file by file.  A
+    zone that is text in one group is text in all."""
     paths = [path] if isinstance(path, str) else list(path)
-    return conform_trips(spark.read.parquet(*paths))
+    try:
+        return conform_trips(spark.read.option("mergeSchema", True).parquet(*paths))
+    except (PySparkException, Py4JJavaError) as e:
+        if "CANNOT_MERGE" not in str(e):
+            raise
+    parts = [conform_trips(spark.read.parquet(*g))
+             for g in _same_schema_groups(spark, paths)]
+    if len({str(p.schema[S.ZONE].dataType) for p in parts if S.ZONE in p.columns}) > 1:
+        parts = [p.withColumn(S.ZONE, F.col(S.ZONE).cast("string")) if S.ZONE in p.columns else p for p in parts]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out
 
 
 def parse_csv_lines(lines: DataFrame, column: str = "value", *, sep: str = ",") -> DataFrame:

@@ -45,7 +45,7 @@ def fnum(s):
 
 def inum(s):
     try:
-        return int(s)
+        return int(s.strip(" "))
     except ValueError:
         return None
 
@@ -61,7 +61,7 @@ amounts = st.sampled_from(["0", "500", "499.99", "0.01", "-5", "12.5", "17.25",
                            "250.4", "3.3", "1.1"])
 tips = st.sampled_from(["0", "-0.01", "2.5", "nan", "", "1.75", "x"])
 distances = st.sampled_from(["0", "1", "1.5", "2", "5.2", "nan", "", "0.3", "30"])
-zones = st.sampled_from(["1", "2", "132", "", "abc"])
+zones = st.sampled_from(["1", "2", "132", "", "abc", " 132", "132.0"])
 payments = st.sampled_from(["0", "1", "2", "3", "7", ""])
 
 
@@ -104,9 +104,6 @@ def sum_nn(vals):
     return sum(vs) if vs else None
 
 
-PAY = {1: "Carte_credit", 2: "Cash", 3: "Pas_charge", 4: "Litige", 5: "Inconnu", 6: "Annule"}
-
-
 def sql_model(rows):
     pay, od, week, period = defaultdict(list), defaultdict(list), defaultdict(list), defaultdict(list)
     for row in rows:
@@ -115,7 +112,7 @@ def sql_model(rows):
         dist = fnum(row["trip_distance"])
         code, pu_zone, do_zone = inum(row["payment_type"]), inum(row["PULocationID"]), inum(row["DOLocationID"])
         if sql_gt(fare, 0) and sql_lt(fare, 500) and sql_ge(tip, 0):
-            label = None if code is None else PAY.get(code, f"Autre({code})")
+            label = None if code is None else S.PAYMENT_LABELS.get(code, f"Autre({code})")
             ratio = None if tip is None else (tip / fare if fare != 0 else None)
             pay[label].append((fare, tip, ratio, total))
         if sql_gt(dist, 0) and sql_gt(fare, 0) and pu_zone is not None and do_zone is not None \
@@ -152,12 +149,12 @@ def model(rows, r=r):
     for row in rows:
         pu, do = ts(row["tpep_pickup_datetime"]), ts(row["tpep_dropoff_datetime"])
         fare, tip, total = fnum(row["fare_amount"]), fnum(row["tip_amount"]), fnum(row["total_amount"])
-        dist, zone = fnum(row["trip_distance"]), inum(row["PULocationID"])
+        dist, zone = fnum(row["trip_distance"]), row["PULocationID"].strip(" ")
         if pu is not None:
             hours[f"{pu.hour:02d}"] += 1
-        if (zone is not None and fare is not None and tip is not None and total is not None
+        if (zone and fare is not None and tip is not None and total is not None
                 and 0 < fare < 500 and tip >= 0 and 0 < total < 500):
-            zones_[str(zone)].append((fare, tip, total))
+            zones_[zone].append((fare, tip, total))
         if pu is not None and do is not None and dist is not None:
             secs = (do - pu).total_seconds()
             if dist > 0 and secs > 0:

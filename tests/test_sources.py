@@ -24,12 +24,30 @@ def test_parquet_with_text_columns_is_typed(spark, tmp_dir):
     t = TX.read_trips_parquet(spark, p)
     types = dict(t.dtypes)
     assert types[S.PICKUP] == "timestamp_ntz" and types["fare_amount"] == "double"
-    assert types["PULocationID"] == "int"
+    assert types["PULocationID"] == "string"
     got = sorted(t.select(S.PICKUP, S.DROPOFF, "PULocationID").collect(), key=lambda r: r[0])
-    assert got[0][0] == dt.datetime(2023, 1, 5, 8, 0) and got[0][1] is None and got[0][2] is None
+    assert got[0][0] == dt.datetime(2023, 1, 5, 8, 0) and got[0][1] is None and got[0][2] == "abc"
     assert sum(r["nb_courses"] for r in A.trips_per_hour(t).collect()) == 2
 
 
+def test_parquet_months_of_differing_types_and_name_case(spark, tmp_dir):
+    month = ("TIMESTAMP_NTZ'2023-0{0}-05 18:03:10' AS tpep_pickup_datetime, 17.5D AS fare_amount, "
+             "2.0D AS tip_amount, 20.0D AS total_amount")
+    spark.sql(f"SELECT {month.format(1)}, 1.0D AS passenger_count, 132 AS PULocationID, 1.25D AS Airport_fee") \
+        .write.parquet(os.path.join(tmp_dir, "m", "a.parquet"))
+    spark.sql(f"SELECT {month.format(2)}, 2L AS passenger_count, 132L AS PULocationID, 2.5D AS airport_fee") \
+        .write.parquet(os.path.join(tmp_dir, "m", "b.parquet"))
+    spark.sql(f"SELECT {month.format(3)}, ' 132' AS PULocationID").write.parquet(os.path.join(tmp_dir, "m", "c.parquet"))
+    one = TX.read_trips_parquet(spark, os.path.join(tmp_dir, "m", "a.parquet"))
+    assert one.columns[-1] == "airport_fee" and one.first()["airport_fee"] == 1.25
+    t = TX.read_trips_parquet(spark, os.path.join(tmp_dir, "m", "*"))
+    got = sorted((r[S.PICKUP].month, r["passenger_count"], r["airport_fee"]) for r in t.collect())
+    assert got == [(1, 1.0, 1.25), (2, 2.0, 2.5), (3, None, None)]
+    assert [tuple(r)[:2] for r in A.revenue_per_zone(t).collect()] == [("132", 3)]
+    two = TX.read_trips_parquet(spark, [os.path.join(tmp_dir, "m", f) for f in ("a.parquet", "b.parquet")])
+    assert dict(two.dtypes)["PULocationID"] == "int" and two.count() == 2
+
+
 def test_parquet_with_zoned_timestamps_keeps_wall_clock(spark, tmp_dir):
     p = os.path.join(tmp_dir, "ltz.parquet")
     spark.sql("SELECT TIMESTAMP'2023-01-05 18:03:10' AS tpep_pickup_datetime, "

@@ -68,7 +68,7 @@ def test_blank_and_short_rows(spark, tmp_dir):
 def test_quoted_comma_keeps_positions(spark, tmp_dir):
     t = load(spark, tmp_dir, [line(store_and_fwd_flag='"N,Y"', fare_amount="11.0")])
     r = one(t.select("store_and_fwd_flag", "fare_amount", "PULocationID"))
-    assert (r[0], r[1], r[2]) == ("N,Y", 11.0, 132)
+    assert (r[0], r[1], r[2]) == ("N,Y", 11.0, "132")
 
 
 def test_bad_fare_only_leaves_fare_marts(spark, tmp_dir):
@@ -179,6 +179,19 @@ def test_od_flows_exclude_same_and_null_zone(spark, tmp_dir):
     assert (r["zone_depart"], r["zone_arrivee"], r["nb_courses"]) == (132, 237, 1)
 
 
+def test_zone_is_a_text_key(spark, tmp_dir):
+    from farebox.plans import shared as SH
+    zones = ["132", " 132", "132.0", "abc", "", "  "]
+    t = load(spark, tmp_dir, [line(PULocationID=z) for z in zones])
+    want = [("132", 2), ("132.0", 1), ("abc", 1)]
+    assert [tuple(r)[:2] for r in A.revenue_per_zone(t).collect()] == want
+    shared = SH.shared_marts(t)
+    assert [tuple(r)[:2] for r in shared["revenue_per_zone"].collect()] == want
+    # the flows read integers, as the SQL table declares
+    assert [tuple(r)[:3] for r in A.od_flows(t).collect()] == [(132, 237, 2)]
+    assert [tuple(r)[:3] for r in shared["od_flows"].collect()] == [(132, 237, 2)]
+
+
 def test_first_of_january_is_week_52(spark, tmp_dir):
     rows = [line(tpep_pickup_datetime="2023-01-01 06:10:00", tpep_dropoff_datetime="2023-01-01 06:30:00")]
     t = load(spark, tmp_dir, rows)
@@ -222,7 +235,7 @@ def test_quote_unaware_split(spark, tmp_dir):
     t = TX.read_trips_text(spark, d, quote="")
     # the comma inside quotes now splits: PULocationID shifts to the quoted tail
     r = one(t.select("store_and_fwd_flag", "PULocationID"))
-    assert r[0] == '"N' and r[1] is None
+    assert r[0] == '"N' and r[1] == 'Y"'
 
 
 def test_line_parser_matches_file_reader(spark, tmp_dir):
