@@ -117,6 +117,13 @@ def round_half_up(c: Column | str, digits: int) -> Column:
     return F.round(F.round(_c(c), SNAP_DIGITS), digits)
 
 
+def cents(c: Column | str) -> Column:
+    """``ROUND(c, 2)``.  A value that is a whole number of cents already stays
+    as it is, which spares it the decimal conversion of ``round``."""
+    c = _c(c)
+    return F.when(F.rint(c * F.lit(100.0)) / F.lit(100.0) == c, c).otherwise(F.round(c, 2))
+
+
 def round_binary_half_even(c: Column | str, digits: int) -> Column:
     """Python's ``f"{x:.2f}"`` rule: the exact binary value of the double,
     rounded half-even (2.675 -> 2.67, 0.125 -> 0.12).  ``format_number``
@@ -128,6 +135,11 @@ def round_binary_half_even(c: Column | str, digits: int) -> Column:
     return F.when(F.isnan(c) | (F.abs(c) == F.lit(float("inf"))), c).otherwise(text.try_cast("double"))
 
 
+def trip_cents(c: Column | str, rounding: str) -> Column:
+    """Per-trip rounding to cents of the slot revenue."""
+    return cents(c) if rounding == "sql" else round_binary_half_even(c, 2)
+
+
 ROUNDERS = {"sql": round_half_up, "python": round_binary_half_even}
 
 

@@ -109,12 +109,9 @@ def speed_analysis(trips: DataFrame, *, max_speed: float = S.MAX_SPEED_MPH,
 def peak_revenue(trips: DataFrame, *, max_amount: float = S.MAX_AMOUNT,
                  sort: bool = True, rounding: str = "sql") -> DataFrame:
     r = C.rounder(rounding)
-    if rounding == "sql":
-        # per-trip cents: plain ROUND of the input value (no float noise to snap)
-        fare2, tip2 = F.round("fare_amount", 2), F.round("tip_amount", 2)
-    else:
-        # per-trip text formatting: the exact rule, at a per-trip string cost
-        fare2, tip2 = r("fare_amount", 2), r("tip_amount", 2)
+    # per-trip cents: plain ROUND of the input value (no float noise to snap),
+    # or the exact text rule at a per-trip string cost
+    fare2, tip2 = C.trip_cents("fare_amount", rounding), C.trip_cents("tip_amount", rounding)
     # The filter guarantees a non-NULL fare and tip on every kept trip, so
     # each mean is the group's sum over its trip count (what avg computes),
     # and three aggregation buffers serve all five outputs.

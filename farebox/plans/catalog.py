@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from farebox import schema as S
 from farebox.operators import kpis as K
 from farebox.operators import marts as A
+from farebox.plans import shared as SH
 from farebox.sinks import writers as W
+from farebox.sources import text as TX
 
 # The nine served datasets (the dashboard's list, in its order).
 SERVED = ["trips_per_hour", "revenue_per_zone", "speed_analysis", "peak_revenue",
@@ -22,6 +24,11 @@ SERVED = ["trips_per_hour", "revenue_per_zone", "speed_analysis", "peak_revenue"
           "suspicious_trips"]
 
 
+# What the KPI table is composed of.
+KPI_INPUTS = ["total_trips", "peak_revenue", "suspicious_trips", "payment_methods",
+              "revenue_per_zone", "speed_analysis", "trips_per_hour"]
+
+
 class UnknownMart(ValueError):
     pass
 
@@ -30,11 +37,14 @@ class MartCatalog:
     """Name -> mart DataFrame over one trips DataFrame.  Marts are built
     lazily and memoised as DataFrames (plans), not as collected data."""
 
+    NAMES = [*SERVED, "od_flows", "total_trips"]
+
     def __init__(self, trips: DataFrame, *, weekly_year: int = S.WEEKLY_YEAR,
                  marts: dict[str, DataFrame] | None = None, rounding: str = "sql"):
         self.trips = trips
         self.weekly_year = weekly_year
         self.rounding = rounding
+        self._given = set(marts or {})
         self._built: dict[str, DataFrame] = dict(marts or {})
         self._builders: dict[str, Callable[[], DataFrame]] = {
             "trips_per_hour": lambda: A.trips_per_hour(self.trips),
@@ -63,6 +73,10 @@ class MartCatalog:
     __getitem__ = get
 
     def _kpis(self) -> DataFrame:
+        """From the given marts where they are all there, else from one scan
+        of the trips (composing it of marts built here scans them once each)."""
+        if not self._given.issuperset(KPI_INPUTS):
+            return SH.kpi_summary_one_pass(self.trips, rounding=self.rounding)
         return K.kpi_summary(total=self.get("total_trips"), peak=self.get("peak_revenue"),
                              suspicious=self.get("suspicious_trips"),
                              payment=self.get("payment_methods"),
@@ -70,7 +84,7 @@ class MartCatalog:
                              speed=self.get("speed_analysis"),
                              hours=self.get("trips_per_hour"))
 
-    # S16 / S17 / P9 - SQL access
+    # S16 / S17 / P9 - SQL access (see also ``create_database``)
     def register_views(self, spark: SparkSession, database: str | None = None,
                        names: list[str] | None = None) -> list[str]:
         """Temp views ``trips``, ``peak_vs_offpeak_view`` (trips + periode) and
@@ -93,8 +107,9 @@ class MartCatalog:
         keys = S.MART_KEYS.get(name) or None
         df = self.get(name)
         # catalogue marts are bounded by their key domain: one sorted file each
+        extra = {"mart": name} if fmt == "tsv" else {}
         W.WRITERS[fmt](df, path, order_by=keys if name not in _PRE_ORDERED else None,
-                       single_file=True)
+                       single_file=True, **extra)
 
     def export_all(self, base: str, fmt: str = "csv", names: list[str] | None = None) -> dict[str, str]:
         out = {}
@@ -112,3 +127,25 @@ _PRE_ORDERED = {"payment_methods", "peak_vs_offpeak", "od_flows", "kpi_summary"}
 def list_tables(spark: SparkSession) -> DataFrame:
     """Tables and views of the current namespace as a DataFrame."""
     return spark.sql("SHOW TABLES")
+
+
+def create_database(spark: SparkSession, database: str, raw_path: str, *, table: str = "yellow_taxi",
+                    view: str = "peak_vs_offpeak", header: bool = False) -> None:
+    """S1 / S16 / P9 as lasting objects: the database, selected; the external
+    table over the delimited files of ``raw_path``; the row-level view with
+    its period.  SQL then reads them by their names in any session of the
+    catalogue.  Header lines that are not skipped (``header=True`` skips the
+    first line of every file) have a NULL in every typed column; a table over
+    files has no row filter, so count rows with the DataFrame readers."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    spark.catalog.setCurrentDatabase(database)
+    options = {**TX.CSV_TYPED_OPTIONS, "header": str(header).lower(), "path": raw_path}
+    listed = ", ".join(f"'{k}' = '{v}'" for k, v in options.items())
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString().upper()}" for f in S.TRIP_SCHEMA.fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS `{table}` ({columns}) USING csv OPTIONS ({listed})")
+    (_, m_lo, m_hi), (_, e_lo, e_hi) = S.PERIOD_MORNING, S.PERIOD_EVENING
+    spark.sql(f"""CREATE VIEW IF NOT EXISTS `{view}` AS SELECT *,
+        CASE WHEN hour({S.PICKUP}) BETWEEN {m_lo} AND {m_hi} THEN '{S.PERIOD_MORNING[0]}'
+             WHEN hour({S.PICKUP}) BETWEEN {e_lo} AND {e_hi} THEN '{S.PERIOD_EVENING[0]}'
+             ELSE '{S.PERIOD_OFFPEAK}' END AS periode
+        FROM `{table}`""")

@@ -2,9 +2,8 @@
 
 ``python -m farebox build --input DIR --output DIR`` (or through
 ``spark-submit``) replaces the four one-reducer jobs and the SQL session:
-one application, optional typed staging (one parse of the text), either one
-shared aggregation pass for all marts or one plan per mart, and one sorted
-output file per mart, each written with overwrite semantics."""
+one application, one shared aggregation pass for all marts (or one plan per
+mart over a table typed and staged once), and one sorted output file per mart, each written with overwrite semantics."""
 
 from __future__ import annotations
 
@@ -17,7 +16,7 @@ from farebox import schema as S
 from farebox.plans import catalog as CAT
 from farebox.plans import shared as SH
 from farebox.plans import storage as ST
-from farebox.session import ensure_checkpoint_dir
+from farebox.session import ensure_checkpoint_dir, remove_folder, scratch_path
 from farebox.sources import text as TX
 
 
@@ -31,22 +30,33 @@ def load_input(spark: SparkSession, path: str, fmt: str = "csv", **options) -> D
 
 def build(spark: SparkSession, input_path: str, output: str, *, input_format: str = "csv",
           fmt: str = "tsv", marts: list[str] | None = None, weekly_year: int = S.WEEKLY_YEAR,
-          stage: bool = True, shared: bool = True, rounding: str = "sql",
+          stage: bool | None = None, shared: bool = True, rounding: str = "sql",
           **options) -> dict[str, str]:
     """Build and export the marts; returns mart name -> output path.
-    ``rounding="python"`` rounds the three Python-computed marts as Python's
-    ``:.2f`` does; it needs their own plans, so the shared pass is skipped."""
+    By default the marts come from one shared pass over the input, limited to
+    what ``marts`` needs.  ``shared=False`` gives each mart a plan of its own;
+    the input is then parsed once into a staged table unless ``stage`` says
+    otherwise.  Intermediate tables are removed after the export."""
+    names = marts or CAT.SERVED
+    if unknown := set(names) - set(CAT.MartCatalog.NAMES):
+        raise CAT.UnknownMart(f"unknown datasets: {sorted(unknown)}")
     ensure_checkpoint_dir(spark)
-    trips = load_input(spark, input_path, input_format, **options)
-    if stage:
-        trips = ST.stage_trips(spark, trips)
-    prebuilt = None
-    if shared and rounding == "sql":
-        prebuilt = SH.shared_marts(trips, materialize=True, weekly_year=weekly_year)
-        prebuilt.pop("od_flows")  # the catalogue serves the top-20 flows
-        prebuilt["od_flows"] = prebuilt.pop("od_flows_top20")
-    cat = CAT.MartCatalog(trips, weekly_year=weekly_year, marts=prebuilt, rounding=rounding)
-    return cat.export_all(output, fmt, names=marts)
+    scratch = scratch_path(spark, "build")
+    try:
+        trips = load_input(spark, input_path, input_format, **options)
+        if stage if stage is not None else not shared:
+            trips = ST.stage_trips(spark, trips, f"{scratch}/trips")
+        prebuilt = None
+        if shared:
+            needed = set(names) | (set(CAT.KPI_INPUTS) if "kpi_summary" in names else set())
+            made = SH.shared_marts(trips, materialize=f"{scratch}/groups", weekly_year=weekly_year,
+                                   rounding=rounding, only=needed)
+            made["od_flows"] = made["od_flows_top20"]  # the catalogue serves the top-20 flows
+            prebuilt = {n: df for n, df in made.items() if n in needed}
+        cat = CAT.MartCatalog(trips, weekly_year=weekly_year, marts=prebuilt, rounding=rounding)
+        return cat.export_all(output, fmt, names=names)
+    finally:
+        remove_folder(spark, scratch)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -59,7 +69,8 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--format", default="tsv", choices=["tsv", "csv", "json"])
     b.add_argument("--marts", default="", help="comma-separated subset of the served marts")
     b.add_argument("--weekly-year", type=int, default=S.WEEKLY_YEAR)
-    b.add_argument("--no-stage", action="store_true", help="do not write typed Parquet first")
+    b.add_argument("--stage", action=argparse.BooleanOptionalAction, default=None,
+                   help="write typed Parquet first (default: only with --per-mart)")
     b.add_argument("--per-mart", action="store_true", help="one plan per mart, no shared pass")
     b.add_argument("--rounding", default="sql", choices=["sql", "python"],
                    help="python: round the Python-computed marts as Python's :.2f does")
@@ -68,7 +79,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName("farebox-build").getOrCreate()
     out = build(spark, args.input, args.output, input_format=args.input_format, fmt=args.format,
                 marts=[m for m in args.marts.split(",") if m] or None,
-                weekly_year=args.weekly_year, stage=not args.no_stage, shared=not args.per_mart,
+                weekly_year=args.weekly_year, stage=args.stage, shared=not args.per_mart,
                 rounding=args.rounding)
     print(json.dumps(out))
 

@@ -11,11 +11,16 @@ from dataclasses import dataclass
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from farebox.functions.parsing import coerce_numeric
 from farebox.operators import kpis as K
 from farebox.operators import marts as A
 from farebox.plans import shared as SH
 from farebox.plans import sql as Q
+from farebox.plans.catalog import MartCatalog
+from farebox.session import scratch_path
+from farebox.sources import dirty as D
 from farebox.sources import lineitem as L
 from farebox.sources import marts as MS
 from farebox.sources import text as TX
@@ -52,16 +57,68 @@ def _period_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _text_round_trip(mart_fn):
-    """Trips encoded as raw CSV lines, parsed back by the text ingestion
-    path, then the mart: exercises S4/S6/C1/C12 on the whole table."""
+    """The whole table written as raw CSV files and read back by the text
+    source, then the mart: the scan reads the fields of the mart only."""
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-        lines = TX.trips_as_text(L.load_trips(spark, sf_dir))
-        return mart_fn(TX.parse_csv_lines(lines))
+        path = D.text_files(TX.trips_as_text(L.load_trips(spark, sf_dir)), "text-trips")
+        return mart_fn(TX.read_trips_text(spark, path))
+    return build
+
+
+def _dirty(mart_fn):
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return mart_fn(D.load_dirty_trips(spark, sf_dir))
     return build
 
 
 def _input_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return MS.input_profile(spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet"))
+    """Rows of the table, counted file by file (SQL over a view knows no files)."""
+    path = f"{sf_dir.rstrip('/')}/lineitem.parquet"
+    profile = MS.input_profile(spark, path, rows=spark.read.parquet(path))
+    return profile.agg(F.sum("lignes").alias("lignes"))
+
+
+def _kpi_dict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The map of ``kpis.kpi_dict`` as one text, entries in the order of their keys."""
+    entries = F.array_sort(F.map_entries("kpis"))
+    return K.kpi_dict(_kpi_summary(spark, sf_dir)).select(F.array_join(F.transform(
+        entries, lambda e: F.concat(e["key"], F.lit("="), e["value"])), "; ").alias("kpis"))
+
+
+# --- marts written to files and read back ------------------------------------
+def _exported(spark: SparkSession, sf_dir: str, mart: str, fmt: str) -> DataFrame:
+    path = scratch_path(spark, f"{mart}-{fmt}")
+    MartCatalog(L.load_trips(spark, sf_dir)).export(mart, path, fmt)
+    reader = {"tsv": MS.read_mart_tsv, "csv": MS.read_mart_csv, "json": MS.read_mart_json}[fmt]
+    return reader(spark, path, mart)
+
+
+def _slot_report_from_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = K.slot_report(_exported(spark, sf_dir, "peak_revenue", "tsv"))
+    line = ["creneau", "nb_courses", "recette_totale"]
+    totals = report["totals"].withColumn("creneau", F.lit("TOTAL"))
+    return report["top5"].select(*line).unionByName(totals.select(*line))
+
+
+def _read_back_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return MS.read_back_top(_exported(spark, sf_dir, "revenue_per_zone", "tsv"), "nb_courses", 10, key=["zone_depart"])
+
+
+def _kpi_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The KPI table followed by one row per payment label."""
+    payments = A.payment_methods(L.load_trips(spark, sf_dir), sort=False)
+    extra = payments.select(F.col("mode_paiement").alias("indicateur"), F.col("nb_courses").cast("string").alias("valeur"))
+    return K.append_kpis(_kpi_summary(spark, sf_dir), extra)
+
+
+def _coerced_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The slot mart as text with unparsable means where the trip count is
+    odd, coerced back to numbers."""
+    peak = A.peak_revenue(L.load_trips(spark, sf_dir))
+    text = peak.withColumns({
+        "fare_moy": F.when(F.col("nb_courses") % 2 == 1, "n/a").otherwise(F.col("fare_moy").cast("string")),
+        "tip_moy": F.col("tip_moy").cast("string")})
+    return coerce_numeric(text, ["fare_moy", "tip_moy"])
 
 
 _CAL = "['" + "', '".join(Q.S.DAYS_SHORT) + "']"
@@ -143,8 +200,9 @@ REGISTRY: dict[str, Registered] = {
         Q.with_marts("""SELECT annee, semaine, nb_courses, recette_totale FROM weekly_revenue
                         ORDER BY annee, semaine""", "weekly_revenue")),
     "kpi_summary": Registered(_kpi_summary, Q.KPI_SUMMARY_SQL),
-    # The KPI table as one map value (a MAP has no portable SQL check)
-    "kpi_dict": Registered(lambda spark, sf_dir: K.kpi_dict(_kpi_summary(spark, sf_dir)), None),
+    # The KPI table as a dictionary; U1: rows appended to it
+    "kpi_dict": Registered(_kpi_dict, Q.KPI_DICT_SQL),
+    "kpi_union": Registered(_kpi_union, Q.KPI_UNION_SQL),
     # A dashboard table preview, first 20 rows in the mart's key order
     "zone_preview": Registered(
         _over(A.revenue_per_zone, K.preview, key=["zone_depart"], n=20),
@@ -156,6 +214,28 @@ REGISTRY: dict[str, Registered] = {
         _text_round_trip(A.peak_revenue), Q.mart_query("peak_revenue", "creneau")),
     "speed_analysis_from_text": Registered(
         _text_round_trip(A.speed_analysis), Q.mart_query("speed_analysis", "creneau")),
-    # --- input profile (file metadata; no SQL equivalent over a view) --------
-    "input_profile": Registered(_input_profile, None),
+    # --- dirty text: header lines, short records, bad and padded fields --------
+    "dirty_text_hours": Registered(_dirty(A.trips_per_hour), Q.dirty_query("trips_per_hour", "heure")),
+    "dirty_text_zones": Registered(_dirty(A.revenue_per_zone), Q.dirty_query("revenue_per_zone", "zone_depart")),
+    "dirty_text_peak": Registered(_dirty(A.peak_revenue), Q.dirty_query("peak_revenue", "creneau")),
+    # --- marts written to files and read back ----------------------------------
+    "slot_report_from_tsv": Registered(
+        _slot_report_from_tsv,
+        Q.with_marts("""SELECT * FROM (SELECT creneau, nb_courses, recette_totale FROM peak_revenue
+                          ORDER BY recette_totale DESC NULLS LAST, creneau LIMIT 5) t
+                        UNION ALL
+                        SELECT 'TOTAL' AS creneau, CAST(SUM(nb_courses) AS BIGINT), RND(SUM(recette_totale), 2)
+                        FROM peak_revenue""", "peak_revenue")),
+    "read_back_zones": Registered(
+        _read_back_zones, Q.mart_query("revenue_per_zone", "nb_courses DESC, zone_depart", 10)),
+    "csv_mart_round_trip": Registered(
+        lambda spark, sf_dir: _exported(spark, sf_dir, "payment_methods", "csv"), Q.mart_query("payment_methods")),
+    "json_mart_round_trip": Registered(
+        lambda spark, sf_dir: _exported(spark, sf_dir, "speed_analysis", "json"), Q.mart_query("speed_analysis")),
+    "coerced_mart": Registered(
+        _coerced_mart,
+        Q.with_marts("""SELECT creneau, nb_courses, CASE WHEN nb_courses % 2 = 1 THEN NULL ELSE fare_moy END AS fare_moy,
+                        tip_moy, tip_rate, recette_totale FROM peak_revenue""", "peak_revenue")),
+    # --- input profile ---------------------------------------------------------
+    "input_profile": Registered(_input_profile, Q.with_marts("SELECT CAST(COUNT(*) AS BIGINT) AS lignes FROM trips")),
 }

@@ -53,7 +53,7 @@ def _entry(mart: str, cond: Column, *, k1=None, k2=None, ks=None, **measures) ->
 def mart_entries(trips: DataFrame, *, weekly_year: int = S.WEEKLY_YEAR,
                  max_amount: float = S.MAX_AMOUNT, max_speed: float = S.MAX_SPEED_MPH,
                  min_miles: float = S.SUSPICIOUS_MIN_MILES,
-                 max_seconds: int = S.SUSPICIOUS_MAX_SECONDS,
+                 max_seconds: int = S.SUSPICIOUS_MAX_SECONDS, rounding: str = "sql",
                  only: set[str] | None = None) -> DataFrame:
     """One row per (trip, mart the trip counts in); ``only`` restricts the
     marts."""
@@ -73,7 +73,7 @@ def mart_entries(trips: DataFrame, *, weekly_year: int = S.WEEKLY_YEAR,
         _entry("speed_analysis", PR.speed_ok(max_speed, seconds=secs, speed=speed), k1=wd, k2=hr,
                v1=dist, v2=secs / F.lit(3600.0), v3=speed),
         _entry("peak_revenue", PR.peak_revenue_ok(max_amount), k1=wd, k2=hr,
-               v1=F.round(fare, 2), v2=F.round(tip, 2)),
+               v1=C.trip_cents(fare, rounding), v2=C.trip_cents(tip, rounding)),
         _entry("payment_methods", PR.payment_ok(max_amount), k1=F.col("payment_type"),
                v1=fare, v2=tip, v3=total, v4=tip / F.nullif(fare, F.lit(0.0))),
         _entry("od_flows", PR.od_ok(), k1=C.zone_number(S.ZONE), k2=F.col("DOLocationID"),
@@ -108,8 +108,10 @@ def _r(c: Column, digits: int) -> Column:
     return C.round_half_up(c, digits)
 
 
-def marts_from_groups(groups: DataFrame, *, sort: bool = True) -> dict[str, DataFrame]:
+def marts_from_groups(groups: DataFrame, *, sort: bool = True, rounding: str = "sql") -> dict[str, DataFrame]:
     """The marts (same columns and values as ``farebox.operators.marts``)."""
+    job_r = C.rounder(rounding)  # zone revenue, slot speed, slot revenue
+
     def of(name: str) -> DataFrame:
         return groups.filter(F.col("m") == MART_IDS[name])
 
@@ -122,21 +124,21 @@ def marts_from_groups(groups: DataFrame, *, sort: bool = True) -> dict[str, Data
             C.hour_label("k1").alias("heure"), n.alias("nb_courses")), "heure"),
         "revenue_per_zone": order(of("revenue_per_zone").select(
             F.coalesce("ks", F.col("k1").cast("string")).alias("zone_depart"), n.alias("nb_courses"),
-            _r(_avg("v1"), 2).alias("tarif_moyen"), _r(_avg("v2"), 2).alias("pourboire_moyen"),
-            _r(_avg("v3"), 2).alias("montant_moyen"),
-            _r(C.ratio_pct(F.col("s_v2"), F.col("s_v1")), 1).alias("taux_pourboire")), "zone_depart"),
+            job_r(_avg("v1"), 2).alias("tarif_moyen"), job_r(_avg("v2"), 2).alias("pourboire_moyen"),
+            job_r(_avg("v3"), 2).alias("montant_moyen"),
+            job_r(C.ratio_pct(F.col("s_v2"), F.col("s_v1")), 1).alias("taux_pourboire")), "zone_depart"),
         "speed_analysis": order(of("speed_analysis").select(
             C.slot_label("k1", "k2", S.DAYS_SHORT).alias("creneau"), n.alias("nb_courses"),
-            _r(_avg("v1"), 2).alias("distance_moyenne"),
-            _r(_avg("v2") * F.lit(60.0), 1).alias("duree_moyenne_min"),
-            _r(_avg("v3"), 1).alias("vitesse_moyenne_mph"),
-            _r(F.col("lo_v3"), 1).alias("vitesse_min"), _r(F.col("hi_v3"), 1).alias("vitesse_max")),
+            job_r(_avg("v1"), 2).alias("distance_moyenne"),
+            job_r(_avg("v2") * F.lit(60.0), 1).alias("duree_moyenne_min"),
+            job_r(_avg("v3"), 1).alias("vitesse_moyenne_mph"),
+            job_r(F.col("lo_v3"), 1).alias("vitesse_min"), job_r(F.col("hi_v3"), 1).alias("vitesse_max")),
             "creneau"),
         "peak_revenue": order(of("peak_revenue").select(
             C.slot_label("k1", "k2", S.DAYS_LONG).alias("creneau"), n.alias("nb_courses"),
-            _r(_avg("v1"), 2).alias("fare_moy"), _r(_avg("v2"), 2).alias("tip_moy"),
-            _r(C.ratio_pct(F.col("s_v2"), F.col("s_v1")), 1).alias("tip_rate"),
-            _r(F.col("s_v1"), 2).alias("recette_totale")), "creneau"),
+            job_r(_avg("v1"), 2).alias("fare_moy"), job_r(_avg("v2"), 2).alias("tip_moy"),
+            job_r(C.ratio_pct(F.col("s_v2"), F.col("s_v1")), 1).alias("tip_rate"),
+            job_r(F.col("s_v1"), 2).alias("recette_totale")), "creneau"),
         "payment_methods": order(of("payment_methods").select(
             C.payment_label(F.col("k1")).alias("mode_paiement"), n.alias("nb_courses"),
             _r(_avg("v1"), 2).alias("tarif_moyen"), _r(_avg("v2"), 2).alias("pourboire_moyen"),
@@ -166,19 +168,23 @@ def marts_from_groups(groups: DataFrame, *, sort: bool = True) -> dict[str, Data
     return out
 
 
-def shared_marts(trips: DataFrame, *, materialize: bool = False, sort: bool = True,
-                 **params) -> dict[str, DataFrame]:
+def shared_marts(trips: DataFrame, *, materialize: bool | str = False, sort: bool = True,
+                 rounding: str = "sql", **params) -> dict[str, DataFrame]:
     """All marts from one pass.  ``materialize=True`` checkpoints the small
     aggregated groups into the session's checkpoint folder first (one job),
-    so the marts can be written one by one without rescanning the trips.
+    so the marts can be written one by one without rescanning the trips;
+    a path writes them there instead, for the caller to remove.
     Without it each mart is planned on its own (the optimizer prunes the
     shared aggregation to that mart's columns), i.e. one scan per mart; to
     get several results from one unmaterialized pass, combine them in one
     aggregation as ``kpi_summary_one_pass`` does."""
-    groups = aggregate_entries(mart_entries(trips, **params))
-    if materialize:
+    groups = aggregate_entries(mart_entries(trips, rounding=rounding, **params))
+    if isinstance(materialize, str):
+        groups.write.mode("overwrite").parquet(materialize)
+        groups = groups.sparkSession.read.schema(groups.schema).parquet(materialize)
+    elif materialize:
         groups = groups.checkpoint(eager=True)
-    return marts_from_groups(groups, sort=sort)
+    return marts_from_groups(groups, sort=sort, rounding=rounding)
 
 
 # ---------------------------------------------------------------------------
@@ -191,7 +197,7 @@ _GID_SLOT, _GID_HOUR, _GID_ZONE, _GID_PAY = 0b0011, 0b1011, 0b1101, 0b1110
 
 def kpi_groups(trips: DataFrame, *, max_amount: float = S.MAX_AMOUNT,
                max_speed: float = S.MAX_SPEED_MPH, min_miles: float = S.SUSPICIOUS_MIN_MILES,
-               max_seconds: int = S.SUSPICIOUS_MAX_SECONDS) -> DataFrame:
+               max_seconds: int = S.SUSPICIOUS_MAX_SECONDS, rounding: str = "sql") -> DataFrame:
     """One scan, one aggregation with GROUPING SETS ((weekday, hour), (hour),
     (zone), (payment code)) and one conditional count or sum per mart: every
     group the KPI table needs, a few hundred rows in all.  Spark expands each
@@ -205,7 +211,7 @@ def kpi_groups(trips: DataFrame, *, max_amount: float = S.MAX_AMOUNT,
         PR.has_pickup().alias("f_hour"),
         PR.zone_revenue_ok(max_amount).alias("f_zone"),
         PR.speed_ok(max_speed, seconds=secs, speed=speed).alias("f_speed"), speed.alias("speed"),
-        PR.peak_revenue_ok(max_amount).alias("f_peak"), F.round("fare_amount", 2).alias("fare2"),
+        PR.peak_revenue_ok(max_amount).alias("f_peak"), C.trip_cents("fare_amount", rounding).alias("fare2"),
         PR.payment_ok(max_amount).alias("f_pay"),
         PR.suspicious(min_miles, max_seconds).alias("f_susp"))
     return (flags.groupingSets([["wd", "hr"], ["hr"], ["zone"], ["pay"]], "wd", "hr", "zone", "pay")
@@ -221,7 +227,7 @@ def kpi_groups(trips: DataFrame, *, max_amount: float = S.MAX_AMOUNT,
                  F.count_if("f_susp").alias("n_susp")))
 
 
-def kpi_summary_one_pass(trips: DataFrame, **params) -> DataFrame:
+def kpi_summary_one_pass(trips: DataFrame, *, rounding: str = "sql", **params) -> DataFrame:
     """``kpis.kpi_summary`` over the seven marts it reads, from one scan:
     ``kpi_groups``, then a single global aggregation of those groups with one
     conditional aggregate per indicator.  A mart's row exists where its
@@ -230,14 +236,15 @@ def kpi_summary_one_pass(trips: DataFrame, **params) -> DataFrame:
     key, as the top-1 of each mart does."""
     from farebox.operators import kpis as K
 
-    g = kpi_groups(trips, **params)
+    g = kpi_groups(trips, rounding=rounding, **params)
+    job_r = C.rounder(rounding)
     gid = F.col("gid")
 
     def of(gid_value: int, count: str, expr: Column) -> Column:
         return F.when((gid == gid_value) & (F.col(count) > 0), expr)
 
-    slot_revenue = _r(F.col("s_fare2"), 2)
-    slot_speed = _r(F.col("s_speed") / F.col("n_speed"), 1)
+    slot_revenue = job_r(F.col("s_fare2"), 2)
+    slot_speed = job_r(F.col("s_speed") / F.col("n_speed"), 1)
     pay_label = C.payment_label(F.col("pay"))
     picked = g.agg(
         F.coalesce(F.sum(F.when(gid == _GID_SLOT, F.col("n"))), F.lit(0)).alias("lignes"),

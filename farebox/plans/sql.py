@@ -7,6 +7,7 @@ DataFrame implementation, so any semantic slip shows up as a mismatch."""
 from __future__ import annotations
 
 from farebox import schema as S
+from farebox.sources import dirty as D
 from farebox.sources import lineitem as L
 
 PU = "tpep_pickup_datetime"
@@ -215,3 +216,32 @@ def _kpi_summary_sql() -> str:
 
 
 KPI_SUMMARY_SQL = _kpi_summary_sql()
+
+KPI_DICT_SQL = f"""SELECT string_agg(indicateur || '=' || valeur, '; ' ORDER BY indicateur) AS kpis
+FROM ({KPI_SUMMARY_SQL}) k"""
+KPI_UNION_SQL = f"""SELECT * FROM ({KPI_SUMMARY_SQL}) k
+UNION ALL
+SELECT mode_paiement, CAST(nb_courses AS VARCHAR) FROM ({mart_query("payment_methods")}) p"""
+
+# What a tolerant reader makes of the lines of ``farebox.sources.dirty``.
+_CASE = f"(l_orderkey * {D.CASE_ORDER} + l_linenumber) % {D.CASES}"
+_SHORT_NULL = f"cas = {D.SHORT}"
+DIRTY_TRIPS = (TRIPS.replace("trips AS (", "clean AS (", 1).replace("SELECT", f"SELECT {_CASE} AS cas,", 1)
+               + f""",
+trips AS (
+  SELECT * REPLACE (
+    CASE WHEN cas IN ({D.PICKUP_TEXT}, {D.PICKUP_EMPTY}) THEN NULL ELSE {PU} END AS {PU},
+    CASE cas WHEN {D.ZONE_EMPTY} THEN NULL WHEN {D.ZONE_TEXT} THEN 'abc'
+      WHEN {D.ZONE_DECIMAL} THEN CAST(PULocationID AS VARCHAR) || '.0' ELSE CAST(PULocationID AS VARCHAR) END AS PULocationID,
+    CASE WHEN {_SHORT_NULL} OR cas = {D.FARE_TEXT} THEN NULL WHEN cas = {D.FARE_NAN} THEN CAST('NaN' AS DOUBLE)
+      ELSE fare_amount END AS fare_amount,
+    CASE WHEN {_SHORT_NULL} OR cas IN ({D.TIP_EMPTY}, {D.TIP_TEXT}) THEN NULL ELSE tip_amount END AS tip_amount,
+    CASE WHEN {_SHORT_NULL} THEN NULL WHEN cas = {D.TOTAL_NAN} THEN CAST('NaN' AS DOUBLE)
+      ELSE total_amount END AS total_amount)
+  FROM clean WHERE cas <> {D.HEADER}
+)""")
+
+
+def dirty_query(name: str, order_by: str) -> str:
+    """The mart over the dirty trips."""
+    return f"WITH {DIRTY_TRIPS},\n{name} AS ({MARTS_SQL[name]}\n)\nSELECT * FROM {name} ORDER BY {order_by}"

@@ -155,6 +155,19 @@ MART_SCHEMAS: dict[str, T.StructType] = {
     ]),
 }
 
+# Decimals of each DOUBLE column as the text output prints it (the digits the
+# mart rounds to).
+MART_DECIMALS: dict[str, dict[str, int]] = {
+    "revenue_per_zone": {"tarif_moyen": 2, "pourboire_moyen": 2, "montant_moyen": 2, "taux_pourboire": 1},
+    "speed_analysis": {"distance_moyenne": 2, "duree_moyenne_min": 1, "vitesse_moyenne_mph": 1,
+                       "vitesse_min": 1, "vitesse_max": 1},
+    "peak_revenue": {"fare_moy": 2, "tip_moy": 2, "tip_rate": 1, "recette_totale": 2},
+    "payment_methods": {"tarif_moyen": 2, "pourboire_moyen": 2, "taux_pourboire_pct": 1, "recette_totale": 0},
+    "od_flows": {"dist_moy_miles": 2, "tarif_moy": 2, "pourboire_moy": 2},
+    "weekly_revenue": {"recette_totale": 0, "recette_moyenne": 2, "distance_moyenne": 2, "passagers_moyens": 2},
+    "peak_vs_offpeak": {"recette_moy": 2, "pourboire_moy": 2, "recette_totale": 0},
+}
+
 # Key column(s) of each mart: the order of a written mart (one sorted output).
 MART_KEYS: dict[str, list[str]] = {
     "trips_per_hour": ["heure"],

@@ -64,6 +64,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table of this application."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for an intermediate
     table (never a machine-local folder on a cluster)."""

@@ -14,7 +14,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from farebox import schema as S
 
 
 def _prepare(df: DataFrame, order_by: Sequence[str] | None, single_file: bool) -> DataFrame:
@@ -26,9 +29,27 @@ def _prepare(df: DataFrame, order_by: Sequence[str] | None, single_file: bool) -
     return df.orderBy(*order_by) if order_by else df
 
 
+def _fixed(name: str, digits: int) -> Column:
+    """Fixed decimals, never an exponent; ``nan`` and ``inf`` as the jobs print
+    them; NULL stays NULL."""
+    c = F.col(name)
+    return (F.when(F.isnan(c), "nan").when(c == float("inf"), "inf").when(c == float("-inf"), "-inf")
+            .when(c.isNotNull(), F.format_string(f"%.{digits}f", c)).alias(name))
+
+
+def mart_text(df: DataFrame, mart: str) -> DataFrame:
+    """The mart's DOUBLE columns as text with the decimals the jobs print."""
+    digits = S.MART_DECIMALS.get(mart, {})
+    return df.select(*[_fixed(n, digits[n]) if n in digits and t == "double" else n for n, t in df.dtypes])
+
+
 def write_tsv(df: DataFrame, path: str, *, order_by: Sequence[str] | None = None,
-              single_file: bool = False, header: bool = False) -> None:
-    """Tab-separated, no header (the job output format)."""
+              single_file: bool = False, header: bool = False, mart: str | None = None) -> None:
+    """Tab-separated, no header (the job output format).  ``mart`` names
+    the mart whose number format applies; without it numbers are written as
+    Spark prints them."""
+    if mart is not None:
+        df = mart_text(df, mart)
     (_prepare(df, order_by, single_file).write.mode("overwrite")
      .option("sep", "\t").option("header", header).option("nullValue", "")
      .csv(path))

@@ -194,7 +194,7 @@ def parse_csv_lines(lines: DataFrame, column: str = "value", *, sep: str = ",")
     return finish_typed(lines.select(F.inline(one_record)))
 
 
-def _text_field(name: str):
+def text_field(name: str):
     c = F.col(name)
     # A naive timestamp casts to 'yyyy-MM-dd HH:mm:ss' text without any time
     # zone (date_format would go through the session zone).
@@ -208,5 +208,5 @@ def trips_as_text(trips: DataFrame, *, sep: str = ",") -> DataFrame:
     returns the same values."""
     fields = []
     for name, _ in S.TRIP_COLUMNS:
-        fields.append(_text_field(name) if name in trips.columns else F.lit(""))
+        fields.append(text_field(name) if name in trips.columns else F.lit(""))
     return trips.select(F.concat_ws(sep, *fields).alias("value"))

@@ -77,9 +77,10 @@ def start_mart(spark: SparkSession, trips: DataFrame, name: str, *,
     if output is not None:
         keys = S.MART_KEYS.get(name) or None
         writer = W.WRITERS[fmt]
+        extra = {"mart": name} if fmt == "tsv" else {}
 
         def write_batch(batch: DataFrame, _epoch: int) -> None:
-            writer(batch, output, order_by=keys, single_file=True)  # a mart: bounded
+            writer(batch, output, order_by=keys, single_file=True, **extra)  # a mart: bounded
         w = w.foreachBatch(write_batch)
     else:
         w = w.format("memory").queryName(query_name or name)

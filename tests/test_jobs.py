@@ -53,3 +53,34 @@ def test_cli_parquet_input_per_mart(spark, tmp_dir):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, A.peak_revenue(trips).collect()))
     weekly = MS.read_mart_tsv(spark, os.path.join(out, "weekly_revenue"), "weekly_revenue")
     assert weekly.count() == A.weekly_revenue(trips, year=1998).count() > 0
+
+
+@pytest.mark.parametrize("shared", [True, False])
+@pytest.mark.parametrize("rounding", ["sql", "python"])
+def test_build_leaves_no_scratch_and_follows_the_rounding(spark, tmp_dir, shared, rounding):
+    from farebox.session import checkpoint_dir
+    folder = checkpoint_dir(spark).replace("file:", "")
+    before = set(os.listdir(folder))
+    src = write_files(tmp_dir, [line(fare_amount="2.675", total_amount="3"), line(PULocationID="x")])
+    out = os.path.join(tmp_dir, "marts")
+    paths = J.build(spark, src, out, shared=shared, rounding=rounding,
+                    marts=["peak_revenue", "revenue_per_zone", "kpi_summary"])
+    assert set(os.listdir(folder)) == before
+    trips = TX.read_trips_text(spark, src)
+    for name, fn in [("peak_revenue", A.peak_revenue), ("revenue_per_zone", A.revenue_per_zone)]:
+        back = MS.read_mart_tsv(spark, paths[name], name)
+        assert sorted(map(tuple, back.collect())) == sorted(map(tuple, fn(trips, rounding=rounding).collect()))
+
+
+def test_build_rejects_unknown_marts_before_reading(spark, tmp_dir):
+    with pytest.raises(CAT.UnknownMart):
+        J.build(spark, os.path.join(tmp_dir, "nowhere"), tmp_dir, marts=["nope"])
+
+
+def test_kpi_table_of_the_catalogue_reads_the_trips_once(spark):
+    from conftest import SF_SMALL
+    from farebox.sources import lineitem as L
+    cat = CAT.MartCatalog(L.load_trips(spark, SF_SMALL))
+    cat.get("peak_revenue")
+    plan = cat.get("kpi_summary")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") == 1

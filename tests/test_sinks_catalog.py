@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from farebox import schema as S
 from farebox.operators import marts as A
@@ -119,3 +120,46 @@ def test_single_file_export_keeps_the_final_aggregate_parallel(spark):
     mart = spark.range(1000).selectExpr("id % 7 as k").groupBy("k").count()
     plan = W._prepare(mart, ["k"], True)._jdf.queryExecution().toString()
     assert "Coalesce 1" not in plan and "SinglePartition, REPARTITION_BY_NUM" in plan
+
+
+def test_tsv_numbers_have_the_decimals_the_jobs_print(spark, tmp_dir):
+    nan, inf = float("nan"), float("inf")
+    rows = [("JEUDI-18", 240, 22.5, 3.0, 13.4, 19387183.9), ("LUNDI-00", 1, 0.0, nan, 0.0, inf),
+            ("LUNDI-01", 1, None, 0.1, -0.5, 1e12)]
+    df = spark.createDataFrame(rows, S.MART_SCHEMAS["peak_revenue"])
+    p = os.path.join(tmp_dir, "t")
+    W.write_tsv(df, p, order_by=["creneau"], single_file=True, mart="peak_revenue")
+    name = next(f for f in os.listdir(p) if f.startswith("part-"))
+    with open(os.path.join(p, name)) as f:
+        assert f.read().splitlines() == [
+            "JEUDI-18\t240\t22.50\t3.00\t13.4\t19387183.90", "LUNDI-00\t1\t0.00\tnan\t0.0\tinf",
+            "LUNDI-01\t1\t\t0.10\t-0.5\t1000000000000.00"]
+    assert repr(_rows(MS.read_mart_tsv(spark, p, "peak_revenue"))) == repr(_rows(df))
+
+
+def test_decimals_cover_every_double_column(spark):
+    for mart, schema in S.MART_SCHEMAS.items():
+        doubles = {f.name for f in schema.fields if f.dataType.typeName() == "double"}
+        assert doubles == set(S.MART_DECIMALS.get(mart, {})), mart
+
+
+def test_cents_equal_round(spark):
+    from farebox.functions import columns as C
+    values = spark.range(200_000).selectExpr("(id - 100000) / 100.0D AS x", "id / 7.0D AS y", "id / 1000.0D AS z")
+    for c in "xyz":
+        assert values.filter(~C.cents(c).eqNullSafe(F.round(c, 2))).count() == 0
+    odd = spark.sql("SELECT explode(array(DOUBLE('NaN'), DOUBLE('inf'), -DOUBLE('inf'), NULL, 1e15D, 0.005D, 2.675D)) AS x")
+    assert odd.filter(~C.cents("x").eqNullSafe(F.round("x", 2))).count() == 0
+
+
+def test_database_holds_the_table_and_the_row_view(spark, tmp_dir):
+    from test_text_ingest import line, write_files
+    d = write_files(tmp_dir, [line(), line(tpep_pickup_datetime="2023-01-05 03:00:00")])
+    try:
+        CAT.create_database(spark, "farebox_objects", d, header=True)
+        assert {r["tableName"] for r in CAT.list_tables(spark).collect()} >= {"yellow_taxi", "peak_vs_offpeak"}
+        got = spark.sql("""SELECT periode, COUNT(*) AS n FROM farebox_objects.peak_vs_offpeak
+                           WHERE fare_amount > 0 AND total_amount < 500 GROUP BY periode""").collect()
+        assert {tuple(r) for r in got} == {("POINTE_SOIR", 1), ("HEURE_CREUSE", 1)}
+    finally:
+        spark.catalog.setCurrentDatabase("default")

@@ -292,9 +292,14 @@ def test_python_rounding_mode_at_ties(spark, tmp_dir):
 def test_input_profile_of_text_files(spark, tmp_dir):
     from farebox.sources import marts as MS
     d = write_files(tmp_dir, [line(), line()], [line()])
-    prof = MS.input_profile(spark.read.text(d)).collect()
-    assert len(prof) == 2
-    assert sorted(r["lignes"] for r in prof) == [2, 3]  # header line included: raw input profile
+    with open(os.path.join(d, "no_rows.csv"), "w") as f:
+        f.write("VendorID\n")
+    sizes = MS.input_profile(spark, d)
+    assert sizes.columns == ["fichier", "octets"] and sizes.count() == 3
+    prof = MS.input_profile(spark, d, rows=spark.read.text(d)).collect()
+    assert sorted(r["lignes"] for r in prof) == [1, 2, 3]  # header line included: raw input profile
+    trips = MS.input_profile(spark, d, rows=spark.read.schema("v string").option("header", True).csv(d)).collect()
+    assert sorted(r["lignes"] for r in trips) == [0, 1, 2]
     assert all(r["octets"] == os.path.getsize(r["fichier"].replace("file://", "").replace("file:", ""))
                for r in prof)
 
