@@ -40,16 +40,21 @@ STREAMABLE: dict[str, Callable[..., DataFrame]] = {
 
 def trip_stream(spark: SparkSession, path: str, fmt: str = "csv", *,
                 max_files_per_trigger: int | None = None, **csv_options) -> DataFrame:
-    """Typed trips from files arriving in ``path`` (CSV text or Parquet)."""
+    """Typed trips from files arriving in ``path`` (CSV text or Parquet); the
+    CSV options are those of ``read_trips_text``."""
     reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if fmt == "csv":
-        typed = (reader.schema(TX.TYPED_READ_SCHEMA).options(**TX.CSV_TYPED_OPTIONS)
+        by_rules = csv_options.get("text_rules", False)
+        quote = csv_options.get("quote", '"')
+        lines = (reader.schema(S.RAW_TRIP_SCHEMA if by_rules else TX.TYPED_READ_SCHEMA)
+                 .options(**TX.CSV_TYPED_OPTIONS)
                  .option("header", csv_options.get("header", False))
                  .option("sep", csv_options.get("sep", ","))
-                 .option("quote", '"').option("escape", '"').csv(path))
-        return TX.finish_typed(typed)
+                 .option("quote", quote or "\u0000")
+                 .option("escape", csv_options.get("escape", '"')).csv(path))
+        return TX.type_trips(lines) if by_rules else TX.finish_typed(lines)
     if fmt == "parquet":
         return TX.conform_trips(reader.schema(S.TRIP_SCHEMA).parquet(path))
     raise ValueError(f"unsupported stream format: {fmt!r}")

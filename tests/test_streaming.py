@@ -70,3 +70,16 @@ def test_parquet_landing_directory(spark, tmp_dir):
     q = ST.start_mart(spark, stream, "peak_revenue", checkpoint=ck, available_now=True, query_name="s_pq_peak")
     q.awaitTermination(120)
     assert _rows(spark.table("s_pq_peak")) == _rows(A.peak_revenue(trips, sort=False))
+
+
+def test_stream_follows_the_reader_options(spark, tmp_dir):
+    from farebox.sources import text as TX
+    from farebox.streaming import incremental as INC
+    from test_text_ingest import line, write_files
+    src = write_files(tmp_dir, [line(store_and_fwd_flag='"N,Y"'), line(fare_amount="1_0.5"), line()])
+    for n, options in enumerate([{}, {"quote": ""}, {"text_rules": True}]):
+        q = INC.start_mart(spark, INC.trip_stream(spark, src, **options), "peak_revenue",
+                           available_now=True, query_name=f"reader_options_{n}")
+        q.awaitTermination()
+        want = INC.mart_stream(TX.read_trips_text(spark, src, **options), "peak_revenue").collect()
+        assert sorted(map(tuple, spark.table(f"reader_options_{n}").collect())) == sorted(map(tuple, want))
