@@ -124,8 +124,10 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     html = F.coalesce(F.col(f"`{payload_col}`"), F.lit(""))
     rows = pages.select(F.col(f"`{id_col}`").cast("long").alias("_id"), F.col(f"`{url_col}`").alias("_url"),
                         html.alias("_html"), F.sha2(html, 256).alias("_sha"), F.octet_length(html).alias("_size"))
-    groups = rows.where(F.col("_size") >= min_revisit_bytes).groupBy("_sha", "_size").agg(
-        F.min("_id").alias("_first"), F.count("*").alias("_n")).where("_n > 1 and _first is not null")
+    # a table of its own, so that Spark can split the partition of a hot payload in the join
+    groups = write_table(rows.where(F.col("_size") >= min_revisit_bytes).groupBy("_sha", "_size").agg(
+        F.min("_id").alias("_first"), F.count("*").alias("_n")).where("_n > 1 and _first is not null").select(
+        "_sha", "_size", "_first"), "warc-groups")
     # only rows that revisit another one; hot payloads have no part in the join of the payloads
     revisits = rows.select("_id", "_sha", "_size").join(groups, ["_sha", "_size"]).where(
         ~F.col("_id").eqNullSafe(F.col("_first"))).select(
