@@ -257,6 +257,11 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` whose id stays; all columns."""
-    keep = classes(df, id_col, text_col).select(F.col("keep_id").alias("_keep"))
-    return df.join(keep, F.col(f"`{id_col}`").eqNullSafe(F.col("_keep")), "left_semi")
+    """The rows of ``df`` that stay; all columns.  A row stays by its id and
+    its text, so that rows of one id with different texts are judged each."""
+    keep = classes(df, id_col, text_col).select(F.col("keep_id").alias("_keep"), F.col("_sha").alias("_class"))
+    plain = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    for c in SPACE.decode():
+        plain = F.replace(plain, F.lit(c), F.lit(""))
+    return df.join(keep, F.col(f"`{id_col}`").eqNullSafe(F.col("_keep")) & (F.unhex(F.sha2(plain, 256)) == F.col("_class")),
+                   "left_semi")
