@@ -7,10 +7,11 @@ windows of ``window`` consecutive item words, an item with fewer words
 being one window.  Each document is scanned once; hits are kept as ranges
 of words, whose places in the original text follow from the words' places.
 
-The automaton holds the benchmark, which is a fixed set of test items: its
-size is summed up before it is broadcast.  Beyond ``max_bytes`` the windows
-are split into several automata of at most that size, applied one after the
-other in the same pass over a document.
+The windows are made and folded in tasks and written as a table.  What the
+automaton takes in memory is summed up first: up to ``max_bytes`` the windows go
+into one automaton, which is sent to all tasks; beyond, they are split by
+hash into parts of about that size.  The driver and the tasks then hold one part
+at a time, each part scans the documents in a pass of its own, and the passes add up.
 
 Defined results: null or wordless texts have no words, no hits and no
 items; null items and items without words have no windows; an item that
@@ -30,10 +31,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from farebox.llm.common import ship, slices
+from farebox.llm.common import only, ship, slices, write_table
 
 WINDOW = 10
-MAX_BYTES = 64 << 20
+MAX_BYTES = 96 << 20      # memory of an automaton
+NODE_BYTES, ITEM_BYTES = 40, 120   # of it, a byte of a window and an item of a window
 # every byte that is not part of a word becomes a space; A-Z become a-z
 _FOLD = bytes(b if chr(b).isalnum() and b < 128 or b >= 128 else 32 for b in range(256)).lower()
 _WORD = re.compile(rb"[^ ]+")
@@ -51,54 +53,61 @@ def windows(text: str | None, window: int = WINDOW) -> set[bytes]:
     return {b" " + b" ".join(words[i:i + n]) + b" " for i in range(len(words) - n + 1)} if n else set()
 
 
-def _patterns(benchmark: DataFrame, id_col: str, text_col: str, window: int, max_bytes: int) -> list[dict]:
-    """Windows with the ids of their items, in parts of bounded size.  The
-    rows come to the driver one partition at a time."""
-    parts, held = [{}], 0
-    rows = benchmark.select(F.col(f"`{id_col}`").cast("string"), F.col(f"`{text_col}`")).where(
-        F.col(f"`{id_col}`").isNotNull()).distinct()
-    for i, text in rows.toLocalIterator():
-        for w in windows(text, window):
-            held += len(w) + 64
-            if held > max_bytes:
-                parts.append({})
-                held = len(w) + 64
-            parts[-1].setdefault(w, set()).add(i)
-    return [p for p in parts if p]
+def _windows(window: int):
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, 200):
+                found = [(w, i) for i, t in zip(part.column("_item").to_pylist(), part.column("_text"))
+                         for w in windows(t.as_py(), window)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([f[0] for f in found], pa.binary()), pa.array([f[1] for f in found], pa.string())],
+                    ["_w", "_item"])
+    return run
+
+
+def patterns(benchmark: DataFrame, id_col: str, text_col: str, window: int, max_bytes: int) -> list[DataFrame]:
+    """Distinct windows with the ids of their items (_w, _items), in parts of
+    about ``max_bytes``; one part at least."""
+    ship(benchmark.sparkSession)
+    rows = benchmark.select(F.col(f"`{id_col}`").cast("string").alias("_item"), F.col(f"`{text_col}`").alias("_text")).where(
+        "_item is not null")
+    table = write_table(rows.mapInArrow(_windows(window), "_w binary, _item string").groupBy("_w").agg(
+        F.collect_set("_item").alias("_items")), "leaks-windows")
+    size = table.agg(F.sum(F.octet_length("_w") * NODE_BYTES + F.size("_items") * ITEM_BYTES)).first()[0] or 0
+    n = max(1, -(-size // max_bytes))
+    return [table.where(F.pmod(F.xxhash64("_w"), F.lit(n)) == k) if n > 1 else table for k in range(n)]
 
 
 class Scanner:
-    def __init__(self, parts: list[dict]):
-        self.automata = []
-        for part in parts:
-            a = ahocorasick.Automaton()
-            for w, items in part.items():
-                a.add_word(w.decode("latin-1"), (len(w), tuple(sorted(items))))
-            a.make_automaton()
-            self.automata.append(a)
-
-    def scan(self, text: str | None) -> tuple[int, list[tuple[int, int]], set[str]]:
-        """Number of words, merged ranges of hit words, items."""
+    def __init__(self, part: dict[bytes, tuple[str, ...]]):
+        self.automaton = ahocorasick.Automaton()
+        for w, items in part.items():
+            self.automaton.add_word(w.decode("latin-1"), (len(w), items))
+        self.automaton.make_automaton()
+        self.empty = not part
+
+    def scan(self, text: str | None, ranges=(), items=()) -> tuple[int, list[tuple[int, int]], set[str]]:
+        """Number of words, merged ranges of hit words and items, together
+        with those of earlier parts."""
         norm = normalise(text)
         n = norm.count(b" ") - 1 if norm else 0
-        found, items = [], set()
-        if norm:
-            plain = norm.decode("latin-1")
-            for a in self.automata:
-                for end, (size, own) in a.iter(plain):
-                    found.append((end - size + 1, end))
-                    items.update(own)
+        found, items = [], set(items)
+        if norm and not self.empty:
+            for end, (size, own) in self.automaton.iter(norm.decode("latin-1")):
+                found.append((end - size + 1, end))
+                items.update(own)
         if not found:
-            return n, [], items
+            return n, [tuple(r) for r in ranges], items
         spaces = np.flatnonzero(np.frombuffer(norm, np.uint8) == 32)  # word k stands after space k
-        ranges: list[list[int]] = []
-        for a, b in sorted(zip(np.searchsorted(spaces, [f[0] for f in found]).tolist(),
-                               np.searchsorted(spaces, [f[1] for f in found]).tolist())):
-            if ranges and a <= ranges[-1][1]:
-                ranges[-1][1] = max(ranges[-1][1], b)
+        hits = zip(np.searchsorted(spaces, [f[0] for f in found]).tolist(),
+                   np.searchsorted(spaces, [f[1] for f in found]).tolist())
+        merged: list[list[int]] = []
+        for a, b in sorted([*hits, *map(tuple, ranges)]):
+            if merged and a <= merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], b)
             else:
-                ranges.append([a, b])
-        return n, [tuple(r) for r in ranges], items
+                merged.append([a, b])
+        return n, [tuple(r) for r in merged], items
 
 
 def original_spans(text: str, ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -113,26 +122,24 @@ def original_spans(text: str, ranges: list[tuple[int, int]]) -> list[tuple[int,
     return [(at(words[a][0]), at(words[b - 1][1])) for a, b in ranges]
 
 
-_SCANNERS: dict[int, Scanner] = {}
-
-
-def _scanner(shared) -> Scanner:
-    if shared.id not in _SCANNERS:
-        _SCANNERS.clear()
-        _SCANNERS[shared.id] = Scanner(shared.parts.value)
-    return _SCANNERS[shared.id]
+_SCANNERS: dict[str, Scanner] = {}
 
 
 class _Shared:
-    def __init__(self, parts, own: str):
-        self.parts, self.id = parts, own
+    """One part, sent to all tasks; a worker builds its automaton once."""
 
+    def __init__(self, part: DataFrame):
+        rows = part.toArrow()
+        windows = sorted(zip(rows.column("_w").to_pylist(), map(tuple, map(sorted, rows.column("_items").to_pylist()))))
+        self.id = hashlib.sha256(repr(windows).encode("utf-8", "surrogatepass")).hexdigest()
+        self.windows = part.sparkSession.sparkContext.broadcast(dict(windows))  # max_bytes or so
 
-def _share(docs: DataFrame, benchmark: DataFrame, item_col: str, item_text: str, window: int, max_bytes: int) -> _Shared:
-    ship(docs.sparkSession)
-    parts = _patterns(benchmark, item_col, item_text, window, max_bytes)
-    own = hashlib.sha256(repr([sorted((w, sorted(i)) for w, i in p.items()) for p in parts]).encode()).hexdigest()
-    return _Shared(docs.sparkSession.sparkContext.broadcast(parts), own)
+    def scanner(self) -> Scanner:
+        only("leaks", _SCANNERS.clear)
+        if self.id not in _SCANNERS:
+            _SCANNERS.clear()
+            _SCANNERS[self.id] = Scanner(self.windows.value)
+        return _SCANNERS[self.id]
 
 
 HITS = T.StructType([
@@ -146,39 +153,53 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                max_bytes: int = MAX_BYTES) -> DataFrame:
     """Per document: id, n_words, n_hit, items (sorted), spans ([start, end)
     code points of the original text, merged)."""
-    shared = _share(docs, benchmark, item_col, item_text, window, max_bytes)
     id_type = docs.schema[id_col]
-
-    def run(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
-            out: list[list] = [[], [], [], []]
-            for t in batch.column("_text"):
-                text = t.as_py() or ""
-                n, ranges, items = _scanner(shared).scan(text)
-                for c, v in zip(out, (n, sum(b - a for a, b in ranges), sorted(items),
-                                      original_spans(text, ranges) if ranges else [])):
-                    c.append(v)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("_id"), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()),
-                 pa.array(out[2], pa.list_(pa.string())), pa.array(out[3], pa.list_(pa.list_(pa.int32())))],
-                [id_col, "n_words", "n_hit", "items", "spans"])
-
-    source = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
-    return source.mapInArrow(run, T.StructType([id_type, *HITS]))
-
-
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
+    parts = patterns(benchmark, item_col, item_text, window, max_bytes)
+
+    def scan(shared: _Shared, final: bool):
+        def run(batches: Iterator[pa.RecordBatch]):
+            for batch in batches:
+                out: list[list] = [[], [], [], []]
+                for t, before, known in zip(batch.column("_text"), batch.column("_ranges").to_pylist(),
+                                            batch.column("_items").to_pylist()):
+                    text = t.as_py() or ""
+                    n, ranges, items = shared.scanner().scan(text, before, known)
+                    spans = original_spans(text, ranges) if final and ranges else ranges
+                    for c, v in zip(out, (n, sum(b - a for a, b in ranges), sorted(items), spans)):
+                        c.append(v)
+                items, spans = pa.array(out[2], pa.list_(pa.string())), pa.array(out[3], pa.list_(pa.list_(pa.int32())))
+                if final:
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("_id"), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), items, spans],
+                        [id_col, "n_words", "n_hit", "items", "spans"])
+                else:
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("_id"), batch.column("_text"), spans, items], ["_id", "_text", "_ranges", "_items"])
+        return run
+
+    state = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"),
+                        F.array().cast("array<array<int>>").alias("_ranges"), F.array().cast("array<string>").alias("_items"))
+    for part in parts[:-1]:
+        state = write_table(state.mapInArrow(scan(_Shared(part), False), state.schema), "leaks-found")
+    return state.mapInArrow(scan(_Shared(parts[-1]), True), T.StructType([id_type, *HITS]))
+
+
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+               item_text: str = "text", window: int = WINDOW, max_bytes: int = MAX_BYTES) -> DataFrame:
     """The rows without any hit; all columns, nothing is shuffled."""
-    shared = _share(docs, benchmark, options.get("item_col", "item_id"), options.get("item_text", "text"),
-                    options.get("window", WINDOW), options.get("max_bytes", MAX_BYTES))
     at = docs.columns.index(text_col)
-
-    def run(batches):
-        for part in (p for batch in batches for p in slices(batch)):
-            clean = [not _scanner(shared).scan(t.as_py())[1] for t in part.column(at)]
-            yield part.filter(pa.array(clean, pa.bool_()))
-
-    return docs.mapInArrow(run, docs.schema)
+    parts = patterns(benchmark, item_col, item_text, window, max_bytes)
+
+    def clean(shared: _Shared):
+        def run(batches):
+            for part in (p for batch in batches for p in slices(batch)):
+                good = [not shared.scanner().scan(t.as_py())[1] for t in part.column(at)]
+                yield part.filter(pa.array(good, pa.bool_()))
+        return run
+
+    for part in parts[:-1]:
+        docs = write_table(docs.mapInArrow(clean(_Shared(part)), docs.schema), "leaks-clean")
+    return docs.mapInArrow(clean(_Shared(parts[-1])), docs.schema)
 
 
 def digests(hits: DataFrame) -> DataFrame:

@@ -79,6 +79,14 @@ def test_exact_odd_rows(odd_docs, no_docs):
     assert kept.columns == odd_docs.columns and kept.where("doc_id in (1, 3, 4, 7, 8)").count() == 0
 
 
+def test_exact_drop_judges_each_row_of_an_id(spark):
+    rows = [(0, "z z\x0b"), (1, "zz"), (1, "a"), (2, "\ta\x0c\r"), (3, None), (4, " ")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert by_id(exact.drop_copies(df), "doc_id", "text") == [(0, "z z\x0b"), (2, "\ta\x0c\r"), (4, " ")]
+    df = spark.createDataFrame([*rows[:3], (None, "a"), (None, "b")], "doc_id long, text string")
+    assert by_id(exact.drop_copies(df), "doc_id", "text") == [(0, "z z\x0b"), (1, "a"), (None, "b")]
+
+
 def test_trie_spills_and_finds_all(tmp_path):
     import random
     random.seed(3)
@@ -137,7 +145,19 @@ def test_decontaminate_odd_rows(spark, odd_docs, no_docs):
     assert sorted(map(str, split)) == sorted(map(str, rows))
     assert decontaminate.find_leaks(no_docs, bench).count() == 0
     assert decontaminate.find_leaks(odd_docs, bench.limit(0)).where("n_hit > 0").count() == 0
-    assert decontaminate.drop_leaks(odd_docs, bench).where("doc_id in (1, 2, 8, 9, 10, 12)").count() == 0
+    clean = decontaminate.drop_leaks(odd_docs, bench)
+    assert clean.where("doc_id in (1, 2, 8, 9, 10, 12)").count() == 0 and clean.columns == odd_docs.columns
+    assert by_id(decontaminate.drop_leaks(odd_docs, bench, max_bytes=800), "*") == by_id(clean, "*")
+
+
+def test_benchmark_parts_are_bounded_and_whole(spark):
+    bench = spark.createDataFrame(
+        [(i, " ".join(f"w{i}q{j}" for j in range(30))) for i in range(40)], "item_id long, text string")
+    one, = decontaminate.patterns(bench, "item_id", "text", 10, 1 << 30)
+    parts = decontaminate.patterns(bench, "item_id", "text", 10, 50_000)
+    sizes = [sum(len(r["_w"]) * 40 + len(r["_items"]) * 120 for r in p.collect()) for p in parts]
+    assert len(parts) > 5 and max(sizes) < 100_000 and one.count() == 40 * 21
+    assert sorted(bytes(r["_w"]) for p in parts for r in p.collect()) == sorted(bytes(r["_w"]) for r in one.collect())
 
 
 def test_minhash_odd_rows(odd_docs, no_docs):
