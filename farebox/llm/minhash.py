@@ -2,16 +2,18 @@
 
 1. Each document gets its set of distinct shingles (64-bit hashes), a
    128-bit hash of the whole set, and 128 universal-hash minima.  Documents
-   with equal sets form a class; its smallest id stands for it from here on.
+   with equal sets form a class.  The classes are numbered in order of their
+   smallest id, then set hash; the number stands for the class from here on, so
+   classes that share their smallest id are nodes of their own.
 2. 32 bands of 4 minima each make the bucket keys.  Every member of a bucket
-   is paired with the bucket's smallest id only, so a bucket of m members
+   is paired with the bucket's smallest node only, so a bucket of m members
    gives m - 1 pairs.
 3. Pairs whose signatures agree in fewer than ``SIFT`` of the minima are
    left out (0.75 similarity lies five standard deviations above); the rest are
    confirmed on the full shingle sets of both texts.
 4. Links become components by alternating large-star and small-star.
 5. Buckets whose members are still in different components may hide links
-   between members that are not the smallest id.  The documents that are in
+   between members that are not the smallest node.  The documents that are in
    two such buckets or more (a pair at 0.75 similarity shares fewer with
    a probability of 8e-5) go through an exact prefix filter: with the shingles
    in order of rising frequency, two linked sets share one within the first ``size -
@@ -26,8 +28,10 @@ probability of 6e-6.
 Defined results: null texts and texts without words have an empty set and
 are linked with nothing (component_id is their own id); with fewer than
 five words the whole sequence is one shingle; rows that share an id are one
-node; a null id forms no links of its own.  Empty tables give empty results;
-further columns are ignored."""
+node if their sets are equal, and are judged each by its text if not; a null id
+comes after all others, and is the component_id of a component without any other.  Of a
+component stay the rows of its smallest node that have the smallest id.  Empty tables
+give empty results; further columns are ignored."""
 
 from __future__ import annotations
 
@@ -101,9 +105,9 @@ def _features(batches):
             for k, row in zip(full, signatures([sets[k] for k in full])):
                 sigs[k] = row.tobytes()
             yield pa.RecordBatch.from_arrays(
-                [part.column("_id"), pa.array([len(s) for s in sets], pa.int64()),
+                [part.column("_id"), part.column("_h"), part.column("_g"), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
-                 pa.array(sigs, pa.binary())], ["_id", "_n", "_set", "_sig"])
+                 pa.array(sigs, pa.binary())], ["_id", "_h", "_g", "_n", "_set", "_sig"])
 
 
 def _buckets(batches):
@@ -134,7 +138,7 @@ def _confirm(batches):
         xs, ys, known = [], [], {}
         for x, y, tx, ty in zip(batch.column("_x").to_pylist(), batch.column("_y").to_pylist(),
                                 batch.column("_tx"), batch.column("_ty")):
-            if y not in known:  # one of a bucket's pairs share their smallest id
+            if y not in known:  # one of a bucket's pairs share their smallest node
                 known = {y: shingles(ty.as_py())}
             a, b = shingles(tx.as_py()), known[y]
             common = len(np.intersect1d(a, b, assume_unique=True))
@@ -221,15 +225,28 @@ def components(links: DataFrame) -> DataFrame:
     return edges
 
 
-def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, n_shingles, component_id, kept."""
+def _text_keys(text_col: str) -> list:
+    """Two hashes that tell the texts of rows with one id apart."""
+    text = F.col(f"`{text_col}`")
+    return [F.xxhash64(text), F.xxhash64(F.lit(7), text)]
+
+
+def _judged(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Per row: _id, _h and _g (keys of its text), _n, _c (component_id), _kept."""
     ship(df.sparkSession)
-    texts = df.select(F.col(f"`{id_col}`").cast("long").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
-    rows = write_table(texts.mapInArrow(_features, "_id long, _n long, _set binary, _sig binary"), "minhash-rows")
-    classes = write_table(rows.where("_set is not null").groupBy("_set").agg(F.min("_id").alias("_rep")), "minhash-classes")
+    h, g = _text_keys(text_col)
+    texts = df.select(F.col(f"`{id_col}`").cast("long").alias("_id"), h.alias("_h"), g.alias("_g"), F.col(f"`{text_col}`").alias("_text"))
+    rows = write_table(texts.mapInArrow(
+        _features, "_id long, _h long, _g long, _n long, _set binary, _sig binary"), "minhash-rows")
+    found = write_table(rows.where("_set is not null").groupBy("_set").agg(F.min("_id").alias("_rep")), "minhash-classes")
+    classes = write_table(found.orderBy(F.asc_nulls_last("_rep"), "_set").select(
+        "_set", "_rep", F.monotonically_increasing_id().alias("_node")), "minhash-nodes")
+    # one row stands for a node; _m of them at most repeat its id and text
     reps = write_table(
-        rows.join(classes, "_set").where("_id = _rep").select("_id", "_sig").dropDuplicates(["_id"]), "minhash-reps")
-    slim = reps.mapInArrow(_buckets, "_key long, _id long")
+        rows.join(classes, "_set").where("_id <=> _rep").groupBy(F.col("_node").alias("_id"), "_rep").agg(
+            F.min(F.struct("_h", "_g", "_sig")).alias("_one"), F.count("*").alias("_m"))
+        .select("_id", "_rep", "_one.*", "_m"), "minhash-reps")
+    slim = reps.select("_id", "_sig").mapInArrow(_buckets, "_key long, _id long")
     # classes and shared are tables of their own, so that Spark can split the partition of a hot
     # class or bucket in a join
     shared = write_table(slim.groupBy("_key").agg(F.count("*").alias("_n"), F.min("_id").alias("_first")).where(
@@ -240,8 +257,13 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         F.col("_id").alias("_x"), F.col("_first").alias("_y")).distinct(), reps)
     twice = buckets.groupBy("_id").agg(F.count("*").alias("_n")).where("_n > 1").select("_id")
     ids = twice.union(stars.select("_x")).union(stars.select("_y")).distinct()
+    wanted = reps.join(ids, "_id").select(F.col("_id").alias("_node"), "_rep", F.col("_h").alias("_rh"), F.col("_g").alias("_rg"), "_m")
     # the only join that moves whole texts; the same plan at every size
-    own = write_table(texts.join(ids.hint("merge"), "_id", "left_semi"), "minhash-texts")
+    moved = write_table(
+        texts.join(wanted.hint("merge"), F.expr("_id <=> _rep and _h = _rh and _g = _rg")).select(
+            F.col("_node").alias("_id"), "_m", "_text"), "minhash-texts")
+    repeated = write_table(moved.where("_m > 1").groupBy("_id").agg(F.first("_text").alias("_text")), "minhash-repeated")
+    own = moved.where("_m = 1").select("_id", "_text").union(repeated)
     links = confirmed(stars, own)
     component = components(links)
 
@@ -254,15 +276,27 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     if not extra.isEmpty():
         component = components(component.union(extra))
 
-    node = classes.join(component.withColumnsRenamed({"_x": "_rep", "_y": "_c"}), "_rep", "left").select(
-        "_set", F.coalesce("_c", "_rep").alias("_c"))
-    return rows.select("_id", "_n", "_set").join(node, "_set", "left").select(
-        F.col("_id").alias(id_col), F.col("_n").alias("n_shingles"),
-        F.coalesce("_c", "_id").alias("component_id"),
-        F.col("_id").eqNullSafe(F.coalesce("_c", "_id")).alias("kept"))
+    # the smallest node of a component is not among its _x
+    named = component.join(classes.select(F.col("_node").alias("_y"), F.col("_rep").alias("_top")), "_y").select(
+        F.col("_x").alias("_node"), "_top", F.lit(True).alias("_linked"))
+    node = classes.join(named, "_node", "left").select(
+        "_set", "_rep", F.when(F.col("_linked"), F.col("_top")).otherwise(F.col("_rep")).alias("_c"),
+        F.col("_linked").isNull().alias("_smallest"))
+    return rows.select("_id", "_h", "_g", "_n", "_set").join(node, "_set", "left").select(
+        "_id", "_h", "_g", "_n", F.when(F.col("_set").isNull(), F.col("_id")).otherwise(F.col("_c")).alias("_c"),
+        (F.col("_set").isNull() | (F.col("_smallest") & F.col("_id").eqNullSafe(F.col("_rep")))).alias("_kept"))
+
+
+def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: id, n_shingles, component_id, kept."""
+    return _judged(df, id_col, text_col).select(
+        F.col("_id").alias(id_col), F.col("_n").alias("n_shingles"), F.col("_c").alias("component_id"), F.col("_kept").alias("kept"))
 
 
 def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` whose id is the smallest of its component."""
-    keep = near_groups(df, id_col, text_col).where("kept").select(F.col(id_col).alias("_keep"))
-    return df.join(keep, F.col(f"`{id_col}`").eqNullSafe(F.col("_keep")), "left_semi")
+    """The rows of ``df`` that stay of their component, by id and text."""
+    keep = _judged(df, id_col, text_col).where("_kept").select(
+        F.col("_id").alias("_keep"), F.col("_h").alias("_keep_h"), F.col("_g").alias("_keep_g"))
+    h, g = _text_keys(text_col)
+    return df.join(keep, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("_keep"))
+                   & (h == F.col("_keep_h")) & (g == F.col("_keep_g")), "left_semi")

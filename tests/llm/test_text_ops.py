@@ -170,6 +170,28 @@ def test_minhash_odd_rows(odd_docs, no_docs):
     assert minhash.near_groups(no_docs).count() == 0
 
 
+def test_minhash_judges_each_text_of_an_id(spark):
+    a = " ".join(f"a{i}" for i in range(60))
+    near_a, b, near_b = f"{a} more", a.replace("a", "b"), a.replace("a", "b") + " more"
+    for rows, kept in [
+            ([(5, a), (5, b), (7, near_a), (8, near_b)], [(5, a), (5, b)]),          # both texts of 5 have their links
+            ([(3, near_a), (5, a), (5, b)], [(3, near_a), (5, b)]),                  # the clean text of 5 stays
+            ([(1, a), (None, a), (None, b)], [(1, a), (None, b)]),                   # a copy without id goes
+            ([(1, a), (None, near_a), (None, b), (None, near_b)], None),             # so does a near copy
+            ([(5, a), (5, a), (6, near_a), (6, near_a)], [(5, a), (5, a)])]:
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        got = by_id(minhash.drop_near_copies(df), "doc_id", "text")
+        if kept is None:
+            assert got in ([(1, a), (None, b)], [(1, a), (None, near_b)])
+        else:
+            assert got == kept
+        assert minhash.near_groups(df).where("kept").count() == len(got)
+    rows = [(5, a), (5, b), (7, near_a), (8, near_b), (9, None)]
+    groups = minhash.near_groups(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert by_id(groups, "doc_id", "component_id", "kept") == [
+        (5, 5, True), (5, 5, True), (7, 5, False), (8, 5, False), (9, 9, True)]
+
+
 def test_minhash_links_beyond_the_first_of_a_bucket(spark):
     """A chain of texts, each near the next only, and a crowd of altered copies."""
     base = [f"t{i}" for i in range(120)]
