@@ -15,7 +15,10 @@ at a time, each part scans the documents in a pass of its own, and the passes ad
 
 Defined results: null or wordless texts have no words, no hits and no
 items; null items and items without words have no windows; an item that
-occurs twice under one id counts once; a null item id is left out.  An empty
+occurs twice under one id counts once.  Items with a null id drop documents as all others
+do; ``find_leaks`` counts their windows if ``unnamed`` is set (as the registered
+query does), and all of them stand as one null at the end of a document's items;
+otherwise it leaves them out.  An empty
 benchmark finds nothing; an empty table gives an empty result."""
 
 from __future__ import annotations
@@ -65,14 +68,21 @@ def _windows(window: int):
     return run
 
 
-def patterns(benchmark: DataFrame, id_col: str, text_col: str, window: int, max_bytes: int) -> list[DataFrame]:
+def _in_order(items) -> list[str | None]:
+    return sorted(items, key=lambda i: (i is None, i or ""))
+
+
+def patterns(benchmark: DataFrame, id_col: str, text_col: str, window: int, max_bytes: int,
+             unnamed: bool = False) -> list[DataFrame]:
     """Distinct windows with the ids of their items (_w, _items), in parts of
-    about ``max_bytes``; one part at least."""
+    about ``max_bytes``; one part at least.  With ``unnamed``, those of items
+    with a null id too, a null standing for the id."""
     ship(benchmark.sparkSession)
-    rows = benchmark.select(F.col(f"`{id_col}`").cast("string").alias("_item"), F.col(f"`{text_col}`").alias("_text")).where(
-        "_item is not null")
+    rows = benchmark.select(F.col(f"`{id_col}`").cast("string").alias("_item"), F.col(f"`{text_col}`").alias("_text"))
+    rows = rows if unnamed else rows.where("_item is not null")
+    null = F.when(F.max(F.col("_item").isNull()), F.array(F.lit(None).cast("string"))).otherwise(F.array().cast("array<string>"))
     table = write_table(rows.mapInArrow(_windows(window), "_w binary, _item string").groupBy("_w").agg(
-        F.collect_set("_item").alias("_items")), "leaks-windows")
+        F.concat(F.collect_set("_item"), null).alias("_items")), "leaks-windows")
     size = table.agg(F.sum(F.octet_length("_w") * NODE_BYTES + F.size("_items") * ITEM_BYTES)).first()[0] or 0
     n = max(1, -(-size // max_bytes))
     return [table.where(F.pmod(F.xxhash64("_w"), F.lit(n)) == k) if n > 1 else table for k in range(n)]
@@ -130,7 +140,7 @@ class _Shared:
 
     def __init__(self, part: DataFrame):
         rows = part.toArrow()
-        windows = sorted(zip(rows.column("_w").to_pylist(), map(tuple, map(sorted, rows.column("_items").to_pylist()))))
+        windows = sorted(zip(rows.column("_w").to_pylist(), map(tuple, map(_in_order, rows.column("_items").to_pylist()))))
         self.id = hashlib.sha256(repr(windows).encode("utf-8", "surrogatepass")).hexdigest()
         self.windows = part.sparkSession.sparkContext.broadcast(dict(windows))  # max_bytes or so
 
@@ -150,11 +160,11 @@ HITS = T.StructType([
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                item_col: str = "item_id", item_text: str = "text", window: int = WINDOW,
-               max_bytes: int = MAX_BYTES) -> DataFrame:
+               max_bytes: int = MAX_BYTES, unnamed: bool = False) -> DataFrame:
     """Per document: id, n_words, n_hit, items (sorted), spans ([start, end)
     code points of the original text, merged)."""
     id_type = docs.schema[id_col]
-    parts = patterns(benchmark, item_col, item_text, window, max_bytes)
+    parts = patterns(benchmark, item_col, item_text, window, max_bytes, unnamed)
 
     def scan(shared: _Shared, final: bool):
         def run(batches: Iterator[pa.RecordBatch]):
@@ -165,7 +175,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                     text = t.as_py() or ""
                     n, ranges, items = shared.scanner().scan(text, before, known)
                     spans = original_spans(text, ranges) if final and ranges else ranges
-                    for c, v in zip(out, (n, sum(b - a for a, b in ranges), sorted(items), spans)):
+                    for c, v in zip(out, (n, sum(b - a for a, b in ranges), _in_order(items), spans)):
                         c.append(v)
                 items, spans = pa.array(out[2], pa.list_(pa.string())), pa.array(out[3], pa.list_(pa.list_(pa.int32())))
                 if final:
@@ -188,7 +198,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
                item_text: str = "text", window: int = WINDOW, max_bytes: int = MAX_BYTES) -> DataFrame:
     """The rows without any hit; all columns, nothing is shuffled."""
     at = docs.columns.index(text_col)
-    parts = patterns(benchmark, item_col, item_text, window, max_bytes)
+    parts = patterns(benchmark, item_col, item_text, window, max_bytes, unnamed=True)
 
     def clean(shared: _Shared):
         def run(batches):

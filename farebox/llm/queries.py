@@ -61,7 +61,7 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digests(
-        decontaminate.find_leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark")))
+        decontaminate.find_leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), unnamed=True))
 
 
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

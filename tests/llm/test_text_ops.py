@@ -150,6 +150,25 @@ def test_decontaminate_odd_rows(spark, odd_docs, no_docs):
     assert by_id(decontaminate.drop_leaks(odd_docs, bench, max_bytes=800), "*") == by_id(clean, "*")
 
 
+def test_decontaminate_items_without_an_id(spark, tmp_path):
+    """The registered query and its SQL on a benchmark with null ids."""
+    docs = spark.createDataFrame(
+        [(1, "The cat sat by the dog"), (2, "a dog"), (3, "a cat sat"), (4, "none"), (5, None), (6, "one bird")],
+        "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "CAT sat"), (None, "dog"), (None, "bird"), (2, "bird")], "item_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    con = pytest.importorskip("duckdb").connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    got = by_id(queries.op9_decontaminate(spark, str(tmp_path)), "*")
+    assert got == sorted(con.execute(queries.ORACLES["op9_decontaminate"]).fetchall(), key=str)
+    assert [r[2] for r in got] == [3, 1, 2, 0, 0, 1]
+    whole, split = (decontaminate.find_leaks(docs, bench, unnamed=True, max_bytes=m) for m in (1 << 30, 200))
+    assert by_id(whole, "*") == by_id(split, "*")
+    assert by_id(decontaminate.drop_leaks(docs, bench), "doc_id") == [(4,), (5,)]
+
+
 def test_benchmark_parts_are_bounded_and_whole(spark):
     bench = spark.createDataFrame(
         [(i, " ".join(f"w{i}q{j}" for j in range(30))) for i in range(40)], "item_id long, text string")
