@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.llm import bpe, chat, decontaminate, exact, lines, minhash, quality, substring, urls, warc
+from farebox.llm import (
+    audit, bpe, byte_repeats, centroids, chat, decontaminate, exact, lines, minhash, quality, substring, urls, warc)
 from farebox.llm.common import load
 from farebox.llm.oracles import ORACLES  # noqa: F401
 
@@ -68,6 +69,19 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_groups(load(spark, sf_dir, "documents"))
 
 
+def op11_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = byte_repeats.remove_long_repeats(load(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.digests(centroids.cluster(load(spark, sf_dir, "embeddings")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_byte_bpe, op2_warc, op3_exact_dedup, op4_substring, op5_line_dedup, op6_quality, op7_url_filter, op8_chat,
-    op9_decontaminate, op10_minhash)}
+    op9_decontaminate, op10_minhash, op11_suffix_array, op12_filter_audit, op13_centroids)}
