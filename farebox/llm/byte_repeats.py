@@ -9,9 +9,8 @@ anywhere else, in the same document or another.
    occurrence of an anchor stands for the run of windows that chose it, its
    context for the bytes of that run.  Anchors found once are dropped by a join; equal
    contexts of an anchor are one class with a count, as a copy adds no run to an index.
-2. Index.  The contexts of an anchor, one of each class (two where the class has two
-   or more), go with those of other anchors into one ``RunIndex`` (``rindex.py``), about a megabyte
-   each: the run-length Burrows-Wheeler transform with sampled run ends.  The
+2. Index.  The contexts of an anchor, one of each class with its count, go with
+   those of other anchors into one ``RunIndex`` (``rindex.py``), about a megabyte each: the run-length Burrows-Wheeler transform with sampled run ends.  The
    matching statistics streamed from its samples say which windows have a match of
    ``length`` bytes elsewhere.  The bytes themselves are compared, hashes only bring them together.
 3. Anchors with more than ``group_bytes`` of contexts (a passage that a third of all
@@ -196,8 +195,7 @@ def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
 
 def _marked(keys: list[tuple[int, int]], strings: list[bytes], counts: list[int], length: int) -> pa.RecordBatch:
     """The repeated windows of the contexts of one index, as bits."""
-    twice = [s for s, n in zip(strings, counts) if n > 1]
-    repeated = RunIndex([*strings, *twice]).repeated(length)[:len(strings)]
+    repeated = RunIndex(strings, counts).repeated(length)
     rows = [(k, c, np.packbits(r, bitorder="little").tobytes()) for (k, c), r in zip(keys, repeated) if r.any()]
     key, c, bits = zip(*rows) if rows else ((), (), ())
     return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(c, pa.int64()), pa.array(bits, pa.binary())],
@@ -221,7 +219,7 @@ def _indexed(length: int):
                 keys.append((key, c))
                 strings.append(raw)
                 counts.append(n)
-                held += len(raw) * (2 if n > 1 else 1)
+                held += len(raw)
         if keys:
             yield _marked(keys, strings, counts, length)
     return run

@@ -6,7 +6,8 @@ symbols, with the text position of the first and the last row of each run
 Within a run, the common prefix of a position with its neighbour in suffix order
 is one less than at the position before.  So the samples, streamed in text order,
 give the matching statistic of every position: the longest match of the
-text from there with any other place.  A further copy of a string adds hardly a run.
+text from there with any other place.  Strings that stand in the collection several times
+are kept once with their count, as copies add no runs.
 
 Strings are symbols 1 to 256 (byte + 1) and end with separators, which differ
 from each other, so that no match crosses one."""
@@ -26,27 +27,19 @@ def _shifted(x: np.ndarray, by: int, fill: int = 0) -> np.ndarray:
     return out
 
 
-def _ranks(key: np.ndarray, apart: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, bool]:
-    """Order of the keys, their dense ranks, and whether all ranks differ.
-    Positions marked in ``apart`` differ from all others, by their place."""
+def _grouped(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of the keys, and for each place of it the first place and the
+    size of its group of equal keys."""
     order = np.argsort(key)
     sorted_ = key[order]
-    new = np.empty(len(key), bool)
-    new[0] = True
-    np.not_equal(sorted_[1:], sorted_[:-1], out=new[1:])
-    if apart is not None:
-        at = np.flatnonzero(apart[order])
-        some = order[at]
-        order[at] = some[np.lexsort((some, key[some]))]
-        new[at] = True
-    rank = np.empty(len(key), np.int32)
-    rank[order] = np.cumsum(new, dtype=np.int32) - 1
-    return order, rank, bool(new.all())
+    first = np.flatnonzero(np.concatenate(([True], sorted_[1:] != sorted_[:-1])))
+    size = np.diff(np.append(first, len(key)))
+    return order, np.repeat(first, size), np.repeat(size, size)
 
 
 def suffix_order(text: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Suffix array of symbols (0 separates), and the ranks of the prefixes
-    of FIRST, 2 * FIRST, ... symbols."""
+    """Suffix array of symbols (0 separates), and for the prefixes of FIRST,
+    2 * FIRST, ... symbols from each position on the first row of those that are equal."""
     n = len(text)
     one = text.astype(np.int64)
     two = (one << _SYMBOL) | _shifted(one, 1)
@@ -54,15 +47,37 @@ def suffix_order(text: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
     three = (two << _SYMBOL) | _shifted(one, 2)
     key = (four << 3 * _SYMBOL) | _shifted(three, 4)
     ends = np.flatnonzero(text == 0)
-    left = ends[np.searchsorted(ends, np.arange(n))] - np.arange(n)      # symbols before the separator
-    short = left < FIRST
-    key[short] &= -1 << (_SYMBOL * (FIRST - left[short]))
-    order, rank, done = _ranks(key, short)
-    levels, size = [rank], FIRST
-    while not done:
-        order, rank, done = _ranks(rank.astype(np.int64) * (n + 1) + _shifted(rank, size, -1) + 1)
+    short = (ends[:, None] - np.arange(FIRST)).ravel()             # positions within FIRST of their separator
+    left = np.tile(np.arange(FIRST), len(ends))
+    ok = (short >= 0) & (np.repeat(np.concatenate(([-1], ends[:-1])), FIRST) < short)
+    short, left = short[ok], left[ok]
+    key[short] &= -1 << (_SYMBOL * (FIRST - left))
+    order, first, size = _grouped(key)
+    # what a separator ends differs from all else, by its place
+    apart = np.zeros(n, bool)
+    apart[short] = True
+    at = np.flatnonzero(apart[order])
+    some = order[at]
+    order[at] = some[np.lexsort((some, key[some]))]
+    first[at], size[at] = at, 1
+    rank = np.empty(n, np.int32)
+    rank[order] = first
+    levels, length = [rank], FIRST
+    active = order[size > 1]                                       # sorted by rank
+    while len(active):
+        after = active + length
+        key = rank[active].astype(np.int64) * (n + 1) + np.where(after < n, rank[np.minimum(after, n - 1)] + 1, 0)
+        inner, first, size = _grouped(key)
+        group = rank[active]                                       # rows of ``active`` before the sort
+        base = group - np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))[
+            np.cumsum(np.concatenate(([0], group[1:] != group[:-1])))]
+        moved = active[inner]
+        order[base + np.arange(len(active))] = moved
+        rank = rank.copy()
+        rank[moved] = base + first
         levels.append(rank)
-        size *= 2
+        active = moved[size > 1]
+        length *= 2
     return order, levels
 
 
@@ -85,9 +100,11 @@ def _common(text: np.ndarray, levels: list[np.ndarray], a: np.ndarray, b: np.nda
 
 class RunIndex:
     """``heads`` and ``lengths`` of the runs, ``first`` and ``last`` text
-    positions of each, ``common``: the common prefix of ``first[i]`` with ``last[i - 1]``."""
+    positions of each, ``common``: the common prefix of ``first[i]`` with ``last[i - 1]``.
+    ``counts`` says how often each string stands in the collection; it is indexed once."""
 
-    def __init__(self, strings: list[bytes]):
+    def __init__(self, strings: list[bytes], counts: list[int] | None = None):
+        self.counts = np.asarray(counts if counts is not None else [1] * len(strings))
         sizes = np.fromiter(map(len, strings), np.int64, len(strings))
         self.starts = np.concatenate((np.zeros(1, np.int64), np.cumsum(sizes + 1)))
         self.size = int(self.starts[-1])
@@ -109,6 +126,8 @@ class RunIndex:
         reach[self.first] += self.common
         after = np.arange(self.size)
         after[self.last[:-1]] += self.common[1:]
+        several = np.flatnonzero(self.counts > 1)             # match their copies to the end
+        after[self.starts[several]] = self.starts[several + 1] - 1
         return np.maximum.accumulate(np.maximum(reach, after)) - np.arange(self.size)
 
     def repeated(self, length: int) -> list[np.ndarray]:
