@@ -10,7 +10,7 @@ anywhere else, in the same document or another.
    context for the bytes of that run.  Anchors found once are dropped by a join; equal
    contexts of an anchor are one class with a count, as a copy adds no run to an index.
 2. Index.  The contexts of an anchor, one of each class with its count, go with
-   those of other anchors into one ``RunIndex`` (``rindex.py``), about a megabyte each: the run-length Burrows-Wheeler transform with sampled run ends.  The
+   those of other anchors into one ``RunIndex`` (``rindex.py``), about 128 KB each: the run-length Burrows-Wheeler transform with sampled run ends.  The
    matching statistics streamed from its samples say which windows have a match of
    ``length`` bytes elsewhere.  The bytes themselves are compared, hashes only bring them together.
 3. Anchors with more than ``group_bytes`` of contexts (a passage that a third of all
@@ -43,7 +43,7 @@ from farebox.llm.rindex import RunIndex
 
 LENGTH, GRAM = 400, 32
 GROUP_BYTES = 2 << 20          # contexts of one key in one index
-_INDEX_BYTES = 1 << 20         # contexts of several keys in one index
+_INDEX_BYTES = 1 << 17         # contexts of several keys in one index: what a core caches
 _PIECE = 1 << 19               # bytes hashed at once
 _PLACE = np.uint64((1 << 21) - 1)
 _DOC = ["_id", "_k"]
