@@ -65,4 +65,77 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
        sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
-ORACLES = {"op3_exact_dedup": OP3, "op4_substring": OP4, "op7_url_filter": OP7, "op9_decontaminate": OP9}
+OP11 = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+win AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 800)) AS s
+        FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 399)) AS i FROM d WHERE len(h) >= 800)),
+dup AS (SELECT s FROM win GROUP BY s HAVING count(*) > 1),
+hit AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM win SEMI JOIN dup USING (s)),
+runs AS (SELECT doc_id, i, sum(CASE WHEN before IS NULL OR i > before + 400 THEN 1 ELSE 0 END)
+                OVER (PARTITION BY doc_id ORDER BY i) AS run FROM hit),
+spans AS (SELECT doc_id, run, min(i) AS a, max(i) + 400 AS b FROM runs GROUP BY doc_id, run),
+gaps AS (SELECT doc_id, b, coalesce(lead(a) OVER (PARTITION BY doc_id ORDER BY a), 1e15::BIGINT) AS next, b - a AS n FROM spans
+         UNION ALL SELECT doc_id, 0, min(a), 0 FROM spans GROUP BY doc_id),
+cut AS (SELECT doc_id, string_agg(substr(h, 2 * b + 1, 2 * least(next - b, len(h))), '' ORDER BY b) AS k,
+               sum(n) AS n_removed, count(*) - 1 AS n_spans FROM gaps JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, len(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(k, h))) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)"""
+
+OP12 = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+m AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, len(regexp_extract_all(t, '[A-Z]')) AS capitals FROM d),
+f AS (
+  SELECT part, quality = 1 AS good, toxic = 1 AS bad,
+         (CASE WHEN len(w) < 100 THEN 1 ELSE 0 END) + (CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 2 ELSE 0 END)
+         + (CASE WHEN 100 * capitals > 10 * length(t) THEN 4 ELSE 0 END)
+         + (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END)
+         + (CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END) AS mask
+  FROM m LEFT JOIN labels USING (doc_id)),
+letters(x, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+perms AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters a JOIN letters b ON b.x <> a.x JOIN letters c ON c.x NOT IN (a.x, b.x)
+  JOIN letters d ON d.x NOT IN (a.x, b.x, c.x) JOIN letters e ON e.x NOT IN (a.x, b.x, c.x, d.x)),
+steps AS (SELECT filter_order, CAST(step AS INTEGER) AS step, bits[step] AS bit,
+                 coalesce(list_sum(bits[1:step - 1]), 0)::INTEGER AS before
+          FROM (SELECT *, unnest(range(1, 6)) AS step FROM perms)),
+judged AS (SELECT part, filter_order, step, bit, mask, good, bad, mask & bit > 0 AS fails, mask & before > 0 AS gone FROM f, steps),
+c AS (
+  SELECT part, filter_order, step, bit, count(*) FILTER (NOT gone AND NOT fails) AS kept, count(*) FILTER (NOT gone AND fails) AS removed,
+         count(*) FILTER (gone AND fails) AS redundant, count(*) FILTER (mask = bit) AS unique_fails,
+         count(*) FILTER (NOT gone AND fails AND good) AS good_lost, count(*) FILTER (NOT gone AND fails AND bad) AS toxic_lost
+  FROM judged GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley FROM c"""
+
+
+def _op13(rounds: int = 10) -> str:
+    """One pair of tables per round: the nearest centroid of each vector, the moved centroids."""
+    nearest = """
+near{r} AS MATERIALIZED (
+  SELECT row, arg_min(k, (d, k)) AS k, min(d) AS d FROM (
+    SELECT v.row, c.k, CAST(sum((v.x - c.x) * (v.x - c.x)) AS BIGINT) AS d
+    FROM comp v JOIN cent{r} c USING (j) GROUP BY v.row, c.k) GROUP BY row),"""
+    moved = """
+cent{n} AS MATERIALIZED (
+  SELECT c.k, c.j, CASE WHEN s.n IS NULL THEN c.x ELSE CAST((s.s - ((s.s % s.n) + s.n) % s.n) // s.n AS BIGINT) END AS x
+  FROM cent{r} c LEFT JOIN (SELECT k, j, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM near{r} JOIN comp USING (row) GROUP BY k, j) s
+  USING (k, j)),"""
+    body = "".join(nearest.format(r=r) + moved.format(r=r, n=r + 1) for r in range(rounds)) + nearest.format(r=rounds)
+    return f"""
+WITH vec AS MATERIALIZED (
+  SELECT vec_id, row_number() OVER () AS row, embedding AS e FROM embeddings
+  WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+comp AS MATERIALIZED (
+  SELECT row, unnest(range(1, 65)) AS j, CAST(floor(1024 * unnest(e)::DOUBLE) AS BIGINT) AS x FROM vec),
+start AS (SELECT row, row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS k FROM vec QUALIFY k < 8),
+cent0 AS MATERIALIZED (SELECT k, j, x FROM start JOIN comp USING (row)),{body}
+hashes AS (SELECT k, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY j)) AS centroid_sha256 FROM cent{rounds} GROUP BY k)
+SELECT vec_id, CAST(k AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM near{rounds} JOIN vec USING (row) JOIN hashes USING (k)"""
+
+
+ORACLES = {"op3_exact_dedup": OP3, "op4_substring": OP4, "op7_url_filter": OP7, "op9_decontaminate": OP9,
+           "op11_suffix_array": OP11, "op12_filter_audit": OP12, "op13_centroids": _op13()}

@@ -1,0 +1,187 @@
+"""Repeated byte strings, the filter audit and the clusters against their
+brute-force versions: on the small tables, and on odd rows."""
+
+import collections
+import os
+import random
+import sys
+
+import numpy as np
+import pytest
+
+sys.path.insert(0, os.path.dirname(__file__))
+import brute  # noqa: E402
+import brute_corpus  # noqa: E402
+from llm_cases import SF, TEXTS  # noqa: E402
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from farebox.llm import audit, byte_repeats, centroids, queries  # noqa: E402
+from farebox.llm.rindex import RunIndex  # noqa: E402
+
+NAMES = ("_id _k _text _key _bytes _doc _part _sha _mask _n _vec _vec_id words points part kept spans cluster "
+         "distance a.b n_bytes").split()
+
+
+def clashing(df):
+    """Further columns whose names are those used inside."""
+    return df.select("*", *[F.lit(1).alias(n) for n in NAMES if n not in df.columns])
+
+
+def table(name):
+    return brute.pq.read_table(f"{SF}/{name}.parquet").to_pydict()
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_queries_against_brute_force(spark):
+    d, marks, e = table("documents"), table("labels"), table("embeddings")
+    label = {i: (q, x) for i, q, x in zip(marks["doc_id"], marks["quality"], marks["toxic"])}
+    want = {"op11_suffix_array": brute_corpus.op11(list(zip(d["doc_id"], d["text"]))),
+            "op12_filter_audit": brute_corpus.op12(list(zip(d["doc_id"], d["text"], d["lang"])), label),
+            "op13_centroids": brute_corpus.op13(list(zip(e["vec_id"], e["embedding"])))}
+    for name, rows in want.items():
+        assert rows_of(queries.QUERIES[name](spark, SF)) == sorted(rows, key=str), name
+
+
+def test_run_index_against_counts():
+    rng = random.Random(5)
+    for _ in range(300):
+        length = rng.choice([1, 2, 3, 7, 13, 40])
+        alphabet = rng.choice([b"a", b"ab", b"\x00\xff", b"abcdefgh"])
+        strings = [bytes(rng.choices(alphabet, k=rng.randint(length, length + 60))) for _ in range(rng.randint(1, 8))]
+        strings += rng.choices(strings, k=rng.randint(0, 3))
+        counts = [rng.choice([1, 1, 1, 2]) for _ in strings]
+        seen = collections.Counter(s[i:i + length] for s, n in zip(strings, counts) for _ in range(n)
+                                   for i in range(len(s) - length + 1))
+        for s, found in zip(strings, RunIndex(strings, counts).repeated(length)):
+            assert found.tolist() == [seen[s[i:i + length]] > 1 for i in range(len(s) - length + 1)]
+
+
+def test_run_index_is_small_for_copies():
+    rng = random.Random(6)
+    one = bytes(rng.choices(b"abcdefgh", k=600))
+    index = RunIndex([one[:590 + i % 10] for i in range(100)])
+    assert len(index.heads) < 0.03 * index.size and int(index.lengths.sum()) == index.size
+
+
+def digest(df):
+    return df.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def test_byte_repeats_odd_rows(spark):
+    rows = [*TEXTS, (20, "x" * 900), (21, "é" * 250 + "b" * 200), (22, "é" * 250 + "c" * 200), (23, "ab" * 199), (24, "ab" * 200),
+            (25, "ab" * 201)]
+    df = clashing(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = byte_repeats.remove_long_repeats(df)
+    assert rows_of(digest(got)) == sorted(brute_corpus.op11(rows), key=str)
+    for r in got.collect():
+        assert sum(b - a for a, b in r["spans"]) == r["n_removed"] and len(r["spans"]) == r["n_spans"]
+    assert byte_repeats.remove_long_repeats(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_byte_repeats_split_of_large_groups(spark, seed):
+    """A passage between other words, and copies of a template altered at one place, with groups of a few contexts only."""
+    rng = random.Random(seed)
+    passage, template = ("".join(rng.choices("abcdefgh ", k=k)) for k in (70, 130))
+    rows = []
+    for i in range(120):
+        words = "".join(rng.choices("ab", k=rng.randint(0, 60)))
+        altered = list(template)
+        altered[rng.randrange(len(altered))] = "#"
+        rows.append((i, rng.choice([words + passage + words[::-1], "".join(altered), words, "".join(altered) + passage[:45]])))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(brute_corpus.op11(rows, 40), key=str)
+    for group in (200, 2000, 1 << 20):
+        got = byte_repeats.remove_long_repeats(df, length=40, gram=8, group_bytes=group)
+        assert rows_of(digest(got)) == want, group
+
+
+def test_byte_repeats_long_text_in_pieces(spark, monkeypatch):
+    rng = random.Random(3)
+    text = "".join(rng.choices("abcdefgh ", k=9000))
+    rows = [(1, text), (2, text[4000:4600] + "z" + text[100:450]), (3, text[:399]), (4, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sizes = np.array([9000, 951, 399, 0])
+    monkeypatch.setattr(byte_repeats, "_PIECE", 1000)
+    pieces = list(byte_repeats._pieces(sizes, 400))
+    assert pieces[0] == (0, 1, 0, 1399) and pieces[-1] == (2, 4, 0, 399)
+    monkeypatch.undo()
+    assert rows_of(digest(byte_repeats.remove_long_repeats(df))) == sorted(brute_corpus.op11(rows), key=str)
+
+
+def test_transducer_against_expressions():
+    rng = random.Random(4)
+    texts = ["", " ", "a", "\x00\x1c\x85 ", "日本 語\t🙂#", "A" * 300, "w" * 5000 + " " + "w" * 4999 + "v " + "w" * 5000]
+    texts += ["".join(rng.choices("ab é🙂\n\x0b#Z|", k=rng.randint(0, 80))) for _ in range(300)]
+    texts += [" ".join(rng.choices(["same", "other", "eightlet", "eightlet9", "x" * 20], k=50)) for _ in range(20)]
+    raw = [t.encode() for t in texts]
+    found = audit.measures(np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(r) for r in raw]))))
+    for i, t in enumerate(texts):
+        words = brute_corpus.re.findall(r"[^\x20\x09-\x0D]+", t)
+        assert {k: int(v[i]) for k, v in found.items()} == {
+            "words": len(words), "distinct": len(set(words)), "capitals": sum("A" <= c <= "Z" for c in t), "points": len(t),
+            "symbols": sum(c in "#$%&*|" for c in t)}, t
+
+
+def test_hash_table_verifies_words(monkeypatch):
+    """All words in one slot: only the bytes tell them apart."""
+    monkeypatch.setattr(audit, "_hashes", lambda view, first, *_: np.zeros(len(first), np.uint64))
+    raw = b"aa ab aa ac abcdefghi abcdefghj abcdefghi"
+    data = np.frombuffer(raw + raw, np.uint8)
+    assert audit.measures(data, np.array([0, len(raw), 2 * len(raw)]))["distinct"].tolist() == [5, 5]
+
+
+def test_audit_odd_rows(spark):
+    langs = ["en", None, "de", ""]
+    rows = [(i, t, langs[k % 4]) for k, (i, t) in enumerate(TEXTS)]
+    rows += [(30, "THE END", "fr"), (30, "THE END", "fr"), (31, "THE END", "en"), (None, "THE END", "fr"), (-5, "", "en")]
+    marks = [(1, 1, 0), (1, 0, 1), (8, None, None), (30, 1, 1), (31, 0, 1), (None, 1, 1), (99, 1, 0)]
+    df = clashing(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    labels = clashing(spark.createDataFrame(marks, "doc_id long, quality int, toxic int"))
+    got = rows_of(audit.audit(df, labels))
+    want = brute_corpus.op12(rows, {1: (1, 1), 30: (1, 1), 31: (0, 1)})
+    assert got == sorted(want, key=str) and {r[0] for r in got} == {"", "en", "de", "fr"}
+    assert audit.audit(df.limit(0), labels).count() == 0
+    assert len(rows_of(audit.audit(df, labels.limit(0)))) == len(got)
+
+
+def vectors(n, seed=7):
+    rng = np.random.default_rng(seed)
+    return [(i, [float(x) for x in rng.normal(0, 0.2, 64).astype(np.float32)]) for i in range(n)]
+
+
+def test_popcounts_are_dot_products():
+    rng = np.random.default_rng(8)
+    for top in (1, 2, 700, 1 << 26):
+        a, b = rng.integers(-top, top, (40, 64)), rng.integers(-top, top, (5, 64))
+        pa_, pb = centroids.pack(a), centroids.pack(b)
+        assert (centroids.dots(centroids.narrow(pa_), centroids.narrow(pb)) == a @ b.T).all()
+        assert (centroids.sums(pa_) == a.sum(axis=0)).all()
+
+
+def test_clusters_odd_rows(spark):
+    good = vectors(60)
+    rows = [*good, good[3], good[3], (4, good[9][1]), (None, good[5][1]), (70, None), (71, [0.5] * 63), (72, [0.5] * 65), (73, []),
+            (74, [float("nan")] + [0.1] * 63), (75, [None] + [0.1] * 63), (76, [float("inf")] + [0.1] * 63),
+            (77, [0.0] * 64), (78, [-0.0001] * 64), (79, [3000.0] * 64), *[(80 + i, good[0][1]) for i in range(30)]]
+    df = clashing(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    got = centroids.digests(centroids.cluster(df))
+    assert rows_of(got) == sorted(brute_corpus.op13(rows), key=str)
+    few = spark.createDataFrame(rows[:3], "vec_id long, embedding array<double>")
+    assert rows_of(centroids.digests(centroids.cluster(few))) == sorted(brute_corpus.op13(rows[:3]), key=str)
+    assert centroids.cluster(df.limit(0)).count() == 0
+    assert centroids.cluster(spark.createDataFrame([(None, good[0][1])], "vec_id long, embedding array<float>")).count() == 0
+    with pytest.raises(Exception, match="too large"):
+        centroids.cluster(spark.createDataFrame([(1, [1e30] + [0.0] * 63)], "vec_id long, embedding array<float>")).count()
+
+
+def test_clusters_with_empty_ones(spark):
+    """Equal vectors start several clusters: the smaller number takes all, the others keep their centroids."""
+    rows = [(i, [0.25] * 64) for i in range(12)] + [(100 + i, [0.1 * i] * 64) for i in range(4)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = rows_of(centroids.digests(centroids.cluster(df)))
+    assert got == sorted(brute_corpus.op13(rows), key=str) and len({r[1] for r in got}) < 8
