@@ -20,10 +20,12 @@ from farebox.plans import shared as SH
 from farebox.plans import sql as Q
 from farebox.plans.catalog import MartCatalog
 from farebox.session import scratch_path
+from farebox.sources import deliveries as DL
 from farebox.sources import dirty as D
 from farebox.sources import lineitem as L
 from farebox.sources import marts as MS
 from farebox.sources import text as TX
+from farebox.streaming import event_time as EV
 
 
 @dataclass(frozen=True)
@@ -121,6 +123,26 @@ def _coerced_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coerce_numeric(text, ["fare_moy", "tip_moy"])
 
 
+# --- hours of event time from a stream ----------------------------------------
+def _stream_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Each delivery lands and is taken by an available-now run that goes on
+    from the state of the one before.  Returns what landed and the closed hours."""
+    base = scratch_path(spark, "events")
+    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
+    for _ in DL.deliver(spark, sf_dir, f"{base}/landing"):
+        arrived = spark.readStream.schema(schema).parquet(f"{base}/landing")
+        EV.start_windows(arrived, f"{base}/hours", state_partitions=spark.sparkContext.defaultParallelism).awaitTermination()
+    return spark.read.schema(schema).parquet(f"{base}/landing"), EV.read_windows(spark, f"{base}/hours")
+
+
+def _events_per_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stream_events(spark, sf_dir)[1]
+
+
+def _late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return EV.account(*_stream_events(spark, sf_dir))
+
+
 _CAL = "['" + "', '".join(Q.S.DAYS_SHORT) + "']"
 
 REGISTRY: dict[str, Registered] = {
@@ -238,4 +260,7 @@ REGISTRY: dict[str, Registered] = {
                         tip_moy, tip_rate, recette_totale FROM peak_revenue""", "peak_revenue")),
     # --- input profile ---------------------------------------------------------
     "input_profile": Registered(_input_profile, Q.with_marts("SELECT CAST(COUNT(*) AS BIGINT) AS lignes FROM trips")),
+    # --- X5: hours of event time from a stream, late rows dropped ----------------
+    "events_per_hour": Registered(_events_per_hour, Q.EVENTS_PER_HOUR_SQL),
+    "late_events": Registered(_late_events, Q.LATE_EVENTS_SQL),
 }

@@ -7,6 +7,7 @@ DataFrame implementation, so any semantic slip shows up as a mismatch."""
 from __future__ import annotations
 
 from farebox import schema as S
+from farebox.sources import deliveries as DL
 from farebox.sources import dirty as D
 from farebox.sources import lineitem as L
 
@@ -245,3 +246,23 @@ trips AS (
 def dirty_query(name: str, order_by: str) -> str:
     """The mart over the dirty trips."""
     return f"WITH {DIRTY_TRIPS},\n{name} AS ({MARTS_SQL[name]}\n)\nSELECT * FROM {name} ORDER BY {order_by}"
+
+
+# Hours of event time over deliveries (``farebox.sources.deliveries``): a row counts if its hour ends after the
+# watermark of the deliveries before its own; an hour is closed if it ends by the last watermark.
+_DELAY = "INTERVAL 2 HOUR"
+_DELIVERED = f"""e AS (
+  SELECT value, ts, date_trunc('hour', ts) AS debut, date_trunc('hour', ts) + INTERVAL 1 HOUR AS fin,
+    date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) // {DL.STEP_DAYS}
+      + CASE WHEN event_id % {DL.LATE_EVERY} = 0 THEN 1 ELSE 0 END AS d
+  FROM events WHERE ts IS NOT NULL),
+marks AS (
+  SELECT d, lag(m) OVER (ORDER BY d) - {_DELAY} AS mark
+  FROM (SELECT d, max(date_trunc('milliseconds', max(ts))) OVER (ORDER BY d) AS m FROM e GROUP BY d)),
+final AS (SELECT date_trunc('milliseconds', max(ts)) - {_DELAY} AS last FROM e),
+j AS (SELECT e.*, mark IS NULL OR fin > mark AS ok, fin <= last AS closed FROM e JOIN marks USING (d), final)"""
+EVENTS_PER_HOUR_SQL = f"WITH {_DELIVERED}\n" + expand_rnd("""SELECT debut, fin, COUNT(*) AS nb_evenements,
+  RND(SUM(value), 2) AS valeur_totale FROM j WHERE ok AND closed GROUP BY debut, fin""")
+LATE_EVENTS_SQL = f"""WITH {_DELIVERED}
+SELECT COUNT(*) AS recus, CAST(0 AS BIGINT) AS sans_heure, COUNT(*) FILTER (ok AND closed) AS comptes,
+  COUNT(*) FILTER (NOT closed) AS ouverts, COUNT(*) FILTER (NOT ok AND closed) AS tardifs FROM j"""
