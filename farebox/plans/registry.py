@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from farebox.functions.parsing import coerce_numeric
 from farebox.operators import kpis as K
 from farebox.operators import marts as A
+from farebox.operators import weekly as WK
+from farebox.operators import zones as Z
 from farebox.plans import shared as SH
 from farebox.plans import sql as Q
 from farebox.plans.catalog import MartCatalog
@@ -123,6 +125,20 @@ def _coerced_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coerce_numeric(text, ["fare_moy", "tip_moy"])
 
 
+# --- marts joined with a zone lookup --------------------------------------------
+def _named(mart_fn, column, prefix=""):
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        out, zones = mart_fn(L.load_trips(spark, sf_dir)), L.load_zones(spark, sf_dir)
+        for c, p in zip([column] if isinstance(column, str) else column, [prefix] if isinstance(prefix, str) else prefix):
+            out = Z.with_zone_names(out, zones, c, p)
+        return out
+    return build
+
+
+def _district_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Z.revenue_per_district(L.load_trips(spark, sf_dir), L.load_zones(spark, sf_dir))
+
+
 # --- hours of event time from a stream ----------------------------------------
 def _stream_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Each delivery lands and is taken by an available-now run that goes on
@@ -263,4 +279,19 @@ REGISTRY: dict[str, Registered] = {
     # --- X5: hours of event time from a stream, late rows dropped ----------------
     "events_per_hour": Registered(_events_per_hour, Q.EVENTS_PER_HOUR_SQL),
     "late_events": Registered(_late_events, Q.LATE_EVENTS_SQL),
+    # --- X1: zone names --------------------------------------------------------
+    "zone_revenue_named": Registered(
+        _named(A.revenue_per_zone, "zone_depart"),
+        Q.with_zones("""SELECT m.*, nom, quartier FROM revenue_per_zone m LEFT JOIN zones ON zone_depart = cle""", "revenue_per_zone")),
+    "od_flows_named": Registered(
+        _named(partial(A.od_flows, top=None), ["zone_depart", "zone_arrivee"], ["depart_", "arrivee_"]),
+        Q.with_zones("""SELECT m.*, a.nom AS depart_nom, a.quartier AS depart_quartier, b.nom AS arrivee_nom,
+                        b.quartier AS arrivee_quartier FROM od_flows m
+                        LEFT JOIN zones a ON CAST(zone_depart AS VARCHAR) = a.cle
+                        LEFT JOIN zones b ON CAST(zone_arrivee AS VARCHAR) = b.cle""", "od_flows")),
+    "revenue_per_district": Registered(_district_revenue, Q.DISTRICT_SQL),
+    # --- X4, X2: weeks without gaps, unusual weeks --------------------------------
+    "iso_weeks": Registered(_mart(WK.iso_weeks), Q.ISO_WEEKS_SQL),
+    "weekly_anomalies": Registered(_mart(WK.weekly_anomalies), Q.weekly_anomalies_sql()),
+    "zone_weekly_anomalies": Registered(_mart(WK.weekly_anomalies, by=["PULocationID"]), Q.weekly_anomalies_sql("PULocationID")),
 }

@@ -7,6 +7,7 @@ DataFrame implementation, so any semantic slip shows up as a mismatch."""
 from __future__ import annotations
 
 from farebox import schema as S
+from farebox.operators import weekly as WK
 from farebox.sources import deliveries as DL
 from farebox.sources import dirty as D
 from farebox.sources import lineitem as L
@@ -266,3 +267,58 @@ EVENTS_PER_HOUR_SQL = f"WITH {_DELIVERED}\n" + expand_rnd("""SELECT debut, fin,
 LATE_EVENTS_SQL = f"""WITH {_DELIVERED}
 SELECT COUNT(*) AS recus, CAST(0 AS BIGINT) AS sans_heure, COUNT(*) FILTER (ok AND closed) AS comptes,
   COUNT(*) FILTER (NOT closed) AS ouverts, COUNT(*) FILTER (NOT ok AND closed) AS tardifs FROM j"""
+
+
+# --- zone names ---------------------------------------------------------------
+ZONES = f"""zones AS (
+  SELECT CAST(s_suppkey * {L.ZONE_STEP} AS VARCHAR) AS cle, s_name AS nom, n_name AS quartier
+  FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey)"""
+
+
+def with_zones(body: str, *marts: str) -> str:
+    return with_marts(body, *marts).replace("WITH ", f"WITH {ZONES},\n", 1)
+
+
+DISTRICT_SQL = with_zones(f"""SELECT quartier, COUNT(DISTINCT PULocationID) AS nb_zones, COUNT(*) AS nb_courses,
+  RND(AVG(fare_amount), 2) AS tarif_moyen, RND(SUM(total_amount), 0) AS recette_totale,
+  RND(CASE WHEN SUM(fare_amount) > 0 THEN SUM(tip_amount) / SUM(fare_amount) * 100.0 ELSE 0.0 END, 1) AS taux_pourboire
+FROM trips LEFT JOIN zones ON CAST(PULocationID AS VARCHAR) = cle
+WHERE fare_amount > 0 AND fare_amount < {M} AND tip_amount >= 0 AND total_amount > 0 AND total_amount < {M}
+GROUP BY quartier""")
+
+
+# --- weeks without gaps, unusual weeks -------------------------------------------
+def _weeks(by: str = "") -> str:
+    group, own = (f"{by}, ", f"g.{by}, ") if by else ("", "")
+    same = f" AND t.{by} IS NOT DISTINCT FROM g.{by}" if by else ""
+    return f"""totals AS (
+  SELECT {group}CAST(date_trunc('week', {PU}) AS DATE) AS lundi, COUNT(*) AS nb_courses,
+    COUNT(*) FILTER (trip_distance > {int(S.SUSPICIOUS_MIN_MILES)} AND date_diff('second', {PU}, {DO}) < {S.SUSPICIOUS_MAX_SECONDS})
+      AS courses_suspectes, SUM(total_amount) AS total
+  FROM trips WHERE {PU} IS NOT NULL GROUP BY ALL),
+g AS (SELECT {group}CAST(unnest(generate_series(MIN(lundi), MAX(lundi), INTERVAL 7 DAY)) AS DATE) AS lundi FROM totals
+      {"GROUP BY " + by if by else ""}),
+weeks AS (
+  SELECT {own}g.lundi, CAST(isoyear(g.lundi) AS INTEGER) AS annee_iso, CAST(weekofyear(g.lundi) AS INTEGER) AS semaine_iso,
+    COALESCE(nb_courses, 0) AS nb_courses, COALESCE(courses_suspectes, 0) AS courses_suspectes,
+    RND(COALESCE(total, 0.0), 0) AS recette_totale
+  FROM g LEFT JOIN totals t ON t.lundi = g.lundi{same})"""
+
+
+ISO_WEEKS_SQL = expand_rnd(f"WITH {TRIPS},\n{_weeks()}\nSELECT * FROM weeks ORDER BY lundi")
+
+
+def weekly_anomalies_sql(by: str = "") -> str:
+    group = f"{by}, " if by else ""
+    frame = (f"({'PARTITION BY ' + by if by else ''} ORDER BY lundi "
+             f"ROWS BETWEEN {WK.TRAILING} PRECEDING AND 1 PRECEDING)")
+    return expand_rnd(f"""WITH {TRIPS},
+{_weeks(by)},
+w AS (
+  SELECT *, COUNT(*) OVER {frame} AS n, CAST(SUM(nb_courses) OVER {frame} AS HUGEINT) AS s,
+    CAST(SUM(nb_courses * nb_courses) OVER {frame} AS HUGEINT) AS q FROM weeks)
+SELECT {group}lundi, annee_iso, semaine_iso, nb_courses, courses_suspectes,
+  CASE WHEN n >= {WK.MIN_WEEKS} THEN RND(CAST(s AS DOUBLE) / n, 2) END AS moyenne_mobile,
+  CASE WHEN n >= {WK.MIN_WEEKS} THEN RND(sqrt(CAST(n * q - s * s AS DOUBLE)) / n, 2) END AS ecart_type,
+  CASE WHEN n >= {WK.MIN_WEEKS} THEN (n * nb_courses - s) * (n * nb_courses - s) > {WK.DEVIATIONS ** 2} * (n * q - s * s) END AS anomalie
+FROM w ORDER BY {group}lundi""")

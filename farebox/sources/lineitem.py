@@ -52,3 +52,16 @@ def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
 def load_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``trips`` view over ``{sf_dir}/lineitem.parquet``."""
     return trips_from_lineitem(spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet"))
+
+
+# Zones of the lookup: every second zone number has a supplier's name and its nation.
+ZONE_STEP = 2
+
+
+def load_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A zone lookup from ``supplier`` and ``nation``: LocationID, Zone, Borough."""
+    base = sf_dir.rstrip("/")
+    nation = spark.read.parquet(f"{base}/nation.parquet").select("n_nationkey", "n_name")
+    supplier = spark.read.parquet(f"{base}/supplier.parquet").select("s_suppkey", "s_name", "s_nationkey")
+    return supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left").select(
+        (F.col("s_suppkey") * ZONE_STEP).alias("LocationID"), F.col("s_name").alias("Zone"), F.col("n_name").alias("Borough"))

@@ -27,7 +27,7 @@ def duck():
     con = duckdb.connect()
 
     def for_dir(sf_dir):
-        for t in ["lineitem", "events"]:
+        for t in ["lineitem", "events", "supplier", "nation"]:
             con.execute(f"CREATE OR REPLACE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
         return con
     return for_dir
