@@ -43,8 +43,11 @@ def build(spark: SparkSession, input_path: str, output: str, *, input_format: st
     ensure_checkpoint_dir(spark)
     scratch = scratch_path(spark, "build")
     try:
+        staged = stage if stage is not None else not shared
+        if staged and input_format == "csv":
+            options.setdefault("text_rules", True)   # each field is typed once
         trips = load_input(spark, input_path, input_format, **options)
-        if stage if stage is not None else not shared:
+        if staged:
             trips = ST.stage_trips(spark, trips, f"{scratch}/trips")
         prebuilt = None
         if shared:
@@ -74,13 +77,14 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--per-mart", action="store_true", help="one plan per mart, no shared pass")
     b.add_argument("--rounding", default="sql", choices=["sql", "python"],
                    help="python: round the Python-computed marts as Python's :.2f does")
+    b.add_argument("--multi-line", action="store_true", help="quoted fields may hold line ends; a file is then one task")
     args = p.parse_args(argv)
 
     spark = SparkSession.builder.appName("farebox-build").getOrCreate()
     out = build(spark, args.input, args.output, input_format=args.input_format, fmt=args.format,
                 marts=[m for m in args.marts.split(",") if m] or None,
                 weekly_year=args.weekly_year, stage=args.stage, shared=not args.per_mart,
-                rounding=args.rounding)
+                rounding=args.rounding, **({"multi_line": True} if args.multi_line else {}))
     print(json.dumps(out))
 
 

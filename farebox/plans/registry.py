@@ -18,6 +18,7 @@ from farebox.operators import kpis as K
 from farebox.operators import marts as A
 from farebox.operators import weekly as WK
 from farebox.operators import zones as Z
+from farebox.plans import audit as AU
 from farebox.plans import shared as SH
 from farebox.plans import sql as Q
 from farebox.plans.catalog import MartCatalog
@@ -69,12 +70,22 @@ def _text_round_trip(mart_fn):
     return build
 
 
-def _dirty(mart_fn):
+def _dirty(mart_fn, load=D.load_dirty_trips):
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return mart_fn(D.load_dirty_trips(spark, sf_dir))
+        return mart_fn(load(spark, sf_dir))
     return build
 
 
+def _reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report, _ = AU.reconcile(spark, D.dirty_files(spark, sf_dir, numbers=True), weekly_year=L.TEST_WEEKLY_YEAR)
+    return report
+
+
+def _reconciled_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart of the audit's own pass."""
+    return AU.reconcile(spark, D.dirty_files(spark, sf_dir, numbers=True))[1]["revenue_per_zone"]
+
+
 def _input_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the table, counted file by file (SQL over a view knows no files)."""
     path = f"{sf_dir.rstrip('/')}/lineitem.parquet"
@@ -256,6 +267,18 @@ REGISTRY: dict[str, Registered] = {
     "dirty_text_hours": Registered(_dirty(A.trips_per_hour), Q.dirty_query("trips_per_hour", "heure")),
     "dirty_text_zones": Registered(_dirty(A.revenue_per_zone), Q.dirty_query("revenue_per_zone", "zone_depart")),
     "dirty_text_peak": Registered(_dirty(A.peak_revenue), Q.dirty_query("peak_revenue", "creneau")),
+    # the same records with line ends inside quotes, by both typings
+    "multi_line_zones": Registered(
+        _dirty(A.revenue_per_zone, D.load_multi_line_trips), Q.dirty_query("revenue_per_zone", "zone_depart")),
+    "multi_line_peak": Registered(
+        _dirty(A.peak_revenue, partial(D.load_multi_line_trips, text_rules=True)), Q.dirty_query("peak_revenue", "creneau")),
+    # odd number forms, by the rules of the staged path
+    "staged_numbers_zones": Registered(
+        _dirty(A.revenue_per_zone, D.load_staged_trips), Q.dirty_query("revenue_per_zone", "zone_depart", numbers=True)),
+    # --- X3: what was read, unreadable, accepted; a mart of the same pass ----------
+    "reconciliation": Registered(_reconciliation, Q.reconciliation_sql()),
+    "reconciled_zones": Registered(
+        _reconciled_zones, Q.dirty_query("revenue_per_zone", "zone_depart", numbers=True)),
     # --- marts written to files and read back ----------------------------------
     "slot_report_from_tsv": Registered(
         _slot_report_from_tsv,

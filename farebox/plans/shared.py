@@ -50,14 +50,27 @@ def _entry(mart: str, cond: Column, *, k1=None, k2=None, ks=None, **measures) ->
     return F.when(cond, F.struct(*fields))
 
 
-def mart_entries(trips: DataFrame, *, weekly_year: int = S.WEEKLY_YEAR,
-                 max_amount: float = S.MAX_AMOUNT, max_speed: float = S.MAX_SPEED_MPH,
-                 min_miles: float = S.SUSPICIOUS_MIN_MILES,
-                 max_seconds: int = S.SUSPICIOUS_MAX_SECONDS, rounding: str = "sql",
-                 only: set[str] | None = None) -> DataFrame:
+def mart_conditions(*, weekly_year: int = S.WEEKLY_YEAR, max_amount: float = S.MAX_AMOUNT, max_speed: float = S.MAX_SPEED_MPH,
+                    min_miles: float = S.SUSPICIOUS_MIN_MILES, max_seconds: int = S.SUSPICIOUS_MAX_SECONDS) -> dict[str, Column]:
+    """Which trips (with their timing) count in each mart."""
+    return {
+        "trips_per_hour": PR.has_pickup(),
+        "revenue_per_zone": PR.zone_revenue_ok(max_amount),
+        "speed_analysis": PR.speed_ok(max_speed, seconds=F.col("duree_s"), speed=F.col("vitesse_mph")),
+        "peak_revenue": PR.peak_revenue_ok(max_amount),
+        "payment_methods": PR.payment_ok(max_amount),
+        "od_flows": PR.od_ok(),
+        "weekly_revenue": PR.weekly_ok(weekly_year, max_amount),
+        "suspicious_trips": PR.suspicious(min_miles, max_seconds),
+        "peak_vs_offpeak": PR.peak_offpeak_ok(max_amount),
+        "total_trips": F.lit(True),
+    }
+
+
+def mart_entries(trips: DataFrame, *, rounding: str = "sql", only: set[str] | None = None, **params) -> DataFrame:
     """One row per (trip, mart the trip counts in); ``only`` restricts the
-    marts."""
-    t = A.with_timing(trips)
+    marts, ``params`` are those of ``mart_conditions``."""
+    t = trips if "duree_s" in trips.columns else A.with_timing(trips)
     pu = F.col(S.PICKUP)
     wd, hr = F.weekday(pu), F.hour(pu)
     d = F.to_date(pu)
@@ -66,25 +79,20 @@ def mart_entries(trips: DataFrame, *, weekly_year: int = S.WEEKLY_YEAR,
     secs, speed = F.col("duree_s"), F.col("vitesse_mph")
     # an INT zone is a small key; a text zone (text sources) is kept as it is
     text_zone = isinstance(trips.schema[S.ZONE].dataType, StringType)
-    entries = [
-        _entry("trips_per_hour", PR.has_pickup(), k1=hr),
-        _entry("revenue_per_zone", PR.zone_revenue_ok(max_amount),
-               **{"ks" if text_zone else "k1": F.col(S.ZONE)}, v1=fare, v2=tip, v3=total),
-        _entry("speed_analysis", PR.speed_ok(max_speed, seconds=secs, speed=speed), k1=wd, k2=hr,
-               v1=dist, v2=secs / F.lit(3600.0), v3=speed),
-        _entry("peak_revenue", PR.peak_revenue_ok(max_amount), k1=wd, k2=hr,
-               v1=C.trip_cents(fare, rounding), v2=C.trip_cents(tip, rounding)),
-        _entry("payment_methods", PR.payment_ok(max_amount), k1=F.col("payment_type"),
-               v1=fare, v2=tip, v3=total, v4=tip / F.nullif(fare, F.lit(0.0))),
-        _entry("od_flows", PR.od_ok(), k1=C.zone_number(S.ZONE), k2=F.col("DOLocationID"),
-               v1=dist, v2=fare, v3=tip),
-        _entry("weekly_revenue", PR.weekly_ok(weekly_year, max_amount), k1=F.year(d),
-               k2=F.weekofyear(d), v1=total, v2=dist, v3=F.col("passenger_count")),
-        _entry("suspicious_trips", PR.suspicious(min_miles, max_seconds)),
-        _entry("peak_vs_offpeak", PR.peak_offpeak_ok(max_amount), ks=C.period_label(pu),
-               v1=fare, v2=tip, v3=total),
-        _entry("total_trips", F.lit(True)),
-    ]
+    fields = {
+        "trips_per_hour": dict(k1=hr),
+        "revenue_per_zone": {"ks" if text_zone else "k1": F.col(S.ZONE), "v1": fare, "v2": tip, "v3": total},
+        "speed_analysis": dict(k1=wd, k2=hr, v1=dist, v2=secs / F.lit(3600.0), v3=speed),
+        "peak_revenue": dict(k1=wd, k2=hr, v1=C.trip_cents(fare, rounding), v2=C.trip_cents(tip, rounding)),
+        "payment_methods": dict(k1=F.col("payment_type"), v1=fare, v2=tip, v3=total, v4=tip / F.nullif(fare, F.lit(0.0))),
+        "od_flows": dict(k1=C.zone_number(S.ZONE), k2=F.col("DOLocationID"), v1=dist, v2=fare, v3=tip),
+        "weekly_revenue": dict(k1=F.year(d), k2=F.weekofyear(d), v1=total, v2=dist, v3=F.col("passenger_count")),
+        "suspicious_trips": {},
+        "peak_vs_offpeak": dict(ks=C.period_label(pu), v1=fare, v2=tip, v3=total),
+        "total_trips": {},
+    }
+    conditions = mart_conditions(**params)
+    entries = [_entry(name, conditions[name], **fields[name]) for name in MART_IDS]
     if only is not None:
         entries = [e for name, e in zip(MART_IDS, entries) if name in only]
     return (t.select(F.explode(F.array(*entries)).alias("e"))

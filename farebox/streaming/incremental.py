@@ -51,6 +51,7 @@ def trip_stream(spark: SparkSession, path: str, fmt: str = "csv", *,
         lines = (reader.schema(S.RAW_TRIP_SCHEMA if by_rules else TX.TYPED_READ_SCHEMA)
                  .options(**TX.CSV_TYPED_OPTIONS)
                  .option("header", csv_options.get("header", False))
+                 .option("multiLine", csv_options.get("multi_line", False))
                  .option("sep", csv_options.get("sep", ","))
                  .option("quote", quote or "\u0000")
                  .option("escape", csv_options.get("escape", '"')).csv(path))
