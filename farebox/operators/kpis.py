@@ -28,6 +28,7 @@ KPI_PAYMENT = "Moyen de paiement dominant"
 KPI_ZONE = "Zone de départ principale"
 KPI_SPEED = "Vitesse moyenne observée"
 KPI_HOUR = "Heure la plus chargée"
+KPI_ORDER = [KPI_ROWS, KPI_SLOTS, KPI_TRIPS, KPI_REVENUE, KPI_BEST_SLOT, KPI_SUSPICIOUS, KPI_PAYMENT, KPI_ZONE, KPI_SPEED, KPI_HOUR]
 FASTEST = "plus_fluide"
 SLOWEST = "plus_congestionne"
 

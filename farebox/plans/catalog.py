@@ -9,12 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from farebox import schema as S
 from farebox.operators import kpis as K
 from farebox.operators import marts as A
 from farebox.plans import shared as SH
+from farebox.sinks import publish as PB
 from farebox.sinks import writers as W
 from farebox.sources import text as TX
 
@@ -104,12 +106,9 @@ class MartCatalog:
     def export(self, name: str, path: str, fmt: str = "csv") -> None:
         if fmt not in W.WRITERS:
             raise ValueError(f"unknown format: {fmt!r}")
-        keys = S.MART_KEYS.get(name) or None
-        df = self.get(name)
         # catalogue marts are bounded by their key domain: one sorted file each
         extra = {"mart": name} if fmt == "tsv" else {}
-        W.WRITERS[fmt](df, path, order_by=keys if name not in _PRE_ORDERED else None,
-                       single_file=True, **extra)
+        W.WRITERS[fmt](self.get(name), path, order_by=export_order(name), single_file=True, **extra)
 
     def export_all(self, base: str, fmt: str = "csv", names: list[str] | None = None) -> dict[str, str]:
         out = {}
@@ -119,9 +118,27 @@ class MartCatalog:
             out[n] = p
         return out
 
-
-# Marts whose order is not their key order (ORDER BY a measure in the query).
-_PRE_ORDERED = {"payment_methods", "peak_vs_offpeak", "od_flows", "kpi_summary"}
+    def publish(self, output: str, fmt: str = "csv", names: list[str] | None = None, *, keep: int = PB.KEEP) -> str:
+        """Export the marts as one version and point readers to it once all
+        are written; returns the version's folder."""
+        return PB.publish(self.trips.sparkSession, output, lambda folder: self.export_all(folder, fmt, names), keep=keep)
+
+    def add(self, name: str, build: Callable[[DataFrame], DataFrame]) -> None:
+        """A mart of the user's own, served and exported by its name."""
+        if name in self._builders:
+            raise ValueError(f"{name!r} is taken")
+        self._builders[name] = lambda: build(self.trips)
+
+
+def export_order(name: str) -> list[str | Column] | None:
+    """What a written mart is sorted by: its measure where the mart is ranked,
+    the table's own order of indicators for the KPIs, else its keys."""
+    if name == "kpi_summary":
+        at = F.array_position(F.array(*map(F.lit, K.KPI_ORDER)), F.col("indicateur"))
+        return [F.nullif(at, F.lit(0)).asc_nulls_last(), F.col("indicateur")]
+    if name in S.MART_ORDER:
+        return [F.desc_nulls_last(c) if down else F.asc_nulls_last(c) for c, down in S.MART_ORDER[name]]
+    return S.MART_KEYS.get(name) or None
 
 
 def list_tables(spark: SparkSession) -> DataFrame:

@@ -30,13 +30,14 @@ def load_input(spark: SparkSession, path: str, fmt: str = "csv", **options) -> D
 
 def build(spark: SparkSession, input_path: str, output: str, *, input_format: str = "csv",
           fmt: str = "tsv", marts: list[str] | None = None, weekly_year: int = S.WEEKLY_YEAR,
-          stage: bool | None = None, shared: bool = True, rounding: str = "sql",
+          stage: bool | None = None, shared: bool = True, rounding: str = "sql", publish: bool = False,
           **options) -> dict[str, str]:
     """Build and export the marts; returns mart name -> output path.
     By default the marts come from one shared pass over the input, limited to
     what ``marts`` needs.  ``shared=False`` gives each mart a plan of its own;
     the input is then parsed once into a staged table unless ``stage`` says
-    otherwise.  Intermediate tables are removed after the export."""
+    otherwise.  ``publish`` writes a new version and points readers to it when
+    all marts are there (``sinks.publish``).  Intermediate tables are removed after the export."""
     names = marts or CAT.SERVED
     if unknown := set(names) - set(CAT.MartCatalog.NAMES):
         raise CAT.UnknownMart(f"unknown datasets: {sorted(unknown)}")
@@ -57,6 +58,9 @@ def build(spark: SparkSession, input_path: str, output: str, *, input_format: st
             made["od_flows"] = made["od_flows_top20"]  # the catalogue serves the top-20 flows
             prebuilt = {n: df for n, df in made.items() if n in needed}
         cat = CAT.MartCatalog(trips, weekly_year=weekly_year, marts=prebuilt, rounding=rounding)
+        if publish:
+            folder = cat.publish(output, fmt, names)
+            return {n: f"{folder}/{n}" for n in names}
         return cat.export_all(output, fmt, names=names)
     finally:
         remove_folder(spark, scratch)
@@ -77,6 +81,7 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--per-mart", action="store_true", help="one plan per mart, no shared pass")
     b.add_argument("--rounding", default="sql", choices=["sql", "python"],
                    help="python: round the Python-computed marts as Python's :.2f does")
+    b.add_argument("--publish", action="store_true", help="write a new version, then point readers to it")
     b.add_argument("--multi-line", action="store_true", help="quoted fields may hold line ends; a file is then one task")
     args = p.parse_args(argv)
 
@@ -84,7 +89,7 @@ def main(argv: list[str] | None = None) -> None:
     out = build(spark, args.input, args.output, input_format=args.input_format, fmt=args.format,
                 marts=[m for m in args.marts.split(",") if m] or None,
                 weekly_year=args.weekly_year, stage=args.stage, shared=not args.per_mart,
-                rounding=args.rounding, **({"multi_line": True} if args.multi_line else {}))
+                rounding=args.rounding, publish=args.publish, **({"multi_line": True} if args.multi_line else {}))
     print(json.dumps(out))
 
 

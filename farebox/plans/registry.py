@@ -19,10 +19,12 @@ from farebox.operators import marts as A
 from farebox.operators import weekly as WK
 from farebox.operators import zones as Z
 from farebox.plans import audit as AU
+from farebox.plans import incremental as INC
 from farebox.plans import shared as SH
 from farebox.plans import sql as Q
 from farebox.plans.catalog import MartCatalog
 from farebox.session import scratch_path
+from farebox.sinks import publish as PB
 from farebox.sources import deliveries as DL
 from farebox.sources import dirty as D
 from farebox.sources import lineitem as L
@@ -136,6 +138,27 @@ def _coerced_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coerce_numeric(text, ["fare_moy", "tip_moy"])
 
 
+# --- marts kept up to date in batch, marts published as a whole ------------------
+def _incremental(mart: str):
+    """The table arrives in two halves of text files; the second build reads the files of the second half only."""
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        base = scratch_path(spark, "incremental")
+        lineitem = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
+        for half in (0, 1):
+            lines = TX.trips_as_text(L.trips_from_lineitem(lineitem.where(F.col("l_orderkey") % 2 == half)))
+            lines.write.mode("append").text(f"{base}/raw")
+            built = INC.build(spark, f"{base}/raw", f"{base}/store", weekly_year=L.TEST_WEEKLY_YEAR)
+        return built.marts[mart]
+    return build
+
+
+def _published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scratch_path(spark, "published")
+    cat = MartCatalog(L.load_trips(spark, sf_dir))
+    cat.publish(out, "json", names=["peak_vs_offpeak"])
+    return PB.read_published(spark, out, "peak_vs_offpeak", "json")
+
+
 # --- marts joined with a zone lookup --------------------------------------------
 def _named(mart_fn, column, prefix=""):
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -317,4 +340,9 @@ REGISTRY: dict[str, Registered] = {
     "iso_weeks": Registered(_mart(WK.iso_weeks), Q.ISO_WEEKS_SQL),
     "weekly_anomalies": Registered(_mart(WK.weekly_anomalies), Q.weekly_anomalies_sql()),
     "zone_weekly_anomalies": Registered(_mart(WK.weekly_anomalies, by=["PULocationID"]), Q.weekly_anomalies_sql("PULocationID")),
+    # --- A1-A9 kept up to date from new files; S9/S13 published with a pointer ------
+    "incremental_slots": Registered(_incremental("peak_revenue"), Q.mart_query("peak_revenue", "creneau")),
+    "incremental_speed": Registered(_incremental("speed_analysis"), Q.mart_query("speed_analysis", "creneau")),
+    "incremental_weeks": Registered(_incremental("weekly_revenue"), Q.mart_query("weekly_revenue", "annee, semaine")),
+    "published_mart": Registered(_published, Q.mart_query("peak_vs_offpeak")),
 }

@@ -168,6 +168,13 @@ MART_DECIMALS: dict[str, dict[str, int]] = {
     "peak_vs_offpeak": {"recette_moy": 2, "pourboire_moy": 2, "recette_totale": 0},
 }
 
+# Order of the marts that are sorted by a measure: column and whether it descends; NULLs stand last.
+MART_ORDER: dict[str, list[tuple[str, bool]]] = {
+    "payment_methods": [("nb_courses", True), ("mode_paiement", False)],
+    "peak_vs_offpeak": [("recette_totale", True), ("periode", False)],
+    "od_flows": [("nb_courses", True), ("zone_depart", False), ("zone_arrivee", False)],
+}
+
 # Key column(s) of each mart: the order of a written mart (one sorted output).
 MART_KEYS: dict[str, list[str]] = {
     "trips_per_hour": ["heure"],

@@ -20,10 +20,11 @@ from pyspark.sql import functions as F
 from farebox import schema as S
 
 
-def _prepare(df: DataFrame, order_by: Sequence[str] | None, single_file: bool) -> DataFrame:
+def _prepare(df: DataFrame, order_by: Sequence[str | Column] | None, single_file: bool) -> DataFrame:
     if single_file:
         # An exchange of finished rows: the final aggregate below it stays
-        # parallel, and only the sort of the mart's rows runs in one task.
+        # parallel, and only the sort of the mart's rows runs in one task.  The order is made
+        # in that task, since shuffle blocks arrive in any order; a sort below the exchange falls away.
         df = df.repartition(1)
         return df.sortWithinPartitions(*order_by) if order_by else df
     return df.orderBy(*order_by) if order_by else df
@@ -43,26 +44,27 @@ def mart_text(df: DataFrame, mart: str) -> DataFrame:
     return df.select(*[_fixed(n, digits[n]) if n in digits and t == "double" else n for n, t in df.dtypes])
 
 
-def write_tsv(df: DataFrame, path: str, *, order_by: Sequence[str] | None = None,
+def write_tsv(df: DataFrame, path: str, *, order_by: Sequence[str | Column] | None = None,
               single_file: bool = False, header: bool = False, mart: str | None = None) -> None:
     """Tab-separated, no header (the job output format).  ``mart`` names
     the mart whose number format applies; without it numbers are written as
     Spark prints them."""
+    df = _prepare(df, order_by, single_file)   # by the numbers, before they become text
     if mart is not None:
         df = mart_text(df, mart)
-    (_prepare(df, order_by, single_file).write.mode("overwrite")
+    (df.write.mode("overwrite")
      .option("sep", "\t").option("header", header).option("nullValue", "")
      .csv(path))
 
 
-def write_csv(df: DataFrame, path: str, *, order_by: Sequence[str] | None = None,
+def write_csv(df: DataFrame, path: str, *, order_by: Sequence[str | Column] | None = None,
               single_file: bool = False) -> None:
     """Comma-separated with a header row (the dashboard's input)."""
     (_prepare(df, order_by, single_file).write.mode("overwrite")
      .option("header", True).csv(path))
 
 
-def write_json(df: DataFrame, path: str, *, order_by: Sequence[str] | None = None,
+def write_json(df: DataFrame, path: str, *, order_by: Sequence[str | Column] | None = None,
                single_file: bool = False) -> None:
     """One JSON record per line (``orient="records"``)."""
     _prepare(df, order_by, single_file).write.mode("overwrite").json(path)
