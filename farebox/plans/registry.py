@@ -13,6 +13,9 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from farebox import schema as S
+from farebox.extensions import user_marts as UM
+from farebox.functions import columns as C
 from farebox.functions.parsing import coerce_numeric
 from farebox.operators import kpis as K
 from farebox.operators import marts as A
@@ -159,6 +162,12 @@ def _published(spark: SparkSession, sf_dir: str) -> DataFrame:
     return PB.read_published(spark, out, "peak_vs_offpeak", "json")
 
 
+# --- a user's own aggregate -------------------------------------------------------
+def _median_fares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    medians = UM.median_fare(L.load_trips(spark, sf_dir), "payment_type", max_amount=S.MAX_AMOUNT)
+    return medians.select(C.payment_label("payment_type").alias("mode_paiement"), "nb_courses", "mediane")
+
+
 # --- marts joined with a zone lookup --------------------------------------------
 def _named(mart_fn, column, prefix=""):
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -345,4 +354,9 @@ REGISTRY: dict[str, Registered] = {
     "incremental_speed": Registered(_incremental("speed_analysis"), Q.mart_query("speed_analysis", "creneau")),
     "incremental_weeks": Registered(_incremental("weekly_revenue"), Q.mart_query("weekly_revenue", "annee, semaine")),
     "published_mart": Registered(_published, Q.mart_query("peak_vs_offpeak")),
+    # --- 2.10: a user's own aggregate, in pandas ------------------------------------
+    "median_fares": Registered(_median_fares, Q.MEDIAN_FARES_SQL),
 }
+
+# The queries that run a user's Python; all others are built-in expressions.
+USER_PYTHON = {"median_fares"}

@@ -349,3 +349,8 @@ def reconciliation_sql() -> str:
     rows += [f"SELECT '{AU.ACCEPTED}{n}', x, x, TRUE FROM (SELECT CAST(({q}) AS BIGINT) AS x)" for n, q in accepted.items()]
     ctes = ",\n".join([dirty_trips(numbers=True), *(f"{n} AS ({t}\n)" for n, t in marts.items())])
     return f"WITH {ctes}\n" + "\nUNION ALL\n".join(rows)
+
+
+MEDIAN_FARES_SQL = with_marts(f"""SELECT {PAYMENT_LABEL} AS mode_paiement, COUNT(*) AS nb_courses,
+  quantile_disc(CAST(ROUND(CAST(fare_amount AS DECIMAL(38,10)) , 2) * 100 AS BIGINT), 0.5) / 100 AS mediane
+FROM trips WHERE fare_amount > 0 AND fare_amount < {M} GROUP BY payment_type""")
