@@ -10,6 +10,8 @@ explicit text rules, for all-string sources (``type_trips``)."""
 
 from __future__ import annotations
 
+import re
+
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +24,9 @@ from farebox.functions import parsing as P
 from farebox.functions import predicates as PR
 
 
+_FOOTERS = 64      # files whose footers one task reads
+
+
 def read_raw_trips(spark: SparkSession, path: str | list[str], *,
                    sep: str = ",", header: bool = False,
                    quote: str = '"', escape: str = '"', multi_line: bool = False,
@@ -160,11 +165,35 @@ def conform_trips(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def _same_schema_groups(spark: SparkSession, paths: list[str]) -> list[list[str]]:
-    """The files below ``paths`` by schema, one footer read per file."""
+def _footer_types(batches):
+    """In tasks: for each file its footer's columns and types as text; NULL
+    where the file system is one that only Spark reads."""
+    import pyarrow as pa
+    import pyarrow.fs
+    import pyarrow.parquet as pq
+
+    for batch in batches:
+        types = []
+        for path in batch.column("path").to_pylist():
+            try:
+                fs, name = pyarrow.fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
+                with fs.open_input_file(name) as f:
+                    types.append("; ".join(f"{x.name} {x.type}" for x in pq.read_schema(f)))
+            except (OSError, ValueError, pa.ArrowNotImplementedError):
+                types.append(None)
+        yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(types, pa.string())], ["path", "types"])
+
+
+def same_schema_groups(spark: SparkSession, paths: list[str]) -> list[list[str]]:
+    """The files below ``paths`` by schema.  Tasks read the footers; the
+    driver gets a file's path and types, no more than its listing holds, and itself
+    reads a footer only where a task could not."""
+    files = spark.read.format("binaryFile").load(paths).select("path")
+    n = max(1, len(files.inputFiles()) // _FOOTERS)
     groups: dict[str, list[str]] = {}
-    for f in spark.read.format("binaryFile").load(paths).inputFiles():
-        groups.setdefault(spark.read.parquet(f).schema.json(), []).append(f)
+    for r in files.repartition(n).mapInArrow(_footer_types, "path string, types string").collect():
+        types = r["types"] if r["types"] is not None else spark.read.parquet(r["path"]).schema.simpleString()
+        groups.setdefault(types, []).append(r["path"])
     return list(groups.values())
 
 
@@ -175,7 +204,7 @@ def read_trips_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame:
     The footers are merged by Spark in parallel, so a column that only some
     files have is kept.  Files whose types differ (a count written as DOUBLE
     one month, as BIGINT the next) are read group by group, each conformed to
-    the fact schema, and united; only then are schemas read file by file.  A
+    the fact schema, and united; only then are the schemas looked at file by file, in tasks.  A
     zone that is text in one group is text in all."""
     paths = [path] if isinstance(path, str) else list(path)
     try:
@@ -184,7 +213,7 @@ def read_trips_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame:
         if "CANNOT_MERGE" not in str(e):
             raise
     parts = [conform_trips(spark.read.parquet(*g))
-             for g in _same_schema_groups(spark, paths)]
+             for g in same_schema_groups(spark, paths)]
     if len({str(p.schema[S.ZONE].dataType) for p in parts if S.ZONE in p.columns}) > 1:
         parts = [p.withColumn(S.ZONE, F.col(S.ZONE).cast("string")) if S.ZONE in p.columns else p for p in parts]
     out = parts[0]

@@ -100,3 +100,30 @@ def test_stage_text(spark, tmp_dir):
     years = sorted(r[0] for r in staged.select("pickup_year").distinct().collect())
     assert years == [2022, 2023]
     assert A.weekly_revenue(staged, year=2023).collect()[0]["nb_courses"] == 1
+
+
+def test_footers_of_many_files_are_read_in_tasks(spark, tmp_dir, monkeypatch):
+    """Some 300 files of two types in turn: the driver opens one file of each type."""
+    base = f"{tmp_dir}/many"
+    for k, kind in enumerate(["double", "long"] * 3):
+        (spark.range(k * 100, k * 100 + 100).selectExpr("id AS fare_amount", f"CAST(id AS {kind}) AS passenger_count", "CAST(1 AS INT) AS PULocationID")
+         .repartition(50).write.mode("append").parquet(base))
+    files = len(spark.read.format("binaryFile").load(base).inputFiles())
+    opened = []
+    plain = type(spark.read).parquet
+    monkeypatch.setattr(type(spark.read), "parquet", lambda self, *paths, **kw: opened.append(paths) or plain(self, *paths, **kw))
+    trips = TX.read_trips_parquet(spark, base)
+    groups = [p for p in opened if p != (base,)]
+    assert files > 250 and len(groups) == 2 and sum(map(len, groups)) == files and min(map(len, groups)) > 100
+    assert trips.agg({"passenger_count": "sum"}).first()[0] == sum(range(600)) and dict(trips.dtypes)["passenger_count"] == "double"
+
+
+def test_files_that_no_task_can_open_are_read_by_the_driver(spark, tmp_dir, monkeypatch):
+    for kind in ("double", "long"):
+        spark.range(10).selectExpr(f"CAST(id AS {kind}) AS passenger_count", "1 AS PULocationID").write.mode("append").parquet(f"{tmp_dir}/d")
+    def none(batches):
+        import pyarrow as pa
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column("path"), pa.nulls(b.num_rows, pa.string())], ["path", "types"])
+    monkeypatch.setattr(TX, "_footer_types", none)
+    assert TX.read_trips_parquet(spark, f"{tmp_dir}/d").count() == 20
