@@ -98,7 +98,9 @@ LIMIT_IS_THE_FEATURE = {"od_flows_top20", "top5_slots", "top_revenue_slots", "be
 # Queries that write files and read them back: their plan starts at the files.
 TEXT_OF_THE_TABLE = {"peak_revenue_from_text", "speed_analysis_from_text",
                      "dirty_text_hours", "dirty_text_zones", "dirty_text_peak"}
-MARTS_FROM_FILES = {"slot_report_from_tsv", "read_back_zones", "csv_mart_round_trip", "json_mart_round_trip"}
+MARTS_FROM_FILES = {"slot_report_from_tsv", "read_back_zones", "csv_mart_round_trip", "json_mart_round_trip", "published_mart",
+                    "multi_line_zones", "multi_line_peak", "staged_numbers_zones", "reconciliation", "reconciled_zones",
+                    "incremental_slots", "incremental_speed", "incremental_weeks", "events_per_hour", "late_events"}
 
 
 @pytest.mark.parametrize("name", sorted(REGISTRY))
