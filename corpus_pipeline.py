@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farebox.llm import bpe, decontaminate, exact, minhash, quality
-from farebox.llm.common import load, write_table
+from farebox.llm.common import load, quoted, unused, write_table
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,13 +35,16 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document with its token ids, which decode to its text."""
+    """Each document with its token ids, which decode to its text; columns
+    of the names that this adds are replaced."""
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     coded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
-    decoded = bpe.decode(coded, ranks)
+    text = unused(coded.columns, "decoded")
+    decoded = bpe.decode(coded, ranks, out_col=text)
+    rest = [c for c in docs.columns if c.lower() not in ("n_tokens", "ids", "round_trip")]
     return decoded.select(
-        *docs.columns, F.size("ids").cast("long").alias("n_tokens"), "ids",
-        (F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("round_trip"))
+        *map(quoted, rest), F.size("ids").cast("long").alias("n_tokens"), "ids",
+        (quoted(text) == F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("round_trip"))
 
 
 STAGES = [("quality", keep_good), ("exact", drop_exact), ("near", drop_near),

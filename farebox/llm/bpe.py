@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from farebox.llm.common import only, ship
+from farebox.llm.common import ROW, only, quoted, row, ship
 
 BLOCK = 1 << 20       # code points tokenised at a time
 LONG = 128            # bytes
@@ -252,13 +252,10 @@ def _vocabulary(shared) -> Vocabulary:
     return _VOCABULARIES[key]
 
 
-def _kept(batch: pa.RecordBatch, names: list[str], a: int, b: int) -> list[pa.Array]:
-    return [batch.column(n).slice(a, b - a) for n in names]
-
-
-def _with(df: DataFrame, keep: list[str], name: str, kind: T.DataType) -> tuple[list[str], T.StructType]:
-    keep = [c for c in keep if c != name]
-    return keep, T.StructType([*(df.schema[c] for c in keep), T.StructField(name, kind)])
+def _with(df: DataFrame, keep: list[str] | None, name: str, kind: T.DataType) -> tuple[list[str], T.StructType]:
+    """The columns that stay beside the new one, which replaces another of its name."""
+    keep = [c for c in (df.columns if keep is None else keep) if c.lower() != name.lower()]
+    return keep, T.StructType([T.StructField(ROW, T.StructType([df.schema[c] for c in keep])), T.StructField(name, kind)])
 
 
 def encode(df: DataFrame, ranks: list[bytes], pattern: str, text_col: str = "text",
@@ -266,7 +263,7 @@ def encode(df: DataFrame, ranks: list[bytes], pattern: str, text_col: str = "tex
     """``keep`` (default: all columns) plus ``ids_col``, an array of ids."""
     ship(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast((ranks, pattern))  # size of the vocabulary
-    keep, schema = _with(df, df.columns if keep is None else keep, ids_col, T.ArrayType(T.IntegerType()))
+    keep, schema = _with(df, keep, ids_col, T.ArrayType(T.IntegerType()))
 
     def run(batches):
         for batch in batches:
@@ -277,11 +274,10 @@ def encode(df: DataFrame, ranks: list[bytes], pattern: str, text_col: str = "tex
                 ids, counts = _vocabulary(shared).encode([t or "" for t in part.to_pylist()])
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()), pa.array(ids))
-                yield pa.RecordBatch.from_arrays(
-                    [*_kept(batch, keep, a, a + len(part)), lists], [*keep, ids_col])
+                yield pa.RecordBatch.from_arrays([batch.column(ROW).slice(a, len(part)), lists], [ROW, ids_col])
 
-    source = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").alias("_text"))
-    return source.mapInArrow(run, schema)
+    source = df.select(row(keep), quoted(text_col).alias("_text"))
+    return source.mapInArrow(run, schema).select(f"{ROW}.*", quoted(ids_col))
 
 
 def decode(df: DataFrame, ranks: list[bytes], ids_col: str = "ids", out_col: str = "decoded",
@@ -289,7 +285,7 @@ def decode(df: DataFrame, ranks: list[bytes], ids_col: str = "ids", out_col: str
     """``keep`` (default: all columns) plus ``out_col``, the decoded bytes."""
     ship(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast((ranks, ""))
-    keep, schema = _with(df, df.columns if keep is None else keep, out_col, T.BinaryType())
+    keep, schema = _with(df, keep, out_col, T.BinaryType())
 
     def run(batches):
         for batch in batches:
@@ -303,11 +299,10 @@ def decode(df: DataFrame, ranks: list[bytes], ids_col: str = "ids", out_col: str
                 cut = np.concatenate(([0], np.cumsum(lens)))[np.concatenate(([0], np.cumsum(counts)))]
                 texts = pa.Array.from_buffers(
                     pa.binary(), len(part), [None, pa.py_buffer(cut.astype(np.int32)), pa.py_buffer(data)])
-                yield pa.RecordBatch.from_arrays(
-                    [*_kept(batch, keep, a, a + len(part)), texts], [*keep, out_col])
+                yield pa.RecordBatch.from_arrays([batch.column(ROW).slice(a, len(part)), texts], [ROW, out_col])
 
-    source = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{ids_col}`").alias("_ids"))
-    return source.mapInArrow(run, schema)
+    source = df.select(row(keep), quoted(ids_col).alias("_ids"))
+    return source.mapInArrow(run, schema).select(f"{ROW}.*", quoted(out_col))
 
 
 def digests(df: DataFrame) -> DataFrame:

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from farebox.session import scratch_path
 
@@ -69,6 +70,27 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
+ROW = "_row"
+
+
+def quoted(name: str) -> Column:
+    """The column of that name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def row(names: list[str]) -> Column:
+    """The columns as one, so that their names meet no inner name and tasks get them whatever they are."""
+    return F.struct(*map(quoted, names)).alias(ROW)
+
+
+def unused(names: list[str], name: str) -> str:
+    """The name, with underscores until no column has it."""
+    taken = {n.lower() for n in names}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def slices(batch: pa.RecordBatch, rows: int = 500):
     """Parts of a batch, so that what is made of one stays small."""
     for a in range(0, batch.num_rows, rows):

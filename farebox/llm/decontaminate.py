@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from farebox.llm.common import only, ship, slices, write_table
+from farebox.llm.common import ROW, only, row, ship, slices, write_table
 
 WINDOW = 10
 MAX_BYTES = 96 << 20      # memory of an automaton
@@ -203,13 +203,14 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
     def clean(shared: _Shared):
         def run(batches):
             for part in (p for batch in batches for p in slices(batch)):
-                good = [not shared.scanner().scan(t.as_py())[1] for t in part.column(at)]
+                good = [not shared.scanner().scan(t.as_py())[1] for t in part.column(0).field(at)]
                 yield part.filter(pa.array(good, pa.bool_()))
         return run
 
+    rows = docs.select(row(docs.columns))
     for part in parts[:-1]:
-        docs = write_table(docs.mapInArrow(clean(_Shared(part)), docs.schema), "leaks-clean")
-    return docs.mapInArrow(clean(_Shared(parts[-1])), docs.schema)
+        rows = write_table(rows.mapInArrow(clean(_Shared(part)), rows.schema), "leaks-clean")
+    return rows.mapInArrow(clean(_Shared(parts[-1])), rows.schema).select(f"{ROW}.*")
 
 
 def digests(hits: DataFrame) -> DataFrame:

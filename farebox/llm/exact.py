@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from farebox.llm.common import ship
+from farebox.llm.common import ROW, quoted, row, ship
 
 SPACE = b" \t\n\x0b\x0c\r"
 FOLD_BYTES = 24 << 20      # labels a task holds before it passes its texts on
@@ -260,8 +260,8 @@ def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """The rows of ``df`` that stay; all columns.  A row stays by its id and
     its text, so that rows of one id with different texts are judged each."""
     keep = classes(df, id_col, text_col).select(F.col("keep_id").alias("_keep"), F.col("_sha").alias("_class"))
-    plain = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    plain = F.coalesce(quoted(text_col), F.lit(""))
     for c in SPACE.decode():
         plain = F.replace(plain, F.lit(c), F.lit(""))
-    return df.join(keep, F.col(f"`{id_col}`").eqNullSafe(F.col("_keep")) & (F.unhex(F.sha2(plain, 256)) == F.col("_class")),
-                   "left_semi")
+    rows = df.select(row(df.columns), quoted(id_col).alias("_id"), F.unhex(F.sha2(plain, 256)).alias("_sha"))
+    return rows.join(keep, F.col("_id").eqNullSafe(F.col("_keep")) & (F.col("_sha") == F.col("_class")), "left_semi").select(f"{ROW}.*")

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farebox.llm import words as WD
-from farebox.llm.common import ship, write_table
+from farebox.llm.common import ROW, quoted, row, ship, write_table
 
 SHINGLE = 5
 PERCENT = 75
@@ -298,5 +298,5 @@ def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     keep = _judged(df, id_col, text_col).where("_kept").select(
         F.col("_id").alias("_keep"), F.col("_h").alias("_keep_h"), F.col("_g").alias("_keep_g"))
     h, g = _text_keys(text_col)
-    return df.join(keep, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("_keep"))
-                   & (h == F.col("_keep_h")) & (g == F.col("_keep_g")), "left_semi")
+    rows = df.select(row(df.columns), quoted(id_col).cast("long").alias("_id"), h.alias("_h"), g.alias("_g"))
+    return rows.join(keep, F.expr("_id <=> _keep and _h = _keep_h and _g = _keep_g"), "left_semi").select(f"{ROW}.*")

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from farebox.llm.common import only, ship, slices
+from farebox.llm.common import ROW, only, row, ship, slices
 
 BITS = 18
 MAX_FIT_ROWS = 10_000
@@ -284,7 +284,8 @@ def drop_rejects(docs: DataFrame, model: Model, text_col: str = "text", threshol
 
     def run(batches):
         for part in (p for batch in batches for p in slices(batch)):
-            good = [shared.value.score(t.as_py()) >= threshold for t in part.column(at)]
+            good = [shared.value.score(t.as_py()) >= threshold for t in part.column(0).field(at)]
             yield part.filter(pa.array(good, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    rows = docs.select(row(docs.columns))
+    return rows.mapInArrow(run, rows.schema).select(f"{ROW}.*")
