@@ -13,9 +13,8 @@
    confirmed on the full shingle sets of both texts.
 4. Links become components by alternating large-star and small-star.
 5. Buckets whose members are still in different components may hide links
-   between members that are not the smallest node.  The documents that are in
-   two such buckets or more (a pair at 0.75 similarity shares fewer with
-   a probability of 8e-5) go through an exact prefix filter: with the shingles
+   between members that are not the smallest node.  The documents of such
+   buckets go through an exact prefix filter: with the shingles
    in order of rising frequency, two linked sets share one within the first ``size -
    overlap + 1`` of each.  Shingles that no other of these documents has come first and
    meet nothing, so altered copies beyond the threshold drop out without a
@@ -23,7 +22,7 @@
    and 4 again.
 
 With 32 bands of 4, a pair at 0.75 similarity shares no bucket with a
-probability of 6e-6; with 5, up to 8e-5 of such pairs are missed.
+probability of 6e-6, and falls below ``SIFT`` with one of 1e-6; these are all that is missed.
 
 Defined results: null texts and texts without words have an empty set and
 are linked with nothing (component_id is their own id); with fewer than
@@ -210,9 +209,11 @@ def components(links: DataFrame) -> DataFrame:
     before = _state(edges)
     while before[0]:
         both = edges.union(edges.select("_y", "_x"))
-        least = both.groupBy("_x").agg(F.least(F.min("_y"), F.col("_x")).alias("_m"))
+        # a table of its own, so that Spark can split the partition of a component's centre in the join
+        least = write_table(both.groupBy("_x").agg(F.least(F.min("_y"), F.col("_x")).alias("_m")), "minhash-least")
         large = both.join(least, "_x").where("_y > _x").select(F.col("_y").alias("_x"), F.col("_m").alias("_y")).distinct()
-        least = large.groupBy("_x").agg(F.min("_y").alias("_m"))
+        large = write_table(large, "minhash-large")
+        least = write_table(large.groupBy("_x").agg(F.min("_y").alias("_m")), "minhash-least")
         small = large.join(least, "_x").select(
             F.explode(F.array(F.struct("_x", F.col("_m").alias("_y")),
                               F.struct(F.col("_y").alias("_x"), F.col("_m").alias("_y")))).alias("e")
@@ -255,9 +256,8 @@ def _judged(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     stars = likely(buckets.where("_id <> _first").select(
         F.col("_id").alias("_x"), F.col("_first").alias("_y")).distinct(), reps)
-    twice = buckets.groupBy("_id").agg(F.count("*").alias("_n")).where("_n > 1").select("_id")
-    ids = twice.union(stars.select("_x")).union(stars.select("_y")).distinct()
-    wanted = reps.join(ids, "_id").select(F.col("_id").alias("_node"), "_rep", F.col("_h").alias("_rh"), F.col("_g").alias("_rg"), "_m")
+    # whoever shares a bucket may be hidden by its star
+    wanted = reps.join(buckets.select("_id").distinct(), "_id").select(F.col("_id").alias("_node"), "_rep", F.col("_h").alias("_rh"), F.col("_g").alias("_rg"), "_m")
     # the only join that moves whole texts; the same plan at every size
     moved = write_table(
         texts.join(wanted.hint("merge"), F.expr("_id <=> _rep and _h = _rh and _g = _rg")).select(
@@ -271,7 +271,7 @@ def _judged(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         "_key", "_id", F.coalesce("_c", "_id").alias("_c"))
     mixed = member.groupBy("_key").agg(F.min("_c").alias("_lo"), F.max("_c").alias("_hi")).where("_lo <> _hi")
     unsure = write_table(member.join(mixed.select("_key"), "_key", "left_semi").groupBy("_id").agg(
-        F.count("*").alias("_n"), F.min("_c").alias("_c")).where("_n > 1").select("_id", "_c"), "minhash-unsure")
+        F.min("_c").alias("_c")), "minhash-unsure")
     extra = confirmed(likely(_prefix_pairs(unsure, own), reps), own)
     if not extra.isEmpty():
         component = components(component.union(extra))

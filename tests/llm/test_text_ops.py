@@ -270,3 +270,20 @@ def test_signature_estimates_similarity():
     x, y = minhash.signatures([a, b])
     assert abs((x == y).mean() - len(set(a) & set(b)) / len(set(a) | set(b))) < 0.15
     assert hashlib.sha256(x.tobytes()).digest() == hashlib.sha256(minhash.signatures([a])[0].tobytes()).digest()
+
+
+def test_minhash_pair_of_one_bucket_hidden_by_a_star(spark):
+    """Two linked texts that share one bucket only, whose smallest member is linked with neither."""
+    import random
+    rng, mh = random.Random(8601), minhash
+    w = [f"w{rng.randrange(10**6)}" for _ in range(136)]
+    x, y = w[:120], w[:104] + w[120:]
+    sig = mh.signatures([mh.shingles(" ".join(t)) for t in (x, y)]).reshape(2, mh.HASHES // mh.BAND, mh.BAND)
+    (band,) = [b for b in range(sig.shape[1]) if (sig[0, b] == sig[1, b]).all()]
+    runs = [x[i:i + 5] for i in range(100)]                 # the common shingles
+    one = mh.np.concatenate([mh.shingles(" ".join(r)) for r in runs])
+    least = ((mh._A * one + mh._B) >> mh.np.uint64(32))[band * mh.BAND:(band + 1) * mh.BAND].argmin(axis=1)
+    z = [word for i in least for word in runs[i]]
+    assert (mh.signatures([mh.shingles(" ".join(z))]).reshape(sig.shape[1:])[band] == sig[0, band]).all()
+    df = spark.createDataFrame([(1, " ".join(z)), (2, " ".join(x)), (3, " ".join(y))], "doc_id long, text string")
+    assert by_id(minhash.near_groups(df), "doc_id", "component_id") == [(1, 1), (2, 2), (3, 2)]
