@@ -5,7 +5,7 @@ subdomains if the URL's path starts with the rule's.  The rules are kept in one
 file: the sorted xxhash64 digests of ``host NUL path``, then the full
 strings and verdicts in the same order.  ``SparkContext.addFile`` brings
 the file to each executor, whose workers map it into memory.  A batch of
-URLs gives all its candidates (each suffix of the host at a dot, with each path start of
+URLs gives all its candidates (each suffix of the host at a dot, up to the length of the longest rule's, with each path start of
 a length that some rule has), which are looked up together by a vectorised
 binary search; a hit counts only if the stored string is equal, so
 colliding digests do no harm.  The longest fitting rule wins; without one
@@ -18,7 +18,8 @@ split into several such files by digest, looked up one after the other.
 Defined results: null URLs and URLs without ``://`` have an empty host and
 path and no rule; the same rule twice counts once, with conflicting verdicts
 ``block`` wins; rules with a null or empty host are left out; an empty table
-gives an empty result; repeated rows and ids are judged each."""
+gives an empty result; repeated rows and ids are judged each; hosts and paths of
+any length take memory in proportion; further columns are ignored, whatever their names."""
 
 from __future__ import annotations
 
@@ -132,19 +133,28 @@ def _open(names: tuple[str, ...]) -> list[RuleFile]:
     return [_FILES[n] for n in names]
 
 
-def judge(urls: list[str | None], files: list[RuleFile], lengths: list[int], default: str) -> list[tuple]:
-    """(host, path, rule, verdict) of each URL."""
+def suffixes(host: str, longest: int | None):
+    """The host and what follows each of its dots, as far as it has ``longest``
+    characters or fewer: no rule fits a longer one."""
+    if longest is not None and len(host) > longest:
+        start = len(host) - longest
+        host = host[start:] if host[start - 1] == "." else host[start:].partition(".")[2]
+    while host:
+        yield host
+        host = host.partition(".")[2]
+
+
+def judge(urls: list[str | None], files: list[RuleFile], lengths: list[int], default: str, longest: int | None = None) -> list[tuple]:
+    """(host, path, rule, verdict) of each URL; ``lengths`` of the rules' paths, the ``longest`` of their hosts."""
     parsed = [host_and_path(u) for u in urls]
     number: dict[bytes, int] = {}
     own: list[list[tuple]] = []
     for host, path in parsed:
         mine = []
-        suffix = host
-        while suffix:
+        for suffix in suffixes(host, longest):
             for n in lengths:
                 if n <= len(path):
                     mine.append((number.setdefault(_key(suffix, path[:n]), len(number)), suffix, path[:n]))
-            _, _, suffix = suffix.partition(".")
         own.append(mine)
     keys, found = list(number), {}
     hashed = digests(keys)
@@ -169,11 +179,12 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str
         spark.sparkContext.addFile(path)
         names.append(os.path.basename(path))
     lengths = sorted({len(p or "") for _, h, p in rules if h})
+    longest = max((len(h) for _, h, _ in rules if h), default=0)
     names = tuple(names)
 
     def run(batches):
         for batch in batches:
-            rows = judge(batch.column(1).to_pylist(), _open(names), lengths, default)
+            rows = judge(batch.column(1).to_pylist(), _open(names), lengths, default, longest)
             cols = list(zip(*rows)) if rows else [(), (), (), ()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(c, pa.string()) for c in cols)], [id_col, "host", "path", "rule", "verdict"])

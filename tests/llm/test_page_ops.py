@@ -129,3 +129,20 @@ def test_chat_odd_rows(spark):
     one = parts.where("conv_id = 3").first()
     assert one["formatted"] == "<s>[INST]assistant[/INST]</s>" and one["loss"] == [[25, 25]]
     assert chat.read_chats(chat.format_chats(df.limit(0))).count() == 0
+
+
+def test_url_suffixes_of_long_hosts():
+    assert list(urls.suffixes("a.b.c", None)) == ["a.b.c", "b.c", "c"]
+    for host in ("a.b.c", "aa.bb", "x", "", ".", "a.", ".a", "a..b", "aaa.b.cc.d"):
+        for longest in range(6):
+            assert list(urls.suffixes(host, longest)) == [s for s in urls.suffixes(host, None) if len(s) <= longest], (host, longest)
+
+
+def test_url_of_very_long_host(spark):
+    """100 KB of labels: the keys are as many as the rules' hosts are long, not as the host is."""
+    host = "a." * 50_000 + "bad.net"
+    files_kept = list(urls.suffixes(host, len("example.net")))
+    assert sum(map(len, files_kept)) < 100
+    pages = spark.createDataFrame([(1, f"http://{host}/x"), (2, f"http://{host}.org/"), (3, "http://" + "n" * 100_000)], "page_id long, url string")
+    got = {r["page_id"]: (len(r["host"]), r["rule"], r["verdict"]) for r in urls.filter_urls(pages, queries.URL_RULES).collect()}
+    assert got == {1: (len(host), "net/", "block"), 2: (len(host) + 4, None, "allow"), 3: (100_000, None, "allow")}
