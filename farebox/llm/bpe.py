@@ -46,13 +46,29 @@ def read_ranks(path: str) -> list[bytes]:
     return [table[i] for i in range(len(table))]
 
 
-class Vocabulary:
-    def __init__(self, tokens: list[bytes], pattern: str):
-        self.split = regex.compile(pattern)
-        self.rank = {t: i for i, t in enumerate(tokens)}
+class Tokens:
+    """The byte strings by id: all that decoding needs."""
+
+    def __init__(self, tokens: list[bytes]):
         self.blob = np.frombuffer(b"".join(tokens), np.uint8)
         self.lens = np.array([len(t) for t in tokens], np.int64)
         self.starts = np.concatenate(([0], np.cumsum(self.lens)[:-1])).astype(np.int64)
+
+    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of all ids, one after the other, and their number by id."""
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.lens)):
+            raise ValueError("id outside the vocabulary")
+        lens = self.lens[ids]
+        return gather(self.blob, self.starts[ids], lens), lens
+
+
+class Vocabulary(Tokens):
+    """The tokens with the tables of their pairs, for encoding."""
+
+    def __init__(self, tokens: list[bytes], pattern: str):
+        super().__init__(tokens)
+        self.split = regex.compile(pattern)
+        self.rank = {t: i for i, t in enumerate(tokens)}
         self.byte_id = np.array([self.rank[bytes([b])] for b in range(256)], np.int32)
         left, right, merged = [], [], []
         for t, i in self.rank.items():
@@ -225,13 +241,6 @@ class Vocabulary:
             flush()
         return (np.concatenate(ids) if ids else np.empty(0, np.int32)).astype(np.int32), np.array(counts, np.int64)
 
-    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Bytes of all ids, one after the other, and their number by id."""
-        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.lens)):
-            raise ValueError("id outside the vocabulary")
-        lens = self.lens[ids]
-        return gather(self.blob, self.starts[ids], lens), lens
-
 
 def gather(pool: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     """The ranges [start, start + len) of ``pool``, one after the other."""
@@ -240,15 +249,15 @@ def gather(pool: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray
     return pool[np.arange(total) + shift]
 
 
-_VOCABULARIES: dict[int, Vocabulary] = {}
+_VOCABULARIES: dict[int, Tokens] = {}
 
 
-def _vocabulary(shared) -> Vocabulary:
+def _vocabulary(shared) -> Tokens:
     only("bpe", _VOCABULARIES.clear)
     tokens, pattern = shared.value
     key = hash((pattern, len(tokens), tokens[-1]))
     if key not in _VOCABULARIES:
-        _VOCABULARIES[key] = Vocabulary(tokens, pattern)
+        _VOCABULARIES[key] = Tokens(tokens) if pattern is None else Vocabulary(tokens, pattern)
     return _VOCABULARIES[key]
 
 
@@ -284,7 +293,7 @@ def decode(df: DataFrame, ranks: list[bytes], ids_col: str = "ids", out_col: str
            keep: list[str] | None = None) -> DataFrame:
     """``keep`` (default: all columns) plus ``out_col``, the decoded bytes."""
     ship(df.sparkSession)
-    shared = df.sparkSession.sparkContext.broadcast((ranks, ""))
+    shared = df.sparkSession.sparkContext.broadcast((ranks, None))
     keep, schema = _with(df, keep, out_col, T.BinaryType())
 
     def run(batches):
