@@ -6,14 +6,16 @@ punctuation) and of one to three token shapes, hashed into
 indicator is scaled by its log-count ratio r, the row is scaled to unit length, and a
 linear hinge-loss model is fitted by dual coordinate descent over a bounded
 sample of the training rows (``max_fit_rows``, smallest hash of the id
-first, rare class first).  A logistic curve over margins from cross-fitting turns the
+first, rare class first; ``max_fit_bytes`` of vectors, which the driver holds).  A logistic curve over margins from cross-fitting turns the
 margin into a score between 0 and 1.  Scoring reads whole texts.
 
 Defined results: null texts count as empty; an empty text has no features
 and is scored from the intercept alone; labels that are null or not 0/1 are not
 learned from; with one class or none to learn from, the score is the share
 of class 1 (1 without labels).  Repeated ids and labels count as rows.
-Labels, language, source and id never enter a score."""
+Labels, language, source and id never enter a score.  An empty table gives an
+empty result; very long texts are read whole, in blocks; further columns are
+ignored or kept, whatever their names."""
 
 from __future__ import annotations
 
@@ -27,10 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from farebox.llm.common import ROW, only, row, ship, slices
+from farebox.llm.common import ROW, only, row, ship, slices, write_table
 
 BITS = 18
-MAX_FIT_ROWS = 10_000
+MAX_FIT_ROWS, MAX_FIT_BYTES = 10_000, 256 << 20     # of the sample's vectors, 4 bytes an n-gram
 THRESHOLD = 0.3
 BLOCK = 1 << 20           # code points of a text handled at once
 _TOKEN = re.compile(r"\w+|[^\w\s]+|\n")
@@ -210,8 +212,24 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
+def _bounded(sample: DataFrame, rows: int, size: int) -> DataFrame:
+    """The vectors, or those with the smallest hashes as far as they stay
+    within the bounds: ids may repeat, and texts may be very long."""
+    table = write_table(sample.withColumn("_k", F.xxhash64("_y", "_x")), "quality-sample")
+    first = table.select("_k", F.octet_length("_x").alias("_b")).orderBy("_k").limit(rows + 1).collect()
+    held = np.cumsum([r["_b"] for r in first])
+    over = np.flatnonzero((held > size) | (np.arange(len(first)) >= rows))
+    if not len(over):
+        return table
+    cut = first[over[0]]["_k"]
+    if cut == first[0]["_k"]:                    # one vector, repeated beyond the bounds
+        return table.where(F.col("_k") == cut).limit(1)
+    return table.where(F.col("_k") < cut)
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "quality", max_fit_rows: int = MAX_FIT_ROWS, smooth: float = 1.0) -> Model:
+        label_col: str = "quality", max_fit_rows: int = MAX_FIT_ROWS, smooth: float = 1.0,
+        max_fit_bytes: int = MAX_FIT_BYTES) -> Model:
     """Learn from the labelled rows that are not held out."""
     spark = docs.sparkSession
     ship(spark)
@@ -236,7 +254,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     chosen = ordered(y.where(F.col("_y") == rare), take).unionByName(
         ordered(y.where(F.col("_y") != rare), max_fit_rows - take))  # max_fit_rows ids
     sample = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text")).join(
-        chosen, "_id").select("_y", "_text").mapInArrow(_vectors, "_y int, _x binary").toArrow()
+        chosen, "_id").select("_y", "_text").mapInArrow(_vectors, "_y int, _x binary")
+    sample = _bounded(sample, max_fit_rows, max_fit_bytes).toArrow()
     target = np.asarray(sample.column("_y"))
     rows = [np.frombuffer(x.as_py(), np.int32) for x in sample.column("_x")]
     order = sorted(range(len(rows)), key=lambda i: (target[i], rows[i].tobytes()))

@@ -287,3 +287,25 @@ def test_minhash_pair_of_one_bucket_hidden_by_a_star(spark):
     assert (mh.signatures([mh.shingles(" ".join(z))]).reshape(sig.shape[1:])[band] == sig[0, band]).all()
     df = spark.createDataFrame([(1, " ".join(z)), (2, " ".join(x)), (3, " ".join(y))], "doc_id long, text string")
     assert by_id(minhash.near_groups(df), "doc_id", "component_id") == [(1, 1), (2, 2), (3, 2)]
+
+
+def test_quality_against_plain_dual_descent(spark):
+    """Scores of the query on sf0.001 equal those of a fit over dense rows, written anew."""
+    import brute_quality
+    marks = table("labels")
+    want = brute_quality.scores(brute.docs("sf0.001"), dict(zip(marks["doc_id"], marks["quality"])))
+    got = {r["doc_id"]: r["score"] for r in queries.op6_quality(spark, SF).collect()}
+    assert got.keys() == want.keys() and max(abs(got[i] - want[i]) for i in want) < 1e-6
+
+
+def test_quality_sample_is_bounded_in_rows_and_bytes(spark):
+    words = [" ".join(f"w{(i * j) % 97}" for j in range(40)) for i in range(60)]
+    docs = spark.createDataFrame([(i % 20, w) for i, w in enumerate(words)] + [(7, "the same")] * 500, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")
+    vectors = spark.createDataFrame([(i % 2, bytes([i] * 4 * (i + 1))) for i in range(100)], "_y int, _x binary")
+    for rows, size in ((30, 1 << 20), (100, 5000), (1000, 1 << 20), (1, 1)):
+        kept = quality._bounded(vectors, rows, size).collect()
+        assert len(kept) <= rows and (sum(len(r["_x"]) for r in kept) <= size or len(kept) == 1) and kept
+        assert len(kept) == 100 or (rows, size) != (1000, 1 << 20)
+    model = quality.fit(docs, labels, max_fit_rows=10, max_fit_bytes=2000)
+    assert 0 <= model.score(words[0]) <= 1
