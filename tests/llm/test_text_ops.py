@@ -309,3 +309,24 @@ def test_quality_sample_is_bounded_in_rows_and_bytes(spark):
         assert len(kept) == 100 or (rows, size) != (1000, 1 << 20)
     model = quality.fit(docs, labels, max_fit_rows=10, max_fit_bytes=2000)
     assert 0 <= model.score(words[0]) <= 1
+
+
+def test_window_of_many_items(spark):
+    """20,000 items with one common window: the parts stay as they are, the items are all found."""
+    same = " ".join(f"common{i}" for i in range(10))
+    bench = spark.range(20_000).selectExpr("concat('q', id) AS item_id", f"'{same}' AS text").unionByName(
+        spark.createDataFrame([(None, same), ("other", " ".join(f"word{i}" for i in range(12)))], "item_id string, text string"))
+    parts = decontaminate.patterns(bench, "item_id", "text", 10, 10_000)
+    rows = [r for p in parts for r in p.collect()]
+    assert len(parts) <= 3 and len(rows) == 1 + 3 and max(len(r["_items"]) for r in rows) <= decontaminate.FEW
+    docs = spark.createDataFrame([(1, f"a {same} b"), (2, "nothing"), (3, " ".join(f"word{i}" for i in range(11))),
+                                  (4, f"{same} " + " ".join(f"word{i}" for i in range(10))), (1, f"a {same} b")], "doc_id long, text string")
+    all_of = sorted([f"q{i}" for i in range(20_000)])
+    for unnamed, size in ((False, 1 << 20), (False, 10_000), (True, 1 << 20)):
+        got = decontaminate.find_leaks(docs, bench, unnamed=unnamed, max_bytes=size).collect()
+        end = [None] if unnamed else []
+        assert sorted((r["doc_id"], r["n_hit"], len(r["items"])) for r in got) == [
+            (1, 10, 20_000 + len(end)), (1, 10, 20_000 + len(end)), (2, 0, 0), (3, 11, 1), (4, 20, 20_001 + len(end))]
+        assert all(r["items"] == all_of + end for r in got if r["doc_id"] == 1)
+        assert next(r["items"] for r in got if r["doc_id"] == 4) == sorted([*all_of, "other"]) + end
+    assert by_id(decontaminate.drop_leaks(docs, bench), "doc_id") == [(2,)]
