@@ -92,23 +92,6 @@ def _joined(window: int, anchor: int):
     return run
 
 
-def _anchors_only(window: int, anchor: int):
-    def run(batches):
-        for batch in batches:
-            out, held = [], 0
-            for t in batch.column("_text"):
-                found = occurrences(t.as_py(), window, anchor)
-                if found:
-                    out.append(found[0].view(np.int64))
-                    held += len(out[-1])
-                if held > 50_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out))], ["_a"])
-                    out, held = [], 0
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out))], ["_a"])
-    return run
-
-
 def _extend(window: int):
     """Hashes of the windows of one member of each class."""
     names = ["_a", "_l", "_w", "_c", "_n", "_j"]
@@ -168,11 +151,10 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     doc = F.col(f"`{id_col}`")
     rows = df.select(doc.alias("_doc"), F.coalesce(doc.cast("long"), F.lit(-1).cast("long")).alias("_id"),
                      F.xxhash64(doc.cast("string"), F.col(f"`{text_col}`")).alias("_k"), F.col(f"`{text_col}`").alias("_text"))
+    found = write_table(rows.select("_id", "_k", "_text").mapInArrow(
+        _joined(window, anchor), "_id long, _k long, _a long, _c long, _i int, _m int, _o int"), "substring-occurrences")
     # a table of its own, so that Spark can split the partition of a frequent anchor in the join
-    again = write_table(rows.select("_text").mapInArrow(_anchors_only(window, anchor), "_a long").groupBy("_a").agg(
-        F.count("*").alias("_n")).where("_n > 1").select("_a"), "substring-again")
-    found = rows.select("_id", "_k", "_text").mapInArrow(
-        _joined(window, anchor), "_id long, _k long, _a long, _c long, _i int, _m int, _o int")
+    again = write_table(found.groupBy("_a").agg(F.count("*").alias("_n")).where("_n > 1").select("_a"), "substring-again")
     seeds = write_table(found.join(again, "_a", "left_semi"), "substring-seeds")
 
     classes = seeds.groupBy("_a", "_c").agg(
