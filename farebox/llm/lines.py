@@ -2,9 +2,10 @@
 
 Lines are compared without white space at their ends; words are what stands
 between single spaces.  Of equal lines the earliest (smallest id, then line number) stays.  A line of ``min_words``
-words or more is also removed if an earlier line of as many words, one fewer or one more
+words or more is also removed if an earlier line, itself of ``min_words`` words or more, of as many
+words, one fewer or one more
 lies within an edit distance of one word (a word replaced, inserted or
-removed).  Lines are judged on the input, not on what is left; blank
+removed); for shorter lines the bound is 0 on either side.  Lines are judged on the input, not on what is left; blank
 lines stay.
 
 The deletion neighbourhood of a line is the line and all variants of it with one word
