@@ -42,7 +42,7 @@ from farebox.llm.common import only, ship, write_table
 from farebox.llm.rindex import RunIndex
 
 LENGTH, GRAM = 400, 32
-GROUP_BYTES = 2 << 20          # contexts of one key in one index
+GROUP_BYTES = 1 << 18          # contexts of one key in one index
 _INDEX_BYTES = 1 << 17         # contexts of several keys in one index: what a core caches
 _PIECE = 1 << 19               # bytes hashed at once
 _PLACE = np.uint64((1 << 21) - 1)
