@@ -23,18 +23,21 @@ UNREADABLE, ACCEPTED = "illisible:", "accepte:"
 # The typed fields that the marts read; the departure zone is a text key, which any text is.
 FIELDS = [S.PICKUP, S.DROPOFF, "passenger_count", "trip_distance", "DOLocationID", "payment_type", "fare_amount", "tip_amount",
           "total_amount"]
+READ_BY_MARTS = [*FIELDS, S.ZONE]
 _CORRUPT, _RAW = "_corrupt", "_raw_"
 
 
 def flagged_trips(raw: DataFrame) -> DataFrame:
-    """Typed records of a raw read with a corrupt-record column, and their
+    """Typed records (the fields that the marts read) of a raw read with a corrupt-record column, and their
     flags: ``_header``, ``_odd`` (too few or too many fields), ``_bad_<field>``."""
     header = F.col("VendorID").eqNullSafe(F.lit(S.HEADER_MARKER))
-    typed = [TX.typed_text(n, t).alias(n) for n, t in S.TRIP_COLUMNS]
+    typed = [TX.typed_text(n, t).alias(n) for n, t in S.TRIP_COLUMNS if n in READ_BY_MARTS]
     texts = [F.nullif(F.trim(n), F.lit("")).alias(f"{_RAW}{n}") for n in FIELDS]
-    out = raw.select(*typed, *texts, header.alias("_header"), F.col(_CORRUPT).isNotNull().alias("_odd"))
+    # from a generator, so that a field's text rule is evaluated once and not wherever the field is used
+    record = F.struct(*typed, *texts, header.alias("_header"), F.col(_CORRUPT).isNotNull().alias("_odd"))
+    out = raw.select(F.inline(F.array(record)))
     flags = [(F.col(f"{_RAW}{n}").isNotNull() & F.col(n).isNull()).alias(f"_bad_{n}") for n in FIELDS]
-    return out.select(*[n for n, _ in S.TRIP_COLUMNS], "_header", "_odd", *flags)
+    return out.select(*READ_BY_MARTS, "_header", "_odd", *flags)
 
 
 def _metrics(params: dict) -> list[Column]:
@@ -53,7 +56,7 @@ def reconcile(spark: SparkSession, path: str | list[str], *, rounding: str = "sq
     seen = Observation("reconciliation")
     flagged = A.with_timing(flagged_trips(raw))
     timed = flagged.observe(seen, *_metrics(params))
-    trips = timed.where(~F.col("_header")).select(*[n for n, _ in S.TRIP_COLUMNS], "duree_s", "vitesse_mph")
+    trips = timed.where(~F.col("_header")).select(*READ_BY_MARTS, "duree_s", "vitesse_mph")
     groups = SH.aggregate_entries(SH.mart_entries(trips, rounding=rounding, **params))
     target = groups_path or scratch_path(spark, "reconciliation")
     groups.write.mode("overwrite").parquet(target)
