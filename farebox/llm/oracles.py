@@ -1,14 +1,23 @@
 """The registered queries in DuckDB SQL, where SQL can express them.
 
 The others are held against brute-force versions and round trips in
-``tests/llm``: rank merges (op1), archives (op2), edit distances over a
-neighbourhood (op5), the classifier (op6), the template's escapes (op8) and
-components of links (op10)."""
+``tests/llm``: rank merges (op1), edit distances over a neighbourhood (op5) and
+the classifier (op6)."""
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _NORMAL = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
            r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
 
+OP2 = """
+WITH p AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS h FROM pages),
+g AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first, sha1(h) AS x FROM p)
+SELECT page_id, strlen(h) AS payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         ((CAST('0x' || substr(x, CAST(1 + 5 * (i // 4) AS INTEGER), 5) AS INTEGER) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31) + 1, 1)
+         FOR i IN range(32)], '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to, url FROM g"""
+
 OP3 = r"""
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS points,
@@ -46,6 +55,27 @@ fit AS (
   FROM p JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, s) GROUP BY page_id)
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p LEFT JOIN fit USING (page_id)"""
 
+def _escaped(text: str) -> str:
+    """The template's escapes: backslashes doubled, then each control string's first character."""
+    out = f"replace({text}, chr(92), chr(92) || chr(92))"
+    for c, letter in (("<s>", "l"), ("</s>", "l"), ("[INST]", "b"), ("[/INST]", "b")):
+        out = f"replace({out}, '{c}', chr(92) || '{letter}{c[1:]}')"
+    return out
+
+
+_TURNS = "ORDER BY turn NULLS FIRST, role, text"
+OP8 = f"""
+WITH r AS (
+  SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]'))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' {_TURNS})) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' {_TURNS}) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(length('<s>') + sum(length('[INST][/INST]</s>') + length({_escaped("role")}) + length({_escaped("text")})) AS BIGINT)
+         AS formatted_chars
+FROM r GROUP BY conv_id"""
+
 OP9 = f"""
 WITH d AS (SELECT doc_id, {_NORMAL} AS w FROM documents),
 b AS (SELECT item_id, {_NORMAL} AS w FROM benchmark),
@@ -65,6 +95,30 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
        sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
+OP10 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + least(5, len(w)) - 1], ' ') AS x
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS i FROM w WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+often AS (SELECT x FROM s GROUP BY x HAVING count(*) > 1),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM (SELECT * FROM s SEMI JOIN often USING (x)) a JOIN (SELECT * FROM s SEMI JOIN often USING (x)) b
+    ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS MATERIALIZED (
+  SELECT a, b FROM common JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 75 * (na.n + nb.n - c)),
+both_ways AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, r) AS (
+  SELECT a, b FROM both_ways
+  UNION SELECT reach.doc_id, both_ways.b FROM reach JOIN both_ways ON both_ways.a = reach.r),
+c AS (SELECT doc_id, min(r) AS r FROM reach GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(r, doc_id)) AS component_id,
+       doc_id <= coalesce(r, doc_id) AS kept
+FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)"""
+
 OP11 = r"""
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
 win AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 800)) AS s
@@ -137,5 +191,6 @@ SELECT vec_id, CAST(k AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (P
 FROM near{rounds} JOIN vec USING (row) JOIN hashes USING (k)"""
 
 
-ORACLES = {"op3_exact_dedup": OP3, "op4_substring": OP4, "op7_url_filter": OP7, "op9_decontaminate": OP9,
+ORACLES = {"op2_warc": OP2, "op3_exact_dedup": OP3, "op4_substring": OP4, "op7_url_filter": OP7, "op8_chat": OP8,
+           "op9_decontaminate": OP9, "op10_minhash": OP10,
            "op11_suffix_array": OP11, "op12_filter_audit": OP12, "op13_centroids": _op13()}

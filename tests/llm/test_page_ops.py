@@ -146,3 +146,19 @@ def test_url_of_very_long_host(spark):
     pages = spark.createDataFrame([(1, f"http://{host}/x"), (2, f"http://{host}.org/"), (3, "http://" + "n" * 100_000)], "page_id long, url string")
     got = {r["page_id"]: (len(r["host"]), r["rule"], r["verdict"]) for r in urls.filter_urls(pages, queries.URL_RULES).collect()}
     assert got == {1: (len(host), "net/", "block"), 2: (len(host) + 4, None, "allow"), 3: (100_000, None, "allow")}
+
+
+def test_warc_whole_table_with_equal_payloads(spark, tmp_path):
+    """Every page twice under another id, a third of them with one payload: types and references as the SQL has them."""
+    import duckdb
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    same = F.when(F.col("page_id") % 3 == 0, F.lit("<p>one for many é</p>")).otherwise(F.col("html"))
+    both = pages.withColumn("html", same).unionByName(pages.withColumn("page_id", F.col("page_id") + 1000))
+    both = both.unionByName(both.withColumn("page_id", F.lit(5000) - F.col("page_id")))
+    both.write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    want = sorted(map(str, con.execute(queries.ORACLES["op2_warc"]).fetchall()))
+    got = queries.op2_warc(spark, str(tmp_path)).collect()
+    assert sorted(str(tuple(r)) for r in got) == want
+    assert sum(r["record_type"] == "revisit" for r in got) > len(got) / 2

@@ -36,7 +36,7 @@ def test_queries_against_brute_force(spark):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_queries_against_sql(spark, name):
     con = pytest.importorskip("duckdb").connect()
-    for t in ("documents", "pages", "benchmark", "labels", "embeddings"):
+    for t in ("documents", "pages", "benchmark", "labels", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     found = con.execute(queries.ORACLES[name])
     df = queries.QUERIES[name](spark, SF)
