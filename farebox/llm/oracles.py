@@ -120,20 +120,20 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(r, doc_id))
 FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)"""
 
 OP11 = r"""
-WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-win AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 800)) AS s
-        FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 399)) AS i FROM d WHERE len(h) >= 800)),
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS t FROM documents),
+win AS (SELECT doc_id, i, md5(t[i + 1:i + 400]) AS s
+        FROM (SELECT doc_id, t, unnest(range(0, octet_length(t) - 399)) AS i FROM d WHERE octet_length(t) >= 400)),
 dup AS (SELECT s FROM win GROUP BY s HAVING count(*) > 1),
 hit AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM win SEMI JOIN dup USING (s)),
 runs AS (SELECT doc_id, i, sum(CASE WHEN before IS NULL OR i > before + 400 THEN 1 ELSE 0 END)
                 OVER (PARTITION BY doc_id ORDER BY i) AS run FROM hit),
 spans AS (SELECT doc_id, run, min(i) AS a, max(i) + 400 AS b FROM runs GROUP BY doc_id, run),
-gaps AS (SELECT doc_id, b, coalesce(lead(a) OVER (PARTITION BY doc_id ORDER BY a), 1e15::BIGINT) AS next, b - a AS n FROM spans
+gaps AS (SELECT doc_id, b, lead(a) OVER (PARTITION BY doc_id ORDER BY a) AS next, b - a AS n FROM spans
          UNION ALL SELECT doc_id, 0, min(a), 0 FROM spans GROUP BY doc_id),
-cut AS (SELECT doc_id, string_agg(substr(h, 2 * b + 1, 2 * least(next - b, len(h))), '' ORDER BY b) AS k,
+cut AS (SELECT doc_id, string_agg(hex(t[b + 1:coalesce(next, octet_length(t))]), '' ORDER BY b) AS k,
                sum(n) AS n_removed, count(*) - 1 AS n_spans FROM gaps JOIN d USING (doc_id) GROUP BY doc_id)
-SELECT doc_id, len(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
-       sha256(unhex(coalesce(k, h))) AS kept_sha256
+SELECT doc_id, octet_length(t) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(coalesce(unhex(k), t)) AS kept_sha256
 FROM d LEFT JOIN cut USING (doc_id)"""
 
 OP12 = r"""
