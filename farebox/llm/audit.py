@@ -32,6 +32,7 @@ Very long texts are scanned whole."""
 from __future__ import annotations
 
 import itertools
+import json
 
 import numpy as np
 import pyarrow as pa
@@ -245,10 +246,9 @@ def failures(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def orders(counts: DataFrame) -> DataFrame:
     """What each filter removes, for every part, order of the filters and step."""
     c = F.col
-    steps = [("".join(p), i + 1, sum(1 << FILTERS.index(x) for x in p[:i]), 1 << FILTERS.index(p[i]))
-             for p in itertools.permutations(FILTERS) for i in range(len(FILTERS))]
-    grid = F.array(*[F.struct(F.lit(o).alias("filter_order"), F.lit(s).alias("step"), F.lit(b).alias("_before"),
-                              F.lit(x).alias("_bit")) for o, s, b, x in steps])
+    steps = [{"filter_order": "".join(p), "step": i + 1, "_before": sum(1 << FILTERS.index(x) for x in p[:i]),
+              "_bit": 1 << FILTERS.index(p[i])} for p in itertools.permutations(FILTERS) for i in range(len(FILTERS))]
+    grid = F.from_json(F.lit(json.dumps(steps)), "array<struct<filter_order: string, step: int, _before: int, _bit: int>>")
     fails = c("_mask").bitwiseAND(c("_bit")) > 0
     earlier = c("_mask").bitwiseAND(c("_before")) > 0
 
