@@ -23,6 +23,7 @@ CASES, CASE_ORDER = 17, 3
 (HEADER, SHORT, QUOTED, FARE_TEXT, FARE_NAN, ZONE_EMPTY, ZONE_TEXT, ZONE_DECIMAL, ZONE_PADDED,
  PICKUP_TEXT, PICKUP_EMPTY, TIP_EMPTY, TIP_TEXT, TOTAL_NAN) = range(14)  # the other cases are clean
 SHORT_FIELDS = 10
+MULTI_LINE_RECORDS = 100_000       # records of a file that cannot be split, some 12 MB
 GROUPED, SUFFIXED = 14, 15         # only where number forms are asked for
 GROUPED_FARE, SUFFIXED_FARE = "1_2.5", "12.5d"   # a number to Python, and none
 
@@ -61,17 +62,17 @@ def dirty_lines(lineitem: DataFrame, flag: str = QUOTED_FLAG, numbers: bool = Fa
         .otherwise(F.concat_ws(",", *fields)).alias("value"))
 
 
-def text_files(lines: DataFrame, name: str) -> str:
-    """Write raw lines as text files below the shared checkpoint folder."""
+def text_files(lines: DataFrame, name: str, records: int | None = None) -> str:
+    """Write raw lines as text files below the shared checkpoint folder; ``records``: the most of a file."""
     path = scratch_path(lines.sparkSession, name)
-    lines.write.text(path)
+    (lines.write.option("maxRecordsPerFile", records) if records else lines.write).text(path)
     return path
 
 
-def dirty_files(spark: SparkSession, sf_dir: str, files: int | None = None, **kinds) -> str:
-    """The dirty records of the whole ``lineitem`` table as text files; ``files``: how many."""
+def dirty_files(spark: SparkSession, sf_dir: str, records: int | None = None, **kinds) -> str:
+    """The dirty records of the whole ``lineitem`` table as text files; ``records`` as in ``text_files``."""
     lines = dirty_lines(spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet"), **kinds)
-    return text_files(lines.repartition(files) if files else lines, "dirty-trips")
+    return text_files(lines, "dirty-trips", records)
 
 
 def load_dirty_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,8 +81,9 @@ def load_dirty_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_multi_line_trips(spark: SparkSession, sf_dir: str, text_rules: bool = False) -> DataFrame:
-    """The dirty records with line ends inside quotes; a file is one task, so there is one for each core."""
-    path = dirty_files(spark, sf_dir, spark.sparkContext.defaultParallelism, flag=LINE_END_FLAG)
+    """The dirty records with line ends inside quotes.  A task reads such a file whole, so
+    the files number with the records, and no file grows with the table."""
+    path = dirty_files(spark, sf_dir, MULTI_LINE_RECORDS, flag=LINE_END_FLAG)
     return TX.read_trips_text(spark, path, multi_line=True, text_rules=text_rules)
 
 

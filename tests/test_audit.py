@@ -1,10 +1,15 @@
 """Reconciliation of a raw directory, and records over several lines."""
 
+import pytest
+from pyspark.sql import functions as F
+
 from farebox import schema as S
 from farebox.operators import marts as A
 from farebox.plans import audit as AU
 from farebox.plans import jobs
 from farebox.plans import storage as ST
+from farebox.plans.registry import REGISTRY
+from farebox.sources import dirty as D
 from farebox.sources import text as TX
 from test_text_ingest import HEADER, line, one, write_files
 
@@ -70,6 +75,24 @@ def test_jobs_and_streams_take_records_over_lines(spark, tmp_dir):
     assert spark.table("torn_total").first()["nb_lignes"] == 5
 
 
+@pytest.mark.parametrize("name, by_lines", [("multi_line_peak", "dirty_text_peak")])
+def test_files_that_cannot_be_split_do_not_grow(spark, tmp_dir, monkeypatch, name, by_lines):
+    most = 50
+    monkeypatch.setattr(D, "MULTI_LINE_RECORDS", most, raising=False)
+    for n in (most * spark.sparkContext.defaultParallelism, 4 * most * spark.sparkContext.defaultParallelism):
+        spark.range(n).selectExpr(
+            "id div 4 AS l_orderkey", "id % 977 AS l_partkey", "id % 83 AS l_suppkey", "cast(id % 4 AS int) AS l_linenumber",
+            "cast(id % 50 AS double) AS l_quantity", "cast(1000 + id * 7 % 50000 AS double) AS l_extendedprice",
+            "0.05D AS l_discount", "0.02D AS l_tax", "timestamp_ntz'1998-01-01 00:00:00' AS l_shipdate").write.parquet(f"{tmp_dir}/{n}/lineitem.parquet")
+        got = REGISTRY[name].build(spark, f"{tmp_dir}/{n}")
+        raw = TX.read_raw_trips(spark, got.inputFiles(), multi_line=True)
+        held = [r["count"] for r in raw.groupBy(F.input_file_name()).count().collect()]
+        assert sum(held) == n and max(held) <= most
+        assert got.count() > 0
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(
+            map(tuple, REGISTRY[by_lines].build(spark, f"{tmp_dir}/{n}").collect()), key=str)
+
+
 def test_staged_numbers_follow_python(spark, tmp_dir):
     raw = write_files(tmp_dir, [line(fare_amount="1_0"), line(fare_amount="10d"), line(fare_amount="10")])
     staged = ST.stage_text(spark, raw, f"{tmp_dir}/staged")
