@@ -75,7 +75,7 @@ def test_jobs_and_streams_take_records_over_lines(spark, tmp_dir):
     assert spark.table("torn_total").first()["nb_lignes"] == 5
 
 
-@pytest.mark.parametrize("name, by_lines", [("multi_line_peak", "dirty_text_peak")])
+@pytest.mark.parametrize("name, by_lines", [("multi_line_peak", "dirty_text_peak"), ("multi_line_zones", "dirty_text_zones")])
 def test_files_that_cannot_be_split_do_not_grow(spark, tmp_dir, monkeypatch, name, by_lines):
     most = 50
     monkeypatch.setattr(D, "MULTI_LINE_RECORDS", most, raising=False)
