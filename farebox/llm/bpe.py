@@ -28,9 +28,9 @@ from pyspark.sql import types as T
 
 from farebox.llm.common import ROW, only, quoted, row, ship
 
-BLOCK = 1 << 20       # code points tokenised at a time
+BLOCK = 1 << 18       # code points tokenised, or ids decoded, at a time
 LONG = 128            # bytes
-CACHE = 400_000       # distinct pieces a worker remembers
+CACHE = 250_000       # distinct pieces a worker remembers
 _NONE = np.int32(2**31 - 1)
 _EMPTY = np.uint64(2**64 - 1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -59,7 +59,12 @@ class Tokens:
         if len(ids) and (ids.min() < 0 or ids.max() >= len(self.lens)):
             raise ValueError("id outside the vocabulary")
         lens = self.lens[ids]
-        return gather(self.blob, self.starts[ids], lens), lens
+        out, done = np.empty(int(lens.sum()), np.uint8), 0
+        for a in range(0, len(ids), BLOCK):      # gathering takes 24 bytes a byte
+            part = gather(self.blob, self.starts[ids[a:a + BLOCK]], lens[a:a + BLOCK])
+            out[done:done + len(part)] = part
+            done += len(part)
+        return out, lens
 
 
 class Vocabulary(Tokens):
@@ -267,16 +272,26 @@ def _with(df: DataFrame, keep: list[str] | None, name: str, kind: T.DataType) ->
     return keep, T.StructType([T.StructField(ROW, T.StructType([df.schema[c] for c in keep])), T.StructField(name, kind)])
 
 
+def _source(df: DataFrame, keep: list[str], name: str):
+    """The columns that stay with column ``name``, which goes to the tasks once if it is
+    one of them, and what takes it from a batch."""
+    if name in keep:
+        at = keep.index(name)
+        return df.select(row(keep)), lambda batch: batch.column(ROW).field(at)
+    return df.select(row(keep), quoted(name).alias("_in")), lambda batch: batch.column("_in")
+
+
 def encode(df: DataFrame, ranks: list[bytes], pattern: str, text_col: str = "text",
            ids_col: str = "ids", keep: list[str] | None = None) -> DataFrame:
     """``keep`` (default: all columns) plus ``ids_col``, an array of ids."""
     ship(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast((ranks, pattern))  # size of the vocabulary
     keep, schema = _with(df, keep, ids_col, T.ArrayType(T.IntegerType()))
+    source, column = _source(df, keep, text_col)
 
     def run(batches):
         for batch in batches:
-            texts = batch.column("_text")
+            texts = column(batch)
             step = max(1, int(batch.num_rows * 4 * BLOCK / max(1, texts.nbytes)))
             for a in range(0, batch.num_rows, step):
                 part = texts.slice(a, step)
@@ -285,7 +300,6 @@ def encode(df: DataFrame, ranks: list[bytes], pattern: str, text_col: str = "tex
                     pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([batch.column(ROW).slice(a, len(part)), lists], [ROW, ids_col])
 
-    source = df.select(row(keep), quoted(text_col).alias("_text"))
     return source.mapInArrow(run, schema).select(f"{ROW}.*", quoted(ids_col))
 
 
@@ -295,10 +309,11 @@ def decode(df: DataFrame, ranks: list[bytes], ids_col: str = "ids", out_col: str
     ship(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast((ranks, None))
     keep, schema = _with(df, keep, out_col, T.BinaryType())
+    source, column = _source(df, keep, ids_col)
 
     def run(batches):
         for batch in batches:
-            lists = batch.column("_ids")
+            lists = column(batch)
             step = max(1, int(batch.num_rows * 4 * BLOCK / max(1, lists.nbytes)))
             for a in range(0, batch.num_rows, step):
                 part = lists.slice(a, step)
@@ -310,7 +325,6 @@ def decode(df: DataFrame, ranks: list[bytes], ids_col: str = "ids", out_col: str
                     pa.binary(), len(part), [None, pa.py_buffer(cut.astype(np.int32)), pa.py_buffer(data)])
                 yield pa.RecordBatch.from_arrays([batch.column(ROW).slice(a, len(part)), texts], [ROW, out_col])
 
-    source = df.select(row(keep), quoted(ids_col).alias("_ids"))
     return source.mapInArrow(run, schema).select(f"{ROW}.*", quoted(out_col))
 
 

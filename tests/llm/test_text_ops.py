@@ -5,7 +5,9 @@ import collections
 import hashlib
 import os
 import sys
+import tracemalloc
 
+import numpy as np
 import public_tokenizers
 import pytest
 
@@ -57,6 +59,23 @@ def test_bpe_odd_rows(odd_docs, no_docs):
     assert bpe.decode(bpe.encode(no_docs, ranks, public_tokenizers.PATTERN), ranks).count() == 0
 
 
+def test_bpe_tasks_hold_little(odd_docs):
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    ids = np.arange(2_000_000) % len(ranks)
+    whole = b"".join(ranks[i] for i in ids[:len(ranks)])
+    tracemalloc.start()
+    try:
+        data, lens = bpe.Tokens(ranks).decode(ids)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert data[:len(whole)].tobytes() == whole and len(data) == lens.sum()
+    assert peak < 10 * len(data)
+    # a column that stays goes to the tasks once
+    assert bpe._source(odd_docs, ["doc_id", "text"], "text")[0].columns == ["_row"]
+    assert bpe._source(odd_docs, ["doc_id"], "text")[0].columns == ["_row", "_in"]
+
+
 def test_bpe_rejects_unknown_ids():
     v = bpe.Vocabulary(bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
     with pytest.raises(ValueError):
