@@ -7,6 +7,7 @@ import random
 import sys
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, os.path.dirname(__file__))
@@ -100,6 +101,19 @@ def test_byte_repeats_split_of_large_groups(spark, seed):
         assert rows_of(digest(got)) == want, group
 
 
+def test_byte_repeats_cut_lets_batches_go():
+    marks = pa.array([None] * 100, pa.list_(pa.struct([("_i", pa.int64()), ("_m", pa.int32()), ("_bits", pa.binary())])))
+
+    def batches():
+        for _ in range(5):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(100)), pa.array(["x" * 10_000] * 100), marks], ["_doc", "_text", "_marks"])
+
+    before = pa.total_allocated_bytes()
+    assert sum(out.num_rows for out in byte_repeats._cut(400, "doc_id")(batches())) == 500
+    assert pa.total_allocated_bytes() - before < 1_000_000          # a batch has that much text
+
+
 def test_byte_repeats_long_text_in_pieces(spark, monkeypatch):
     rng = random.Random(3)
     text = "".join(rng.choices("abcdefgh ", k=9000))
